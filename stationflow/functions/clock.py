@@ -90,3 +90,7 @@ def timestamp_text(ms: Column) -> Column:
         date_text(ms), F.lit(" "), two(second / 3600), F.lit(":"),
         two(second % 3600 / 60), F.lit(":"), two(second % 60),
     )
+
+
+def minute_of_day(time_text: Column) -> Column:
+    return F.substring(time_text, 1, 2).cast("int") * 60 + F.substring(time_text, 4, 2).cast("int")

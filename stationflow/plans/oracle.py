@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from stationflow.functions.clock import WEEKDAYS
+from stationflow.functions.clock import SLOT_LEVELS, WEEKDAYS
 from stationflow.plans.oracle_views import with_views
+from stationflow.plans.views import TRAINING, UNSEEN
 
 ORACLE: dict[str, str] = {}
 
@@ -76,3 +77,364 @@ add("weekday_outliers", """
     station_values="""SELECT number, name, weekday, CAST(sum(check_in + check_out) AS BIGINT) AS value
         FROM slots GROUP BY number, name, weekday""",
     fences=_FENCES)
+
+# Clusters and profiles. Unused helper views are left out of the text by with_views.
+
+_HALF = "CASE WHEN substr({t}, 4, 2) < '30' THEN substr({t}, 1, 2) || ':00:00' ELSE substr({t}, 1, 2) || ':30:00' END"
+_SEASON = """CASE WHEN month({d}) IN (11, 12, 1) THEN 'Winter' WHEN month({d}) IN (2, 3, 4) THEN 'Spring'
+    WHEN month({d}) IN (5, 6, 7) THEN 'Summer' ELSE 'Autumn' END"""
+_FEATURE_KEY = "number, name, address, date, time, bike_stands, weekday, season"
+
+
+def _clustered(source: str) -> str:
+    return f"""
+        SELECT s.*, c.cluster FROM {source} s
+        LEFT JOIN clusters c ON s.number = c.number AND s.time = c.time"""
+
+
+def _rolled(source: str, whole: str) -> str:
+    return f"""
+        SELECT {_FEATURE_KEY}, {whole} AS avg_stands, arg_min(cluster, time10) FILTER (cluster IS NOT NULL) AS cluster
+        FROM (SELECT number, name, address, date, {_HALF.format(t="time")} AS time, time AS time10, bike_stands,
+                     weekday, {_SEASON.format(d="CAST(date AS DATE)")} AS season, available_stands, cluster
+              FROM {source}) q
+        GROUP BY {_FEATURE_KEY}"""
+
+
+_TRUNCATE = "CAST(trunc(avg(available_stands)) AS BIGINT)"
+_HALF_EVEN = "CAST(round_even(avg(available_stands), 0) AS BIGINT)"
+
+
+def _previous(source: str) -> str:
+    return f"""
+        SELECT *, coalesce(lag(avg_stands) OVER (PARTITION BY number, name, address, date
+            ORDER BY time, bike_stands), avg_stands) AS prev_stands FROM {source}"""
+
+
+def _located(source: str) -> str:
+    return f"SELECT f.*, g.latitude, g.longitude FROM {source} f LEFT JOIN geo g ON f.number = g.number"
+
+
+_STEPS = {
+    "grid": """
+        SELECT d.number, d.date, t.time, s.available_stands
+        FROM (SELECT DISTINCT number, date FROM slots) d CROSS JOIN (SELECT DISTINCT time FROM slots) t
+        LEFT JOIN slots s ON s.number = d.number AND s.date = d.date AND s.time = t.time""",
+    "filled": """
+        SELECT number, date, time, coalesce(
+            last_value(available_stands IGNORE NULLS) OVER (PARTITION BY time ORDER BY number, date
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            first_value(available_stands IGNORE NULLS) OVER (PARTITION BY time ORDER BY number, date
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS available_stands
+        FROM grid""",
+    "filled_station": """
+        SELECT number, date, time, coalesce(
+            last_value(available_stands IGNORE NULLS) OVER (PARTITION BY number, time ORDER BY date
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            first_value(available_stands IGNORE NULLS) OVER (PARTITION BY number, time ORDER BY date
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS available_stands
+        FROM grid""",
+    "profile": "SELECT number, name, time, avg(available_stands) AS stands FROM training GROUP BY number, name, time",
+    "sums": "SELECT number, sum(stands) AS station_sum FROM profile GROUP BY number",
+    "nearest": """
+        SELECT number, cluster, gap FROM (
+            SELECT s.number, c.cluster, abs(c.sum_of_stands - s.station_sum) AS gap, row_number() OVER (
+                PARTITION BY s.number ORDER BY abs(c.sum_of_stands - s.station_sum), c.cluster) AS rn
+            FROM sums s CROSS JOIN centers c) q WHERE rn = 1""",
+    "clustered": _clustered("training"),
+    "activity": """
+        SELECT number, cluster, CAST(sum(check_in + check_out) AS BIGINT) AS total_activity
+        FROM clustered WHERE cluster IS NOT NULL GROUP BY number, cluster""",
+    "most": """
+        SELECT number, cluster, total_activity FROM activity a
+        WHERE total_activity = (SELECT max(total_activity) FROM activity b WHERE b.cluster = a.cluster)""",
+    "least": """
+        SELECT number, cluster, total_activity FROM activity a
+        WHERE total_activity = (SELECT min(total_activity) FROM activity b WHERE b.cluster = a.cluster)""",
+    "not_most": """
+        SELECT DISTINCT number, cluster FROM clustered
+        WHERE cluster IS NOT NULL AND number NOT IN (SELECT number FROM most)""",
+    "extremes": "SELECT number FROM most UNION SELECT number FROM least",
+    "not_extreme": """
+        SELECT DISTINCT number, cluster FROM clustered
+        WHERE cluster IS NOT NULL AND number NOT IN (SELECT number FROM extremes)""",
+    "rolled": _rolled("clustered", _TRUNCATE),
+    "rolled_even": _rolled("clustered", _HALF_EVEN),
+    "with_prev": _previous("rolled"),
+    "features": _located("with_prev"),
+    "features_weather": """
+        SELECT f.*, w.atmospheric_pressure, w.wind_speed, w.air_temperature
+        FROM features f LEFT JOIN weather w ON f.date = w.date AND f.time = w.time""",
+    "coded": """
+        SELECT *, CAST(isodow(CAST(date AS DATE)) - 1 AS INTEGER) AS weekday_code,
+               CAST(dense_rank() OVER (ORDER BY season) - 1 AS INTEGER) AS season_code,
+               CAST(dense_rank() OVER (ORDER BY time) - 1 AS INTEGER) AS time_code
+        FROM features""",
+    "clustered_week": _clustered("unseen"),
+    "rolled_week": _rolled("clustered_week", _HALF_EVEN),
+    "prev_week": _previous("rolled_week"),
+    "scored": "SELECT p.*, prev_stands AS pred FROM prev_week p",
+    "in_service": "SELECT * FROM scored WHERE time >= '05:30:00'",
+    "fit": """
+        SELECT count(*) AS n, avg(power(CAST(avg_stands - pred AS DOUBLE), 2)) AS mse,
+               sqrt(avg(power(CAST(avg_stands - pred AS DOUBLE), 2))) AS rmse FROM scored""",
+    "parted": """
+        SELECT f.*, prev_stands AS pred, CAST(concat('0x', substr(md5(concat(number, '|', name, '|', address, '|',
+               date, '|', time, '|', bike_stands, '|7')), 1, 8)) AS BIGINT) % 100 < 67 AS training_part
+        FROM features f""",
+    "fanned": """
+        SELECT f.number, f.address, f.time, f.bike_stands, t.avg_stands, t.pred, t.latitude, t.longitude
+        FROM (SELECT * FROM parted WHERE NOT training_part) t JOIN features f
+        ON t.latitude = f.latitude AND t.longitude = f.longitude AND t.time = f.time""",
+    "log_complete": """
+        SELECT number, pred_stands, bike_stands - pred_stands AS pred_bikes, actual_time, actual_stands,
+               bike_stands - actual_stands AS actual_bikes, bike_stands,
+               strftime(make_timestamp(actual_time * 1000000), '%Y-%m-%d') AS date,
+               strftime(make_timestamp((actual_time - actual_time % 600) * 1000000), '%H:%M:00') AS time,
+               CASE WHEN pred_stands <= actual_stands THEN 1 ELSE 0 END AS sufficient
+        FROM (SELECT *, CASE number WHEN 79 THEN 27 WHEN 5 THEN 40 WHEN 100 THEN 25 WHEN 66 THEN 40 ELSE 23 END
+                  AS bike_stands FROM forecast_log) q
+        WHERE actual_time IS NOT NULL AND actual_stands IS NOT NULL AND actual_bikes IS NOT NULL""",
+    "log_rows": "SELECT * FROM log_complete WHERE time >= '05:30:00'",
+    "parts": f"""
+        SELECT *, {_HALF.format(t="slot_time")} AS time, strftime(make_timestamp(target_ms * 1000), '%a') AS weekday,
+               {_SEASON.format(d="make_timestamp(target_ms * 1000)")} AS season
+        FROM (SELECT *, strftime(make_timestamp(target_ms * 1000), '%H:%M:00') AS slot_time
+              FROM (SELECT *, requested_ms + CAST(round(round(minutes / 60.0, 2) * 3600000) AS BIGINT) AS target_ms
+                    FROM requests) q) p""",
+    "clustered_all": _clustered("slots"),
+    "rolled_all": _rolled("clustered_all", _HALF_EVEN),
+    "prev_all": _previous("rolled_all"),
+    "history": _located("prev_all"),
+    "time_codes": f"""
+        SELECT time, CAST(row_number() OVER (ORDER BY time) - 1 AS INTEGER) AS time_code
+        FROM (SELECT DISTINCT {_HALF.format(t="time")} AS time FROM training) q""",
+    "season_codes": f"""
+        SELECT season, CAST(row_number() OVER (ORDER BY season) - 1 AS INTEGER) AS season_code
+        FROM (SELECT DISTINCT {_SEASON.format(d="CAST(date AS DATE)")} AS season FROM training) q""",
+    "context_groups": """
+        SELECT h.number, h.name, h.address, h.time, h.weekday, h.season, h.cluster, h.latitude, h.longitude,
+               CAST(isodow(CAST(min(h.date) AS DATE)) - 1 AS INTEGER) AS weekday_code, t.time_code, s.season_code,
+               max(h.bike_stands) AS bike_stands,
+               CAST(round_even(avg(h.avg_stands), 0) AS BIGINT) AS avg_stands,
+               CAST(round_even(avg(h.prev_stands), 0) AS BIGINT) AS prev_stands
+        FROM history h JOIN time_codes t ON h.time = t.time JOIN season_codes s ON h.season = s.season
+        WHERE h.cluster IS NOT NULL AND h.latitude IS NOT NULL AND h.longitude IS NOT NULL
+        GROUP BY h.number, h.name, h.address, h.time, h.weekday, h.season, h.cluster, h.latitude, h.longitude,
+                 t.time_code, s.season_code""",
+    "context": """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY number, time, weekday, season
+            ORDER BY name, address, weekday_code, time_code, season_code, cluster, latitude, longitude) AS rn
+            FROM context_groups) q WHERE rn = 1""",
+    "spans": """
+        SELECT number, arg_min(bike_stands, name || address || date || time) AS first_capacity,
+               arg_max(date || ' ' || time, name || address || date || time) AS saved_update
+        FROM slots GROUP BY number""",
+    "inputs": """
+        SELECT p.number, p.minutes, c.avg_stands, sp.first_capacity, c.bike_stands,
+               l.bike_stands AS live_capacity, l.available_bike_stands AS live_stands, l.last_update AS live_update,
+               CASE WHEN failed THEN c.latitude ELSE l.latitude END AS latitude,
+               CASE WHEN failed THEN c.longitude ELSE l.longitude END AS longitude,
+               CASE WHEN failed THEN c.prev_stands ELSE l.available_bike_stands END AS prev_stands,
+               CASE WHEN failed THEN c.bike_stands ELSE l.bike_stands END AS current_capacity,
+               CASE WHEN failed THEN sp.saved_update ELSE live_text END AS last_update, live_text
+        FROM parts p
+        LEFT JOIN context c ON p.number = c.number AND p.time = c.time AND p.weekday = c.weekday
+             AND p.season = c.season
+        LEFT JOIN spans sp ON p.number = sp.number
+        LEFT JOIN (SELECT *, bike_stands = 0 AND available_bike_stands = 0 AS failed,
+                          strftime(make_timestamp(last_update // 1000 * 1000000), '%Y-%m-%d %H:%M:%S') AS live_text
+                   FROM live) l ON p.number = l.number""",
+    "answers": """
+        SELECT number, minutes, CASE WHEN good THEN 200 ELSE 500 END AS status,
+               CASE WHEN good THEN capacity - free END AS available_bikes,
+               CASE WHEN good THEN free END AS available_bike_stands,
+               CASE WHEN good THEN old END AS old_bike_stands,
+               CASE WHEN good THEN capacity END AS curr_bike_stands,
+               CASE WHEN good THEN updated END AS last_update,
+               CASE WHEN NOT good THEN CASE WHEN first_capacity IS NULL THEN 'unknown station'
+                    ELSE 'no history for this moment' END END AS error
+        FROM (SELECT *, CASE WHEN minutes <= 0 THEN first_capacity IS NOT NULL ELSE avg_stands IS NOT NULL END AS good,
+                     CASE WHEN minutes <= 0 THEN live_stands ELSE prev_stands END AS free,
+                     CASE WHEN minutes <= 0 THEN live_capacity ELSE current_capacity END AS capacity,
+                     CASE WHEN minutes <= 0 THEN first_capacity ELSE bike_stands END AS old,
+                     CASE WHEN minutes <= 0 THEN CASE WHEN live_update > 0 THEN live_text END
+                          ELSE last_update END AS updated
+              FROM inputs) q""",
+    "overlaid": """
+        SELECT c.*, a.curr_bike_stands AS bike_stands, a.available_bike_stands AS available_stands, a.available_bikes
+        FROM catalog c LEFT JOIN (SELECT * FROM answers WHERE minutes = 15 AND status = 200) a
+        ON c.number = a.number""",
+}
+
+
+def step(name: str, body: str) -> None:
+    ORACLE[name] = with_views(body, _STEPS)
+
+
+_MATRIX = "SELECT number, date, " + ", ".join(
+    f"max(CASE WHEN time = '{t}' THEN available_stands END) AS \"{t}\"" for t in SLOT_LEVELS
+) + " FROM grid GROUP BY number, date"
+_SCORED_KEY = "number, date, time, bike_stands"
+
+step("date_range_filter", "SELECT * FROM unseen")
+step("weekday_weekend_split", """
+    SELECT *, CASE WHEN weekday IN ('Mon', 'Tue', 'Wed', 'Thu', 'Fri') THEN 'weekday' ELSE 'weekend' END AS part
+    FROM slots""")
+step("time_levels", "SELECT DISTINCT time FROM slots ORDER BY time")
+step("slot_grid", "SELECT * FROM grid")
+step("gap_fill", "SELECT * FROM filled")
+step("gap_fill_station", "SELECT * FROM filled_station")
+step("slot_matrix", _MATRIX)
+step("slot_matrix_melt", f"""
+    SELECT d.number, d.date, t.time, s.available_stands
+    FROM (SELECT DISTINCT number, date FROM slots) d
+    CROSS JOIN (VALUES {", ".join(f"('{t}')" for t in SLOT_LEVELS)}) AS t(time)
+    LEFT JOIN slots s ON s.number = d.number AND s.date = d.date AND s.time = t.time""")
+step("wss_k1", """
+    SELECT max(n) AS n, round((max(n) - 1) * sum(v), 3) AS wss
+    FROM (SELECT time, count(available_stands) AS n, var_samp(available_stands) AS v FROM filled GROUP BY time) q""")
+step("station_profile", "SELECT * FROM profile")
+step("profile_sums", "SELECT number, round(station_sum, 6) AS station_sum FROM sums")
+step("assign_cluster", "SELECT number, cluster, round(gap, 6) AS gap FROM nearest")
+step("label_profile", "SELECT p.*, n.cluster FROM profile p LEFT JOIN nearest n ON p.number = n.number")
+step("cluster_join", f"""
+    SELECT s.*, c.cluster FROM slots s LEFT JOIN clusters c ON s.number = c.number AND s.time = c.time
+    WHERE s.date BETWEEN '{TRAINING[0]}' AND '{UNSEEN[1]}'""")
+step("cluster_activity", "SELECT * FROM activity")
+step("cluster_top_station", "SELECT * FROM most")
+step("cluster_bottom_station", "SELECT * FROM least")
+step("unselected_anti", "SELECT * FROM not_most")
+
+
+def _draw(source: str) -> str:
+    return f"""
+        SELECT number, cluster FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY
+            CAST(concat('0x', substr(md5(concat(number, '|7')), 1, 8)) AS BIGINT), number) AS pick FROM {source}) q
+        WHERE pick <= 3"""
+
+
+_CHOSEN = f"SELECT number FROM extremes UNION SELECT number FROM ({_draw('not_extreme')}) d"
+step("cluster_sample", _draw("not_most"))
+step("selected_stations", _CHOSEN)
+step("selected_semi", f"SELECT * FROM training WHERE number IN ({_CHOSEN})")
+step("feature_rollup", "SELECT * FROM rolled")
+step("feature_rollup_half_even", "SELECT * FROM rolled_even")
+step("prev_stands", "SELECT * FROM with_prev")
+step("geo_join", "SELECT * FROM features")
+step("weather_clean", "SELECT * FROM weather")
+step("weather_join", "SELECT * FROM features_weather")
+step("weather_impute", """
+    SELECT number, date, time, bike_stands, """ + ", ".join(
+    f"round(coalesce({c}, (SELECT avg({c}) FROM features_weather)), 6) AS {c}"
+    for c in ("atmospheric_pressure", "wind_speed", "air_temperature")) + " FROM features_weather")
+step("label_encode", f"SELECT {_SCORED_KEY}, weekday_code, season_code, time_code FROM coded")
+step("label_decode", "SELECT number, date, bike_stands, time_code, time FROM coded")
+step("slot10", """
+    SELECT event_id, CAST(minute(ts) AS INTEGER) AS minute,
+           lpad(CAST(minute(ts) // 10 * 10 AS VARCHAR), 2, '0') AS ten FROM events""")
+step("slot30", f"SELECT event_id, {_HALF.format(t='''strftime(ts, '%H:%M:%S')''')} AS half_hour FROM events")
+step("season", f"SELECT o_orderkey, {_SEASON.format(d='o_orderdate')} AS season FROM orders")
+step("epoch_to_ts", """
+    SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS from_ms,
+           strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS from_seconds FROM events""")
+step("time_parts", """
+    SELECT event_id, strftime(ts, '%Y-%m-%d') AS date,
+           concat(strftime(ts, '%H:'), lpad(CAST(minute(ts) // 10 * 10 AS VARCHAR), 2, '0'), ':00') AS time,
+           strftime(ts, '%a') AS weekday, CAST(isodow(ts) - 1 AS INTEGER) AS weekday_code FROM events""")
+step("half_even", """
+    SELECT l_orderkey, l_linenumber, CAST(round_even(CAST(l_quantity AS DOUBLE) / 2, 0) AS BIGINT) AS rounded,
+           CAST(trunc(-CAST(l_quantity AS DOUBLE) / 2 - 0.2) AS BIGINT) AS cut FROM lineitem""")
+step("capacity_lookup", """
+    SELECT number, CAST(CASE number WHEN 79 THEN 27 WHEN 5 THEN 40 WHEN 100 THEN 25 WHEN 66 THEN 40 ELSE 23 END
+        AS BIGINT) AS capacity FROM (SELECT DISTINCT number FROM obs) q""")
+step("service_hours", "SELECT * FROM slots WHERE time >= '05:30:00'")
+step("unseen_errors", f"""
+    SELECT {_SCORED_KEY}, avg_stands, pred, abs(avg_stands - pred) AS error FROM in_service""")
+step("regression_error", """
+    SELECT count(*) AS n, round(avg(power(CAST(avg_stands - pred AS DOUBLE), 2)), 6) AS mse,
+           round(sqrt(avg(power(CAST(avg_stands - pred AS DOUBLE), 2))), 6) AS rmse FROM in_service""")
+step("prediction_band", f"""
+    SELECT {_SCORED_KEY}, pred, round(pred - rmse, 6) AS band_low, round(pred + rmse, 6) AS band_high
+    FROM scored CROSS JOIN fit""")
+step("supply_class", f"""
+    SELECT {_SCORED_KEY}, pred, upper, lower, upper - avg_stands AS upper_gap, abs(avg_stands - lower) AS lower_gap,
+           CASE WHEN avg_stands BETWEEN lower AND upper THEN 'Sufficient' WHEN avg_stands > upper THEN 'Oversupply'
+                ELSE 'Insufficient' END AS supply,
+           CASE WHEN number < 26 THEN '1-25' WHEN number < 51 THEN '26-50' WHEN number < 76 THEN '51-75'
+                ELSE '76-102' END AS station_range
+    FROM (SELECT s.*, greatest(CAST(round_even(pred + rmse, 0) AS BIGINT), 0) AS upper,
+                 greatest(CAST(round_even(pred - rmse, 0) AS BIGINT), 0) AS lower FROM scored s CROSS JOIN fit) q""")
+step("unseen_profile", """
+    SELECT number, address, time, weekday, CAST(round_even(avg(avg_stands), 0) AS BIGINT) AS avg_stands,
+           CAST(round_even(avg(pred), 0) AS BIGINT) AS pred, max(bike_stands) AS bike_stands
+    FROM in_service GROUP BY number, address, time, weekday""")
+step("unseen_guard", """
+    SELECT number, address, time, weekday, CAST(0 AS BIGINT) AS avg_stands, CAST(0 AS BIGINT) AS pred, bike_stands
+    FROM slots WHERE date BETWEEN '2017-11-06' AND '2017-11-13'""")
+step("split_counts", """
+    SELECT CASE WHEN training_part THEN 'train' ELSE 'test' END AS part, date, count(*) AS row_count
+    FROM parted GROUP BY 1, 2""")
+step("test_fanout_join", """
+    SELECT number, address, time, max(bike_stands) AS bike_stands, count(*) AS pairs,
+           CAST(sum(avg_stands) AS BIGINT) AS actual_sum, CAST(sum(pred) AS BIGINT) AS pred_sum
+    FROM fanned GROUP BY number, address, time, latitude, longitude""")
+step("test_profile", """
+    SELECT number, address, time, max(bike_stands) AS bike_stands, round(avg(avg_stands), 6) AS avg_stands,
+           round(avg(pred), 6) AS pred
+    FROM fanned WHERE time >= '05:30:00' GROUP BY number, address, time""")
+step("capacity_max", "SELECT max(bike_stands) AS capacity_max FROM slots")
+step("station_count", "SELECT count(DISTINCT number) AS station_count FROM scored")
+step("bikes_from_stands", """
+    SELECT number, time, pred_stands, actual_time, actual_stands, CAST(bike_stands AS BIGINT) AS bike_stands,
+           CASE WHEN pred_bikes IS NOT NULL THEN bike_stands - pred_stands END AS pred_bikes,
+           CASE WHEN actual_bikes IS NOT NULL THEN bike_stands - actual_stands END AS actual_bikes
+    FROM (SELECT *, CASE number WHEN 79 THEN 27 WHEN 5 THEN 40 WHEN 100 THEN 25 WHEN 66 THEN 40 ELSE 23 END
+              AS bike_stands FROM forecast_log) q""")
+step("sufficiency_flag", "SELECT * FROM log_rows")
+step("sufficiency_ratio", """
+    SELECT CAST(sum(sufficient) AS BIGINT) AS correct_cases, count(*) AS total_cases,
+           round(CAST(sum(sufficient) AS DOUBLE) / count(*) * 100, 6) AS correct_ratio FROM log_rows""")
+step("log_profile", """
+    SELECT number, time, CAST(round_even(avg(actual_stands), 0) AS BIGINT) AS actual_stands,
+           CAST(round_even(avg(pred_stands), 0) AS BIGINT) AS pred_stands, max(bike_stands) AS bike_stands
+    FROM log_rows GROUP BY number, time""")
+step("forecast_actual_pairing", """
+    SELECT event_id, number, pred_ms, pred_stands,
+           CASE WHEN near THEN actual_event END AS actual_event, CASE WHEN near THEN actual_ms END AS actual_ms,
+           CASE WHEN near THEN actual_stands END AS actual_stands
+    FROM (SELECT p.*, a.event_id AS actual_event, a.actual_ms, a.actual_stands,
+                 a.actual_ms - (p.pred_ms + 900000) <= 86400000 AS near
+          FROM (SELECT *, pred_ms + 900000 AS due_ms FROM predictions) p
+          ASOF LEFT JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms) q""")
+step("forecast_request_parts", """
+    SELECT number, minutes, requested_ms, target_ms, time, weekday, season FROM parts""")
+step("forecast_context", """
+    SELECT p.number, p.minutes, c.name, c.address, c.weekday_code, c.time_code, c.season_code, c.cluster,
+           c.bike_stands, c.avg_stands, c.prev_stands
+    FROM parts p JOIN context c ON p.number = c.number AND p.time = c.time AND p.weekday = c.weekday
+         AND p.season = c.season""")
+step("live_override", """
+    SELECT number, minutes, prev_stands, bike_stands, current_capacity, last_update,
+           round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM inputs""")
+step("forecast_now", "SELECT * FROM answers WHERE minutes = 0")
+step("forecast_status", "SELECT * FROM answers")
+step("catalog_list", "SELECT * FROM catalog ORDER BY number")
+step("catalog_by_number", "SELECT * FROM catalog WHERE number = 5")
+step("catalog_by_address", "SELECT * FROM catalog WHERE contains(lower(address), 'address 1')")
+step("catalog_by_position", "SELECT * FROM catalog WHERE position = '53.332,-6.297'")
+step("catalog_open", "SELECT * FROM catalog WHERE open")
+step("position_split", """
+    SELECT number, CASE WHEN position = '' THEN 0 ELSE CAST(split_part(position, ',', 1) AS DOUBLE) END AS lat,
+           CASE WHEN position = '' THEN 0 ELSE CAST(split_part(position, ',', 2) AS DOUBLE) END AS lng FROM catalog""")
+step("horizons", """
+    SELECT number, minutes, CASE WHEN minutes = 0 THEN 'Now' ELSE concat('Next ', minutes, ' minutes') END AS label
+    FROM stations CROSS JOIN (VALUES (0), (15), (30), (45), (60)) AS h(minutes)""")
+step("catalog_overlay", "SELECT * FROM overlaid")
+step("catalog_view", """
+    SELECT number, concat('Station ', number) AS title,
+           CASE WHEN shown THEN bike_stands END AS bike_stands,
+           CASE WHEN shown THEN available_stands END AS available_stands,
+           CASE WHEN shown THEN available_bikes END AS available_bikes
+    FROM (SELECT *, bike_stands >= 0 AND available_stands >= 0 AND available_bikes >= 0 AS shown FROM overlaid) q
+    WHERE open""")

@@ -100,7 +100,11 @@ VIEWS: dict[str, str] = {
     "live": """
         SELECT number, CASE WHEN number % 10 = 0 THEN 0 ELSE bike_stands END AS bike_stands,
                CASE WHEN number % 10 = 0 THEN 0 ELSE available_bike_stands END AS available_bike_stands,
-               CASE WHEN number % 10 = 0 THEN 0 ELSE last_update END AS last_update
+               CASE WHEN number % 10 = 0 THEN 0 ELSE last_update END AS last_update,
+               CASE WHEN number % 10 = 0 THEN CAST(0 AS DOUBLE)
+                    ELSE CAST(53.34 AS DOUBLE) + (number % 17) * CAST(0.002 AS DOUBLE) END AS latitude,
+               CASE WHEN number % 10 = 0 THEN CAST(0 AS DOUBLE)
+                    ELSE CAST(-6.25 AS DOUBLE) - (number % 23) * CAST(0.003 AS DOUBLE) END AS longitude
         FROM latest""",
     "requests": """
         SELECT number, minutes, CAST(1706515200000 AS BIGINT) AS requested_ms

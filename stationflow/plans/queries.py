@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions import clock
-from stationflow.operators import clean, explore, slots
+from stationflow.functions import clock, stands
+from stationflow.operators import (
+    catalog, clean, evaluate, explore, features, forecast, model, pairing, profile, selection, slots,
+)
 from stationflow.plans import views
 from stationflow.session import configure
 
@@ -139,3 +141,469 @@ def weekday_box_stats(spark, sf_dir):
 def weekday_outliers(spark, sf_dir):
     values = explore.weekday_values(views.slot_table(spark, sf_dir), "activity", "sum")
     return explore.box_outliers(values)
+
+
+# Clusters and profiles
+
+
+def _clustered(spark, sf_dir, bounds=views.TRAINING) -> DataFrame:
+    rows = views.in_range(views.slot_table(spark, sf_dir), bounds)
+    return features.attach_cluster(rows, views.clusters(spark, sf_dir))
+
+
+@register
+def date_range_filter(spark, sf_dir):
+    return views.in_range(views.slot_table(spark, sf_dir), views.UNSEEN)
+
+
+@register
+def weekday_weekend_split(spark, sf_dir):
+    rows = views.slot_table(spark, sf_dir)
+    parts = [profile.split_week(rows, p).withColumn("part", F.lit(p)) for p in ("weekday", "weekend")]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def time_levels(spark, sf_dir):
+    return profile.time_levels(views.slot_table(spark, sf_dir))
+
+
+@register
+def slot_grid(spark, sf_dir):
+    return profile.slot_grid(views.slot_table(spark, sf_dir))
+
+
+@register
+def gap_fill(spark, sf_dir):
+    return profile.gap_fill(slot_grid(spark, sf_dir))
+
+
+@register
+def gap_fill_station(spark, sf_dir):
+    return profile.gap_fill(slot_grid(spark, sf_dir), scope="station")
+
+
+@register
+def slot_matrix(spark, sf_dir):
+    return profile.slot_matrix(slot_grid(spark, sf_dir))
+
+
+@register
+def slot_matrix_melt(spark, sf_dir):
+    return profile.melt_matrix(slot_matrix(spark, sf_dir))
+
+
+@register
+def wss_k1(spark, sf_dir):
+    total = profile.wss_one_cluster(gap_fill(spark, sf_dir))
+    return total.select("n", F.round("wss", 3).alias("wss"))
+
+
+@register
+def station_profile(spark, sf_dir):
+    return profile.station_profile(views.in_range(views.slot_table(spark, sf_dir), views.TRAINING))
+
+
+@register
+def profile_sums(spark, sf_dir):
+    sums = profile.profile_sums(station_profile(spark, sf_dir))
+    return sums.select("number", F.round("station_sum", 6).alias("station_sum"))
+
+
+@register
+def assign_cluster(spark, sf_dir):
+    nearest = profile.assign_cluster(
+        profile.profile_sums(station_profile(spark, sf_dir)), views.centers(spark)
+    )
+    return nearest.select("number", "cluster", F.round("gap", 6).alias("gap"))
+
+
+@register
+def label_profile(spark, sf_dir):
+    return profile.label_profile(station_profile(spark, sf_dir), views.centers(spark))
+
+
+@register
+def cluster_join(spark, sf_dir):
+    return _clustered(spark, sf_dir, (views.TRAINING[0], views.UNSEEN[1]))
+
+
+# Selection
+
+
+@register
+def cluster_activity(spark, sf_dir):
+    return selection.cluster_activity(_clustered(spark, sf_dir))
+
+
+@register
+def cluster_top_station(spark, sf_dir):
+    return selection.cluster_extreme(cluster_activity(spark, sf_dir), "max")
+
+
+@register
+def cluster_bottom_station(spark, sf_dir):
+    return selection.cluster_extreme(cluster_activity(spark, sf_dir), "min")
+
+
+@register
+def unselected_anti(spark, sf_dir):
+    top = cluster_top_station(spark, sf_dir).select("number")
+    return selection.unselected(_clustered(spark, sf_dir), top)
+
+
+@register
+def cluster_sample(spark, sf_dir):
+    top = cluster_top_station(spark, sf_dir).select("number")
+    return selection.sample_per_cluster(selection.unselected(_clustered(spark, sf_dir), top))
+
+
+@register
+def selected_stations(spark, sf_dir):
+    return selection.selected_stations(_clustered(spark, sf_dir))
+
+
+@register
+def selected_semi(spark, sf_dir):
+    rows = views.in_range(views.slot_table(spark, sf_dir), views.TRAINING)
+    return selection.keep_selected(rows, selected_stations(spark, sf_dir))
+
+
+# Features
+
+
+@register
+def feature_rollup(spark, sf_dir):
+    return features.half_hour_rollup(_clustered(spark, sf_dir), "truncate")
+
+
+@register
+def feature_rollup_half_even(spark, sf_dir):
+    return features.half_hour_rollup(_clustered(spark, sf_dir), "half_even")
+
+
+def _features(spark, sf_dir, bounds=views.TRAINING, rounding="truncate") -> DataFrame:
+    rows = views.in_range(views.slot_table(spark, sf_dir), bounds)
+    return features.station_features(
+        rows, views.clusters(spark, sf_dir), views.geo(spark, sf_dir), rounding
+    )
+
+
+@register
+def prev_stands(spark, sf_dir):
+    return features.with_previous(feature_rollup(spark, sf_dir))
+
+
+@register
+def geo_join(spark, sf_dir):
+    return _features(spark, sf_dir)
+
+
+@register
+def weather_clean(spark, sf_dir):
+    return features.weather_by_slot(views.weather_raw(spark, sf_dir))
+
+
+@register
+def weather_join(spark, sf_dir):
+    return features.attach_weather(_features(spark, sf_dir), weather_clean(spark, sf_dir))
+
+
+@register
+def weather_impute(spark, sf_dir):
+    filled = features.impute_weather(weather_join(spark, sf_dir))
+    return filled.select("number", "date", "time", "bike_stands", *[
+        F.round(c, 6).alias(c) for c in features.WEATHER_COLUMNS
+    ])
+
+
+@register
+def label_encode(spark, sf_dir):
+    coded = features.with_codes(_features(spark, sf_dir))
+    return coded.select("number", "date", "time", "bike_stands", "weekday_code", "season_code", "time_code")
+
+
+@register
+def label_decode(spark, sf_dir):
+    rows = _features(spark, sf_dir)
+    coded = features.with_codes(rows).select("number", "date", "bike_stands", "time_code")
+    return features.decode_time(coded, features.level_table(rows, "time"))
+
+
+# Scalar functions over whole tables
+
+
+@register
+def slot10(spark, sf_dir):
+    rows = views.events(spark, sf_dir).select("event_id", F.minute(F.col("ts").cast("timestamp")).alias("minute"))
+    return rows.withColumn("ten", clock.slot10(F.col("minute")))
+
+
+@register
+def slot30(spark, sf_dir):
+    text = F.date_format(F.col("ts").cast("timestamp"), "HH:mm:ss")
+    return views.events(spark, sf_dir).select("event_id", clock.slot30(text).alias("half_hour"))
+
+
+@register
+def season(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", clock.season(F.col("o_orderdate").cast("date")).alias("season")
+    )
+
+
+@register
+def epoch_to_ts(spark, sf_dir):
+    rows = views.obs_id(spark, sf_dir)
+    return rows.select(
+        "event_id", clock.timestamp_text(F.col("last_update")).alias("from_ms"),
+        clock.timestamp_text(F.floor(F.col("last_update") / 1000) * 1000).alias("from_seconds"),
+    )
+
+
+@register
+def time_parts(spark, sf_dir):
+    ms = F.col("last_update")
+    date = clock.utc_date(ms)
+    return views.obs_id(spark, sf_dir).select(
+        "event_id", date.cast("string").alias("date"), clock.slot_time_text(ms).alias("time"),
+        clock.weekday_name(date).alias("weekday"), clock.weekday_code(date).alias("weekday_code"),
+    )
+
+
+@register
+def half_even(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity") / 2).alias("half")
+    )
+    return rows.select(
+        "l_orderkey", "l_linenumber", stands.to_whole(F.col("half"), "half_even").alias("rounded"),
+        stands.to_whole(-F.col("half") - 0.2, "truncate").alias("cut"),
+    )
+
+
+@register
+def capacity_lookup(spark, sf_dir):
+    return views.obs(spark, sf_dir).select("number").distinct().withColumn(
+        "capacity", stands.logged_capacity(F.col("number"))
+    )
+
+
+# Evaluation. The prediction of these queries is the station's previous half hour.
+
+
+def _persistence(spark, sf_dir) -> DataFrame:
+    return _features(spark, sf_dir, views.UNSEEN, "half_even").withColumn("pred", F.col("prev_stands"))
+
+
+@register
+def service_hours(spark, sf_dir):
+    return evaluate.service_hours(views.slot_table(spark, sf_dir))
+
+
+@register
+def unseen_errors(spark, sf_dir):
+    scored = evaluate.absolute_errors(evaluate.service_hours(_persistence(spark, sf_dir)))
+    return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred", "error")
+
+
+@register
+def regression_error(spark, sf_dir):
+    total = evaluate.regression_error(evaluate.service_hours(_persistence(spark, sf_dir)))
+    return total.select("n", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"))
+
+
+@register
+def prediction_band(spark, sf_dir):
+    banded = evaluate.prediction_band(_persistence(spark, sf_dir))
+    return banded.select("number", "date", "time", "bike_stands", "pred", *[
+        F.round(c, 6).alias(c) for c in ("band_low", "band_high")
+    ])
+
+
+@register
+def supply_class(spark, sf_dir):
+    classes = evaluate.supply_classes(_persistence(spark, sf_dir))
+    return classes.select(
+        "number", "date", "time", "bike_stands", "pred", "upper", "lower", "upper_gap", "lower_gap",
+        "supply", "station_range",
+    )
+
+
+@register
+def unseen_profile(spark, sf_dir):
+    return evaluate.scored_profile(evaluate.service_hours(_persistence(spark, sf_dir)), "weekday")
+
+
+@register
+def unseen_guard(spark, sf_dir):
+    """No test row lies in the reference week of another year: an empty table with the right columns."""
+    week = _features(spark, sf_dir, ("2017-11-06", "2017-11-13"), "half_even").withColumn("pred", F.col("prev_stands"))
+    return evaluate.scored_profile(evaluate.service_hours(week), "weekday")
+
+
+@register
+def split_counts(spark, sf_dir):
+    train, test = model.split(_features(spark, sf_dir))
+    parts = train.select(F.lit("train").alias("part"), "date").unionByName(
+        test.select(F.lit("test").alias("part"), "date")
+    )
+    return parts.groupBy("part", "date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _test_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    rows = _features(spark, sf_dir)
+    test = model.split(rows)[1].withColumn("pred", F.col("prev_stands"))
+    return test, rows
+
+
+@register
+def test_fanout_join(spark, sf_dir):
+    return evaluate.match_test_to_stations(*_test_rows(spark, sf_dir))
+
+
+@register
+def test_profile(spark, sf_dir):
+    fitted = evaluate.service_hours(evaluate.fit_profile(test_fanout_join(spark, sf_dir)))
+    return fitted.select("number", "address", "time", "bike_stands", *[
+        F.round(c, 6).alias(c) for c in ("avg_stands", "pred")
+    ])
+
+
+@register
+def capacity_max(spark, sf_dir):
+    return evaluate.capacity_max(views.slot_table(spark, sf_dir))
+
+
+@register
+def station_count(spark, sf_dir):
+    return evaluate.station_count(_persistence(spark, sf_dir))
+
+
+@register
+def bikes_from_stands(spark, sf_dir):
+    return evaluate.logged_bikes(views.forecast_log(spark, sf_dir))
+
+
+@register
+def sufficiency_flag(spark, sf_dir):
+    return evaluate.evaluated_log(views.forecast_log(spark, sf_dir))
+
+
+@register
+def sufficiency_ratio(spark, sf_dir):
+    ratio = evaluate.sufficiency_ratio(sufficiency_flag(spark, sf_dir))
+    return ratio.withColumn("correct_ratio", F.round("correct_ratio", 6))
+
+
+@register
+def log_profile(spark, sf_dir):
+    return evaluate.log_profile(sufficiency_flag(spark, sf_dir))
+
+
+@register
+def forecast_actual_pairing(spark, sf_dir):
+    return pairing.pair_forward(views.predictions(spark, sf_dir), views.actuals(spark, sf_dir))
+
+
+# Forecast requests
+
+
+def _coded_history(spark, sf_dir) -> DataFrame:
+    rows = views.slot_table(spark, sf_dir)
+    asked = forecast.request_parts(views.requests(spark, sf_dir))
+    history = features.station_features(
+        forecast.relevant_days(rows, asked), views.clusters(spark, sf_dir), views.geo(spark, sf_dir), "half_even"
+    )
+    return features.with_codes(history, features.moments(views.in_range(rows, views.TRAINING)))
+
+
+def _inputs(spark, sf_dir) -> DataFrame:
+    return forecast.forecast_inputs(
+        views.requests(spark, sf_dir), views.slot_table(spark, sf_dir),
+        _coded_history(spark, sf_dir), views.live(spark, sf_dir),
+    )
+
+
+@register
+def forecast_request_parts(spark, sf_dir):
+    return forecast.request_parts(views.requests(spark, sf_dir))
+
+
+@register
+def forecast_context(spark, sf_dir):
+    parts = forecast.request_parts(views.requests(spark, sf_dir))
+    rows = parts.join(forecast.context(_coded_history(spark, sf_dir)), forecast.MOMENT)
+    return rows.select(
+        "number", "minutes", "name", "address", "weekday_code", "time_code", "season_code", "cluster",
+        "bike_stands", "avg_stands", "prev_stands",
+    )
+
+
+@register
+def live_override(spark, sf_dir):
+    return _inputs(spark, sf_dir).select(
+        "number", "minutes", "prev_stands", "bike_stands", "current_capacity", "last_update",
+        F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"),
+    )
+
+
+@register
+def forecast_now(spark, sf_dir):
+    answers = forecast.answer(_inputs(spark, sf_dir), "prev_stands")
+    return answers.where(F.col("minutes") == 0)
+
+
+@register
+def forecast_status(spark, sf_dir):
+    """Answers of every horizon with the previous stands as prediction."""
+    return forecast.answer(_inputs(spark, sf_dir), "prev_stands")
+
+
+# Catalogue
+
+
+@register
+def catalog_list(spark, sf_dir):
+    return catalog.list_all(views.catalog(spark, sf_dir))
+
+
+@register
+def catalog_by_number(spark, sf_dir):
+    return catalog.by_number(views.catalog(spark, sf_dir), 5)
+
+
+@register
+def catalog_by_address(spark, sf_dir):
+    return catalog.by_address(views.catalog(spark, sf_dir), "aDDress 1")
+
+
+@register
+def catalog_by_position(spark, sf_dir):
+    return catalog.by_position(views.catalog(spark, sf_dir), 53.332, -6.297)
+
+
+@register
+def catalog_open(spark, sf_dir):
+    return catalog.open_only(views.catalog(spark, sf_dir))
+
+
+@register
+def position_split(spark, sf_dir):
+    return catalog.with_coordinates(views.catalog(spark, sf_dir)).select("number", "lat", "lng")
+
+
+@register
+def horizons(spark, sf_dir):
+    return catalog.horizons(views.catalog(spark, sf_dir))
+
+
+@register
+def catalog_overlay(spark, sf_dir):
+    answers = forecast_status(spark, sf_dir).where(F.col("minutes") == 15)
+    return catalog.overlay(views.catalog(spark, sf_dir), answers)
+
+
+@register
+def catalog_view(spark, sf_dir):
+    return catalog.card_view(catalog_overlay(spark, sf_dir))

@@ -153,7 +153,8 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("number", *[
         F.when(failed, F.lit(0).cast("long")).otherwise(F.col(c)).alias(c)
         for c in ("bike_stands", "available_bike_stands", "last_update")
-    ])
+    ], F.when(failed, 0.0).otherwise(F.lit(53.34) + (F.col("number") % 17) * F.lit(0.002)).alias("latitude"),
+        F.when(failed, 0.0).otherwise(F.lit(-6.25) - (F.col("number") % 23) * F.lit(0.003)).alias("longitude"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
