@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +98,18 @@ def forecast_inputs(requests: DataFrame, slots: DataFrame, coded_features: DataF
     return live_override(rows, live)
 
 
+def predicted(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
+    """Inputs with the model's whole-stand prediction, NULL where a factor is missing."""
+    factors = ["weekday_code", "prev_stands", "cluster", "latitude", "longitude"]
+    known = F.lit(True)
+    for factor in factors:
+        known = known & F.col(factor).isNotNull()
+    flagged = inputs.drop("time_code", "season_code").withColumn("known", known).fillna(0, factors)
+    return fitted.transform(flagged).withColumn(
+        "pred", F.when(F.col("known"), stands.to_whole(F.col("raw_pred"), "half_even"))
+    ).drop("known", "features", "raw_pred")
+
+
 def answer(inputs: DataFrame, pred: str = "pred") -> DataFrame:
     """Responses. Minutes 0 answers with the live state, later horizons with ``pred``.
 

@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -40,12 +41,19 @@ def fit_kmeans(vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> KMean
     return KMeans(k=k, seed=seed, initMode="k-means||").fit(vectors)
 
 
+def one_cluster_cost(vectors: DataFrame) -> float:
+    """Sum of squares around the mean: (rows - 1) times the summed variances."""
+    n, variance = vectors.agg(
+        F.count("features"), Summarizer.variance(F.col("features"))
+    ).first()
+    return float((n - 1) * sum(variance.toArray())) if n else 0.0
+
+
 def elbow(spark: SparkSession, grid: DataFrame, ks=ELBOW_RANGE) -> DataFrame:
     """Within-cluster sum of squares for one cluster and for each k."""
     vectors = ml_vectors(grid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        costs = [(1, float(fit_kmeans(vectors, 1).summary.trainingCost))]
-        costs += [(k, float(fit_kmeans(vectors, k).summary.trainingCost)) for k in ks]
+        costs = [(1, one_cluster_cost(vectors))] + [(k, float(fit_kmeans(vectors, k).summary.trainingCost)) for k in ks]
     finally:
         vectors.unpersist()
     return spark.createDataFrame(costs, "num_clusters INT, wss DOUBLE")

@@ -438,3 +438,37 @@ step("catalog_view", """
            CASE WHEN shown THEN available_bikes END AS available_bikes
     FROM (SELECT *, bike_stands >= 0 AND available_stands >= 0 AND available_bikes >= 0 AS shown FROM overlaid) q
     WHERE open""")
+
+# Files and streams
+
+_EVEN, _ODD = "event_id % 2 = 0", "event_id % 2 = 1"
+_LOG = "pred_stands, pred_bikes, actual_time, actual_stands, actual_bikes"
+
+step("scan_csv_roundtrip", f"SELECT {_RAW}, CAST(1 AS INTEGER) AS source_priority FROM obs_id WHERE {_ODD}")
+step("scan_json_snapshots", f"SELECT {_RAW}, CAST(0 AS INTEGER) AS source_priority FROM obs_id WHERE {_EVEN}")
+step("file_day_key", """
+    SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'file:/landing/snapshot.json'
+               ELSE concat('file:/landing/', strftime(ts, '%a-%d-%m-%Y'), '-', event_id, '.json') END AS path,
+           CASE WHEN event_id % 10 = 0 THEN '' ELSE strftime(ts, '%a-%d-%m-%Y') END AS day
+    FROM events""")
+step("incremental_days", f"""
+    SELECT DISTINCT {_RAW}, strftime(make_timestamp(last_update * 1000), '%Y-%m-%d') AS day FROM obs
+    WHERE day(make_timestamp(last_update * 1000)) % 2 = 0""")
+step("sink_roundtrip", "SELECT * FROM slots")
+step("slot_store", "SELECT * FROM unseen")
+step("forecast_log", f"SELECT number, time - time % 86400 AS time, {_LOG} FROM forecast_log")
+step("scan_forecast_log", f"SELECT number, time, {_LOG} FROM forecast_log")
+step("stream_dedup", f"SELECT {_RAW} FROM obs_unique")
+step("stream_slots", """
+    SELECT number, name, address, last_update - last_update % 600000 AS slot_ms, min(bike_stands) AS bike_stands,
+           arg_max(available_bike_stands, last_update * 1000 + available_bike_stands) AS available_stands,
+           count(*) AS row_count
+    FROM obs GROUP BY number, name, address, slot_ms
+    HAVING slot_ms + 600000 <= (SELECT max(last_update) FROM obs) - 600000""")
+step("stream_deltas", f"SELECT {_RAW}, last_available_stands, diff, check_in, check_out FROM deltas")
+step("stream_pairing", """
+    SELECT p.event_id, p.number, p.pred_ms, p.pred_stands, a.event_id AS actual_event, a.actual_ms, a.actual_stands
+    FROM (SELECT *, pred_ms + 900000 AS due_ms FROM predictions) p
+    ASOF JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms
+    WHERE a.actual_ms - p.due_ms <= 86400000""")
+step("stream_intake", f"SELECT DISTINCT {_RAW} FROM obs_id WHERE {_EVEN}")

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow import schemas
 from stationflow.functions import clock, stands
 from stationflow.operators import (
     catalog, clean, evaluate, explore, features, forecast, model, pairing, profile, selection, slots,
 )
 from stationflow.plans import views
-from stationflow.session import configure
+from stationflow.session import configure, scratch_path
+from stationflow.sources import files
+from stationflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -607,3 +610,220 @@ def catalog_overlay(spark, sf_dir):
 @register
 def catalog_view(spark, sf_dir):
     return catalog.card_view(catalog_overlay(spark, sf_dir))
+
+
+# Files. The tables are written below the shared folder and read back.
+
+
+def _landed_json(spark, sf_dir) -> str:
+    """Snapshots with the fields a poll has, one array per line."""
+    path = scratch_path(spark, "snapshots")
+    rows = views.obs_json(spark, sf_dir).withColumns({
+        "available_bikes": F.col("bike_stands") - F.col("available_bike_stands"),
+        "position": F.struct(F.lit(53.3).alias("lat"), F.lit(-6.2).alias("lng")),
+        "status": F.lit("OPEN"),
+    })
+    rows.select(F.to_json(F.array(F.struct("*"))).alias("value")).write.text(path)
+    return path
+
+
+@register
+def scan_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "history")
+    files.save_csv(views.obs_csv(spark, sf_dir), path)
+    return files.read_observations_csv(spark, path).drop("path")
+
+
+@register
+def scan_json_snapshots(spark, sf_dir):
+    return files.read_snapshots_json(spark, _landed_json(spark, sf_dir), multi_line=False).drop("path")
+
+
+@register
+def file_day_key(spark, sf_dir):
+    """Every observation named as its snapshot file would be; some names have no day."""
+    ms = F.col("last_update")
+    date = clock.utc_date(ms)
+    name = F.when(F.col("event_id") % 10 == 0, F.lit("snapshot.json")).otherwise(F.concat(
+        clock.weekday_name(date), F.date_format(date, "-dd-MM-yyyy"), F.lit("-"), F.col("event_id").cast("string"),
+        F.lit(".json"),
+    ))
+    rows = views.obs_id(spark, sf_dir).select("event_id", F.concat(F.lit("file:/landing/"), name).alias("path"))
+    return rows.withColumn("day", files.day_key(F.col("path")))
+
+
+def _by_day(spark, sf_dir) -> DataFrame:
+    rows = views.obs(spark, sf_dir)
+    return rows.withColumn("day", clock.date_text(F.col("last_update"))).withColumn("path", F.col("day"))
+
+
+@register
+def incremental_days(spark, sf_dir):
+    """Odd days are done already; the others are compacted."""
+    rows = _by_day(spark, sf_dir)
+    done = rows.where(F.substring("day", 10, 1).cast("int") % 2 == 1).select("day")
+    return files.dedup_by_day(files.pending(rows, done))
+
+
+@register
+def sink_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "slots-csv")
+    files.save_csv(views.slot_table(spark, sf_dir), path, schemas.SLOT_FACT_HEADINGS)
+    return files.read_slots_csv(spark, path)
+
+
+@register
+def slot_store(spark, sf_dir):
+    """The date-partitioned slot table, read back for one week."""
+    path = scratch_path(spark, "slots")
+    files.write_slots(views.slot_table(spark, sf_dir), path)
+    return views.in_range(files.read_slots(spark, path), views.UNSEEN)
+
+
+@register
+def forecast_log(spark, sf_dir):
+    path = scratch_path(spark, "forecast-log")
+    log = views.forecast_log(spark, sf_dir)
+    daily = log.withColumn("time", F.col("time") - F.col("time") % 86400)
+    files.append_forecast_log(daily, path)
+    return files.read_forecast_log(spark, path)
+
+
+@register
+def scan_forecast_log(spark, sf_dir):
+    """Log files whose unpaired rows end after the fourth field."""
+    path = scratch_path(spark, "short-log")
+    log = views.forecast_log(spark, sf_dir)
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in log.columns])
+    log.select(line.alias("value")).write.text(path)
+    return files.read_forecast_log(spark, path, header=False)
+
+
+# Streams. Each runs over what has landed and ends.
+
+
+def _event_stream(spark, sf_dir) -> DataFrame:
+    schema = views.events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def _run(spark, stream, label) -> DataFrame:
+    path = scratch_path(spark, label)
+    return jobs.run_available(stream, f"{path}/out", f"{path}/checkpoint")
+
+
+def _observation_stream(spark, sf_dir) -> DataFrame:
+    return jobs.timed(views.dirty_observations(_event_stream(spark, sf_dir)))
+
+
+@register
+def stream_dedup(spark, sf_dir):
+    unique = jobs.dedup_stream(_observation_stream(spark, sf_dir)).drop("event_time")
+    return _run(spark, unique, "stream-dedup")
+
+
+@register
+def stream_slots(spark, sf_dir):
+    rows = jobs.timed(_event_stream(spark, sf_dir).select(*views.observation_columns()).drop("event_id"))
+    return _run(spark, jobs.slot_stream(rows), "stream-slots")
+
+
+@register
+def stream_deltas(spark, sf_dir):
+    rows = _event_stream(spark, sf_dir).select(*views.observation_columns()).drop("event_id")
+    return _run(spark, jobs.delta_stream(rows), "stream-deltas")
+
+
+@register
+def stream_pairing(spark, sf_dir):
+    source = _event_stream(spark, sf_dir)
+    return _run(spark, jobs.pair_stream(views.view_events(source), views.click_events(source)), "stream-pairing")
+
+
+@register
+def stream_intake(spark, sf_dir):
+    """Snapshots land, are taken in once, and a second run finds nothing new."""
+    landing, table = _landed_json(spark, sf_dir), scratch_path(spark, "intake")
+    for _ in range(2):
+        source = jobs.dedup_stream(jobs.timed(jobs.snapshot_stream(spark, landing, multi_line=False))).drop("event_time")
+        taken = jobs.run_available(source, f"{table}/out", f"{table}/checkpoint")
+    return taken
+
+
+# Models. Few trees here; the library default is the full number.
+
+QUERY_TREES = 10
+
+
+@register
+def elbow_curve(spark, sf_dir):
+    return model.elbow(spark, gap_fill(spark, sf_dir))
+
+
+@register
+def centroids_long(spark, sf_dir):
+    return model.centroids(spark, gap_fill(spark, sf_dir))
+
+
+def _part_centroids(spark, sf_dir, part) -> DataFrame:
+    rows = profile.split_week(views.slot_table(spark, sf_dir), part)
+    return model.centroids(spark, profile.gap_fill(profile.slot_grid(rows)))
+
+
+@register
+def weekday_centroids(spark, sf_dir):
+    return _part_centroids(spark, sf_dir, "weekday")
+
+
+@register
+def weekend_centroids(spark, sf_dir):
+    return _part_centroids(spark, sf_dir, "weekend")
+
+
+def _weather_features(spark, sf_dir) -> DataFrame:
+    return features.impute_weather(weather_join(spark, sf_dir))
+
+
+@register
+def train_gbt(spark, sf_dir):
+    """Predictions on the hold-out rows."""
+    train_rows, test_rows = model.split(_features(spark, sf_dir))
+    scored = model.score(model.train(train_rows, trees=QUERY_TREES), test_rows)
+    return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred")
+
+
+@register
+def factor_comparison(spark, sf_dir):
+    return model.compare_factors(spark, _weather_features(spark, sf_dir), QUERY_TREES)
+
+
+@register
+def feature_importance(spark, sf_dir):
+    fitted = model.train(_weather_features(spark, sf_dir), features.CONSIDERED_FACTORS, QUERY_TREES)
+    return model.importances(spark, fitted, features.CONSIDERED_FACTORS)
+
+
+@register
+def score_unseen(spark, sf_dir):
+    fitted = model.train(_features(spark, sf_dir), trees=QUERY_TREES)
+    week = evaluate.service_hours(_features(spark, sf_dir, views.UNSEEN, "half_even"))
+    scored = evaluate.absolute_errors(model.score(fitted, week))
+    return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred", "error")
+
+
+@register
+def model_roundtrip(spark, sf_dir):
+    """Predictions of the saved and reloaded model, with the time decoded by it."""
+    path = scratch_path(spark, "model")
+    rows = _features(spark, sf_dir)
+    model.save(model.train(rows, trees=QUERY_TREES), path)
+    fitted = model.load(path)
+    scored = model.decode_time(fitted, model.score(fitted, rows))
+    return scored.select("number", "date", "time", "bike_stands", "decoded_time", "pred")
+
+
+@register
+def forecast_requests(spark, sf_dir):
+    """All requests answered by a model trained on the training range."""
+    fitted = model.train(_features(spark, sf_dir), trees=QUERY_TREES)
+    return forecast.answer(forecast.predicted(fitted, _inputs(spark, sf_dir)))

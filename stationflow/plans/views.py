@@ -43,19 +43,22 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs_id(spark, sf_dir).drop("event_id")
 
 
-def obs_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_observations(rows: DataFrame) -> DataFrame:
     """Observations with copies of every tenth and nameless rows for every fiftieth."""
     copy = F.explode(F.array_compact(F.array(
         F.lit(0), F.when(F.col("event_id") % 10 == 0, 1), F.when(F.col("event_id") % 50 == 0, 2)
     )))
-    rows = obs_id(spark, sf_dir).withColumn("copy", copy)
-    return rows.select(
+    return rows.select(*observation_columns()).withColumn("copy", copy).select(
         "number", F.when(F.col("copy") < 2, F.col("name")).alias("name"), "address", "bike_stands",
         "available_bike_stands",
         (F.col("last_update") + F.when(F.col("copy") == 2, 1).otherwise(0)).alias("last_update"),
     )
 
 
+def obs_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_observations(events(spark, sf_dir))
+
+
 def obs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs_id(spark, sf_dir).where(F.col("event_id") % 2 == 0).drop("event_id")
 
@@ -116,20 +119,28 @@ def centers(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CENTERS, "cluster INT, sum_of_stands DOUBLE")
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where(F.col("event_type") == "view").select(
+def view_events(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("event_type") == "view").select(
         "event_id", F.col("user_id").alias("number"), epoch_ms("ts").alias("pred_ms"),
         (F.col("event_id") % 25).alias("pred_stands"),
     )
 
 
-def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where(F.col("event_type") == "click").select(
+def click_events(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("event_type") == "click").select(
         "event_id", F.col("user_id").alias("number"), epoch_ms("ts").alias("actual_ms"),
         (F.col("event_id") % 25).alias("actual_stands"),
     )
 
 
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view_events(events(spark, sf_dir))
+
+
+def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_events(events(spark, sf_dir))
+
+
 def forecast_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forecast log with times in epoch seconds; every seventh forecast has no actual."""
     row = F.col("event_id")

@@ -49,6 +49,10 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]
         return [f"columns {sorted(spark_df.columns)} != {sorted(sql_columns)}"]
     if len(got) != len(expected):
         problems.append(f"rows {len(got)} != {len(expected)}")
+    for i, column in enumerate(sorted(sql_columns)):
+        kinds = [{type(row[i]) for row in rows if row[i] is not None} for rows in (got, expected)]
+        if kinds[0] != kinds[1] and all(kinds):
+            problems.append(f"types of {column}: {kinds[0]} != {kinds[1]}")
     if got != expected:
         for a, b in zip(got, expected):
             if a != b:
