@@ -44,7 +44,7 @@ def date_text(ms: Column) -> Column:
 
 def slot_time_text(ms: Column) -> Column:
     """``HH:m0:00`` of the slot that holds the instant."""
-    return _lookup(SLOT_LEVELS, (F.pmod(ms, F.lit(MS_PER_DAY)) / SLOT_MS).cast("int"))
+    return slot_label((F.pmod(ms, F.lit(MS_PER_DAY)) / SLOT_MS).cast("int"))
 
 
 def weekday_code(date: Column) -> Column:
@@ -94,3 +94,12 @@ def timestamp_text(ms: Column) -> Column:
 
 def minute_of_day(time_text: Column) -> Column:
     return F.substring(time_text, 1, 2).cast("int") * 60 + F.substring(time_text, 4, 2).cast("int")
+
+
+def slot_number(time_text: Column) -> Column:
+    """Position of a 10-minute slot in its day, 0..143."""
+    return (minute_of_day(time_text) / 10).cast("int")
+
+
+def slot_label(number: Column) -> Column:
+    return _lookup(SLOT_LEVELS, number)

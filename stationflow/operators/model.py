@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -30,6 +32,8 @@ DEPTH = 4
 LEARNING_RATE = 0.01
 # Enough bins to keep the 48 half hours apart.
 MAX_BINS = 64
+# Fits of an elbow curve that run at the same time on the shared vectors.
+PARALLEL_FITS = 4
 SPLIT_KEY = ["number", "name", "address", "date", "time", "bike_stands"]
 
 
@@ -53,7 +57,9 @@ def elbow(spark: SparkSession, grid: DataFrame, ks=ELBOW_RANGE) -> DataFrame:
     """Within-cluster sum of squares for one cluster and for each k."""
     vectors = ml_vectors(grid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        costs = [(1, one_cluster_cost(vectors))] + [(k, float(fit_kmeans(vectors, k).summary.trainingCost)) for k in ks]
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fitted = pool.map(lambda k: (k, float(fit_kmeans(vectors, k).summary.trainingCost)), ks)
+        costs = [(1, one_cluster_cost(vectors)), *fitted]
     finally:
         vectors.unpersist()
     return spark.createDataFrame(costs, "num_clusters INT, wss DOUBLE")

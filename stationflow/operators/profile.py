@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationflow.functions import clock
 from stationflow.functions.clock import SLOT_LEVELS, WORKDAYS
 
 STATIONS_PER_BLOCK = 4096
@@ -20,86 +21,116 @@ def time_levels(slots: DataFrame) -> DataFrame:
     return slots.select("time").distinct().orderBy("time")
 
 
-def slot_grid(slots: DataFrame) -> DataFrame:
-    """Every (number, date) at every time seen anywhere; absent slots are NULL.
+def _cells(slots: DataFrame) -> DataFrame:
+    """Known cells (number, day, slot_no, v) of the station-day matrix, with integer positions."""
+    return slots.select(
+        "number", F.col("date").cast("date").alias("day"), clock.slot_number(F.col("time")).alias("slot_no"),
+        "available_stands", F.struct("name", "address").alias("named"),
+    ).groupBy("number", "day", "slot_no").agg(F.min_by("available_stands", "named").alias("v"))
+
+
+def _levels(slots: DataFrame):
+    """Sorted slot numbers seen anywhere, at most 144, as one scalar array."""
+    return slots.agg(F.sort_array(F.collect_set(clock.slot_number(F.col("time"))))).scalar()
+
+
+def _spread(cells: DataFrame, slots: DataFrame) -> DataFrame:
+    """Every (number, day) at every level; absent cells are NULL.
 
-    A station-day gathers its at most 144 slots in a map, which is then read at
-    each time level: no join. Partitioning by ``number`` is kept.
+    A station-day gathers its at most 144 cells in a map, which is then read at
+    each level: no join. Partitioning by ``number`` is kept.
     """
-    levels = slots.agg(F.sort_array(F.collect_set("time"))).scalar()
-    days = slots.groupBy("number", "date", "time").agg(
-        F.min_by("available_stands", F.struct("name", "address")).alias("v")
-    ).groupBy("number", "date").agg(F.map_from_entries(F.collect_list(F.struct("time", "v"))).alias("cells"))
-    return days.select("number", "date", "cells", F.explode(levels).alias("time")).select(
-        "number", "date", "time", F.element_at("cells", F.col("time")).alias("available_stands")
+    days = cells.groupBy("number", "day").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot_no", "v"))).alias("cells")
+    )
+    return days.select("number", "day", "cells", F.posexplode(_levels(slots)).alias("pos", "slot_no")).select(
+        "number", "day", "pos", "slot_no", F.element_at("cells", F.col("slot_no")).alias("v")
+    )
+
+
+def _as_table(spread: DataFrame, value: str = "v") -> DataFrame:
+    return spread.select(
+        "number", F.col("day").cast("string").alias("date"), clock.slot_label(F.col("slot_no")).alias("time"),
+        F.col(value).alias("available_stands"),
     )
 
 
-def _carried(stations: DataFrame) -> DataFrame:
-    """Per (number, time): the value that flows in from earlier stations.
+def slot_grid(slots: DataFrame) -> DataFrame:
+    """Every (number, date) at every time seen anywhere; absent slots are NULL."""
+    return _as_table(_spread(_cells(slots), slots))
+
+
+def _inflow(cells: DataFrame, slots: DataFrame) -> DataFrame:
+    """Per station: the values that flow in from earlier stations, one per level.
 
-    ``stations`` has each station's first and last known value. Stations are
-    scanned in blocks, then block to block, so no task sees all stations. Where
-    nothing precedes, the first known value of the time level flows back.
+    Stations are scanned in blocks, then block to block, so no task sees all
+    stations. Where nothing precedes, the first known value of the level flows
+    back.
     """
-    blocked = stations.withColumn("block", F.floor(F.col("number") / STATIONS_PER_BLOCK))
-    in_block = Window.partitionBy("time", "block").orderBy("number")
-    blocks = blocked.groupBy("time", "block").agg(
-        F.min_by("first_known", F.when(F.col("first_known").isNotNull(), F.col("number"))).alias("block_first"),
-        F.max_by("last_known", F.when(F.col("last_known").isNotNull(), F.col("number"))).alias("block_last"),
+    known = cells.groupBy("number", "slot_no").agg(
+        F.struct(F.min_by("v", "day").alias("first"), F.max_by("v", "day").alias("last")).alias("ends")
+    ).groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("slot_no", "ends"))).alias("ends"))
+    stations = known.select("number", "ends", F.posexplode(_levels(slots)).alias("pos", "slot_no")).select(
+        "number", "pos", F.element_at("ends", F.col("slot_no")).alias("ends"),
+        F.floor(F.col("number") / STATIONS_PER_BLOCK).alias("block"),
     )
-    by_block = Window.partitionBy("time").orderBy("block")
-    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    everywhere = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = blocks.select(
-        "time", "block",
-        F.last("block_last", True).over(before).alias("from_blocks"),
-        F.first("block_first", True).over(everywhere).alias("first_of_level"),
+    has_value = F.when(F.col("ends").isNotNull(), F.col("number"))
+    blocks = stations.groupBy("pos", "block").agg(
+        F.min_by("ends.first", has_value).alias("block_first"), F.max_by("ends.last", has_value).alias("block_last")
     )
-    inflow = F.last("last_known", True).over(in_block.rowsBetween(Window.unboundedPreceding, -1))
-    return blocked.withColumn("from_stations", inflow).join(blocks, ["time", "block"]).select(
-        "number", "time", F.coalesce("from_stations", "from_blocks", "first_of_level").alias("carried")
+    by_block = Window.partitionBy("pos").orderBy("block")
+    blocks = blocks.select(
+        "pos", "block",
+        F.last("block_last", True).over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("from_blocks"),
+        F.first("block_first", True).over(
+            by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ).alias("first_of_level"),
     )
+    in_block = Window.partitionBy("pos", "block").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    carried = stations.withColumn("from_stations", F.last("ends.last", True).over(in_block)).join(
+        blocks, ["pos", "block"]
+    ).select("number", "pos", F.coalesce("from_stations", "from_blocks", "first_of_level").alias("carried"))
+    values = F.sort_array(F.collect_list(F.struct("pos", "carried")))
+    return carried.groupBy("number").agg(values.alias("inflow"))
 
 
-def gap_fill(grid: DataFrame, scope: str = "all") -> DataFrame:
-    """Fill missing slots of a grid, time level by time level, from the previous row.
+def gap_fill(slots: DataFrame, scope: str = "all") -> DataFrame:
+    """The grid with missing slots filled, time level by time level, from the previous row.
 
     Rows are ordered by (number, date). With scope ``all`` the fill runs across
     stations and a level's leading gap takes its first known value; with
     ``station`` it stays within the station, whose leading gap takes the
     station's own first known value. A level with no value stays NULL.
+
+    A station has one row per day and level, so the windows are small however
+    busy the station; only its first and last values meet other stations.
     """
-    level = Window.partitionBy("number", "time").orderBy("date")
-    upto = level.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = grid.withColumn("known", F.last("available_stands", True).over(upto))
+    cells = _cells(slots)
+    grid = _spread(cells, slots)
+    level = Window.partitionBy("number", "slot_no")
+    upto = Window.unboundedPreceding, Window.currentRow
+    filled = grid.withColumn("known", F.last("v", True).over(level.orderBy("day").rowsBetween(*upto)))
     if scope == "station":
-        latest_first = Window.partitionBy("number", "time").orderBy(F.desc("date"))
-        onward = latest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        filled = filled.withColumn("carried", F.last("available_stands", True).over(onward))
+        whole = Window.unboundedPreceding, Window.unboundedFollowing
+        carried = F.first("v", True).over(level.orderBy("day").rowsBetween(*whole))
+        filled = filled.withColumn("carried", carried)
     elif scope == "all":
-        has_value = F.when(F.col("available_stands").isNotNull(), F.col("date"))
-        edges = grid.groupBy("number", "time").agg(
-            F.min_by("available_stands", has_value).alias("first_known"),
-            F.max_by("available_stands", has_value).alias("last_known"),
-        )
-        per_station = _carried(edges).dropna().groupBy("number").agg(
-            F.map_from_entries(F.collect_list(F.struct("time", "carried"))).alias("inflow")
-        )
-        filled = filled.join(per_station, "number", "left").withColumn(
-            "carried", F.element_at("inflow", F.col("time"))
+        filled = filled.join(_inflow(cells, slots), "number", "left").withColumn(
+            "carried", F.get("inflow", F.col("pos"))["carried"]
         )
     else:
         raise ValueError(f"unknown fill scope: {scope}")
-    return filled.select("number", "date", "time", F.coalesce("known", "carried").alias("available_stands"))
+    return _as_table(filled.withColumn("filled", F.coalesce("known", "carried")), "filled")
 
 
-def slot_matrix(grid: DataFrame) -> DataFrame:
+def slot_matrix(slots: DataFrame) -> DataFrame:
     """Long to wide: one column per 10-minute slot of the day."""
-    cells = grid.groupBy("number", "date").agg(
-        F.map_from_entries(F.collect_list(F.struct("time", "available_stands"))).alias("cells")
+    days = _cells(slots).groupBy("number", "day").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot_no", "v"))).alias("cells")
     )
-    return cells.select("number", "date", *[F.element_at("cells", F.lit(t)).alias(t) for t in SLOT_LEVELS])
+    return days.select("number", F.col("day").cast("string").alias("date"), *[
+        F.element_at("cells", F.lit(i)).alias(t) for i, t in enumerate(SLOT_LEVELS)
+    ])
 
 
 def melt_matrix(matrix: DataFrame) -> DataFrame:
@@ -107,19 +138,17 @@ def melt_matrix(matrix: DataFrame) -> DataFrame:
     return matrix.unpivot(["number", "date"], SLOT_LEVELS, "time", "available_stands")
 
 
-def day_vectors(grid: DataFrame) -> DataFrame:
+def day_vectors(filled: DataFrame) -> DataFrame:
     """One array of stands per station-day, in time order; days with a gap are left out."""
-    cells = F.sort_array(F.collect_list(F.struct("time", "available_stands")))
-    days = grid.groupBy("number", "date").agg(cells.alias("cells"))
-    values = F.transform("cells", lambda c: c["available_stands"].cast("double"))
-    return days.select("number", "date", values.alias("stands")).where(
-        ~F.exists("stands", lambda v: v.isNull())
-    )
+    entries = F.collect_list(F.struct(clock.slot_number(F.col("time")).alias("slot_no"), "available_stands"))
+    days = filled.groupBy("number", "date").agg(F.sort_array(entries).alias("entries"))
+    complete = days.where(~F.exists("entries", lambda e: e["available_stands"].isNull()))
+    return complete.select("number", "date", F.col("entries.available_stands").cast("array<double>").alias("stands"))
 
 
-def wss_one_cluster(grid: DataFrame) -> DataFrame:
+def wss_one_cluster(filled: DataFrame) -> DataFrame:
     """Sum of squares around the overall mean: (rows - 1) times the summed variances."""
-    per_level = grid.groupBy("time").agg(
+    per_level = filled.groupBy("time").agg(
         F.count("available_stands").alias("n"), F.var_samp("available_stands").alias("variance")
     )
     return per_level.agg(F.max("n").alias("n"), ((F.max("n") - 1) * F.sum("variance")).alias("wss"))

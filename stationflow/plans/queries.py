@@ -173,22 +173,22 @@ def time_levels(spark, sf_dir):
 
 @register
 def slot_grid(spark, sf_dir):
-    return profile.slot_grid(views.slot_table(spark, sf_dir))
+    return profile.slot_grid(views.stored_slots(spark, sf_dir))
 
 
 @register
 def gap_fill(spark, sf_dir):
-    return profile.gap_fill(slot_grid(spark, sf_dir))
+    return profile.gap_fill(views.stored_slots(spark, sf_dir))
 
 
 @register
 def gap_fill_station(spark, sf_dir):
-    return profile.gap_fill(slot_grid(spark, sf_dir), scope="station")
+    return profile.gap_fill(views.stored_slots(spark, sf_dir), scope="station")
 
 
 @register
 def slot_matrix(spark, sf_dir):
-    return profile.slot_matrix(slot_grid(spark, sf_dir))
+    return profile.slot_matrix(views.slot_table(spark, sf_dir))
 
 
 @register
@@ -249,27 +249,35 @@ def cluster_bottom_station(spark, sf_dir):
     return selection.cluster_extreme(cluster_activity(spark, sf_dir), "min")
 
 
+def _stored_clustered(spark, sf_dir) -> DataFrame:
+    rows = views.stored_slots(spark, sf_dir, views.TRAINING)
+    return features.attach_cluster(rows, views.clusters(spark, sf_dir))
+
+
+def _beside_top(clustered: DataFrame) -> DataFrame:
+    top = selection.cluster_extreme(selection.cluster_activity(clustered), "max")
+    return selection.unselected(clustered, top.select("number"))
+
+
 @register
 def unselected_anti(spark, sf_dir):
-    top = cluster_top_station(spark, sf_dir).select("number")
-    return selection.unselected(_clustered(spark, sf_dir), top)
+    return _beside_top(_stored_clustered(spark, sf_dir))
 
 
 @register
 def cluster_sample(spark, sf_dir):
-    top = cluster_top_station(spark, sf_dir).select("number")
-    return selection.sample_per_cluster(selection.unselected(_clustered(spark, sf_dir), top))
+    return selection.sample_per_cluster(_beside_top(_stored_clustered(spark, sf_dir)))
 
 
 @register
 def selected_stations(spark, sf_dir):
-    return selection.selected_stations(_clustered(spark, sf_dir))
+    return selection.selected_stations(_stored_clustered(spark, sf_dir))
 
 
 @register
 def selected_semi(spark, sf_dir):
-    rows = views.in_range(views.slot_table(spark, sf_dir), views.TRAINING)
-    return selection.keep_selected(rows, selected_stations(spark, sf_dir))
+    clustered = _stored_clustered(spark, sf_dir)
+    return selection.keep_selected(clustered.drop("cluster"), selection.selected_stations(clustered))
 
 
 # Features
@@ -287,11 +295,20 @@ def feature_rollup_half_even(spark, sf_dir):
 
 def _features(spark, sf_dir, bounds=views.TRAINING, rounding="truncate") -> DataFrame:
     rows = views.in_range(views.slot_table(spark, sf_dir), bounds)
+    return _features_of(spark, sf_dir, rows, rounding)
+
+
+def _features_of(spark, sf_dir, rows: DataFrame, rounding: str) -> DataFrame:
     return features.station_features(
         rows, views.clusters(spark, sf_dir), views.geo(spark, sf_dir), rounding
     )
 
 
+def _stored_features(spark, sf_dir, bounds=views.TRAINING, rounding="truncate") -> DataFrame:
+    """The same for queries that use the features more than once."""
+    return _features_of(spark, sf_dir, views.stored_slots(spark, sf_dir, bounds), rounding)
+
+
 @register
 def prev_stands(spark, sf_dir):
     return features.with_previous(feature_rollup(spark, sf_dir))
@@ -312,9 +329,14 @@ def weather_join(spark, sf_dir):
     return features.attach_weather(_features(spark, sf_dir), weather_clean(spark, sf_dir))
 
 
+def _weather_features(spark, sf_dir) -> DataFrame:
+    rows = _stored_features(spark, sf_dir)
+    return features.impute_weather(features.attach_weather(rows, weather_clean(spark, sf_dir)))
+
+
 @register
 def weather_impute(spark, sf_dir):
-    filled = features.impute_weather(weather_join(spark, sf_dir))
+    filled = _weather_features(spark, sf_dir)
     return filled.select("number", "date", "time", "bike_stands", *[
         F.round(c, 6).alias(c) for c in features.WEATHER_COLUMNS
     ])
@@ -322,13 +344,13 @@ def weather_impute(spark, sf_dir):
 
 @register
 def label_encode(spark, sf_dir):
-    coded = features.with_codes(_features(spark, sf_dir))
+    coded = features.with_codes(_stored_features(spark, sf_dir))
     return coded.select("number", "date", "time", "bike_stands", "weekday_code", "season_code", "time_code")
 
 
 @register
 def label_decode(spark, sf_dir):
-    rows = _features(spark, sf_dir)
+    rows = _stored_features(spark, sf_dir)
     coded = features.with_codes(rows).select("number", "date", "bike_stands", "time_code")
     return features.decode_time(coded, features.level_table(rows, "time"))
 
@@ -396,7 +418,7 @@ def capacity_lookup(spark, sf_dir):
 
 
 def _persistence(spark, sf_dir) -> DataFrame:
-    return _features(spark, sf_dir, views.UNSEEN, "half_even").withColumn("pred", F.col("prev_stands"))
+    return _stored_features(spark, sf_dir, views.UNSEEN, "half_even").withColumn("pred", F.col("prev_stands"))
 
 
 @register
@@ -447,7 +469,7 @@ def unseen_guard(spark, sf_dir):
 
 @register
 def split_counts(spark, sf_dir):
-    train, test = model.split(_features(spark, sf_dir))
+    train, test = model.split(_stored_features(spark, sf_dir))
     parts = train.select(F.lit("train").alias("part"), "date").unionByName(
         test.select(F.lit("test").alias("part"), "date")
     )
@@ -455,7 +477,7 @@ def split_counts(spark, sf_dir):
 
 
 def _test_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    rows = _features(spark, sf_dir)
+    rows = _stored_features(spark, sf_dir)
     test = model.split(rows)[1].withColumn("pred", F.col("prev_stands"))
     return test, rows
 
@@ -512,19 +534,16 @@ def forecast_actual_pairing(spark, sf_dir):
 # Forecast requests
 
 
-def _coded_history(spark, sf_dir) -> DataFrame:
-    rows = views.slot_table(spark, sf_dir)
+def _coded_history(spark, sf_dir, rows: DataFrame) -> DataFrame:
     asked = forecast.request_parts(views.requests(spark, sf_dir))
-    history = features.station_features(
-        forecast.relevant_days(rows, asked), views.clusters(spark, sf_dir), views.geo(spark, sf_dir), "half_even"
-    )
+    history = _features_of(spark, sf_dir, forecast.relevant_days(rows, asked), "half_even")
     return features.with_codes(history, features.moments(views.in_range(rows, views.TRAINING)))
 
 
-def _inputs(spark, sf_dir) -> DataFrame:
+def _inputs(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
+    rows = views.stored_slots(spark, sf_dir) if rows is None else rows
     return forecast.forecast_inputs(
-        views.requests(spark, sf_dir), views.slot_table(spark, sf_dir),
-        _coded_history(spark, sf_dir), views.live(spark, sf_dir),
+        views.requests(spark, sf_dir), rows, _coded_history(spark, sf_dir, rows), views.live(spark, sf_dir)
     )
 
 
@@ -536,7 +555,8 @@ def forecast_request_parts(spark, sf_dir):
 @register
 def forecast_context(spark, sf_dir):
     parts = forecast.request_parts(views.requests(spark, sf_dir))
-    rows = parts.join(forecast.context(_coded_history(spark, sf_dir)), forecast.MOMENT)
+    history = _coded_history(spark, sf_dir, views.stored_slots(spark, sf_dir))
+    rows = parts.join(forecast.context(history), forecast.MOMENT)
     return rows.select(
         "number", "minutes", "name", "address", "weekday_code", "time_code", "season_code", "cluster",
         "bike_stands", "avg_stands", "prev_stands",
@@ -766,8 +786,8 @@ def centroids_long(spark, sf_dir):
 
 
 def _part_centroids(spark, sf_dir, part) -> DataFrame:
-    rows = profile.split_week(views.slot_table(spark, sf_dir), part)
-    return model.centroids(spark, profile.gap_fill(profile.slot_grid(rows)))
+    rows = profile.split_week(views.stored_slots(spark, sf_dir), part)
+    return model.centroids(spark, profile.gap_fill(rows))
 
 
 @register
@@ -780,14 +800,10 @@ def weekend_centroids(spark, sf_dir):
     return _part_centroids(spark, sf_dir, "weekend")
 
 
-def _weather_features(spark, sf_dir) -> DataFrame:
-    return features.impute_weather(weather_join(spark, sf_dir))
-
-
 @register
 def train_gbt(spark, sf_dir):
     """Predictions on the hold-out rows."""
-    train_rows, test_rows = model.split(_features(spark, sf_dir))
+    train_rows, test_rows = model.split(_stored_features(spark, sf_dir))
     scored = model.score(model.train(train_rows, trees=QUERY_TREES), test_rows)
     return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred")
 
@@ -803,19 +819,26 @@ def feature_importance(spark, sf_dir):
     return model.importances(spark, fitted, features.CONSIDERED_FACTORS)
 
 
+def _trained(spark, sf_dir, rows: DataFrame):
+    training = views.in_range(rows, views.TRAINING)
+    return model.train(_features_of(spark, sf_dir, training, "truncate"), trees=QUERY_TREES)
+
+
 @register
 def score_unseen(spark, sf_dir):
-    fitted = model.train(_features(spark, sf_dir), trees=QUERY_TREES)
-    week = evaluate.service_hours(_features(spark, sf_dir, views.UNSEEN, "half_even"))
-    scored = evaluate.absolute_errors(model.score(fitted, week))
-    return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred", "error")
+    rows = views.stored_slots(spark, sf_dir)
+    week = _features_of(spark, sf_dir, views.in_range(rows, views.UNSEEN), "half_even")
+    scored = model.score(_trained(spark, sf_dir, rows), evaluate.service_hours(week))
+    return evaluate.absolute_errors(scored).select(
+        "number", "date", "time", "bike_stands", "avg_stands", "pred", "error"
+    )
 
 
 @register
 def model_roundtrip(spark, sf_dir):
     """Predictions of the saved and reloaded model, with the time decoded by it."""
     path = scratch_path(spark, "model")
-    rows = _features(spark, sf_dir)
+    rows = _stored_features(spark, sf_dir)
     model.save(model.train(rows, trees=QUERY_TREES), path)
     fitted = model.load(path)
     scored = model.decode_time(fitted, model.score(fitted, rows))
@@ -825,5 +848,5 @@ def model_roundtrip(spark, sf_dir):
 @register
 def forecast_requests(spark, sf_dir):
     """All requests answered by a model trained on the training range."""
-    fitted = model.train(_features(spark, sf_dir), trees=QUERY_TREES)
-    return forecast.answer(forecast.predicted(fitted, _inputs(spark, sf_dir)))
+    rows = views.stored_slots(spark, sf_dir)
+    return forecast.answer(forecast.predicted(_trained(spark, sf_dir, rows), _inputs(spark, sf_dir, rows)))

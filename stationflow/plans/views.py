@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import clock
 from stationflow.operators import clean, slots
+from stationflow.session import scratch_path
+from stationflow.sources import files
 
 TRAINING = ("2024-01-01", "2024-01-21")
 UNSEEN = ("2024-01-22", "2024-01-28")
@@ -72,6 +74,21 @@ def slot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.build_slots(obs_dirty(spark, sf_dir), renamed={})
 
 
+def stored_slots(spark: SparkSession, sf_dir: str, bounds: tuple[str, str] | None = None) -> DataFrame:
+    """The slot table written once below the shared folder and read back.
+
+    For queries that pass over it more than once: the raw rows are read and
+    rolled up a single time. Partitioned by station for the steps that follow.
+    """
+    path = scratch_path(spark, "slots")
+    files.write_slots(slot_table(spark, sf_dir), path)
+    return by_station(files.read_slots(spark, path), bounds)
+
+
+def by_station(rows: DataFrame, bounds: tuple[str, str] | None = None) -> DataFrame:
+    return (in_range(rows, bounds) if bounds else rows).repartition("number")
+
+
 def in_range(df: DataFrame, bounds: tuple[str, str]) -> DataFrame:
     return df.where(F.col("date").between(*bounds))
 
