@@ -25,8 +25,11 @@ HALF_HOUR_LEVELS = [f"{s // 2:02d}:{s % 2 * 30:02d}:00" for s in range(48)]
 
 
 def _lookup(values: list[str], index: Column) -> Column:
-    """Constant array access; ``index`` counts from zero."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index)
+    """Constant array access; ``index`` counts from zero.
+
+    Split of a literal is folded to an array once, and is one call to build.
+    """
+    return F.get(F.split(F.lit(",".join(values)), ","), index)
 
 
 def slot_start(ms: Column) -> Column:

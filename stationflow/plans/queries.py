@@ -723,8 +723,7 @@ def scan_forecast_log(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    schema = views.events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(views.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def _run(spark, stream, label) -> DataFrame:

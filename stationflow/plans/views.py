@@ -16,8 +16,13 @@ REQUESTED_AT_MS = 1_706_515_200_000  # 2024-01-29 08:00:00 UTC
 CENTERS = [(1, 150.0), (2, 400.0), (3, 700.0), (4, 1100.0)]
 
 
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def epoch_ms(column: str):
