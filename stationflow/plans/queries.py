@@ -462,7 +462,7 @@ def unseen_profile(spark, sf_dir):
 
 @register
 def unseen_guard(spark, sf_dir):
-    """No test row lies in the reference week of another year: an empty table with the right columns."""
+    """No row lies in this week of another year: an empty table with the right columns."""
     week = _features(spark, sf_dir, ("2017-11-06", "2017-11-13"), "half_even").withColumn("pred", F.col("prev_stands"))
     return evaluate.scored_profile(evaluate.service_hours(week), "weekday")
 
@@ -799,6 +799,14 @@ def weekend_centroids(spark, sf_dir):
     return _part_centroids(spark, sf_dir, "weekend")
 
 
+@register
+def station_clusters(spark, sf_dir):
+    """Every station labelled with the nearest of the fitted centers."""
+    rows = views.stored_slots(spark, sf_dir, views.TRAINING)
+    centers = model.center_sums(model.centroids(spark, profile.gap_fill(rows)))
+    return profile.label_profile(profile.station_profile(rows), centers)
+
+
 @register
 def train_gbt(spark, sf_dir):
     """Predictions on the hold-out rows."""

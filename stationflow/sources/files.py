@@ -139,6 +139,14 @@ def write_slots(slots: DataFrame, path: str) -> None:
     )
 
 
+def save_station_buckets(slots: DataFrame, table: str, path: str, buckets: int) -> None:
+    """The slot table bucketed by station: per-station steps on it need no shuffle."""
+    (
+        slots.repartition(buckets, "number")
+        .write.mode("overwrite").option("path", path).bucketBy(buckets, "number").sortBy("number").saveAsTable(table)
+    )
+
+
 def read_slots(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SLOT_FACT).parquet(path)
 

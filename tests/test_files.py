@@ -2,7 +2,7 @@
 
 import json
 
-from stationflow.operators import slots
+from stationflow.operators import features, slots
 from stationflow.plans import views
 from stationflow.schemas import SLOT_FACT_HEADINGS
 from stationflow.sources import files
@@ -75,3 +75,18 @@ def test_slot_store_prunes_by_date(spark, small_dir, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
     assert "ReadSchema: struct<number:bigint>" in plan
     assert slots.slot_key_counts(files.read_slots(spark, path)).where("slot_rows <> distinct_keys").count() == 0
+
+
+def test_bucketed_slots_are_not_shuffled_for_features(spark, small_dir, tmp_path):
+    files.save_station_buckets(views.slot_table(spark, small_dir), "slots_by_station", str(tmp_path / "b"), 4)
+    try:
+        rows = features.with_previous(features.half_hour_rollup(
+            features.attach_cluster(spark.table("slots_by_station"), views.clusters(spark, small_dir)), "truncate"))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        before_slots = plan[:plan.index("slots_by_station")]
+        # Only the cluster side, which comes after the slot scan, is shuffled or broadcast.
+        assert "Exchange" not in before_slots and "Bucketed: true" in plan
+        assert rows.count() == features.half_hour_rollup(
+            features.attach_cluster(views.slot_table(spark, small_dir), views.clusters(spark, small_dir)), "truncate").count()
+    finally:
+        spark.sql("DROP TABLE slots_by_station")

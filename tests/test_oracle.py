@@ -10,6 +10,7 @@ QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 WITHOUT_SQL = {
     "elbow_curve", "centroids_long", "weekday_centroids", "weekend_centroids", "train_gbt",
     "factor_comparison", "feature_importance", "score_unseen", "model_roundtrip", "forecast_requests",
+    "station_clusters",
 }
 
 
