@@ -163,18 +163,22 @@ def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> DataF
     got = picked.where("_more").groupBy("_members").agg(F.sum("_size")).collect()
     gap = rest_of | {tuple(r[0]): rest_of[tuple(r[0])] - r[1] for r in got}
     extra: list[int] = []
+
+    def untaken() -> DataFrame:
+        open_ = spark.createDataFrame([(list(p), g) for p, g in gap.items() if g > 0], "_members array<string>, _gap long")
+        rows = picked.where(~F.col("_more") & (F.col("_size") > 0) & ~F.col("_row").isin(extra))
+        return rows.join(F.broadcast(open_), "_members")
+
     for _ in range(FILLS):
-        open_ = [(list(p), g) for p, g in gap.items() if g > 0]
-        if not open_:
-            break
-        fit = picked.where(~F.col("_more") & (F.col("_size") > 0) & ~F.col("_row").isin(extra)).join(
-            F.broadcast(spark.createDataFrame(open_, "_members array<string>, _gap long")), "_members").where("_size <= _gap")
-        top = fit.withColumn("n", F.row_number().over(Window.partitionBy("_members").orderBy(F.desc("_size"), "_id", "_row"))).where(
-            F.col("n") <= CANDIDATES).select("_members", "_size", "_row", "n").collect()
-        for members, size, row, _ in sorted(top, key=lambda r: (r["n"], r["_row"])):
+        rank = F.row_number().over(Window.partitionBy("_members").orderBy(F.desc("_size"), "_id", "_row"))
+        top = untaken().where("_size <= _gap").withColumn("n", rank).where(F.col("n") <= CANDIDATES)
+        for members, size, row, _ in sorted(top.select("_members", "_size", "_row", "n").collect(), key=lambda r: (r["n"], r["_row"])):
             if size <= gap[tuple(members)]:
                 gap[tuple(members)] -= size
                 extra.append(row)
+    # one that is larger than what is left comes nearer than none if it is below twice that
+    over = untaken().where("_size > _gap and _size < 2 * _gap").groupBy("_members").agg(F.min(F.struct("_size", F.col("_id").alias("_id"), "_row")).alias("best"))
+    extra += [r["best"]["_row"] for r in over.collect()]
     more = (F.col("_more") | F.col("_row").isin(extra)).cast("long") * F.col("_size")
     return picked.withColumn("_taken", F.col("_base") + more)
 

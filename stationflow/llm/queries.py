@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, mixture, simhash
+from stationflow.llm import exact, langid, mixture, pieces, simhash
 from stationflow.llm.support import table
 
 
@@ -13,6 +13,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and what they decode to (as SHA-256; it equals the text's own)."""
+    docs = table(spark, sf_dir, "documents")
+    both = docs.select("doc_id", pieces.round_trip(docs)(F.col("text")).alias("r"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return both.select(
+        "doc_id", F.size("r.ids").cast("long").alias("n_pieces"), F.col("r.ids").alias("ids"),
+        F.sha2("r.text", 256).alias("decoded_sha256"), "text_sha256")
+
+
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, report = mixture.mix(table(spark, sf_dir, "documents"), F.array("source"))
     return mixture.with_targets(taken, report).select(
@@ -20,8 +29,15 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select(
+        "_doc.doc_id", langid.held_out("_doc.doc_id").alias("held_out"), F.col("_found.lang").alias("lang_pred"),
+        F.col("_found.score").alias("score"), F.col("_found.accepted").alias("accepted"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_mixture, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup)}
