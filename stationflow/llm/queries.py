@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, langid, mixture, pieces, simhash
+from stationflow.llm import exact, langid, mixture, pieces, secrets, simhash
 from stationflow.llm.support import table
 
 
@@ -40,4 +40,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup)}
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "_doc.doc_id", *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(secrets.spans("assign", "access", "hex"), 256).alias("base_sha256"), secrets.spans(*secrets.KINDS).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets)}
