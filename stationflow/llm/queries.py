@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, langid, mixture, pieces, secrets, simhash
+from stationflow.llm import exact, langid, licenses, mixture, pieces, secrets, simhash
 from stationflow.llm.support import table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licenses(table(spark, sf_dir, "documents"), F.col("text"))
+    places = F.col("_found.base_places")
+    return found.select(
+        "_doc.doc_id", "_found.n_words", F.size(places).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        F.array_join("_found.base_labels", ",").alias("base_labels"), F.array_join("_found.labels", ",").alias("labels"),
+        "_found.score", F.size("_found.detections").cast("long").alias("n_detections"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -47,4 +57,4 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spans("assign", "access", "hex"), 256).alias("base_sha256"), secrets.spans(*secrets.KINDS).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets)}
