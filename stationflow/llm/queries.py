@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, langid, licenses, mixture, pieces, secrets, simhash
+from stationflow.llm import exact, langid, licenses, mixture, pieces, secrets, simhash, wrappers
 from stationflow.llm.support import table
 
 
@@ -57,4 +57,9 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spans("assign", "access", "hex"), 256).alias("base_sha256"), secrets.spans(*secrets.KINDS).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets)}
+def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select("_page.page_id", "_page.url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets, op10_wrappers)}
