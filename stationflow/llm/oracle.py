@@ -8,3 +8,17 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+ORACLE["op8_top_k"] = """
+WITH codes AS (
+    SELECT vec_id AS id,
+           list_aggregate(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (64 - i)::INT ELSE 0::HUGEINT END), 'sum')::HUGEINT AS code
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), pairs AS (
+    SELECT q.id AS query_id, r.id AS neighbor_id, bit_count(xor(q.code, r.code))::BIGINT AS distance
+    FROM codes q JOIN codes r ON q.id % 100 = 0 AND q.id <> r.id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank, neighbor_id, distance
+FROM pairs
+QUALIFY rank <= 10
+"""

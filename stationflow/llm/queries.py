@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, langid, licenses, mixture, pieces, secrets, simhash, wrappers
+from stationflow.llm import exact, hamming, langid, licenses, mixture, pieces, secrets, simhash, wrappers
 from stationflow.llm.support import table
 
 
@@ -50,6 +50,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows nearest to every row whose id is divisible by 100."""
+    return hamming.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,4 +67,4 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_page.page_id", "_page.url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op9_secrets, op10_wrappers)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers)}
