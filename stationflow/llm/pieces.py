@@ -282,7 +282,7 @@ class Vocabulary:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def _blocks(texts: list[str], most: int = 4 * BATCH_BYTES) -> Iterable[list[str]]:
+def blocks(texts: list[str], most: int = 4 * BATCH_BYTES) -> Iterable[list[str]]:
     """Runs of texts of some size together, so that a batch of long texts is worked off in parts."""
     part, size = [], 0
     for t in texts:
@@ -308,7 +308,7 @@ def encoder(df: DataFrame, path: str = MODEL_PATH):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
         solved[:] = solved or [Solved()]
-        return _lists([shared.value.encode(part, solved[0]) for part in _blocks(["" if t is None else t for t in texts.to_pylist()])])
+        return _lists([shared.value.encode(part, solved[0]) for part in blocks(["" if t is None else t for t in texts.to_pylist()])])
 
     return encode
 
@@ -334,7 +334,7 @@ def round_trip(df: DataFrame, path: str = MODEL_PATH):
     def run(texts: pa.Array) -> pa.Array:
         solved[:] = solved or [Solved()]
         encoded, decoded = [], []
-        for part in _blocks(["" if t is None else t for t in texts.to_pylist()]):
+        for part in blocks(["" if t is None else t for t in texts.to_pylist()]):
             ids, counts = shared.value.encode(part, solved[0])
             encoded.append((ids, counts))
             ends = np.cumsum(counts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, hamming, langid, licenses, mixture, pieces, secrets, simhash, wrappers
+from stationflow.llm import exact, hamming, langid, licenses, mixture, pieces, secrets, simhash, tokenfiles, wrappers
 from stationflow.llm.support import table
 
 
@@ -32,6 +32,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("r.text", 256).alias("decoded_sha256"), "text_sha256")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found in the flat files that hold them."""
+    return tokenfiles.count_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, report = mixture.mix(table(spark, sf_dir, "documents"), F.array("source"))
     return mixture.with_targets(taken, report).select(
@@ -67,4 +72,4 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_page.page_id", "_page.url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op4_token_counts, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers)}
