@@ -119,7 +119,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(samples: list[tuple[str, str]], seed: int = 6, epochs: int = 8, rate: float = 1.0, precision: float = PRECISION) -> Model:
+def fit(samples: list[tuple[str, str]], seed: int = 6, steps: int = 2500, rate: float = 3.0, precision: float = PRECISION) -> Model:
     """A model of (language, text) samples; one in five is kept for the calibration."""
     rng = np.random.default_rng(seed)
     languages = tuple(sorted({lang for lang, _ in samples}))
@@ -130,7 +130,9 @@ def fit(samples: list[tuple[str, str]], seed: int = 6, epochs: int = 8, rate: fl
     embedding = rng.uniform(-1, 1, (BUCKETS, DIMENSION)).astype(np.float32) / DIMENSION
     layer = np.zeros((len(languages), DIMENSION), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, done, batch = max(1, epochs * len(train)), 0, 16
+    batch = 16
+    epochs = max(4, -(-steps * batch // max(len(train), 1))) if train else 0
+    whole, done = max(1, epochs * len(train)), 0
     for _ in range(epochs):
         order = rng.permutation(len(train))
         for at in range(0, len(order), batch):
@@ -141,7 +143,7 @@ def fit(samples: list[tuple[str, str]], seed: int = 6, epochs: int = 8, rate: fl
             mean = np.add.reduceat(embedding[ids], starts, axis=0) / sizes[:, None].astype(np.float32)
             error = softmax(mean @ layer.T + bias)
             error[np.arange(len(picked)), [p[0] for p in picked]] -= 1
-            step = np.float32(rate * (1 - done / steps))
+            step = np.float32(rate * (1 - done / whole))
             back = (error @ layer).astype(np.float32) / sizes[:, None].astype(np.float32)
             layer -= step * (error.T @ mean).astype(np.float32)
             bias -= step * error.sum(axis=0).astype(np.float32) / batch

@@ -33,9 +33,23 @@ HEX_LEAST = 16
 KINDS = ("assign", "access", "hex", "markov")
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 FIRST, CODES = 32, 96
-PER_CHARACTER, IN_ALL = 0.7, 20.0
+PER_CHARACTER, IN_ALL = 1.0, 22.0
 SAMPLE_DOCS = 2000
 SAMPLE_RANDOM = 6000
+# Labelled samples of ordinary words, of which names are made.
+ORDINARY = """
+    get set user name order price total count index value item list array string number date time year month day file path
+    folder image page page title text content body header footer button color width height size length start end begin
+    finish open close read write load save delete update insert select create remove add find search filter sort group
+    customer account address email phone city country street region company product category service server client
+    request response message error warning status code type kind class object method function variable constant default
+    config setting option parameter argument result output input source target table column row field record key
+    database query connection session context manager handler factory builder wrapper helper utils common core main
+    test example sample report final version release module package library project website article comment question
+    answer network system process thread memory storage buffer cache queue stack tree node graph edge layer model
+    http html json xml servlet java script python android windows google amazon github document annual monthly summary
+    the and for with from that this have been which their would there about other after first could these also into
+""".split()
 _NONE = "cast(array() as array<struct<start:int,end:int,hit:string>>)"
 
 
@@ -97,11 +111,13 @@ def random_strings(spark: SparkSession, rows: int = SAMPLE_RANDOM) -> DataFrame:
 
 
 def identifiers(docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", rows: int = SAMPLE_DOCS) -> DataFrame:
-    """Samples of ordinary identifiers: words of about ``rows`` documents, alone and joined as names are."""
+    """Samples of ordinary identifiers: words of about ``rows`` documents and common ones, alone and joined as names are."""
     total = max(docs.count(), 1)
     dice = F.pmod(F.xxhash64(F.lit("identifiers"), id_name), F.lit(1 << 20)) < int((1 << 20) * min(1.0, rows / total))
     words = F.regexp_extract_all(F.col(text_name), F.lit("[A-Za-z]{3,24}"), F.lit(0))
-    drawn = docs.where(dice).select(F.slice(words, F.pmod(F.xxhash64(F.lit("at"), id_name), F.lit(50)).cast("int") + 1, 200).alias("w"))
+    ordinary = docs.sparkSession.range(200).select(F.expr(
+        f"transform(sequence(0, 199), i -> element_at(split('{' '.join(ORDINARY)}', ' '), cast(pmod(xxhash64(id, i), {len(ORDINARY)}) as int) + 1))").alias("w"))
+    drawn = docs.where(dice).select(F.slice(words, F.pmod(F.xxhash64(F.lit("at"), id_name), F.lit(50)).cast("int") + 1, 200).alias("w")).union(ordinary)
     names = F.expr("""flatten(transform(w, (x, i) -> array(
         x,
         concat_ws('_', lower(x), lower(coalesce(get(w, i + 1), 'id')), cast(i as string)),

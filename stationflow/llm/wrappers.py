@@ -65,7 +65,7 @@ OWN = {"article", "post", "entry", "story", "content", "body"}  # with "header"
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|title|textarea|noscript|iframe|xmp|noembed|noframes)\b(?:{_ATTRIBUTES}|[^>]*)>.*?(?:</\1\s*>|\Z)"
-    rf"|<(/?)([a-z][^\s/>]*)({_ATTRIBUTES}|[^>]*)>", re.S | re.I)
+    rf"|<(/?)([a-z][^\s/>]*)({_ATTRIBUTES}|[^>]*)>|</[a-z][^<>]*\Z", re.S | re.I)
 _NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
