@@ -119,7 +119,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(samples: list[tuple[str, str]], seed: int = 6, steps: int = 2500, rate: float = 3.0, precision: float = PRECISION) -> Model:
+def fit(samples: list[tuple[str, str]], seed: int = 6, steps: int = 2500, rate: float = 1.0, precision: float = PRECISION) -> Model:
     """A model of (language, text) samples; one in five is kept for the calibration."""
     rng = np.random.default_rng(seed)
     languages = tuple(sorted({lang for lang, _ in samples}))
