@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from multiprocessing.pool import ThreadPool
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -11,14 +13,14 @@ from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from stationflow.functions import clock
 from stationflow.functions.chance import key_hash
 from stationflow.functions.stands import to_whole
-from stationflow.operators.features import CONSIDERED_FACTORS, IMPORTANT_FACTORS, TARGET
+from stationflow.operators.features import IMPORTANT_FACTORS, TARGET
 from stationflow.operators.profile import day_vectors
 from stationflow.session import shared_dir
 
@@ -30,6 +32,7 @@ TRAIN_PERCENT = 67
 TREES = 500
 DEPTH = 4
 LEARNING_RATE = 0.01
+ROWS_PER_TASK = 200_000
 # Enough bins to keep the 48 half hours apart.
 MAX_BINS = 64
 # Fits of an elbow curve that run at the same time on the shared vectors.
@@ -95,43 +98,69 @@ def split(features: DataFrame, percent: int = TRAIN_PERCENT, seed: int = SEED) -
     return features.where(share < percent), features.where(share >= percent)
 
 
-def gbt_pipeline(factors: list[str], trees: int = TREES, seed: int = SEED) -> Pipeline:
+def gbt_pipeline(factors: list[str], trees: int | None = None, seed: int = SEED) -> Pipeline:
     """Indexers for season and half hour, assembler and boosted trees.
 
     The indexers are fitted with the model and saved with it, so a later week is
-    coded as the training data was.
+    coded as the training data was. Missing factors pass the assembler; ``train``
+    leaves such rows out and ``score`` gives them no prediction.
     """
     indexers = [
         StringIndexer(inputCol="season", outputCol="season_code", stringOrderType="alphabetAsc", handleInvalid="keep"),
         StringIndexer(inputCol="time", outputCol="time_code", stringOrderType="alphabetAsc", handleInvalid="keep"),
     ]
-    assembler = VectorAssembler(inputCols=factors, outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=factors, outputCol="features", handleInvalid="keep")
     trees_stage = GBTRegressor(
-        featuresCol="features", labelCol=TARGET, predictionCol="raw_pred", maxIter=trees, maxDepth=DEPTH,
+        featuresCol="features", labelCol=TARGET, predictionCol="raw_pred", maxIter=trees or TREES, maxDepth=DEPTH,
         stepSize=LEARNING_RATE, lossType="squared", minInstancesPerNode=1, maxBins=MAX_BINS, seed=seed,
-        cacheNodeIds=True, checkpointInterval=10,
+        cacheNodeIds=False, checkpointInterval=25,
     )
     return Pipeline(stages=[*indexers, assembler, trees_stage])
 
 
+def source_column(factor: str) -> str:
+    """The column a factor is made from: codes come from season, time and date."""
+    return {"season_code": "season", "time_code": "time", "weekday_code": "date"}.get(factor, factor)
+
+
+def complete(features: DataFrame, factors: list[str]) -> Column:
+    """Whether no factor is missing."""
+    return reduce(and_, [F.col(source_column(f)).isNotNull() for f in factors])
+
+
+def missing_factors(features: DataFrame, factors: list[str]) -> DataFrame:
+    """Rows that training has to leave out, in all and per factor, beside those it can use."""
+    known = complete(features, factors) & F.col(TARGET).isNotNull()
+    counts = {"usable": known, "dropped": ~known} | {f: F.col(source_column(f)).isNull() for f in [*factors, TARGET]}
+    wide = features.agg(*[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(name) for name, c in counts.items()])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("factor"), F.col(name).alias("row_count")) for name in counts])))
+
+
 def with_weekday_code(features: DataFrame) -> DataFrame:
     return features.withColumn("weekday_code", clock.weekday_code(F.col("date").cast("date")))
 
 
-def train(features: DataFrame, factors: list[str] = IMPORTANT_FACTORS, trees: int = TREES, seed: int = SEED) -> PipelineModel:
-    """Fit on the given training rows, which are kept for the many tree passes."""
-    shared_dir(features.sparkSession)  # tree node ids are checkpointed there
-    rows = with_weekday_code(features).persist(StorageLevel.MEMORY_AND_DISK)
+def train(
+    features: DataFrame, factors: list[str] = IMPORTANT_FACTORS, trees: int | None = None, seed: int = SEED
+) -> PipelineModel:
+    """Fit on the given rows that lack no factor; they are kept for the many tree passes, in as few tasks as their number needs."""
+    shared_dir(features.sparkSession)  # the boosting's errors are checkpointed there
+    rows = with_weekday_code(features).where(complete(features, factors) & F.col(TARGET).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return gbt_pipeline(factors, trees, seed).fit(rows)
+        tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
+        packed = rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows
+        return gbt_pipeline(factors, trees, seed).fit(packed)
     finally:
         rows.unpersist()
 
 
 def score(fitted: PipelineModel, features: DataFrame) -> DataFrame:
-    """Adds ``pred``: whole stands, rounded half-even."""
+    """Adds ``pred``: whole stands, rounded half-even; NULL where a factor is missing. Every row stays."""
+    factors = fitted.stages[2].getInputCols()
     scored = fitted.transform(with_weekday_code(features))
-    return scored.withColumn("pred", to_whole(F.col("raw_pred"), "half_even")).drop("features")
+    raw = F.when(complete(features, factors), F.col("raw_pred"))
+    return scored.withColumn("raw_pred", raw).withColumn("pred", to_whole(F.col("raw_pred"), "half_even")).drop("features")
 
 
 def decode_time(fitted: PipelineModel, scored: DataFrame) -> DataFrame:
@@ -141,6 +170,8 @@ def decode_time(fitted: PipelineModel, scored: DataFrame) -> DataFrame:
 
 
 def rmse(scored: DataFrame) -> float:
+    """Over the rows that have a prediction and a target."""
+    scored = scored.dropna("any", subset=["raw_pred", TARGET])
     return RegressionEvaluator(labelCol=TARGET, predictionCol="raw_pred", metricName="rmse").evaluate(scored)
 
 
@@ -152,19 +183,11 @@ def importances(spark: SparkSession, fitted: PipelineModel, factors: list[str])
     return spark.createDataFrame(rows, "factor STRING, importance DOUBLE").orderBy(F.desc("importance"), "factor")
 
 
-def compare_factors(spark: SparkSession, features: DataFrame, trees: int = TREES) -> DataFrame:
-    """Hold-out error with all candidate factors and with those kept."""
-    train_rows, test_rows = split(features)
-    train_rows = train_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    test_rows = test_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [
-            (name, len(factors), float(rmse(score(train(train_rows, factors, trees), test_rows))))
-            for name, factors in (("considered", CONSIDERED_FACTORS), ("important", IMPORTANT_FACTORS))
-        ]
-    finally:
-        train_rows.unpersist()
-        test_rows.unpersist()
+def compare_factors(spark: SparkSession, test_rows: DataFrame, fitted: dict[str, PipelineModel]) -> DataFrame:
+    """Hold-out error of models with different factors."""
+    rows = [
+        (name, len(m.stages[2].getInputCols()), float(rmse(score(m, test_rows)))) for name, m in fitted.items()
+    ]
     return spark.createDataFrame(rows, "factors STRING, factor_count INT, rmse DOUBLE")
 
 

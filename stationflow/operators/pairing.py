@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from stationflow.functions import clock
 
 LEAD_MS = 15 * 60 * 1000
-TOLERANCE_MS = 24 * 60 * 60 * 1000
+DAY_MS = 24 * 60 * 60 * 1000
 
 
 def pair_forward(
-    predictions: DataFrame, actuals: DataFrame, lead_ms: int = LEAD_MS, tolerance_ms: int = TOLERANCE_MS
+    predictions: DataFrame, actuals: DataFrame, lead_ms: int = LEAD_MS, tolerance_ms: int | None = None
 ) -> DataFrame:
-    """Forward as-of join: the first actual at or after prediction time + lead.
+    """Forward as-of join: the first actual at or after prediction time + lead, however late or within a tolerance.
 
     Both sides are stacked and read backwards in time, one 10-minute chunk of a
     station at a time; what lies beyond a chunk is the first actual of a later
@@ -47,7 +47,7 @@ def pair_forward(
     paired = rows.where(F.col("seen").isNull()).join(chunks, ["number", "chunk"], "left").withColumn(
         "next", F.coalesce("next_here", "next_later")
     )
-    near = F.col("next.actual_ms") - F.col("at") <= tolerance_ms
+    near = F.lit(True) if tolerance_ms is None else F.col("next.actual_ms") - F.col("at") <= tolerance_ms
     return paired.select(
         "event_id", "number", "pred_ms", "pred_stands",
         *[F.when(near, F.col(f"next.{f}")).alias(f) for f in fields],

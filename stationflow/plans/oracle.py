@@ -370,8 +370,9 @@ step("unseen_profile", """
            CAST(round_even(avg(pred), 0) AS BIGINT) AS pred, max(bike_stands) AS bike_stands
     FROM in_service GROUP BY number, address, time, weekday""")
 step("unseen_guard", """
-    SELECT number, address, time, weekday, CAST(0 AS BIGINT) AS avg_stands, CAST(0 AS BIGINT) AS pred, bike_stands
-    FROM slots WHERE date BETWEEN '2017-11-06' AND '2017-11-13'""")
+    SELECT number, address, time, weekday, CAST(round_even(avg(avg_stands), 0) AS BIGINT) AS avg_stands,
+           CAST(round_even(avg(pred), 0) AS BIGINT) AS pred, max(bike_stands) AS bike_stands, 'some' AS week
+    FROM in_service GROUP BY number, address, time, weekday""")
 step("split_counts", """
     SELECT CASE WHEN training_part THEN 'train' ELSE 'test' END AS part, date, count(*) AS row_count
     FROM parted GROUP BY 1, 2""")
@@ -400,13 +401,15 @@ step("log_profile", """
            CAST(round_even(avg(pred_stands), 0) AS BIGINT) AS pred_stands, max(bike_stands) AS bike_stands
     FROM log_rows GROUP BY number, time""")
 step("forecast_actual_pairing", """
+    SELECT p.*, a.event_id AS actual_event, a.actual_ms, a.actual_stands
+    FROM predictions p ASOF LEFT JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms""")
+step("forecast_actual_pairing_day", """
     SELECT event_id, number, pred_ms, pred_stands,
            CASE WHEN near THEN actual_event END AS actual_event, CASE WHEN near THEN actual_ms END AS actual_ms,
            CASE WHEN near THEN actual_stands END AS actual_stands
     FROM (SELECT p.*, a.event_id AS actual_event, a.actual_ms, a.actual_stands,
                  a.actual_ms - (p.pred_ms + 900000) <= 86400000 AS near
-          FROM (SELECT *, pred_ms + 900000 AS due_ms FROM predictions) p
-          ASOF LEFT JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms) q""")
+          FROM predictions p ASOF LEFT JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms) q""")
 step("forecast_request_parts", """
     SELECT number, minutes, requested_ms, target_ms, time, weekday, season FROM parts""")
 step("forecast_context", """
@@ -469,6 +472,20 @@ step("stream_deltas", f"SELECT {_RAW}, last_available_stands, diff, check_in, ch
 step("stream_pairing", """
     SELECT p.event_id, p.number, p.pred_ms, p.pred_stands, a.event_id AS actual_event, a.actual_ms, a.actual_stands
     FROM (SELECT *, pred_ms + 900000 AS due_ms FROM predictions) p
-    ASOF JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms
-    WHERE a.actual_ms - p.due_ms <= 86400000""")
+    ASOF JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms""")
 step("stream_intake", f"SELECT DISTINCT {_RAW} FROM obs_id WHERE {_EVEN}")
+
+_FACTORS = {
+    "weekday_code": "date", "time_code": "time", "prev_stands": "prev_stands", "cluster": "cluster",
+    "latitude": "latitude", "longitude": "longitude", "season_code": "season",
+}
+_KNOWN = " AND ".join(f"{column} IS NOT NULL" for column in _FACTORS.values())
+_MODELLED = f"(SELECT * FROM features WHERE number IN ({_CHOSEN}))"
+step("training_rows", " UNION ALL ".join(
+    f"SELECT '{name}' AS factor, count(*) FILTER (WHERE {condition}) AS row_count FROM {_MODELLED} m" for name, condition in (
+        ("usable", f"{_KNOWN} AND avg_stands IS NOT NULL"), ("dropped", f"NOT ({_KNOWN} AND avg_stands IS NOT NULL)"),
+        *((name, f"{column} IS NULL") for name, column in _FACTORS.items()), ("avg_stands", "avg_stands IS NULL"))))
+step("scored_rows", f"""
+    SELECT number, date, time, bike_stands, avg_stands, {_KNOWN} AS known, true AS plausible
+    FROM ({_located("prev_week")}) w WHERE time >= '05:30:00'""")
+step("reloaded_model", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS wrong_times FROM features")

@@ -13,7 +13,7 @@ from stationflow.operators import (
     catalog, clean, evaluate, explore, features, forecast, model, pairing, profile, selection, slots,
 )
 from stationflow.plans import views
-from stationflow.session import configure, scratch_path
+from stationflow.session import configure, once, scratch_path
 from stationflow.sources import files
 from stationflow.streaming import jobs
 
@@ -344,7 +344,8 @@ def weather_impute(spark, sf_dir):
 
 @register
 def label_encode(spark, sf_dir):
-    coded = features.with_codes(_stored_features(spark, sf_dir))
+    rows = views.stored_slots(spark, sf_dir, views.TRAINING)
+    coded = features.with_codes(_features_of(spark, sf_dir, rows, "truncate"), features.moments(rows))
     return coded.select("number", "date", "time", "bike_stands", "weekday_code", "season_code", "time_code")
 
 
@@ -462,9 +463,12 @@ def unseen_profile(spark, sf_dir):
 
 @register
 def unseen_guard(spark, sf_dir):
-    """No row lies in this week of another year: an empty table with the right columns."""
-    week = _features(spark, sf_dir, ("2017-11-06", "2017-11-13"), "half_even").withColumn("pred", F.col("prev_stands"))
-    return evaluate.scored_profile(evaluate.service_hours(week), "weekday")
+    """The same profile of a week without rows and of one with rows; the empty one adds nothing."""
+    parts = []
+    for label, week in (("none", ("2017-11-06", "2017-11-13")), ("some", views.UNSEEN)):
+        rows = _features(spark, sf_dir, week, "half_even").withColumn("pred", F.col("prev_stands"))
+        parts.append(evaluate.scored_profile(evaluate.service_hours(rows), "weekday").withColumn("week", F.lit(label)))
+    return parts[0].unionByName(parts[1])
 
 
 @register
@@ -531,6 +535,12 @@ def forecast_actual_pairing(spark, sf_dir):
     return pairing.pair_forward(views.predictions(spark, sf_dir), views.actuals(spark, sf_dir))
 
 
+@register
+def forecast_actual_pairing_day(spark, sf_dir):
+    """The same with actuals of the next 24 hours only."""
+    return pairing.pair_forward(views.predictions(spark, sf_dir), views.actuals(spark, sf_dir), tolerance_ms=pairing.DAY_MS)
+
+
 # Forecast requests
 
 
@@ -769,9 +779,25 @@ def stream_intake(spark, sf_dir):
     return taken
 
 
-# Models. Few trees here; the library default is the full number.
+# Models. Trees are fitted on the training part of the selected stations, once per session and folder.
+
 
-QUERY_TREES = 10
+def _selected_features(spark, sf_dir) -> DataFrame:
+    chosen = selection.selected_stations(_stored_clustered(spark, sf_dir))
+    return selection.keep_selected(_stored_features(spark, sf_dir), chosen)
+
+
+def _model_features(spark, sf_dir) -> DataFrame:
+    rows = features.attach_weather(_selected_features(spark, sf_dir), weather_clean(spark, sf_dir))
+    return features.impute_weather(rows)
+
+
+def _fitted(spark, sf_dir, factors=features.IMPORTANT_FACTORS):
+    def fit():
+        rows = _selected_features(spark, sf_dir) if factors == features.IMPORTANT_FACTORS else _model_features(spark, sf_dir)
+        return model.train(model.split(rows)[0], factors)
+
+    return once(spark, f"{model.TREES} trees on {','.join(factors)} of {sf_dir}", fit)
 
 
 @register
@@ -807,53 +833,79 @@ def station_clusters(spark, sf_dir):
     return profile.label_profile(profile.station_profile(rows), centers)
 
 
+@register
+def training_rows(spark, sf_dir):
+    """Rows the model is trained on and tested with, and those left out for a missing factor."""
+    return model.missing_factors(_selected_features(spark, sf_dir), features.IMPORTANT_FACTORS)
+
+
 @register
 def train_gbt(spark, sf_dir):
     """Predictions on the hold-out rows."""
-    train_rows, test_rows = model.split(_stored_features(spark, sf_dir))
-    scored = model.score(model.train(train_rows, trees=QUERY_TREES), test_rows)
+    _, test_rows = model.split(_selected_features(spark, sf_dir))
+    scored = model.score(_fitted(spark, sf_dir), test_rows)
     return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred")
 
 
 @register
 def factor_comparison(spark, sf_dir):
-    return model.compare_factors(spark, _weather_features(spark, sf_dir), QUERY_TREES)
+    _, test_rows = model.split(_model_features(spark, sf_dir))
+    return model.compare_factors(spark, test_rows, {
+        "considered": _fitted(spark, sf_dir, features.CONSIDERED_FACTORS), "important": _fitted(spark, sf_dir),
+    })
 
 
 @register
 def feature_importance(spark, sf_dir):
-    fitted = model.train(_weather_features(spark, sf_dir), features.CONSIDERED_FACTORS, QUERY_TREES)
+    fitted = _fitted(spark, sf_dir, features.CONSIDERED_FACTORS)
     return model.importances(spark, fitted, features.CONSIDERED_FACTORS)
 
 
-def _trained(spark, sf_dir, rows: DataFrame):
-    training = views.in_range(rows, views.TRAINING)
-    return model.train(_features_of(spark, sf_dir, training, "truncate"), trees=QUERY_TREES)
-
-
 @register
 def score_unseen(spark, sf_dir):
+    """Every row of the unseen week in service hours; without a prediction where a factor is missing."""
     rows = views.stored_slots(spark, sf_dir)
     week = _features_of(spark, sf_dir, views.in_range(rows, views.UNSEEN), "half_even")
-    scored = model.score(_trained(spark, sf_dir, rows), evaluate.service_hours(week))
+    scored = model.score(_fitted(spark, sf_dir), evaluate.service_hours(week))
     return evaluate.absolute_errors(scored).select(
         "number", "date", "time", "bike_stands", "avg_stands", "pred", "error"
     )
 
 
+@register
+def scored_rows(spark, sf_dir):
+    """What of ``score_unseen`` does not depend on the trees: its rows, which have a prediction, and that it is plausible."""
+    target = model.split(_selected_features(spark, sf_dir))[0].agg(F.max("avg_stands").alias("most"))
+    scored = score_unseen(spark, sf_dir).join(F.broadcast(target))  # one row
+    return scored.select(
+        "number", "date", "time", "bike_stands", "avg_stands", F.col("pred").isNotNull().alias("known"),
+        F.coalesce(F.col("pred").between(0, F.col("most")), F.lit(True)).alias("plausible"))
+
+
 @register
 def model_roundtrip(spark, sf_dir):
     """Predictions of the saved and reloaded model, with the time decoded by it."""
     path = scratch_path(spark, "model")
-    rows = _stored_features(spark, sf_dir)
-    model.save(model.train(rows, trees=QUERY_TREES), path)
+    model.save(_fitted(spark, sf_dir), path)
     fitted = model.load(path)
-    scored = model.decode_time(fitted, model.score(fitted, rows))
+    scored = model.decode_time(fitted, model.score(fitted, _stored_features(spark, sf_dir)))
     return scored.select("number", "date", "time", "bike_stands", "decoded_time", "pred")
 
 
+@register
+def reloaded_model(spark, sf_dir):
+    """Rows on which the reloaded model differs from the one that was saved, and whose time it does not decode."""
+    again = model_roundtrip(spark, sf_dir)
+    first = model.score(_fitted(spark, sf_dir), _stored_features(spark, sf_dir)).select(
+        "number", "date", "time", "bike_stands", F.col("pred").alias("before"))
+    both = again.join(first, ["number", "date", "time", "bike_stands"])
+    return both.agg(
+        F.count("*").alias("row_count"), F.count_if(~F.col("pred").eqNullSafe(F.col("before"))).alias("changed"),
+        F.count_if(~F.col("decoded_time").eqNullSafe(F.col("time"))).alias("wrong_times"))
+
+
 @register
 def forecast_requests(spark, sf_dir):
-    """All requests answered by a model trained on the training range."""
+    """All requests answered by the model."""
     rows = views.stored_slots(spark, sf_dir)
-    return forecast.answer(forecast.predicted(_trained(spark, sf_dir, rows), _inputs(spark, sf_dir, rows)))
+    return forecast.answer(forecast.predicted(_fitted(spark, sf_dir), _inputs(spark, sf_dir, rows)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import clock
 from stationflow.operators import clean, slots
-from stationflow.session import scratch_path
+from stationflow.session import once, scratch_path
 from stationflow.sources import files
 
 TRAINING = ("2024-01-01", "2024-01-21")
@@ -80,14 +80,17 @@ def slot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_slots(spark: SparkSession, sf_dir: str, bounds: tuple[str, str] | None = None) -> DataFrame:
-    """The slot table written once below the shared folder and read back.
+    """The slot table, written once per session and folder below the shared folder.
 
-    For queries that pass over it more than once: the raw rows are read and
-    rolled up a single time. Partitioned by station for the steps that follow.
+    The raw rows are read and rolled up a single time for all queries that pass
+    over it. Partitioned by station for the steps that follow.
     """
-    path = scratch_path(spark, "slots")
-    files.write_slots(slot_table(spark, sf_dir), path)
-    return by_station(files.read_slots(spark, path), bounds)
+    def write() -> str:
+        path = scratch_path(spark, "slots")
+        files.write_slots(slot_table(spark, sf_dir), path)
+        return path
+
+    return by_station(files.read_slots(spark, once(spark, f"slots of {sf_dir}", write)), bounds)
 
 
 def by_station(rows: DataFrame, bounds: tuple[str, str] | None = None) -> DataFrame:

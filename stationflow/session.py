@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any, TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
 _local_dirs: dict[str, str] = {}
+_roots: set[str] = set()
+_made: dict[tuple[str, str], Any] = {}
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -35,25 +42,45 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root for staged tables and checkpoints: ``spark.checkpoint.dir``.
+    """Root for staged tables and checkpoints: ``spark.checkpoint.dir``, or the folder the context was given.
 
-    A machine-local folder is used only with a local master and only when the
-    setting is absent; on a cluster an absent setting is an error, because
-    executors could not see each other's files.
+    A machine-local folder is used only with a local master and only when
+    neither is set; on a cluster that is an error, because executors could not
+    see each other's files.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="stationflow-")
         context.setCheckpointDir(_local_dirs[app])
+        atexit.register(shutil.rmtree, _local_dirs[app], True)
     return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted when the program ends."""
+    root = f"{shared_dir(spark)}/stationflow-{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        _roots.add(root)
+        atexit.register(_delete, spark, root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, root: str) -> None:
+    """Works while the session does; a session that was stopped before leaves its folder."""
+    if spark.sparkContext._jsc is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def once(spark: SparkSession, what: str, make: Callable[[], T]) -> T:
+    """``make()``, or what it gave before in this session under the same name."""
+    key = (spark.sparkContext.applicationId, what)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]

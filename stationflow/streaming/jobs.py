@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from stationflow import schemas
 from stationflow.functions import clock
 from stationflow.operators.clean import DEDUP_KEY
-from stationflow.operators.pairing import LEAD_MS, TOLERANCE_MS
+from stationflow.operators.pairing import LEAD_MS
 
 WATERMARK = "10 minutes"
 DELTA_SCHEMA = (
@@ -92,9 +92,9 @@ def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
             continue
         pairs += [
             (i, key[0], due - LEAD_MS, n, row.event_id, row.due_ms, row.stands)
-            for i, due, n in zip(ids, dues, counts) if due <= row.due_ms <= due + TOLERANCE_MS
+            for i, due, n in zip(ids, dues, counts) if due <= row.due_ms
         ]
-        # Those still due later keep waiting; the rest are answered or too old.
+        # Those still due later keep waiting; the rest are answered.
         waiting = [(i, due, n) for i, due, n in zip(ids, dues, counts) if due > row.due_ms]
         ids, dues, counts = (list(v) for v in zip(*waiting)) if waiting else ([], [], [])
     state.update((ids, dues, counts))
@@ -102,7 +102,7 @@ def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
 
 
 def pair_stream(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Forecasts paired with the first observation at least 15 minutes later, at most a day.
+    """Forecasts paired with the first observation at least 15 minutes later.
 
     State per station is the list of forecasts still waiting; every row is seen
     once. A forecast that is never answered gives no row.

@@ -1,12 +1,20 @@
 """k-means and boosted trees: properties instead of values."""
 
+import compare
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from stationflow.operators import model, profile
+from stationflow.operators import features, model, profile
 from stationflow.plans import queries, views
 
 
+@pytest.fixture(autouse=True)
+def few_trees(monkeypatch):
+    """Registered queries fit all trees; here a few are enough."""
+    monkeypatch.setattr(model, "TREES", 5)
+
+
 def test_centroids_are_numbered_by_sum(spark, small_dir):
     rows = entry.queries()["centroids_long"](spark, small_dir)
     sums = [r.sum_of_stands for r in model.center_sums(rows).orderBy("cluster").collect()]
@@ -42,6 +50,36 @@ def test_importances_are_relative_to_the_largest(spark, small_dir):
     assert len(values) == 9 and max(values) == 100.0 and min(values) >= 0.0
 
 
-def test_model_queries_give_rows(spark, small_dir):
-    for name in ("score_unseen", "model_roundtrip", "forecast_requests", "factor_comparison"):
-        assert entry.queries()[name](spark, small_dir).count() > 0
+def _rows(name, spark, small_dir):
+    return entry.queries()[name](spark, small_dir).collect()
+
+
+def test_scoring_keeps_every_row(spark, small_dir):
+    rows = queries._stored_features(spark, small_dir)
+    fitted = model.train(rows, trees=3)
+    scored = model.score(fitted, rows)
+    assert scored.count() == rows.count()
+    missing = rows.where(~model.complete(rows, features.IMPORTANT_FACTORS)).count()
+    assert missing > 0 and scored.where("pred IS NULL").count() == missing
+    counts = {r.factor: r.row_count for r in model.missing_factors(rows, features.IMPORTANT_FACTORS).collect()}
+    assert counts["dropped"] == missing and counts["usable"] == rows.count() - missing
+
+
+def test_model_queries_give_their_rows(spark, small_dir):
+    unseen = queries._features(spark, small_dir, views.UNSEEN, "half_even").where("time >= '05:30:00'").count()
+    assert len(_rows("score_unseen", spark, small_dir)) == unseen
+    assert len(_rows("model_roundtrip", spark, small_dir)) == queries._features(spark, small_dir).count()
+    assert len(_rows("forecast_requests", spark, small_dir)) == views.requests(spark, small_dir).count()
+    assert {r.factors: r.factor_count for r in _rows("factor_comparison", spark, small_dir)} == {"considered": 9, "important": 7}
+    hold_out = model.split(queries._selected_features(spark, small_dir))[1].count()
+    assert len(_rows("train_gbt", spark, small_dir)) == hold_out
+
+
+def test_a_model_is_fitted_once(spark, small_dir):
+    assert queries._fitted(spark, small_dir) is queries._fitted(spark, small_dir)
+
+
+@pytest.mark.parametrize("name", ["scored_rows", "reloaded_model"])
+def test_companions_equal_sql(spark, small_dir, name):
+    con = compare.duck(small_dir)
+    assert compare.differences(entry.queries()[name](spark, small_dir), con, entry.oracle_sql()[name]) == []
