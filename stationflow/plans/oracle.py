@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stationflow.functions.clock import SLOT_LEVELS, WEEKDAYS
-from stationflow.plans.oracle_views import with_views
+from stationflow.plans.oracle_views import SLOT_STAMP, with_views
 from stationflow.plans.views import TRAINING, UNSEEN
 
 ORACLE: dict[str, str] = {}
@@ -444,10 +444,13 @@ step("catalog_view", """
 
 # Files and streams
 
-_EVEN, _ODD = "event_id % 2 = 0", "event_id % 2 = 1"
+_EVEN = "event_id % 2 = 0"
 _LOG = "pred_stands, pred_bikes, actual_time, actual_stands, actual_bikes"
 
-step("scan_csv_roundtrip", f"SELECT {_RAW}, CAST(1 AS INTEGER) AS source_priority FROM obs_id WHERE {_ODD}")
+step("scan_csv_roundtrip", """
+    SELECT number, concat(' "Café", n° ', number, ' ') AS name,
+           CASE WHEN number % 3 = 0 THEN '' ELSE concat('The "Long", Rue ', number) END AS address,
+           bike_stands, available_bike_stands, last_update, CAST(1 AS INTEGER) AS source_priority FROM obs""")
 step("scan_json_snapshots", f"SELECT {_RAW}, CAST(0 AS INTEGER) AS source_priority FROM obs_id WHERE {_EVEN}")
 step("file_day_key", """
     SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'file:/landing/snapshot.json'
@@ -459,7 +462,23 @@ step("incremental_days", f"""
     WHERE day(make_timestamp(last_update * 1000)) % 2 = 0""")
 step("sink_roundtrip", "SELECT * FROM slots")
 step("slot_store", "SELECT * FROM unseen")
-step("forecast_log", f"SELECT number, time - time % 86400 AS time, {_LOG} FROM forecast_log")
+step("forecast_log", f"SELECT number, time, {_LOG} FROM forecast_log")
+step("compacted_days", f"""
+    SELECT {_RAW}, strftime(make_timestamp(last_update * 1000), '%a-%d-%m-%Y') AS day FROM obs_unique""")
+step("geography_file", "SELECT * FROM geo")
+step("weather_file", "SELECT * FROM weather")
+step("prepared_slots", f"""
+    SELECT number, name, address, date, time, weekday, min(bike_stands) AS bike_stands, CAST(sum(diff) AS BIGINT) AS diff,
+           arg_max(available_bike_stands, last_update * 1000 + available_bike_stands) AS available_stands,
+           CAST(sum(greatest(diff, 0)) AS BIGINT) AS check_in, CAST(sum(greatest(-diff, 0)) AS BIGINT) AS check_out
+    FROM (SELECT *, strftime({SLOT_STAMP}, '%Y-%m-%d') AS date, strftime({SLOT_STAMP}, '%H:%M:00') AS time,
+                 strftime({SLOT_STAMP}, '%a') AS weekday, available_bike_stands - coalesce(lag(available_bike_stands) OVER (
+                     PARTITION BY number, name, address ORDER BY last_update, available_bike_stands),
+                     available_bike_stands) AS diff
+          FROM (SELECT DISTINCT number, CASE WHEN number = 1 THEN 'CLARENDON ROW' ELSE name END AS name,
+                       CASE WHEN number = 1 THEN 'Claredon Row' ELSE address END AS address,
+                       bike_stands, available_bike_stands, last_update FROM obs) u) d
+    GROUP BY number, name, address, date, time, weekday""")
 step("scan_forecast_log", f"SELECT number, time, {_LOG} FROM forecast_log")
 step("stream_dedup", f"SELECT {_RAW} FROM obs_unique")
 step("stream_slots", """

@@ -7,7 +7,7 @@ import re
 from stationflow.plans.views import CENTERS, TRAINING, UNSEEN
 
 _SLOT = "(last_update - last_update % 600000)"
-_STAMP = f"make_timestamp({_SLOT} * 1000)"
+SLOT_STAMP = f"make_timestamp({_SLOT} * 1000)"
 
 VIEWS: dict[str, str] = {
     "obs_id": """
@@ -40,8 +40,8 @@ VIEWS: dict[str, str] = {
         SELECT *, available_bike_stands - last_available_stands AS diff,
                greatest(available_bike_stands - last_available_stands, 0) AS check_in,
                greatest(last_available_stands - available_bike_stands, 0) AS check_out,
-               strftime({_STAMP}, '%Y-%m-%d') AS date, strftime({_STAMP}, '%H:%M:00') AS time,
-               strftime({_STAMP}, '%a') AS weekday
+               strftime({SLOT_STAMP}, '%Y-%m-%d') AS date, strftime({SLOT_STAMP}, '%H:%M:00') AS time,
+               strftime({SLOT_STAMP}, '%a') AS weekday
         FROM (SELECT *, coalesce(lag(available_bike_stands) OVER (
                   PARTITION BY number, name, address ORDER BY last_update, available_bike_stands),
                   available_bike_stands) AS last_available_stands FROM obs_unique) q""",

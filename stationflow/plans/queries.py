@@ -659,8 +659,10 @@ def _landed_json(spark, sf_dir) -> str:
 
 @register
 def scan_csv_roundtrip(spark, sf_dir):
+    """All observations through CSV with names that need quoting, a leading column without a name and another order."""
     path = scratch_path(spark, "history")
-    files.save_csv(views.obs_csv(spark, sf_dir), path)
+    rows = views.obs_odd_names(spark, sf_dir)
+    files.save_csv(rows.select(F.lit(1).alias(""), "last_update", *schemas.OBSERVATION_COLUMNS[:5]), path, encoding=files.ENCODING)
     return files.read_observations_csv(spark, path).drop("path")
 
 
@@ -692,7 +694,53 @@ def incremental_days(spark, sf_dir):
     """Odd days are done already; the others are compacted."""
     rows = _by_day(spark, sf_dir)
     done = rows.where(F.substring("day", 10, 1).cast("int") % 2 == 1).select("day")
-    return files.dedup_by_day(files.pending(rows, done))
+    return files.dedup_by_day(files.pending(rows, done)).drop("path")
+
+
+@register
+def compacted_days(spark, sf_dir):
+    """Files land in two parts, late files of days that were taken before among the second, and are compacted in two runs."""
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "days")
+    rows = views.obs_dirty(spark, sf_dir).dropna("any")
+    date = clock.utc_date(F.col("last_update"))
+    named = rows.withColumn("day", F.concat(clock.weekday_name(date), F.date_format(date, "-dd-MM-yyyy")))
+    arrays = named.groupBy("day", (F.col("number") % 2).alias("part")).agg(F.to_json(F.collect_list(F.struct(*schemas.OBSERVATION_COLUMNS))).alias("value"))
+    for part in (0, 1):
+        # one file a day and part, in a folder with the day's name
+        arrays.where(F.col("part") == part).select("value", F.concat("day", F.lit(f"-{part}")).alias("file")).write.partitionBy("file").text(f"{landing}/{part}")
+    for part in (0, 1):
+        files.compact_days(spark, f"{landing}/{part}", table, multi_line=False)
+    return files.read_compacted(spark, table).select(*schemas.OBSERVATION_COLUMNS, "day")
+
+
+@register
+def prepared_slots(spark, sf_dir):
+    """Snapshots and history with rows in both, station 1 renamed, as one slot table."""
+    json, history = scratch_path(spark, "json"), scratch_path(spark, "history")
+    rows = views.obs_id(spark, sf_dir)
+    rows.where("event_id % 2 = 0").select(F.to_json(F.array(F.struct(*schemas.OBSERVATION_COLUMNS))).alias("value")).write.text(json)
+    # every third row is in both; the history gives it another address, which must lose
+    files.save_csv(rows.where("event_id % 2 = 1 or event_id % 3 = 0").withColumn("address", F.when(
+        (F.col("event_id") % 2 == 0), F.lit("Elsewhere")).otherwise(F.col("address"))).select(*schemas.OBSERVATION_COLUMNS), history)
+    sources = files.read_snapshots_json(spark, json, multi_line=False), files.read_observations_csv(spark, history)
+    return slots.build_slots(clean.union_sources(*sources))
+
+
+@register
+def geography_file(spark, sf_dir):
+    path = scratch_path(spark, "geography")
+    files.save_csv(views.geo(spark, sf_dir), path)
+    return files.read_geography(spark, path)
+
+
+@register
+def weather_file(spark, sf_dir):
+    """Weather written as text and read back, cleaned like the table itself."""
+    path = scratch_path(spark, "weather")
+    files.save_csv(views.weather_raw(spark, sf_dir), path)
+    return features.weather_by_slot(files.read_weather(spark, path))
+
+
 
 
 @register
@@ -713,9 +761,7 @@ def slot_store(spark, sf_dir):
 @register
 def forecast_log(spark, sf_dir):
     path = scratch_path(spark, "forecast-log")
-    log = views.forecast_log(spark, sf_dir)
-    daily = log.withColumn("time", F.col("time") - F.col("time") % 86400)
-    files.append_forecast_log(daily, path)
+    files.append_forecast_log(views.forecast_log(spark, sf_dir), path)
     return files.read_forecast_log(spark, path)
 
 

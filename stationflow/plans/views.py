@@ -74,6 +74,15 @@ def obs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs_id(spark, sf_dir).where(F.col("event_id") % 2 == 1).drop("event_id")
 
 
+def obs_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations whose names and addresses hold quotes, commas, spaces and accents; some addresses are empty."""
+    number = F.col("number")
+    return obs(spark, sf_dir).withColumns({
+        "name": F.concat(F.lit(' "Café", n° '), number.cast("string"), F.lit(" ")),
+        "address": F.when(number % 3 == 0, F.lit("")).otherwise(F.concat(F.lit('The "Long", Rue '), number.cast("string"))),
+    })
+
+
 def slot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No station is renamed here: test stations keep their own names."""
     return slots.build_slots(obs_dirty(spark, sf_dir), renamed={})

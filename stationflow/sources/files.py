@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,25 +11,77 @@ from stationflow import schemas
 from stationflow.operators.clean import (
     DEDUP_KEY, clean_observations, dedup_observations, rename_stations, union_sources,
 )
+from stationflow.session import scratch_path
 
 # Fixed value: day key inside a snapshot file name, Www-dd-mm-yyyy.
 DAY_KEY_PATTERN = r"([A-Z]{1}[a-z]{2})-([0-2][0-9]|3[0-1])-(0[0-9]|1[0-2])-\d{4}"
 # Snapshots come first in the union, so they win over the CSV history.
 SNAPSHOT_PRIORITY, HISTORY_PRIORITY = 0, 1
 ENCODING = "ISO-8859-1"
+# How CSV is written and read: a quote inside a quoted field is doubled, and nothing is trimmed.
+DIALECT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Stands for a quoted empty field while reading, which Spark would take for NULL.
+EMPTY = "\u0001"
 
 
-def read_observations_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A directory of observation CSV files, with the origin of each row."""
-    rows = (
-        spark.read.schema(schemas.OBSERVATION).option("header", True).option("encoding", ENCODING).csv(path)
-    )
-    return rows.select(
-        "*", F.lit(HISTORY_PRIORITY).alias("source_priority"), F.col("_metadata.file_path").alias("path")
-    )
+def _restored(rows: DataFrame) -> DataFrame:
+    """Quoted empty fields as empty text; fields without anything stay NULL."""
+    return rows.withColumns({
+        name: F.when(F.col(f"`{name}`") == EMPTY, "").otherwise(F.col(f"`{name}`")) for name, kind in rows.dtypes if kind == "string"
+    })
+
 
+def read_csv(spark: SparkSession, path: str | list[str], schema: str, encoding: str = "UTF-8") -> DataFrame:
+    """CSV with a header and doubled quotes; spaces and empty texts are kept. Columns by position."""
+    return _restored(spark.read.options(**DIALECT, emptyValue=EMPTY, encoding=encoding).schema(schema).csv(path))
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all files below a folder, or of a file; their content is not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return sorted(r.path for r in found.collect())
+
+
+def first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = folder.getFileSystem(spark._jsc.hadoopConfiguration()).open(folder)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, encoding))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
 
-def read_snapshots_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+
+def read_observations_csv(spark: SparkSession, path: str, encoding: str = ENCODING) -> DataFrame:
+    """A directory of observation CSV files, with the origin of each row.
+
+    Columns are found by their headings, file by file: their order is free, and
+    unnamed and other columns are left out. Files that lack a column raise an
+    error. Files with the same header are read together.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in list_files(spark, path):
+        if line := first_line(spark, file, encoding):  # an empty file has nothing to say
+            header = tuple(name or f"Unnamed: {i}" for i, name in enumerate(next(csv.reader([line]))))
+            groups.setdefault(header, []).append(file)
+    wrong = [files for header, files in groups.items() if not set(schemas.OBSERVATION_COLUMNS) <= set(header)]
+    if wrong:
+        raise ValueError(f"files without the observation columns: {[f for files in wrong for f in files][:20]}")
+    out = spark.createDataFrame([], f"{schemas.OBSERVATION}, source_priority INT, path STRING")
+    for header, paths in groups.items():
+        named = ", ".join(f"`{i}:{name.replace('`', '')}` STRING" for i, name in enumerate(header))
+        rows = read_csv(spark, paths, named, encoding)
+        columns = []
+        for field in out.schema[:len(schemas.OBSERVATION_COLUMNS)]:
+            i = header.index(field.name)
+            text = F.col(f"`{i}:{field.name}`")
+            whole = F.coalesce(text.try_cast("bigint"), text.try_cast("double").cast("bigint"))  # 12.0 beside missing values
+            columns.append((text if field.dataType.simpleString() == "string" else whole).alias(field.name))
+        out = out.unionByName(rows.select(*columns, F.lit(HISTORY_PRIORITY).alias("source_priority"), F.col("_metadata.file_path").alias("path")))
+    return out
+
+
+def read_snapshots_json(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Snapshot files, each an array of stations; empty arrays give no rows.
 
     With ``multi_line`` off a file holds one array per line, which large landed
@@ -41,8 +95,8 @@ def read_snapshots_json(spark: SparkSession, path: str, multi_line: bool = True)
 
 
 def day_key(path: Column) -> Column:
-    """Day key of a snapshot file name; empty when the name has none."""
-    return F.regexp_extract(F.substring_index(path, "/", -1), DAY_KEY_PATTERN, 0)
+    """Day key of a snapshot file, from its name or its folder's; empty when neither has one."""
+    return F.regexp_extract(F.substring_index(path, "/", -2), DAY_KEY_PATTERN, 0)
 
 
 def unmatched_files(snapshots: DataFrame) -> DataFrame:
@@ -54,28 +108,36 @@ def pending(rows: DataFrame, done: DataFrame) -> DataFrame:
     return rows.join(done.select("day").distinct(), "day", "left_anti")
 
 
-def compacted_days(spark: SparkSession, path: str) -> DataFrame:
-    """Days already written below ``path``, from its folder names; empty when nothing is there."""
+def _exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
-    days = [(n.removeprefix("day="),) for n in names if n.startswith("day=")]
-    return spark.createDataFrame(days, "day STRING")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def compact_days(snapshots: DataFrame, path: str) -> None:
-    """Write each day that is not there yet, cleaned and de-duplicated.
+def compact_days(spark: SparkSession, landing: str, path: str, multi_line: bool = True) -> DataFrame:
+    """Take the snapshot files that are new since the last run into the day table at ``path``.
 
-    Rebalancing by day merges small partitions and splits a day that is too
-    large for one task.
+    ``path``-files lists what has been taken; only other files are read. Their
+    days are merged with what is there, so a late file loses nothing, and a run
+    that broke off before its list was written is simply repeated. Returns the
+    paths whose names have no day; they are not taken.
     """
-    spark = snapshots.sparkSession
-    keyed = snapshots.withColumn("day", day_key(F.col("path"))).where(F.col("day") != "")
-    rows = dedup_by_day(pending(keyed, compacted_days(spark, path)))
-    (
-        rows.hint("rebalance", "day")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-    )
+    manifest = f"{path}-files"
+    names = spark.createDataFrame([(f,) for f in list_files(spark, landing)], "path STRING")
+    known = spark.read.schema("path STRING").parquet(manifest) if _exists(spark, manifest) else names.limit(0)
+    found = names.join(known, "path", "left_anti").withColumn("day", day_key(F.col("path")))
+    new = [r.path for r in found.where("day <> ''").collect()]
+    if new:
+        rows = read_snapshots_json(spark, new, multi_line).withColumn("day", day_key(F.col("path")))
+        if _exists(spark, path):
+            rows = read_compacted(spark, path).join(F.broadcast(found.select("day").distinct()), "day", "left_semi").unionByName(rows)
+        staged = scratch_path(spark, "days")
+        dedup_by_day(rows).hint("rebalance", "day").write.parquet(staged)
+        (
+            spark.read.schema(DAY_TABLE).parquet(staged)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        )
+        spark.createDataFrame([(f,) for f in new], "path STRING").write.mode("append").parquet(manifest)
+    return found.where("day = ''").select("path")
 
 
 def dedup_by_day(keyed: DataFrame) -> DataFrame:
@@ -86,12 +148,14 @@ def dedup_by_day(keyed: DataFrame) -> DataFrame:
     )
     return kept.select(*[
         F.col(c) if c in DEDUP_KEY else F.col(f"kept.{c}").alias(c) for c in schemas.OBSERVATION_COLUMNS
-    ], "day")
+    ], F.col("kept.path").alias("path"), "day")
+
+
+DAY_TABLE = f"{schemas.OBSERVATION}, path STRING, day STRING"
 
 
 def read_compacted(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(f"{schemas.OBSERVATION}, day STRING").parquet(path)
-    return rows.withColumn("source_priority", F.lit(SNAPSHOT_PRIORITY)).withColumn("path", F.col("day"))
+    return spark.read.schema(DAY_TABLE).parquet(path).withColumn("source_priority", F.lit(SNAPSHOT_PRIORITY))
 
 
 def prepare(*sources: DataFrame) -> DataFrame:
@@ -111,23 +175,21 @@ def read_forecast_log(spark: SparkSession, path: str, header: bool = True) -> Da
 
 
 def append_forecast_log(log: DataFrame, path: str) -> None:
-    """Append log rows, one folder per tick (epoch second of the forecast)."""
-    headed = log.withColumn("tick", F.col("time")).withColumnsRenamed(schemas.FORECAST_LOG_HEADINGS)
-    (
-        headed.hint("rebalance", "tick")
-        .write.mode("append").option("header", True).partitionBy("tick").csv(path)
-    )
+    """Append log rows, one folder per day of the forecast."""
+    day = F.date_format(F.timestamp_seconds("time"), "yyyy-MM-dd")
+    headed = log.withColumn("day", day).withColumnsRenamed(schemas.FORECAST_LOG_HEADINGS)
+    headed.hint("rebalance", "day").write.mode("append").options(**DIALECT).partitionBy("day").csv(path)
 
 
-def save_csv(df: DataFrame, path: str, headings: dict[str, str] | None = None) -> None:
-    """UTF-8 CSV with a header, replacing what is there. ``headings`` renames at the edge."""
+def save_csv(df: DataFrame, path: str, headings: dict[str, str] | None = None, encoding: str = "UTF-8") -> None:
+    """CSV with a header, replacing what is there. ``headings`` renames at the edge."""
     out = df.withColumnsRenamed(headings) if headings else df
-    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    out.write.mode("overwrite").options(**DIALECT, emptyValue='""', encoding=encoding).csv(path)
 
 
 def read_slots_csv(spark: SparkSession, path: str, parse_dates: bool = False) -> DataFrame:
     """The slot table from exchanged CSV; ``date`` stays text unless it is to be parsed."""
-    rows = spark.read.schema(schemas.SLOT_FACT).option("header", True).option("enforceSchema", True).csv(path)
+    rows = read_csv(spark, path, schemas.SLOT_FACT)
     return rows.withColumn("date", F.to_date("date")) if parse_dates else rows
 
 
@@ -152,8 +214,8 @@ def read_slots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geography(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.GEOGRAPHY).option("header", True).csv(path)
+    return read_csv(spark, path, schemas.GEOGRAPHY)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.WEATHER).option("header", True).csv(path)
+    return read_csv(spark, path, schemas.WEATHER)

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from stationflow.operators import features, slots
 from stationflow.plans import views
 from stationflow.schemas import SLOT_FACT_HEADINGS
@@ -29,19 +31,36 @@ def test_snapshots_are_arrays_and_empty_files_give_nothing(spark, tmp_path):
     assert [r.path.split("/")[-1] for r in files.unmatched_files(rows).collect()] == ["notes.json"]
 
 
-def test_compaction_adds_only_new_days(spark, tmp_path):
+def test_compaction_reads_only_new_files_and_merges_late_ones(spark, tmp_path):
     landing, out = tmp_path / "in", str(tmp_path / "out")
     landing.mkdir()
     land(landing, "Mon-06-11-2017-08-00.json", [station(1, 1000, 5)])
     land(landing, "Mon-06-11-2017-08-05.json", [station(1, 1000, 5), station(1, 2000, 6)])
-    files.compact_days(files.read_snapshots_json(spark, str(landing)), out)
-    assert files.read_compacted(spark, out).count() == 2
-    land(landing, "Mon-06-11-2017-09-00.json", [station(1, 9000, 5)])
+    land(landing, "notes.json", [station(9, 1000, 5)])
+    for _ in range(2):  # the second run finds nothing new
+        left = files.compact_days(spark, str(landing), out)
+        assert [r.path.split("/")[-1] for r in left.collect()] == ["notes.json"]
+        assert files.read_compacted(spark, out).count() == 2
+    # a file that has been taken is not read again, whatever becomes of it
+    (landing / "Mon-06-11-2017-08-00.json").write_text("broken")
+    land(landing, "Mon-06-11-2017-09-00.json", [station(1, 9000, 5), station(1, 2000, 6)])
     land(landing, "Tue-07-11-2017-08-00.json", [station(1, 3000, 7)])
-    files.compact_days(files.read_snapshots_json(spark, str(landing)), out)
+    files.compact_days(spark, str(landing), out)
     kept = files.read_compacted(spark, out).collect()
     assert sorted((r.day, r.last_update) for r in kept) == [
-        ("Mon-06-11-2017", 1000), ("Mon-06-11-2017", 2000), ("Tue-07-11-2017", 3000)]
+        ("Mon-06-11-2017", 1000), ("Mon-06-11-2017", 2000), ("Mon-06-11-2017", 9000), ("Tue-07-11-2017", 3000)]
+
+
+def test_headings_place_the_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(',number,name,address,bike_stands,available_bike_stands,last_update\n0,4,"A ""B"", C"," lead ",20,3,1000\n')
+    (tmp_path / "b.csv").write_text('last_update,name,number,address,bike_stands,available_bike_stands,Unnamed: 6\n2000,,5,"",20.0,4.0,x\n')
+    (tmp_path / "c.csv").write_text("")
+    rows = {r.number: r for r in files.read_observations_csv(spark, str(tmp_path), "UTF-8").collect()}
+    assert (rows[4].name, rows[4].address, rows[4].last_update) == ('A "B", C', " lead ", 1000)
+    assert (rows[5].name, rows[5].address, rows[5].bike_stands, rows[5].available_bike_stands) == (None, "", 20, 4)
+    (tmp_path / "d.csv").write_text("number,name\n1,x\n")
+    with pytest.raises(ValueError, match="d.csv"):
+        files.read_observations_csv(spark, str(tmp_path))
 
 
 def test_latin1_history_and_preparation(spark, tmp_path):
