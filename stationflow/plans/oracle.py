@@ -487,11 +487,13 @@ step("stream_slots", """
            count(*) AS row_count
     FROM obs GROUP BY number, name, address, slot_ms
     HAVING slot_ms + 600000 <= (SELECT max(last_update) FROM obs) - 600000""")
-step("stream_deltas", f"SELECT {_RAW}, last_available_stands, diff, check_in, check_out FROM deltas")
+step("stream_deltas", f"""
+    SELECT {_RAW}, last_available_stands, diff, check_in, check_out FROM deltas
+    WHERE last_update < (SELECT max(last_update) FROM obs) - 600000""")
 step("stream_pairing", """
     SELECT p.event_id, p.number, p.pred_ms, p.pred_stands, a.event_id AS actual_event, a.actual_ms, a.actual_stands
-    FROM (SELECT *, pred_ms + 900000 AS due_ms FROM predictions) p
-    ASOF JOIN actuals a ON p.number = a.number AND p.due_ms <= a.actual_ms""")
+    FROM predictions p ASOF JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms
+    WHERE a.actual_ms < greatest((SELECT max(pred_ms) FROM predictions), (SELECT max(actual_ms) FROM actuals)) - 600000""")
 step("stream_intake", f"SELECT DISTINCT {_RAW} FROM obs_id WHERE {_EVEN}")
 
 _FACTORS = {

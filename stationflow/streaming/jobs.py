@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,65 +60,83 @@ def slot_stream(observations: DataFrame) -> DataFrame:
     )
 
 
+def _gathered(columns: list[str], kept: tuple, batches: Iterator[pd.DataFrame]) -> list[np.ndarray]:
+    """What the state holds of each column, and the new rows behind it."""
+    new = list(batches)
+    return [
+        np.concatenate([np.asarray(old, np.int64), *(b[c].to_numpy(np.int64) for b in new)]) for c, old in zip(columns, kept)
+    ]
+
+
 def _chain_deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches)).sort_values(["last_update", "available_bike_stands"], kind="stable")
-    stands = rows["available_bike_stands"]
-    before = state.get[0] if state.exists else int(stands.iloc[0])
-    rows["last_available_stands"] = stands.shift(1, fill_value=before)
-    rows["diff"] = stands - rows["last_available_stands"]
-    rows["check_in"] = rows["diff"].clip(lower=0)
-    rows["check_out"] = (-rows["diff"]).clip(lower=0)
-    state.update((int(stands.iloc[-1]),))
-    yield rows[DELTA_COLUMNS]
-
-
-def delta_stream(observations: DataFrame) -> DataFrame:
-    """Deltas against the chain's previous state, which is kept between micro-batches.
-
-    Inside a micro-batch rows are taken in event-time order; a row that arrives
-    in a later micro-batch follows those already seen.
+    before, *kept = state.get if state.exists else ([], [], [], [])
+    ms, free, capacity = _gathered(["last_update", "available_bike_stands", "bike_stands"], kept, batches)
+    order = np.lexsort((free, ms))
+    ms, free, capacity = ms[order], free[order], capacity[order]
+    done = int(np.searchsorted(ms, state.getCurrentWatermarkMs()))  # nothing before the watermark can still arrive
+    if done:
+        last = np.concatenate([[before[0] if len(before) else free[0]], free[:done - 1]])
+        diff = free[:done] - last
+        before = [int(free[done - 1])]
+        yield pd.DataFrame(dict(zip(DELTA_COLUMNS, (
+            *key, capacity[:done], free[:done], ms[:done], last, diff, diff.clip(min=0), (-diff).clip(min=0)))))
+    state.update((list(before), ms[done:].tolist(), free[done:].tolist(), capacity[done:].tolist()))
+    if done < len(ms):
+        state.setTimeoutTimestamp(int(ms[done]))
+
+
+def delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Deltas against the chain's previous observation in event time.
+
+    Rows wait in the state until the watermark has passed them and are then
+    taken in order, whichever micro-batch brought them. Rows that arrive at or
+    behind the watermark are dropped and counted in the query's progress.
+    Beside waiting rows the state of a chain is one number.
     """
-    return observations.select(*schemas.OBSERVATION_COLUMNS).groupBy("number", "name", "address").applyInPandasWithState(
-        _chain_deltas, DELTA_SCHEMA, "stands BIGINT", "append", GroupStateTimeout.NoTimeout
+    rows = observations.select(*schemas.OBSERVATION_COLUMNS, F.timestamp_millis("last_update").alias("event_time"))
+    return rows.withWatermark("event_time", delay).groupBy("number", "name", "address").applyInPandasWithState(
+        _chain_deltas, DELTA_SCHEMA, "last ARRAY<BIGINT>, ms ARRAY<BIGINT>, free ARRAY<BIGINT>, capacity ARRAY<BIGINT>",
+        "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
 def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    ids, dues, counts = (list(v) for v in state.get) if state.exists else ([], [], [])
-    pairs = []
-    rows = pd.concat(list(batches)).sort_values(["due_ms", "is_actual", "event_id"], kind="stable")
-    for row in rows.itertuples(index=False):
-        if not row.is_actual:
-            ids.append(row.event_id), dues.append(row.due_ms), counts.append(row.stands)
-            continue
-        pairs += [
-            (i, key[0], due - LEAD_MS, n, row.event_id, row.due_ms, row.stands)
-            for i, due, n in zip(ids, dues, counts) if due <= row.due_ms
-        ]
-        # Those still due later keep waiting; the rest are answered.
-        waiting = [(i, due, n) for i, due, n in zip(ids, dues, counts) if due > row.due_ms]
-        ids, dues, counts = (list(v) for v in zip(*waiting)) if waiting else ([], [], [])
-    state.update((ids, dues, counts))
-    yield pd.DataFrame(pairs, columns=PAIR_COLUMNS)
-
-
-def pair_stream(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
+    kept = state.get if state.exists else ([],) * 4
+    due, event, stands, actual = _gathered(["due_ms", "event_id", "stands", "is_actual"], kept, batches)
+    order = np.lexsort((event, due))
+    due, event, stands, actual = due[order], event[order], stands[order], actual[order] > 0
+    final = actual & (due < state.getCurrentWatermarkMs())  # all forecasts they can answer are here
+    at = np.searchsorted(due[final], due, "left")
+    answered = ~actual & (at < final.sum())
+    if answered.any():
+        to = at[answered]
+        yield pd.DataFrame(dict(zip(PAIR_COLUMNS, (
+            event[answered], key[0], due[answered] - LEAD_MS, stands[answered], event[final][to], due[final][to], stands[final][to]))))
+    rest = ~final & ~answered
+    state.update(tuple(x[rest].astype(np.int64).tolist() for x in (due, event, stands, actual)))
+    if (rest & actual).any():
+        state.setTimeoutTimestamp(int(due[rest & actual][0]))
+
+
+def pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Forecasts paired with the first observation at least 15 minutes later.
 
-    State per station is the list of forecasts still waiting; every row is seen
-    once. A forecast that is never answered gives no row.
+    Both sides wait in the state. When the watermark has passed an observation,
+    no earlier one and no forecast that it answers can still arrive: it is paired
+    and forgotten. A forecast waits as long as its station is silent, and gives
+    no row before it is answered.
     """
     asked = predictions.select(
         "number", "event_id", (F.col("pred_ms") + LEAD_MS).alias("due_ms"),
-        F.col("pred_stands").alias("stands"), F.lit(False).alias("is_actual"),
+        F.col("pred_stands").alias("stands"), F.lit(0).alias("is_actual"), F.timestamp_millis("pred_ms").alias("event_time"),
     )
     seen = actuals.select(
         "number", "event_id", F.col("actual_ms").alias("due_ms"),
-        F.col("actual_stands").alias("stands"), F.lit(True).alias("is_actual"),
+        F.col("actual_stands").alias("stands"), F.lit(1).alias("is_actual"), F.timestamp_millis("actual_ms").alias("event_time"),
     )
-    return asked.union(seen).groupBy("number").applyInPandasWithState(
-        _pair, PAIR_SCHEMA, "ids ARRAY<BIGINT>, dues ARRAY<BIGINT>, counts ARRAY<BIGINT>",
-        "append", GroupStateTimeout.NoTimeout,
+    return asked.union(seen).withWatermark("event_time", delay).groupBy("number").applyInPandasWithState(
+        _pair, PAIR_SCHEMA, "due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>",
+        "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 

@@ -20,14 +20,15 @@ def test_deltas_continue_over_batches_and_restarts(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
     first = [(1, 1000, 5), (1, 2000, 9), (2, 1000, 3)]
-    second = [(1, 3000, 4), (2, 9000, 3), (3, 1, 1)]
+    # the second batch brings rows from between those of the first, and one far later that closes both
+    second = [(1, 3000, 4), (1, 1500, 2), (2, 9000, 3), (3, 1, 1), (9, 9_000_000, 1)]
     feed(landing, "a.json", first)
     source = jobs.snapshot_stream(spark, str(landing), max_files=1)
     run(jobs.delta_stream(source), tmp_path, "deltas")
     feed(landing, "b.json", second)
     got = run(jobs.delta_stream(source), tmp_path, "deltas").collect()
     batch = slots.stand_deltas(spark.createDataFrame(
-        [(n, f"S{n}", "a", 20, free, ms) for n, ms, free in first + second], OBSERVATION))
+        [(n, f"S{n}", "a", 20, free, ms) for n, ms, free in (first + second)[:-1]], OBSERVATION))
     columns = jobs.DELTA_COLUMNS
     assert sorted(tuple(r[c] for c in columns) for r in got) == sorted(tuple(r) for r in batch.select(*columns).collect())
 
@@ -46,7 +47,7 @@ def test_copies_are_dropped_and_open_slots_withheld(spark, tmp_path):
 def test_pairing_waits_for_a_later_batch(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
-    minute = 60_000
+    minute, day = 60_000, 86_400_000
     schema = "kind STRING, event_id BIGINT, number BIGINT, ms BIGINT, stands BIGINT"
 
     def source():
@@ -56,13 +57,31 @@ def test_pairing_waits_for_a_later_batch(spark, tmp_path):
         return jobs.pair_stream(asked, seen)
 
     def lines(*rows):
-        return "\n".join(json.dumps(dict(zip(("kind", "event_id", "number", "ms", "stands"), r))) for r in rows)
+        # away from the beginning of time, where the first watermark is
+        return "\n".join(json.dumps(dict(zip(("kind", "event_id", "number", "ms", "stands"), (*r[:3], r[3] + day, r[4])))) for r in rows)
 
     (landing / "a.json").write_text(lines(("p", 1, 7, 0, 4), ("a", 2, 7, 5 * minute, 9), ("p", 3, 7, 10 * minute, 5)))
     assert run(source(), tmp_path, "pairs").count() == 0
     (landing / "b.json").write_text(lines(("a", 4, 7, 20 * minute, 6), ("a", 5, 7, 3000 * minute, 6)))
     got = run(source(), tmp_path, "pairs").collect()
-    assert [(r.event_id, r.actual_event) for r in got] == [(1, 4)]
+    assert [(r.event_id, r.actual_event) for r in got] == [(1, 4)]  # 5 is not final yet
+    (landing / "c.json").write_text(lines(("p", 6, 8, 3000 * minute, 1), ("a", 7, 8, 9000 * minute, 1)))
+    assert sorted((r.event_id, r.actual_event) for r in run(source(), tmp_path, "pairs").collect()) == [(1, 4), (3, 5)]
+
+
+def test_an_actual_before_its_forecast_is_not_forgotten(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    minute = 60_000
+    rows = [[("a", 1, 7, 120 * minute, 9)], [("p", 2, 7, 100 * minute, 5), ("a", 3, 7, 150 * minute, 8)], [("a", 4, 7, 199 * minute, 8)]]
+    schema = "kind STRING, event_id BIGINT, number BIGINT, ms BIGINT, stands BIGINT"
+    for i, part in enumerate(rows):
+        (landing / f"{i}.json").write_text("\n".join(json.dumps(dict(zip(("kind", "event_id", "number", "ms", "stands"), r))) for r in part))
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(landing))
+        asked = source.where("kind = 'p'").selectExpr("event_id", "number", "ms AS pred_ms", "stands AS pred_stands")
+        seen = source.where("kind = 'a'").selectExpr("event_id", "number", "ms AS actual_ms", "stands AS actual_stands")
+        got = run(jobs.pair_stream(asked, seen, "30 minutes"), tmp_path, "pairs").collect()
+    assert [(r.event_id, r.actual_event) for r in got] == [(2, 1)]
 
 
 def test_intake_takes_each_file_once(spark, small_dir):
