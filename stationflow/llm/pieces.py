@@ -30,7 +30,6 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.support import joined
+from stationflow.llm.support import blocks, joined
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_UNITS = 400_000
-BATCH_BYTES = 1 << 20
+CACHE_UNITS = 200_000
+BATCH_BYTES = 1 << 18
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -282,22 +281,12 @@ class Vocabulary:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def blocks(texts: list[str], most: int = 4 * BATCH_BYTES) -> Iterable[list[str]]:
-    """Runs of texts of some size together, so that a batch of long texts is worked off in parts."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= most:
-            yield part
-            part, size = [], 0
-    yield part
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
 
 
-def _lists(encoded: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
-    counts = np.concatenate([c for _, c in encoded])
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([i for i, _ in encoded])))
+def _together(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def encoder(df: DataFrame, path: str = MODEL_PATH):
@@ -308,7 +297,7 @@ def encoder(df: DataFrame, path: str = MODEL_PATH):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
         solved[:] = solved or [Solved()]
-        return _lists([shared.value.encode(part, solved[0]) for part in blocks(["" if t is None else t for t in texts.to_pylist()])])
+        return _together([_lists(*shared.value.encode(part, solved[0])) for part in blocks(texts)], pa.list_(pa.int32()))
 
     return encode
 
@@ -333,12 +322,12 @@ def round_trip(df: DataFrame, path: str = MODEL_PATH):
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
         solved[:] = solved or [Solved()]
-        encoded, decoded = [], []
-        for part in blocks(["" if t is None else t for t in texts.to_pylist()]):
+        parts = []
+        for part in blocks(texts):
             ids, counts = shared.value.encode(part, solved[0])
-            encoded.append((ids, counts))
             ends = np.cumsum(counts)
-            decoded += [shared.value.decode(ids[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]
-        return pa.StructArray.from_arrays([_lists(encoded), pa.array(decoded, pa.string())], names=["ids", "text"])
+            decoded = pa.array([shared.value.decode(ids[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())], pa.string())
+            parts.append(pa.StructArray.from_arrays([_lists(ids, counts), decoded], names=["ids", "text"]))
+        return _together(parts, pa.struct([("ids", pa.list_(pa.int32())), ("text", pa.string())]))
 
     return run

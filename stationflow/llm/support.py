@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.session import scratch_path
 
+_ROWS = 128
+
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the shared folder and read back: lost executors cost no recomputation."""
@@ -20,9 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def utf8(texts: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of each text; null counts as empty."""
-    return [b"" if t is None else t for t in texts.cast(pa.binary()).to_pylist()]
+def utf8(texts: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of each text; null counts as empty. Few of them are held at a time."""
+    data = texts.cast(pa.binary())
+    for at in range(0, len(data), _ROWS):
+        for t in data.slice(at, _ROWS).to_pylist():
+            yield b"" if t is None else t
+
+
+def blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts in runs of some bytes, null as empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield ["" if t is None else t for t in texts.slice(at, to - at).to_pylist()]
+        at = to
 
 
 def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import pieces
+from stationflow.llm.support import blocks as texts_in_blocks
 from stationflow.session import scratch_path
 
 END = 2  # the vocabulary's end-of-text id; encoded texts never hold it
@@ -50,8 +51,7 @@ def write(docs: DataFrame, path: str, id_name: str = "doc_id", text_name: str =
         solved, row = pieces.Solved(), 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            plain = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for part in pieces.blocks(plain):
+            for part in texts_in_blocks(batch.column(1)):
                 tokens, counts = shared.value.encode(part, solved)
                 ends = np.cumsum(counts)
                 flat = tokens.astype("<u2")
