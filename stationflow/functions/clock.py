@@ -19,9 +19,8 @@ WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 WORKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri"]
 SERVICE_START = "05:30:00"
 
-# Text of every 10-minute slot of a day, 00:00:00 .. 23:50:00, and of every half hour.
+# Text of every 10-minute slot of a day, 00:00:00 .. 23:50:00.
 SLOT_LEVELS = [f"{s // 6:02d}:{s % 6 * 10:02d}:00" for s in range(SLOTS_PER_DAY)]
-HALF_HOUR_LEVELS = [f"{s // 2:02d}:{s % 2 * 30:02d}:00" for s in range(48)]
 
 
 def _lookup(values: list[str], index: Column) -> Column:

@@ -46,6 +46,20 @@ def weekday_values(slots: DataFrame, measure: str, how: str) -> DataFrame:
     return slots.groupBy("number", "name", "weekday").agg(agg.alias("value"))
 
 
+def plot_values(slots: DataFrame) -> DataFrame:
+    """The values behind all three box plots: per station and weekday mean check-ins and check-outs, and the sum of both.
+
+    ``plot`` is measure and weekday, the group of a box.
+    """
+    wide = slots.groupBy("number", "name", "weekday").agg(
+        F.avg("check_in").alias("check_in"), F.avg("check_out").alias("check_out"),
+        F.sum(measure_column("activity")).cast("double").alias("activity"),
+    )
+    return wide.select("number", "name", "weekday", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in ("check_in", "check_out", "activity")
+    ]))).withColumn("plot", F.concat_ws(" ", "measure", "weekday"))
+
+
 def weekday_pivot(slots: DataFrame, measure: str, how: str) -> DataFrame:
     """The same with one column per weekday."""
     value = measure_column(measure)
@@ -102,7 +116,8 @@ def quartiles(values: DataFrame, group: str) -> DataFrame:
         at(F.floor(position)).alias("lower"), at(F.ceil(position)).alias("upper")
     )
     fraction = position - F.floor(position)
-    value = F.col("lower") + (F.col("upper") - F.col("lower")) * fraction
+    missed = F.raise_error(F.lit("a quartile lies outside its bracket")).cast("double")
+    value = F.coalesce(F.col("lower") + (F.col("upper") - F.col("lower")) * fraction, missed)
     return picked.groupBy(group, "n").agg(*[
         F.max(F.when(F.col("p") == p, value)).alias(name) for p, name in zip(QUARTILES, ("q1", "median", "q3"))
     ])

@@ -78,6 +78,25 @@ add("weekday_outliers", """
         FROM slots GROUP BY number, name, weekday""",
     fences=_FENCES)
 
+_PLOTS = " UNION ALL ".join(
+    f"SELECT number, name, weekday, '{m}' AS measure, CAST({e} AS DOUBLE) AS value FROM slots GROUP BY number, name, weekday"
+    for m, e in (("check_in", "avg(check_in)"), ("check_out", "avg(check_out)"), ("activity", "sum(check_in + check_out)")))
+_PLOT_FENCES = """
+    SELECT measure, weekday, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+           quantile_cont(value, 0.75) AS q3 FROM plot_values GROUP BY measure, weekday"""
+add("weekday_boxes", """
+    SELECT measure, weekday, n, CAST(count(*) FILTER (WHERE NOT inside) AS BIGINT) AS outliers,
+           round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+           round(least(q1, min(CASE WHEN inside THEN value END)), 6) AS whisker_low,
+           round(greatest(q3, max(CASE WHEN inside THEN value END)), 6) AS whisker_high
+    FROM (SELECT f.*, v.value, v.value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
+          FROM plot_values v JOIN plot_fences f ON v.weekday = f.weekday AND v.measure = f.measure) f
+    GROUP BY measure, weekday, n, q1, median, q3""", plot_values=_PLOTS, plot_fences=_PLOT_FENCES)
+add("weekday_box_outliers", """
+    SELECT v.number, v.name, v.weekday, v.measure, round(v.value, 6) AS value
+    FROM plot_values v JOIN plot_fences f ON v.weekday = f.weekday AND v.measure = f.measure
+    WHERE v.value < q1 - 1.5 * (q3 - q1) OR v.value > q3 + 1.5 * (q3 - q1)""", plot_values=_PLOTS, plot_fences=_PLOT_FENCES)
+
 # Clusters and profiles. Unused helper views are left out of the text by with_views.
 
 _HALF = "CASE WHEN substr({t}, 4, 2) < '30' THEN substr({t}, 1, 2) || ':00:00' ELSE substr({t}, 1, 2) || ':30:00' END"

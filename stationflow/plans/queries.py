@@ -146,6 +146,29 @@ def weekday_outliers(spark, sf_dir):
     return explore.box_outliers(values)
 
 
+def _plot_values(spark, sf_dir) -> DataFrame:
+    """Written once: sketch, bracket and fences each pass over them."""
+    path = scratch_path(spark, "plot-values")
+    values = explore.plot_values(views.slot_table(spark, sf_dir))
+    values.write.parquet(path)
+    return spark.read.schema(values.schema).parquet(path)
+
+
+@register
+def weekday_boxes(spark, sf_dir):
+    """Box statistics of all three plots."""
+    stats = explore.box_stats(_plot_values(spark, sf_dir), "plot")
+    return stats.select(
+        F.substring_index("plot", " ", 1).alias("measure"), F.substring_index("plot", " ", -1).alias("weekday"), "n", "outliers",
+        *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")])
+
+
+@register
+def weekday_box_outliers(spark, sf_dir):
+    """Stations beyond the whiskers of all three plots."""
+    return explore.box_outliers(_plot_values(spark, sf_dir), "plot").drop("plot").withColumn("value", F.round("value", 6))
+
+
 # Clusters and profiles
 
 

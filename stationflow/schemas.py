@@ -1,4 +1,4 @@
-"""Explicit schemas, as DDL text, of every table that is read from files."""
+"""Explicit schemas, as DDL text, of every table that is read from files. The files' column names."""
 
 from __future__ import annotations
 
@@ -43,9 +43,6 @@ SLOT_FACT_HEADINGS = {
     "weekday": "Weekday", "bike_stands": "Bike Stands", "diff": "Diff",
     "available_stands": "Available Stands", "check_in": "Check In", "check_out": "Check Out",
 }
-PROFILE_HEADINGS = {
-    "number": "Number", "name": "Name", "time": "Time", "stands": "Stands", "cluster": "Cluster",
-}
 FORECAST_LOG_HEADINGS = {
     "number": "Number", "time": "Time", "pred_stands": "Pred Available Bike Stands",
     "pred_bikes": "Pred Bikes", "actual_time": "Actual Time",
