@@ -41,7 +41,9 @@ SPLIT_KEY = ["number", "name", "address", "date", "time", "bike_stands"]
 
 
 def ml_vectors(grid: DataFrame) -> DataFrame:
-    return day_vectors(grid).select("number", "date", array_to_vector("stands").alias("features"))
+    """Vectors of a filled grid, or of ``filled_days``."""
+    days = grid if "stands" in grid.columns else day_vectors(grid)
+    return days.select("number", "date", array_to_vector("stands").alias("features"))
 
 
 def fit_kmeans(vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> KMeansModel:
@@ -83,8 +85,8 @@ def centroids(spark: SparkSession, grid: DataFrame, k: int = CLUSTERS, seed: int
     if centers and len(centers[0]) == len(clock.SLOT_LEVELS):
         time = F.get(F.array(*[F.lit(t) for t in clock.SLOT_LEVELS]), F.col("slot"))
     else:
-        levels = grid.agg(F.sort_array(F.collect_set("time"))).scalar()
-        time = F.get(levels, F.col("slot"))
+        times = F.first("times") if "times" in grid.columns else F.sort_array(F.collect_set("time"))
+        time = F.get(grid.agg(times).scalar(), F.col("slot"))
     return long.select("cluster", time.alias("time"), "available_stands")
 
 

@@ -123,6 +123,36 @@ def gap_fill(slots: DataFrame, scope: str = "all") -> DataFrame:
     return _as_table(filled.withColumn("filled", F.coalesce("known", "carried")), "filled")
 
 
+def filled_days(slots: DataFrame, scope: str = "all") -> DataFrame:
+    """``gap_fill`` with one row per station-day: number, date, ``stands`` at every level, and the levels' ``times``.
+
+    A day stays one row throughout: one window over a station's days carries all
+    levels forward. Days with a level that has no value anywhere are left out.
+    """
+    if scope not in ("all", "station"):
+        raise ValueError(f"unknown fill scope: {scope}")
+    cells = _cells(slots)
+    days = cells.groupBy("number", "day").agg(F.map_from_entries(F.collect_list(F.struct("slot_no", "v"))).alias("cells"))
+    by_day = Window.partitionBy("number").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    slots_of_day = range(len(SLOT_LEVELS))
+    rows = days.select("number", "day", *[F.element_at("cells", F.lit(i)).alias(f"v{i}") for i in slots_of_day])
+    carried = rows.select("number", "day", F.array(*[F.last(f"v{i}", True).over(by_day) for i in slots_of_day]).alias("known"), *(
+        [F.array(*[F.first(f"v{i}", True).over(whole) for i in slots_of_day]).alias("before")] if scope == "station" else []))
+    carried = carried.withColumn("levels", _levels(slots))
+    if scope == "all":
+        carried = carried.join(_inflow(cells, slots), "number", "left")
+        inflow = F.transform("levels", lambda level, i: F.get("inflow", i)["carried"])
+    else:
+        inflow = F.transform("levels", lambda level: F.get("before", level))
+    known = F.transform("levels", lambda level: F.get("known", level))
+    stands = F.zip_with(known, inflow, lambda a, b: F.coalesce(a, b).cast("double"))
+    return carried.select(
+        "number", F.col("day").cast("string").alias("date"), stands.alias("stands"),
+        F.transform("levels", clock.slot_label).alias("times"),
+    ).where(~F.exists("stands", lambda v: v.isNull()))
+
+
 def slot_matrix(slots: DataFrame) -> DataFrame:
     """Long to wide: one column per 10-minute slot of the day."""
     days = _cells(slots).groupBy("number", "day").agg(

@@ -302,6 +302,7 @@ step("weekday_weekend_split", """
     FROM slots""")
 step("time_levels", "SELECT DISTINCT time FROM slots ORDER BY time")
 step("slot_grid", "SELECT * FROM grid")
+step("filled_days", "SELECT number, date, time, available_stands FROM filled")
 step("gap_fill", "SELECT * FROM filled")
 step("gap_fill_station", "SELECT * FROM filled_station")
 step("slot_matrix", _MATRIX)

@@ -884,37 +884,44 @@ def _fitted(spark, sf_dir, factors=features.IMPORTANT_FACTORS):
     return once(spark, f"{model.TREES} trees on {','.join(factors)} of {sf_dir}", fit)
 
 
+def _filled_days(spark, sf_dir, bounds=views.TRAINING, part: str | None = None) -> DataFrame:
+    rows = views.stored_slots(spark, sf_dir, bounds)
+    return profile.filled_days(profile.split_week(rows, part) if part else rows)
+
+
 @register
-def elbow_curve(spark, sf_dir):
-    return model.elbow(spark, gap_fill(spark, sf_dir))
+def filled_days(spark, sf_dir):
+    """The filled grid with a day to a row, before k-means takes it."""
+    rows = profile.filled_days(views.stored_slots(spark, sf_dir))
+    return rows.select("number", "date", F.explode(F.arrays_zip("times", "stands"))).select(
+        "number", "date", F.col("col.times").alias("time"), F.col("col.stands").cast("long").alias("available_stands"))
 
 
 @register
-def centroids_long(spark, sf_dir):
-    return model.centroids(spark, gap_fill(spark, sf_dir))
+def elbow_curve(spark, sf_dir):
+    return model.elbow(spark, _filled_days(spark, sf_dir))
 
 
-def _part_centroids(spark, sf_dir, part) -> DataFrame:
-    rows = profile.split_week(views.stored_slots(spark, sf_dir), part)
-    return model.centroids(spark, profile.gap_fill(rows))
+@register
+def centroids_long(spark, sf_dir):
+    return model.centroids(spark, _filled_days(spark, sf_dir))
 
 
 @register
 def weekday_centroids(spark, sf_dir):
-    return _part_centroids(spark, sf_dir, "weekday")
+    return model.centroids(spark, _filled_days(spark, sf_dir, part="weekday"))
 
 
 @register
 def weekend_centroids(spark, sf_dir):
-    return _part_centroids(spark, sf_dir, "weekend")
+    return model.centroids(spark, _filled_days(spark, sf_dir, part="weekend"))
 
 
 @register
 def station_clusters(spark, sf_dir):
     """Every station labelled with the nearest of the fitted centers."""
-    rows = views.stored_slots(spark, sf_dir, views.TRAINING)
-    centers = model.center_sums(model.centroids(spark, profile.gap_fill(rows)))
-    return profile.label_profile(profile.station_profile(rows), centers)
+    centers = model.center_sums(model.centroids(spark, _filled_days(spark, sf_dir)))
+    return profile.label_profile(profile.station_profile(views.stored_slots(spark, sf_dir, views.TRAINING)), centers)
 
 
 @register

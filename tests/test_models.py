@@ -83,3 +83,15 @@ def test_a_model_is_fitted_once(spark, small_dir):
 def test_companions_equal_sql(spark, small_dir, name):
     con = compare.duck(small_dir)
     assert compare.differences(entry.queries()[name](spark, small_dir), con, entry.oracle_sql()[name]) == []
+
+
+@pytest.mark.parametrize("scope", ["all", "station"])
+def test_filled_days_are_the_filled_grid(spark, small_dir, scope):
+    slots = views.stored_slots(spark, small_dir)
+    days = profile.filled_days(slots, scope)
+    cells = {(r.number, r.date, t): v for r in days.collect() for t, v in zip(r.times, r.stands)}
+    grid = {}
+    for r in profile.gap_fill(slots, scope).collect():
+        grid.setdefault((r.number, r.date), {})[r.time] = r.available_stands
+    whole = {(n, d, t): v for (n, d), row in grid.items() if None not in row.values() for t, v in row.items()}
+    assert cells == whole
