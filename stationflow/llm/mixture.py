@@ -19,7 +19,7 @@ Bounds: patterns and sources are listed on the driver; more than
 Defined results: a null text has size 0; documents of size 0 are taken 0 times.
 A document without any source forms a pattern that gives nothing. A null source
 is a source of its own, last in order. Rows that are equal in id and size are
-interchangeable; each has its own answer. An empty table gives an empty result.
+taken alike; each has its own answer. An empty table gives an empty result.
 Other columns are ignored.
 """
 
@@ -131,69 +131,91 @@ def route(patterns: dict[tuple, int], quotas: dict[str | None, int], repeats: in
     return out
 
 
-def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> DataFrame:
-    """``sized`` (_id, _members, _size, _row) with _taken: the words taken, so that each pattern's come to ``gives``."""
+def _ordered(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` (_id, _size, ...) with the place of each in the seeded order, and its bucket."""
+    return rows.withColumn("_order", F.xxhash64(F.lit(seed), "_id", "_size")).withColumn("_bucket", F.pmod("_order", F.lit(BUCKETS)).cast("int"))
+
+
+PLAN = "_members array<string>, _full long, _cut int, _upto long, _extra array<long>"
+
+
+def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> list[tuple]:
+    """What to take of each pattern so that the words come to ``gives``: rows of PLAN.
+
+    Every document is taken _full times. Once more goes who is in a bucket
+    before _cut, in _cut and not after _upto in the order, or in _extra. So the
+    plan has a few numbers per pattern, and applies to any row by itself.
+    """
     spark = sized.sparkSession
-    mixed = sized.withColumn("_order", F.xxhash64(F.lit(seed), "_id", "_size")).withColumn(
-        "_bucket", F.pmod("_order", F.lit(BUCKETS)).cast("int"))
-    sums = mixed.groupBy("_members", "_bucket").agg(F.sum("_size").alias("n")).collect()  # at most BUCKETS a pattern
+    mixed = _ordered(sized, seed)
     held: dict[tuple, dict[int, int]] = {}
-    for r in sums:
-        held.setdefault(tuple(r[0]), {})[r[1]] = r[2]
-    plan, rest_of = [], {}
+    for members, bucket, n in mixed.groupBy("_members", "_bucket").agg(F.sum("_size")).collect():  # at most BUCKETS a pattern
+        held.setdefault(tuple(members), {})[bucket] = n
+    full, gap, cuts = {}, {}, []
     for members, buckets in held.items():
         whole = sum(buckets.values())
-        full, rest = divmod(gives.get(members, 0), whole) if whole else (0, 0)
+        full[members], gap[members] = divmod(gives.get(members, 0), whole) if whole else (0, 0)
         cut, before = -1, 0
         for b in sorted(buckets):
             cut = b
-            if before + buckets[b] > rest:
+            if before + buckets[b] > gap[members]:
                 break
             before += buckets[b]
-        plan.append((list(members), full, rest, cut, before))
-        rest_of[members] = rest
-    schema = "_members array<string>, _full long, _rest long, _cut int, _before long"
-    planned = mixed.join(F.broadcast(spark.createDataFrame(plan, schema)), "_members")
-    edge = planned.where("_bucket = _cut").withColumn("_more", F.expr(
-        "_before + sum(_size) over (partition by _members order by _order, _id, _size, _row rows unbounded preceding) <= _rest"))
-    others = planned.where("_bucket <> _cut").withColumn("_more", F.col("_bucket") < F.col("_cut"))
-    picked = staged(edge.unionByName(others).select(
-        "_id", "_members", "_size", "_row", F.col("_more").alias("_more"), (F.col("_size") * F.col("_full")).alias("_base")), "picked")
-    # what the first document beyond the amount leaves open is filled with the largest documents that fit
-    got = picked.where("_more").groupBy("_members").agg(F.sum("_size")).collect()
-    gap = rest_of | {tuple(r[0]): rest_of[tuple(r[0])] - r[1] for r in got}
-    extra: list[int] = []
+        cuts.append((list(members), cut, gap[members] - before))
+    edge = mixed.join(F.broadcast(spark.createDataFrame(cuts, "_members array<string>, _cut int, _left long")), "_members").where("_bucket = _cut")
+    edge = edge.withColumn("_so_far", F.sum("_size").over(
+        Window.partitionBy("_members").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = {
+        tuple(m): (upto, n) for m, upto, n in
+        edge.where("_so_far <= _left").groupBy("_members").agg(F.max("_order"), F.max("_so_far")).collect()}
+    upto: dict[tuple, int | None] = {}
+    for members, cut, left in cuts:
+        upto[tuple(members)], n = ends.get(tuple(members), (None, 0))
+        gap[tuple(members)] = left - n
+    extra: dict[tuple, list[int]] = {m: [] for m in held}
+    cut_of = {tuple(m): c for m, c, _ in cuts}
+
+    def plan() -> list[tuple]:
+        return [(list(m), full[m], cut_of[m], upto[m], extra[m]) for m in held]
 
     def untaken() -> DataFrame:
         open_ = spark.createDataFrame([(list(p), g) for p, g in gap.items() if g > 0], "_members array<string>, _gap long")
-        rows = picked.where(~F.col("_more") & (F.col("_size") > 0) & ~F.col("_row").isin(extra))
-        return rows.join(F.broadcast(open_), "_members")
+        return _planned(mixed, plan()).where(~F.col("_more") & (F.col("_size") > 0)).join(F.broadcast(open_), "_members").groupBy(
+            "_members", "_gap", "_order").agg(F.sum("_size").alias("_size"))
 
+    # what the first document beyond the amount leaves open is filled with the largest documents that fit
     for _ in range(FILLS):
-        rank = F.row_number().over(Window.partitionBy("_members").orderBy(F.desc("_size"), "_id", "_row"))
+        rank = F.row_number().over(Window.partitionBy("_members").orderBy(F.desc("_size"), "_order"))
         top = untaken().where("_size <= _gap").withColumn("n", rank).where(F.col("n") <= CANDIDATES)
-        for members, size, row, _ in sorted(top.select("_members", "_size", "_row", "n").collect(), key=lambda r: (r["n"], r["_row"])):
+        for members, size, order, _ in sorted(top.select("_members", "_size", "_order", "n").collect(), key=lambda r: r["n"]):
             if size <= gap[tuple(members)]:
                 gap[tuple(members)] -= size
-                extra.append(row)
+                extra[tuple(members)].append(order)
     # one that is larger than what is left comes nearer than none if it is below twice that
-    over = untaken().where("_size > _gap and _size < 2 * _gap").groupBy("_members").agg(F.min(F.struct("_size", F.col("_id").alias("_id"), "_row")).alias("best"))
-    extra += [r["best"]["_row"] for r in over.collect()]
-    more = (F.col("_more") | F.col("_row").isin(extra)).cast("long") * F.col("_size")
-    return picked.withColumn("_taken", F.col("_base") + more)
+    over = untaken().where("_size > _gap and _size < 2 * _gap").groupBy("_members").agg(F.min(F.struct("_size", "_order")).alias("best"))
+    for members, best in over.collect():
+        extra[tuple(members)].append(best["_order"])
+    return plan()
 
 
-def mix(
+def _planned(ordered: DataFrame, plan: list[tuple]) -> DataFrame:
+    """With _full and _more by the plan of the row's pattern."""
+    rows = ordered.join(F.broadcast(ordered.sparkSession.createDataFrame(plan, PLAN)), "_members")
+    inside = (F.col("_bucket") < F.col("_cut")) | (F.col("_bucket") == F.col("_cut")) & (F.col("_order") <= F.col("_upto"))
+    return rows.withColumn("_more", F.coalesce(inside, F.lit(False)) | F.array_contains("_extra", F.col("_order"))).drop("_cut", "_upto", "_extra")
+
+
+def _sized(docs: DataFrame, members: Column, id_name: str, text_name: str, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col(id_name).alias("_id"), F.array_sort(F.array_distinct(members)).alias("_members"), word_count(F.col(text_name)).alias("_size"), *more)
+
+
+def plan_mix(
     docs: DataFrame, members: Column, id_name: str = "doc_id", text_name: str = "text",
     weights: dict[str | None, int] | None = None, repeats: int = REPEATS, seed: int = SEED,
-) -> tuple[DataFrame, dict[str | None, dict]]:
-    """(one row per document: _id, _members, _size, _taken; per source: size, weight, target, words routed to it).
-
-    ``members`` is an array column with the sources of a document, ``weights`` their weights (default: 1, 2, 3 in turn).
-    """
-    sized = staged(docs.select(
-        F.col(id_name).alias("_id"), F.array_sort(F.array_distinct(members)).alias("_members"),
-        word_count(F.col(text_name)).alias("_size"), F.monotonically_increasing_id().alias("_row")), "sizes")
+) -> tuple[DataFrame, list[tuple], dict[str | None, dict]]:
+    """(sizes of the documents, plan, per source: size, weight, target, words routed to it)."""
+    sized = staged(_sized(docs, members, id_name, text_name), "sizes")
     counted = sized.groupBy("_members").agg(F.sum("_size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(counted) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -205,12 +227,25 @@ def mix(
     weights = weights or cycled_weights(list(sizes))
     wanted = targets(sizes, weights, sum(patterns.values()), repeats)
     flows = route(patterns, {s: round(t) for s, t in wanted.items()}, repeats)
-    taken = choose(sized, {p: sum(f.values()) for p, f in flows.items()}, seed)
+    plan = choose(sized, {p: sum(f.values()) for p, f in flows.items()}, seed)
     report = {
         s: {"size": sizes[s], "weight": weights[s], "target": wanted[s], "routed": sum(f.get(s, 0) for f in flows.values())}
         for s in sizes
     }
-    return taken.select("_id", "_members", "_size", "_taken"), report
+    return sized, plan, report
+
+
+def mix(
+    docs: DataFrame, members: Column, id_name: str = "doc_id", text_name: str = "text",
+    weights: dict[str | None, int] | None = None, repeats: int = REPEATS, seed: int = SEED,
+) -> tuple[DataFrame, dict[str | None, dict]]:
+    """(one row per document: _id, _members, _size, _taken; per source: size, weight, target, words routed to it).
+
+    ``members`` is an array column with the sources of a document, ``weights`` their weights (default: 1, 2, 3 in turn).
+    """
+    sized, plan, report = plan_mix(docs, members, id_name, text_name, weights, repeats, seed)
+    taken = _planned(_ordered(sized, seed), plan)
+    return taken.select("_id", "_members", "_size", (F.col("_size") * (F.col("_full") + F.col("_more").cast("long"))).alias("_taken")), report
 
 
 def with_targets(taken: DataFrame, report: dict[str | None, dict]) -> DataFrame:
@@ -222,11 +257,12 @@ def with_targets(taken: DataFrame, report: dict[str | None, dict]) -> DataFrame:
     return taken.join(F.broadcast(sources), F.col("_members")[0].eqNullSafe(F.col("_source")), "left")
 
 
-def repeat_rows(docs: DataFrame, members: Column, id_name: str = "doc_id", text_name: str = "text", repeats: int = REPEATS) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it. Rows with the same id are taken as often as any of them, on average alike."""
-    taken, _ = mix(docs, members, id_name, text_name, repeats=repeats)
-    times = staged(
-        taken.where("_size > 0").groupBy("_id").agg(F.max(F.expr("_taken div _size")).alias("_times")).where("_times > 0"), "times")
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), F.col(id_name).alias("_own"))
-    found = packed.join(times, F.col("_own").eqNullSafe(F.col("_id")))
-    return found.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select("_doc.*")
+def repeat_rows(
+    docs: DataFrame, members: Column, id_name: str = "doc_id", text_name: str = "text", repeats: int = REPEATS, seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it. The plan applies to each row by itself: no text is shuffled."""
+    _, plan, _ = plan_mix(docs, members, id_name, text_name, repeats=repeats, seed=seed)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
+    planned = _planned(_ordered(_sized(docs, members, id_name, text_name, row), seed), plan).where("_size > 0")
+    times = F.col("_full") + F.col("_more").cast("long")
+    return planned.where(times > 0).select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), times))).select("_doc.*")
