@@ -42,6 +42,7 @@ SEED = 20
 MAX_PATTERNS = 10_000
 FILLS = 3
 CANDIDATES = 32
+SALT = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -185,8 +186,10 @@ def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> list[
 
     # what the first document beyond the amount leaves open is filled with the largest documents that fit
     for _ in range(FILLS):
-        rank = F.row_number().over(Window.partitionBy("_members").orderBy(F.desc("_size"), "_order"))
-        top = untaken().where("_size <= _gap").withColumn("n", rank).where(F.col("n") <= CANDIDATES)
+        # the best of each of some salted parts first: a busy pattern's candidates never meet in one task
+        rank = [F.row_number().over(Window.partitionBy("_members", *salt).orderBy(F.desc("_size"), "_order")) for salt in (["salt"], [])]
+        top = untaken().where("_size <= _gap").withColumn("salt", F.pmod("_order", F.lit(SALT)))
+        top = top.withColumn("n", rank[0]).where(F.col("n") <= CANDIDATES).withColumn("n", rank[1]).where(F.col("n") <= CANDIDATES)
         for members, size, order, _ in sorted(top.select("_members", "_size", "_order", "n").collect(), key=lambda r: r["n"]):
             if size <= gap[tuple(members)]:
                 gap[tuple(members)] -= size
