@@ -10,8 +10,11 @@ the quotas thus repeats as little as possible.
 
 The words a pattern gives are then turned into documents: every document is
 taken as often as the full repetitions say, and a seeded choice of documents
-once more. The choice orders documents by a hash; hash buckets are summed
-first, so only the one bucket in which the amount runs out is put in order.
+once more. The few that are large beside their pattern are chosen first, so
+that the others can fill what they leave. Those are taken in the order of a
+hash; hash buckets are summed first, so only the one bucket in which the amount
+runs out is put in order. What a misfit leaves open is filled until no document
+fits.
 
 Bounds: patterns and sources are listed on the driver; more than
 ``MAX_PATTERNS`` raise an error, nothing is cut.
@@ -40,7 +43,7 @@ REPEATS = 3
 BUCKETS = 4096
 SEED = 20
 MAX_PATTERNS = 10_000
-FILLS = 3
+LARGE = 256
 CANDIDATES = 32
 SALT = 64
 WORD = r"[^\x20\x09-\x0D]+"
@@ -137,75 +140,145 @@ def _ordered(rows: DataFrame, seed: int) -> DataFrame:
     return rows.withColumn("_order", F.xxhash64(F.lit(seed), "_id", "_size")).withColumn("_bucket", F.pmod("_order", F.lit(BUCKETS)).cast("int"))
 
 
-PLAN = "_members array<string>, _full long, _cut int, _upto long, _extra array<long>"
+PLAN = "_members array<string>, _full long, _rounds array<struct<most: long, cut: int, upto: long>>"
+SINGLE = "_members array<string>, _order long, _single boolean"
+NONE = -(2 ** 63)
 
 
-def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> list[tuple]:
-    """What to take of each pattern so that the words come to ``gives``: rows of PLAN.
+def pick_large(units: list[tuple[int, int]], rest: int, gap: int) -> tuple[list[int], int]:
+    """(orders of the (size, order) to take, what stays open of ``gap``), so that smaller units of ``rest`` words can fill it.
 
-    Every document is taken _full times. Once more goes who is in a bucket
-    before _cut, in _cut and not after _upto in the order, or in _extra. So the
-    plan has a few numbers per pattern, and applies to any row by itself.
+    Largest first, each with the chance that what is wanted has in what is there.
+    One that does not fit is left out, one without which the gap could not be
+    filled is taken; where both hold, it is taken if that comes nearer.
+    """
+    taken, after = [], rest + sum(size for size, _ in units)
+    for size, order in sorted(units, key=lambda u: (-u[0], u[1])):
+        there, after = after, after - size
+        needed = after < gap
+        if size <= gap:
+            take = needed or (order + 2 ** 63) * there < gap * 2 ** 64
+        else:
+            take = needed and size - gap < gap - after
+        if take:
+            taken.append(order)
+            gap -= size
+    return taken, max(gap, 0)
+
+
+def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> tuple[list[tuple], list[tuple]]:
+    """What to take of each pattern so that the words come to ``gives``: rows of PLAN and of SINGLE.
+
+    Every document is taken _full times. Once more goes who is named in SINGLE,
+    and else who is not larger than ``most`` of a round and in a bucket before
+    its ``cut``, or in that bucket and not after ``upto`` in the order. So the
+    plan is a few numbers per pattern, and applies to any row by itself.
+
+    Rows with one place in the order are a unit. Units above the LARGE-th part
+    of their pattern (fewer than LARGE) are chosen first, one by one. The others
+    fill the rest along the order; what the first that does not fit leaves open
+    is filled with the largest that fit, and with further rounds along the order
+    where many are needed, until none fits.
     """
     spark = sized.sparkSession
-    mixed = _ordered(sized, seed)
-    held: dict[tuple, dict[int, int]] = {}
-    for members, bucket, n in mixed.groupBy("_members", "_bucket").agg(F.sum("_size")).collect():  # at most BUCKETS a pattern
-        held.setdefault(tuple(members), {})[bucket] = n
-    full, gap, cuts = {}, {}, []
-    for members, buckets in held.items():
-        whole = sum(buckets.values())
-        full[members], gap[members] = divmod(gives.get(members, 0), whole) if whole else (0, 0)
-        cut, before = -1, 0
-        for b in sorted(buckets):
-            cut = b
-            if before + buckets[b] > gap[members]:
-                break
-            before += buckets[b]
-        cuts.append((list(members), cut, gap[members] - before))
-    edge = mixed.join(F.broadcast(spark.createDataFrame(cuts, "_members array<string>, _cut int, _left long")), "_members").where("_bucket = _cut")
-    edge = edge.withColumn("_so_far", F.sum("_size").over(
-        Window.partitionBy("_members").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    ends = {
-        tuple(m): (upto, n) for m, upto, n in
-        edge.where("_so_far <= _left").groupBy("_members").agg(F.max("_order"), F.max("_so_far")).collect()}
-    upto: dict[tuple, int | None] = {}
-    for members, cut, left in cuts:
-        upto[tuple(members)], n = ends.get(tuple(members), (None, 0))
-        gap[tuple(members)] = left - n
-    extra: dict[tuple, list[int]] = {m: [] for m in held}
-    cut_of = {tuple(m): c for m, c, _ in cuts}
-
-    def plan() -> list[tuple]:
-        return [(list(m), full[m], cut_of[m], upto[m], extra[m]) for m in held]
-
-    def untaken() -> DataFrame:
-        open_ = spark.createDataFrame([(list(p), g) for p, g in gap.items() if g > 0], "_members array<string>, _gap long")
-        return _planned(mixed, plan()).where(~F.col("_more") & (F.col("_size") > 0)).join(F.broadcast(open_), "_members").groupBy(
-            "_members", "_gap", "_order").agg(F.sum("_size").alias("_size"))
-
-    # what the first document beyond the amount leaves open is filled with the largest documents that fit
-    for _ in range(FILLS):
+    units = staged(
+        _ordered(sized.where("_size > 0"), seed).groupBy("_members", "_bucket", "_order", "_size").agg(F.sum("_size").alias("_unit")), "units")
+    sums = {tuple(m): (n, several) for m, n, several in units.groupBy("_members").agg(F.sum("_unit"), F.max(F.expr("_unit > _size"))).collect()}
+    full, gap = dict.fromkeys(gives, 0), dict.fromkeys(gives, 0)
+    for m, (n, _) in sums.items():
+        full[m], gap[m] = divmod(gives.get(m, 0), n)
+    rounds: dict[tuple, list[tuple]] = {m: [] for m in gives}
+    single: dict[tuple, bool] = {}
+
+    def plan() -> tuple[list[tuple], list[tuple]]:
+        return [(list(m), full[m], rounds[m]) for m in gives], [(list(m), order, take) for (m, order), take in single.items()]
+
+    def by_pattern(values: dict[tuple, tuple], columns: str) -> DataFrame:
+        return F.broadcast(spark.createDataFrame([(list(m), *v) for m, v in values.items()], f"_members array<string>, {columns}"))
+
+    def untaken(most: dict[tuple, int]) -> DataFrame:
+        return _planned(units, plan()).where(~F.col("_more")).join(by_pattern({m: (n,) for m, n in most.items()}, "_most long"), "_members")
+
+    def along(most: dict[tuple, int]) -> None:
+        """Takes the units up to ``most`` in the order, to the first that does not fit into the gap."""
+        left = untaken(most)
+        fits = left.where("_unit <= _most")
+        held: dict[tuple, dict[int, int]] = {}
+        for members, bucket, n in fits.groupBy("_members", "_bucket").agg(F.sum("_unit")).collect():  # at most BUCKETS a pattern
+            held.setdefault(tuple(members), {})[bucket] = n
+        cuts = {}
+        for m, buckets in held.items():
+            cut, before = BUCKETS, 0
+            for b in sorted(buckets):
+                if before + buckets[b] > gap[m]:
+                    cut = b
+                    break
+                before += buckets[b]
+            gap[m] -= before
+            cuts[m] = (cut, gap[m])
+        edge = fits.join(by_pattern(cuts, "_cut int, _left long"), "_members").where("_bucket = _cut").withColumn("_so_far", F.sum("_unit").over(
+            Window.partitionBy("_members").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+        ends = {
+            tuple(m): (upto, n) for m, upto, n in
+            edge.where("_so_far <= _left").groupBy("_members").agg(F.max("_order"), F.max("_so_far")).collect()}
+        now = {}
+        for m, (cut, _) in cuts.items():
+            upto, n = ends.get(m, (NONE, 0))
+            gap[m] -= n
+            now[m] = (cut, upto)
+            rounds[m].append((most[m], cut, upto))
+        # rows of a unit beyond the limit cannot see it where they are within the limit themselves
+        if any(sums[m][1] for m in now):
+            hidden = left.where("_size <= _most and _unit > _most").join(by_pattern(now, "_cut int, _upto long"), "_members")
+            for members, order in hidden.where("_bucket < _cut or _bucket = _cut and _order <= _upto").select("_members", "_order").collect():
+                single[tuple(members), order] = False
+
+    def best(most: dict[tuple, int]) -> dict[tuple, bool]:
+        """Takes the largest of up to CANDIDATES units that fit; by pattern with such units, whether one of them is left."""
         # the best of each of some salted parts first: a busy pattern's candidates never meet in one task
-        rank = [F.row_number().over(Window.partitionBy("_members", *salt).orderBy(F.desc("_size"), "_order")) for salt in (["salt"], [])]
-        top = untaken().where("_size <= _gap").withColumn("salt", F.pmod("_order", F.lit(SALT)))
+        rank = [F.row_number().over(Window.partitionBy("_members", *salt).orderBy(F.desc("_unit"), "_order")) for salt in (["salt"], [])]
+        top = untaken(most).where("_unit <= _most").withColumn("salt", F.pmod("_order", F.lit(SALT)))
         top = top.withColumn("n", rank[0]).where(F.col("n") <= CANDIDATES).withColumn("n", rank[1]).where(F.col("n") <= CANDIDATES)
-        for members, size, order, _ in sorted(top.select("_members", "_size", "_order", "n").collect(), key=lambda r: r["n"]):
-            if size <= gap[tuple(members)]:
-                gap[tuple(members)] -= size
-                extra[tuple(members)].append(order)
+        left: dict[tuple, bool] = {}
+        for members, size, order, _ in sorted(top.select("_members", "_unit", "_order", "n").collect(), key=lambda r: r["n"]):
+            m = tuple(members)
+            fits = size <= gap[m]
+            left[m] = left.get(m, False) or not fits
+            if fits:
+                gap[m] -= size
+                single[m, order] = True
+        return left
+
+    large: dict[tuple, list[tuple[int, int]]] = {m: [] for m in sums}
+    for members, size, order in units.join(by_pattern({m: (n // LARGE,) for m, (n, _) in sums.items()}, "_most long"), "_members").where(
+            "_unit > _most").select("_members", "_unit", "_order").collect():
+        large[tuple(members)].append((size, order))
+    for m, some in large.items():
+        taken, gap[m] = pick_large(some, sums[m][0] - sum(size for size, _ in some), gap[m])
+        single.update({(m, order): True for order in taken})
+    along({m: n // LARGE for m, (n, _) in sums.items() if gap[m]})
+    while True:
+        fitted = best({m: g for m, g in gap.items() if g})
+        if not fitted:
+            break
+        # all candidates fitted, so there may be many more: along the order with them
+        if many := {m: gap[m] for m, left in fitted.items() if gap[m] and not left}:
+            along(many)
     # one that is larger than what is left comes nearer than none if it is below twice that
-    over = untaken().where("_size > _gap and _size < 2 * _gap").groupBy("_members").agg(F.min(F.struct("_size", "_order")).alias("best"))
-    for members, best in over.collect():
-        extra[tuple(members)].append(best["_order"])
+    over = untaken({m: g for m, g in gap.items() if g}).where("_unit > _most and _unit < 2 * _most").groupBy("_members")
+    for members, nearest in over.agg(F.min(F.struct("_unit", "_order")).alias("best")).collect():
+        single[tuple(members), nearest["_order"]] = True
     return plan()
 
 
-def _planned(ordered: DataFrame, plan: list[tuple]) -> DataFrame:
+def _planned(ordered: DataFrame, plan: tuple[list[tuple], list[tuple]]) -> DataFrame:
     """With _full and _more by the plan of the row's pattern."""
-    rows = ordered.join(F.broadcast(ordered.sparkSession.createDataFrame(plan, PLAN)), "_members")
-    inside = (F.col("_bucket") < F.col("_cut")) | (F.col("_bucket") == F.col("_cut")) & (F.col("_order") <= F.col("_upto"))
-    return rows.withColumn("_more", F.coalesce(inside, F.lit(False)) | F.array_contains("_extra", F.col("_order"))).drop("_cut", "_upto", "_extra")
+    spark = ordered.sparkSession
+    rows = ordered.join(F.broadcast(spark.createDataFrame(plan[0], PLAN)), "_members")
+    rows = rows.join(F.broadcast(spark.createDataFrame(plan[1], SINGLE)), ["_members", "_order"], "left")
+    inside = F.exists("_rounds", lambda r: (F.col("_size") <= r["most"]) & (
+        (F.col("_bucket") < r["cut"]) | (F.col("_bucket") == r["cut"]) & (F.col("_order") <= r["upto"])))
+    return rows.withColumn("_more", F.coalesce("_single", inside)).drop("_rounds", "_single")
 
 
 def _sized(docs: DataFrame, members: Column, id_name: str, text_name: str, *more: Column) -> DataFrame:
@@ -216,7 +289,7 @@ def _sized(docs: DataFrame, members: Column, id_name: str, text_name: str, *more
 def plan_mix(
     docs: DataFrame, members: Column, id_name: str = "doc_id", text_name: str = "text",
     weights: dict[str | None, int] | None = None, repeats: int = REPEATS, seed: int = SEED,
-) -> tuple[DataFrame, list[tuple], dict[str | None, dict]]:
+) -> tuple[DataFrame, tuple[list[tuple], list[tuple]], dict[str | None, dict]]:
     """(sizes of the documents, plan, per source: size, weight, target, words routed to it)."""
     sized = staged(_sized(docs, members, id_name, text_name), "sizes")
     counted = sized.groupBy("_members").agg(F.sum("_size").alias("n")).limit(MAX_PATTERNS + 1).collect()

@@ -76,6 +76,39 @@ def test_mix_of_many_documents(spark):
     assert S.plain(again, "_id", "_taken") == S.plain(taken, "_id", "_taken")
 
 
+def test_one_document_with_half_of_the_words(spark):
+    # of 8,000 words, "a" gives a third; "b" two thirds: its own 4,000 once and 1,333 again, which the long one would exceed
+    sizes = {"a": [7] * 571 + [3], "b": [2000] + [5] * 400}
+    docs = S.frame(spark, [S.row(1000 * k + i, "w " * n, source=s) for k, s in enumerate(sizes) for i, n in enumerate(sizes[s])])
+    for seed in range(3):
+        taken, report = mixture.mix(docs, F.array("source"), seed=seed)
+        got = {r["_members"][0]: r["n"] for r in taken.groupBy("_members").agg(F.sum("_taken").alias("n")).collect()}
+        for s, r in report.items():
+            assert abs(got[s] - r["target"]) <= 4
+
+
+def test_many_misfits_and_copies_are_filled(spark):
+    # half of the words wanted; one huge document, long ones, copies taken alike, and single words, more than any list of candidates
+    sizes = [20000] + [900] * 10 + [100] * 40 + [1] * 6000
+    rows = [(str(i), ["s"], n) for i, n in enumerate(sizes)] + [("copies", ["s"], 3)] * 400
+    sized = spark.createDataFrame(rows, "_id string, _members array<string>, _size long")
+    for share, seed in [(0.3, 1), (0.5, 2), (0.5, 3), (0.9, 4)]:
+        wanted = round(sum(r[2] for r in rows) * share)
+        planned = mixture._planned(mixture._ordered(sized, seed), mixture.choose(sized, {("s",): wanted}, seed)).where("_more")
+        copies = planned.where("_id = 'copies'").count()
+        assert planned.agg(F.sum("_size")).first()[0] == wanted and copies in (0, 400)
+
+
+def test_large_units_leave_what_the_rest_can_fill():
+    for seed in range(200):
+        places = [(seed * 7919 + i * 104729) * 2654435761 % 2 ** 64 - 2 ** 63 for i in range(3)]
+        units = list(zip([500, 300, 100], places))
+        taken, gap = mixture.pick_large(units, 400, 900)
+        assert 0 <= gap <= 400 and sum(n for n, p in units if p in taken) == 900 - gap
+    # neither with nor without it: what comes nearer
+    assert mixture.pick_large([(90, 5)], 10, 60) == ([5], 0) and mixture.pick_large([(90, 5)], 10, 40) == ([], 40)
+
+
 def test_odd_documents(spark):
     taken, report = mixture.mix(S.odd(spark), F.array("source"))
     rows = mixture.with_targets(taken, report).collect()
