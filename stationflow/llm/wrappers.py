@@ -19,8 +19,10 @@ The wrapper says where the host's articles are: in ``article`` or ``main``
 elements if it has them, else in the element that holds most of the text of its
 slots outside links and boilerplate. Applied to a page, the text of that element
 is taken without the parts that are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments by their tag, role, class or id. A
-page on which the host's place is empty is read with a wrapper of its own.
+adverts, forms, scripts, styles or comments by their tag, role, class or id. The
+wrapper overrules roles, classes and ids that would drop its article or most of
+its text. A page on which the host's place is empty is read with a wrapper of
+its own, and if it is still empty, with the tags' names only.
 
 Defined results: a null or empty page has the empty text. Unclosed and stray
 tags are tolerated; what a script, style, title or textarea holds is no text.
@@ -34,7 +36,7 @@ import hashlib
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,6 +62,8 @@ MARKS = set(
     " sponsored promo promotion banner cookie cookies consent notice notices gdpr popup modal newsletter subscribe"
     " subscription signup share sharing social related recommended comment comments respond replies disqus breadcrumb"
     " breadcrumbs pagination pager widget toolbar login search contentinfo complementary dialog alert".split())
+STATES = {"has", "with", "without", "no"}  # a token with one says what a container has beside the text
+TALK = ("comment", "respond", "replies", "disqus", "related", "recommended")  # never the main text for its length alone
 OWN = {"article", "post", "entry", "story", "content", "body"}  # with "header" beside them, a mark is the article's own
 
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -71,34 +75,39 @@ _LETTERS = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 MAX_ALIGN = 250_000
 MAX_DEPTH = 200
-_known: dict[tuple[str, str], tuple[str, bool]] = {}
+MARKED, BY_TAG, PARTLY = 1, 2, -1  # boilerplate by a word, by the tag's name; by a word on some pages only, so not dropped
+_known: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def element(name: str, attributes: str) -> tuple[str, bool]:
-    """(key, boilerplate) of a tag: its name with the letters of its id or first class."""
+def element(name: str, attributes: str) -> tuple[str, int]:
+    """(key, boilerplate: 0, MARKED or BY_TAG) of a tag; the key is its name with the letters of its id or first class."""
     if (name, attributes) in _known:
         return _known[name, attributes]
-    key, drop = name, name in DROPPED
+    key, drop = name, BY_TAG if name in DROPPED else 0
     found = {a.lower(): b or c or d for a, b, c, d in _NAMED.findall(attributes)} if attributes else {}
     for kind, value in found.items():
         for token in value.split():
             words = {w.lower() for w in _WORDS.findall(token)}
-            drop = drop or bool(words & MARKS) and not ("header" in words and words & OWN)
+            if words & MARKS and not words & STATES and not ("header" in words and words & OWN):
+                drop = drop or MARKED
     if found.get("id"):
         key += "#" + "".join(_LETTERS.findall(found["id"].lower()))
     elif found.get("class", "").split():
         key += "." + "".join(_LETTERS.findall(found["class"].split()[0].lower()))
     if name in ("html", "body"):
-        key, drop = name, False
+        key, drop = name, 0
     if len(_known) > 50_000:
         _known.clear()
     _known[name, attributes] = key, drop
     return key, drop
 
 
-def parse(page: str) -> list:
-    """The page as [key, boilerplate, children, name]; children are elements and undecoded texts."""
-    root = ["#page", False, [], ""]
+def parse(page: str, kept: Container[str] = (), words: bool = True) -> list:
+    """The page as [key, boilerplate, children, name]; children are elements and undecoded texts.
+
+    Elements of the ``kept`` keys, and without ``words`` all, are boilerplate by the tag's name only.
+    """
+    root = ["#page", 0, [], ""]
     stack, at = [root], 0
     for m in TOKEN.finditer(page):
         begin = m.start()
@@ -127,6 +136,8 @@ def parse(page: str) -> list:
                 break
         attributes = m.group(4)
         key, drop = element(name, attributes if "=" in attributes else "")
+        if drop == MARKED and (not words or key in kept):
+            drop = 0
         node = [key, drop, [], name]
         stack[-1][2].append(node)
         # deeper elements are laid beside each other; boilerplate keeps its text to itself at any depth
@@ -166,16 +177,21 @@ def wrapper_of(node: list, in_link: bool = False) -> list:
             w = wrapper_of(c, in_link)
             children.append(w)
             chars += w[CHARS]
-            prose += 0 if w[DROP] else w[PROSE]
+            prose += 0 if _dropped(w) else w[PROSE]
     return [node[0], node[1], False, False, 1, prose, chars, folded(children)]
 
 
+def _dropped(w: list) -> bool:
+    return w[DROP] > 0
+
+
 def merged(a, b):
     """One wrapper of two of the same form."""
     if not isinstance(a, list):
         return a if a == b else None
+    drop = a[DROP] if a[DROP] == b[DROP] else PARTLY
     return [
-        a[KEY], a[DROP], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], a[PAGES] + b[PAGES],
+        a[KEY], drop, a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], a[PAGES] + b[PAGES],
         a[PROSE] + b[PROSE], a[CHARS] + b[CHARS], aligned(a[CHILDREN], b[CHILDREN])]
 
 
@@ -201,11 +217,11 @@ def folded(items: list) -> list:
                 elif len(out) >= 2 * size and list(map(_form, out[-2 * size:-size])) == list(map(_form, tail)) and any(isinstance(t, list) for t in tail):
                     both = [merged(p, q) for p, q in zip(out[-2 * size:-size], tail)]
                     del out[-2 * size:]
-                    out.append(["()", False, False, True, 1, 0, 0, both])
+                    out.append(["()", 0, False, True, 1, 0, 0, both])
                 else:
                     continue
                 weight = [c for c in out[-1][CHILDREN] if isinstance(c, list)]
-                out[-1][PROSE] = sum(0 if c[DROP] else c[PROSE] for c in weight)
+                out[-1][PROSE] = sum(0 if _dropped(c) else c[PROSE] for c in weight)
                 out[-1][CHARS] = sum(c[CHARS] for c in weight)
                 break
             else:
@@ -274,13 +290,67 @@ def expression(w) -> str:
 def _elements(w: list, path: tuple[str, ...] = ()) -> Iterator[tuple[list, tuple[str, ...]]]:
     """Elements outside boilerplate, with their paths; groups add nothing to a path."""
     for c in w[CHILDREN]:
-        if isinstance(c, list) and not c[DROP]:
+        if isinstance(c, list) and not _dropped(c):
             own = path if c[KEY] == "()" else (*path, c[KEY])
             if c[KEY] != "()":
                 yield c, own
             yield from _elements(c, own)
 
 
+def _name(key: str) -> str:
+    return key.split(".")[0].split("#")[0]
+
+
+def _marked(w: list, above: tuple[str, ...] = (), partly: bool = True, often: bool = False) -> Iterator[tuple[list, tuple[str, ...], bool, bool]]:
+    """Elements with a mark or inside such: the marked keys down to them, whether those are marked on some pages only, and whether they repeat."""
+    for c in w[CHILDREN]:
+        if isinstance(c, list) and c[DROP] != BY_TAG:
+            keys = (*above, c[KEY]) if c[DROP] else above
+            some, more = partly and c[DROP] != MARKED, often or c[REPEATED]
+            if keys:
+                yield c, keys, some, more
+            yield from _marked(c, keys, some, more)
+
+
+def _whole(w: list) -> int:
+    """Characters outside links and boilerplate by tag."""
+    return w[PROSE] + sum(_whole(c) for c in w[CHILDREN] if isinstance(c, list) and c[DROP] == MARKED) + sum(
+        _whole(c) - c[PROSE] for c in w[CHILDREN] if isinstance(c, list) and not _dropped(c))
+
+
+def _talk(keys: tuple[str, ...]) -> bool:
+    return any(t in k for k in keys for t in TALK)
+
+
+def kept_of(w: list) -> list[str]:
+    """Keys whose marks the wrapper overrules: what leads to its article, or else holds most of its text, is no boilerplate."""
+    named = ("article", "main")
+    open_ = sum(c[PROSE] for c, path in _elements(w) if _name(c[KEY]) in named and not any(_name(k) in named for k in path[:-1]))
+    inside = [
+        (_whole(c), keys, partly) for c, keys, partly, often in _marked(w) if _name(c[KEY]) in named and not (often and open_)]
+    inside = [x for x in inside if not _talk(x[1])] or ([] if open_ else inside)
+    most = max((n for n, _, _ in inside), default=0)
+    found = {k for n, keys, partly in inside if n and 2 * n >= most and n * (1 + partly) > open_ for k in keys}
+    if not found and not open_:
+        found = {k for c, keys, _, _ in _marked(w) if 2 * _whole(c) > _whole(w) and not _talk(keys) for k in keys}
+    return sorted(found)
+
+
+def opened(w: list, kept: Container[str]) -> list:
+    """The wrapper with the elements of those keys outside boilerplate."""
+    children = [opened(c, kept) if isinstance(c, list) else c for c in w[CHILDREN]]
+    prose = sum(0 if _dropped(c) else c[PROSE] for c in children if isinstance(c, list))
+    before = sum(0 if _dropped(c) else c[PROSE] for c in w[CHILDREN] if isinstance(c, list))
+    drop = 0 if w[DROP] == MARKED and w[KEY] in kept else w[DROP]
+    return [w[KEY], drop, *w[OPTIONAL:PROSE], max(w[PROSE] + prose - before, prose), w[CHARS], children]
+
+
+def reading_of(w: list) -> tuple[str, list[str]]:
+    """Where a wrapper has its articles, and the keys whose marks it overrules."""
+    kept = kept_of(w)
+    return place_of(opened(w, kept) if kept else w), kept
+
+
 def place_of(w: list) -> str:
     """Where a wrapper has its articles: a key, or a path with slashes."""
     for name in ("article", "main"):
@@ -337,15 +407,18 @@ def text_at(tree: list, place: str) -> str:
     return " ".join("".join(out).split())
 
 
-def main_text(page: str, place: str | None) -> str:
-    tree = parse(page)
+def main_text(page: str, place: str | None, kept: Container[str] = ()) -> str:
+    tree = parse(page, kept)
     found = text_at(tree, place) if place else ""
-    if not found:
-        found = text_at(tree, place_of(wrapper_of(tree)))
-    if not found:
-        out: list[str] = []
-        _collect(tree, out)
-        found = " ".join("".join(out).split())
+    for words in (True, False):  # in the end boilerplate is known by the tags' names only
+        if not found:
+            place, kept = reading_of(wrapper_of(parse(page, words=words)))
+            tree = parse(page, kept, words)
+            found = text_at(tree, place)
+        if not found:
+            out: list[str] = []
+            _collect(tree, out)
+            found = " ".join("".join(out).split())
     return found
 
 
@@ -374,25 +447,26 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(hosts: dict[str, list]) -> Iterator[pa.RecordBatch]:
     for host, w in hosts.items():
+        place, kept = reading_of(w)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x], pa.string()) for x in (host, json.dumps(w), place_of(w), expression(w))],
-            names=["host", "wrapper", "place", "expression"])
+            [*(pa.array([x], pa.string()) for x in (host, json.dumps(w), place, expression(w))), pa.array([kept], pa.list_(pa.string()))],
+            names=["host", "wrapper", "place", "expression", "kept"])
 
 
-SCHEMA = "host string, wrapper string, place string, expression string"
+SCHEMA = "host string, wrapper string, place string, expression string, kept array<string>"
 SALT = 16
 
 
 def infer(pages: DataFrame, url_name: str = "url", html_name: str = "html") -> DataFrame:
-    """(host, wrapper, place, expression): one row per host, from all its pages."""
+    """(host, wrapper, place, expression, kept): one row per host, from all its pages."""
     parts = pages.select(host_of(F.col(url_name)).alias("host"), F.col(html_name).alias("html")).mapInArrow(_infer, SCHEMA)
     some = parts.withColumn("salt", F.spark_partition_id() % SALT).repartition("host", "salt").mapInArrow(_merge, SCHEMA)
     return some.repartition("host").mapInArrow(_merge, SCHEMA)
 
 
 @F.arrow_udf(T.StringType())
-def _extract(pages: pa.Array, places: pa.Array) -> pa.Array:
-    return pa.array([main_text(p or "", q) for p, q in zip(pages.to_pylist(), places.to_pylist())], pa.string())
+def _extract(pages: pa.Array, places: pa.Array, kept: pa.Array) -> pa.Array:
+    return pa.array([main_text(p or "", q, k or ()) for p, q, k in zip(pages.to_pylist(), places.to_pylist(), kept.to_pylist())], pa.string())
 
 
 def extract(pages: DataFrame, url_name: str = "url", html_name: str = "html") -> DataFrame:
@@ -400,5 +474,5 @@ def extract(pages: DataFrame, url_name: str = "url", html_name: str = "html") ->
     wrappers = staged(infer(pages, url_name, html_name), "wrappers")
     packed = pages.select(
         F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("_page"), host_of(F.col(url_name)).alias("_host"), F.col(html_name).alias("_html"))
-    placed = packed.join(wrappers.select(F.col("host").alias("_host"), F.col("place").alias("_place")), "_host", "left")
-    return placed.select("_page", _extract(F.col("_html"), F.col("_place")).alias("_text"))
+    placed = packed.join(wrappers.select(F.col("host").alias("_host"), F.col("place").alias("_place"), F.col("kept").alias("_kept")), "_host", "left")
+    return placed.select("_page", _extract(F.col("_html"), F.col("_place"), F.col("_kept")).alias("_text"))

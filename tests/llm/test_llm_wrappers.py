@@ -44,6 +44,31 @@ def test_generated_pages(spark, small_dir):
         assert r["_text"] == " ".join(expected)
 
 
+def text_of(spark, pages, host="h.example"):
+    rows = [row(i, f"https://{host}/{i}", p) for i, p in enumerate(pages)]
+    return [r["_text"] for r in wrappers.extract(frame(spark, rows)).orderBy("_page.page_id").select("_text").collect()]
+
+
+def test_marks_do_not_drop_the_article(spark):
+    side, foot = '<div class="sidebar">Popular now</div>', "<footer>foot</footer>"
+    layouts = {
+        "a": '<div class="page has-sidebar"><article><p>Text {n} of it</p></article>' + side + "</div>" + foot,
+        "b": '<div class="social layout"><div><p>Text {n} of it</p></div>' + side + "</div><p>Oh</p>" + foot,
+        "c": '<div><article class="post category-search"><p>Text {n} of it</p></article></div><p>Outside {n}</p>' + side,
+        "d": '<main id="search"><p>Text {n} of it</p></main><p>Outside</p>' + side,
+        "e": '<div class="widget page"><article><p>Text {n} of it</p></article></div><ul class="comments"><li><article class="comment">Long talk {n} on and on</article></li></ul>',
+        "f": '<div class="ad">Text {n} of it</div>',
+    }
+    for host, page in layouts.items():
+        assert text_of(spark, [page.format(n=n) for n in range(3)], host) == [f"Text {n} of it" for n in range(3)], host
+    # a mark that only some of the host's articles carry
+    pages = [f'<article class="post{" category-search" * (n == 1)}"><p>Text {n} of it</p></article><p>Outside</p>' for n in range(3)]
+    assert text_of(spark, pages) == [f"Text {n} of it" for n in range(3)]
+    # longer comments and adverts stay boilerplate
+    page = '<article><p>Short</p></article><div class="ad">A long advert here</div><div class="comments"><article>Much longer talk</article></div>'
+    assert text_of(spark, [page]) == ["Short"]
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
     pages = {
