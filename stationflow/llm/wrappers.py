@@ -16,13 +16,14 @@ done within each partition first, then for a host's partial wrappers, in two
 steps so that no task gets all of a busy host.
 
 The wrapper says where the host's articles are: in ``article`` or ``main``
-elements if it has them, else in the element that holds most of the text of its
+elements if those hold half of its text, else in the element that holds most of the text of its
 slots outside links and boilerplate. Applied to a page, the text of that element
 is taken without the parts that are menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or comments by their tag, role, class or id. The
 wrapper overrules roles, classes and ids that would drop its article or most of
-its text. A page on which the host's place is empty is read with a wrapper of
-its own, and if it is still empty, with the tags' names only.
+its text. On a page of which the host's place holds less than half, the page's
+own place is read as well; a page on which both are empty is read with a wrapper
+of its own, and if it is still empty, with the tags' names only.
 
 Defined results: a null or empty page has the empty text. Unclosed and stray
 tags are tolerated; what a script, style, title or textarea holds is no text.
@@ -287,14 +288,14 @@ def expression(w) -> str:
     return f"({body}){sign}" if sign else body
 
 
-def _elements(w: list, path: tuple[str, ...] = ()) -> Iterator[tuple[list, tuple[str, ...]]]:
-    """Elements outside boilerplate, with their paths; groups add nothing to a path."""
+def _elements(w: list, path: tuple[str, ...] = (), often: bool = False) -> Iterator[tuple[list, tuple[str, ...], bool]]:
+    """Elements outside boilerplate, with their paths and whether they repeat; groups add nothing to a path."""
     for c in w[CHILDREN]:
         if isinstance(c, list) and not _dropped(c):
-            own = path if c[KEY] == "()" else (*path, c[KEY])
+            own, more = path if c[KEY] == "()" else (*path, c[KEY]), often or c[REPEATED]
             if c[KEY] != "()":
-                yield c, own
-            yield from _elements(c, own)
+                yield c, own, more
+            yield from _elements(c, own, more)
 
 
 def _name(key: str) -> str:
@@ -325,7 +326,7 @@ def _talk(keys: tuple[str, ...]) -> bool:
 def kept_of(w: list) -> list[str]:
     """Keys whose marks the wrapper overrules: what leads to its article, or else holds most of its text, is no boilerplate."""
     named = ("article", "main")
-    open_ = sum(c[PROSE] for c, path in _elements(w) if _name(c[KEY]) in named and not any(_name(k) in named for k in path[:-1]))
+    open_ = sum(c[PROSE] for c, path, _ in _elements(w) if _name(c[KEY]) in named and not any(_name(k) in named for k in path[:-1]))
     inside = [
         (_whole(c), keys, partly) for c, keys, partly, often in _marked(w) if _name(c[KEY]) in named and not (often and open_)]
     inside = [x for x in inside if not _talk(x[1])] or ([] if open_ else inside)
@@ -352,14 +353,23 @@ def reading_of(w: list) -> tuple[str, list[str]]:
 
 
 def place_of(w: list) -> str:
-    """Where a wrapper has its articles: a key, or a path with slashes."""
+    """Where a wrapper has its articles: keys, or a path with slashes.
+
+    Articles count where they hold half of the text outside boilerplate: the
+    largest key with all that do not repeat, or, if that is too little, all
+    keys. A smaller key that repeats beside a larger one is a list of teasers.
+    """
     for name in ("article", "main"):
         keys = {}
-        for c, _ in _elements(w):
-            if c[KEY].split(".")[0].split("#")[0] == name and c[PROSE]:
-                keys[c[KEY]] = keys.get(c[KEY], 0) + c[PROSE]
+        for c, path, often in _elements(w):
+            if _name(c[KEY]) == name and c[PROSE] and not any(_name(k) == name for k in path[:-1]):
+                n, once = keys.get(c[KEY], (0, False))
+                keys[c[KEY]] = (n + c[PROSE], once or not often)
         if keys:
-            return max(sorted(keys), key=keys.get)
+            top = max(sorted(keys), key=lambda k: keys[k][0])
+            for chosen in (sorted(k for k in keys if k == top or keys[k][1]), sorted(keys)):
+                if 2 * sum(keys[k][0] for k in chosen) >= w[PROSE]:
+                    return " ".join(chosen)
     node, path = w, ()
     while True:
         inner = [c for c in node[CHILDREN] if isinstance(c, list) and not c[DROP]]
@@ -387,29 +397,49 @@ def _collect(node: list, out: list[str]) -> None:
                 out.append(" ")
 
 
-def _at(node: list, place: str, path: str, out: list[str]) -> None:
-    """Texts of the outermost elements at a place."""
+def _held(w: list, places: list[str], path: str = "") -> int:
+    """Characters outside links and boilerplate in the outermost elements at the places."""
+    held = 0
+    for c in w[CHILDREN]:
+        if isinstance(c, list) and not _dropped(c):
+            own = path if c[KEY] == "()" else f"{path}/{c[KEY]}" if path else c[KEY]
+            held += c[PROSE] if c[KEY] in places or own in places else _held(c, places, own)
+    return held
+
+
+def _place_on(w: list, place: str) -> str:
+    """The host's place for a page, with the page's own where the host's holds less than half of its text."""
+    if 2 * _held(w, place.split()) < w[PROSE]:
+        return f"{place} {place_of(w)}"
+    if re.search("[.#]", place) or _name(place) in ("article", "main"):
+        return place
+    own = place_of(w)  # the host has no place of a name; the page may have an article
+    return own if _name(own) in ("article", "main") else place
+
+
+def _at(node: list, places: list[str], path: str, out: list[str]) -> None:
+    """Texts of the outermost elements at the places."""
     for c in node[2]:
         if isinstance(c, str) or c[1]:
             continue
         own = f"{path}/{c[0]}" if path else c[0]
-        if c[0] == place or own == place:
+        if c[0] in places or own in places:
             out.append(" ")
             _collect(c, out)
             out.append(" ")
         else:
-            _at(c, place, own, out)
+            _at(c, places, own, out)
 
 
 def text_at(tree: list, place: str) -> str:
     out: list[str] = []
-    _at(tree, place, "", out)
+    _at(tree, place.split(), "", out)
     return " ".join("".join(out).split())
 
 
 def main_text(page: str, place: str | None, kept: Container[str] = ()) -> str:
     tree = parse(page, kept)
-    found = text_at(tree, place) if place else ""
+    found = text_at(tree, _place_on(wrapper_of(tree), place)) if place else ""
     for words in (True, False):  # in the end boilerplate is known by the tags' names only
         if not found:
             place, kept = reading_of(wrapper_of(parse(page, words=words)))

@@ -69,6 +69,25 @@ def test_marks_do_not_drop_the_article(spark):
     assert text_of(spark, [page]) == ["Short"]
 
 
+def test_articles_must_hold_most_of_the_text(spark):
+    card = '<article class="card"><p>Teaser {n}</p></article>'
+    layouts = {
+        "a": '<main><h1>Text {n}</h1><p>that is longer than all teasers together, more than once</p></main>' + card * 2,
+        "b": '<div class="text"><h1>Text {n}</h1><p>that is longer than all teasers together, more than once</p></div>' + card * 2,
+        "c": '<article class="lead"><h1>Text {n}</h1></article><hr><article class="body"><p>that is longer than all teasers together, more than once</p></article>',
+        "d": '<article class="post"><h1>Text {n}</h1><p>that is longer than all teasers together, more than once</p></article>' + card * 2,
+    }
+    expected = [f"Text {n} that is longer than all teasers together, more than once" for n in range(3)]
+    for host, page in layouts.items():
+        assert text_of(spark, [page.format(n=n) for n in range(3)], host) == expected, host
+    # two templates of one host that meet on a page, and a page whose text stands beside the host's article
+    long_ = "<p>" + "long text of the usual kind " * 9 + "</p>"
+    pages = [f'<article class="post">{long_}</article>'] * 4 + [
+        '<article class="post"><p>One</p></article><article class="news"><p>Two, a little longer</p></article>',
+        '<article class="post"><p>One</p></article><div class="text"><h2>Two</h2><p>and a little longer</p></div>']
+    assert text_of(spark, pages)[4:] == ["One Two, a little longer", "One Two and a little longer"]
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
     pages = {
