@@ -22,3 +22,24 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, nei
 FROM pairs
 QUALIFY rank <= 10
 """
+
+ORACLE["op13_substrings"] = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT row, doc_id, at, md5(array_to_string(list_slice(words, at, at + 49), ' ')) AS content
+    FROM docs, unnest(range(1, len(words) - 48)) AS starts(at)
+), judged AS (
+    SELECT row, at, coalesce(doc_id, -9223372036854775808) > min(coalesce(doc_id, -9223372036854775808)) OVER (PARTITION BY content) AS again
+    FROM windows
+), placed AS (
+    SELECT d.row, d.doc_id, p.at, d.words[p.at] AS word, coalesce(max(CASE WHEN j.again THEN 1 ELSE 0 END)
+           OVER (PARTITION BY d.row ORDER BY p.at ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+    FROM docs d CROSS JOIN unnest(range(1, len(d.words) + 1)) AS p(at) LEFT JOIN judged j ON j.row = d.row AND j.at = p.at
+), kept AS (
+    SELECT row, count(*) AS n_words, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY at) FILTER (gone = 0) AS text
+    FROM placed GROUP BY row
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, hamming, langid, licenses, mixture, pieces, secrets, simhash, tokenfiles, wrappers
+from stationflow.llm import exact, hamming, langid, licenses, mixture, pieces, secrets, simhash, substrings, tokenfiles, wrappers
 from stationflow.llm.support import table
 
 
@@ -72,4 +72,9 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_page.page_id", "_page.url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op4_token_counts, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers)}
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("_doc.doc_id", "_found.n_words", "_found.n_removed", F.sha2("_found.kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op4_token_counts, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers, op13_substrings)}

@@ -21,6 +21,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``staged``, with the shuffle files of the write removed at its end instead of whenever the driver collects garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return staged(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,6 +55,16 @@ def blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
         at = to
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose texts come to about ``most`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All parts as one byte array, and the offset at which each begins (one more at the end)."""
     offsets = np.zeros(len(parts) + 1, np.int64)
