@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import exact, hamming, langid, licenses, mixture, negatives, pieces, secrets, simhash, substrings, tokenfiles, wrappers
+from stationflow.llm import alignment, exact, hamming, langid, licenses, mixture, negatives, pieces, secrets, simhash, substrings, tokenfiles, wrappers
 from stationflow.llm.support import table
 
 
@@ -72,6 +72,11 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_page.page_id", "_page.url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = alignment.cross_tokenizer(table(spark, sf_dir, "documents"))
+    return found.select("_doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
@@ -82,4 +87,4 @@ def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_doc.doc_id", "_found.n_words", "_found.n_removed", F.sha2("_found.kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op4_token_counts, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers, op12_negatives, op13_substrings)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_simhash, op3_sentencepiece, op4_token_counts, op5_mixture, op6_language, op7_exact_dedup, op8_top_k, op9_secrets, op10_wrappers, op11_alignment, op12_negatives, op13_substrings)}
