@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +20,10 @@ MOMENT = ["number", "time", "weekday", "season"]
 
 
 def request_parts(requests: DataFrame) -> DataFrame:
-    """Target instant of each request and its half hour, weekday and season."""
+    """Target instant of each request and its half hour, weekday and season. Minutes that are missing or no number are 0."""
     target = F.col("target_ms")
     date = clock.utc_date(target)
-    return requests.withColumn("minutes", F.coalesce(F.col("minutes").cast("int"), F.lit(0))).withColumn(
+    return requests.withColumn("minutes", F.coalesce(F.col("minutes").try_cast("int"), F.lit(0))).withColumn(
         "target_ms", F.col("requested_ms") + clock.horizon_ms(F.col("minutes"))
     ).withColumns({
         "time": clock.slot30(clock.slot_time_text(target)),
@@ -98,14 +101,18 @@ def forecast_inputs(requests: DataFrame, slots: DataFrame, coded_features: DataF
     return live_override(rows, live)
 
 
+FACTORS = ["weekday_code", "prev_stands", "cluster", "latitude", "longitude"]
+
+
+def model_inputs(inputs: DataFrame) -> DataFrame:
+    """Inputs as a fitted model takes them, with ``known``: whether no factor is missing."""
+    known = reduce(and_, [F.col(f).isNotNull() for f in FACTORS])
+    return inputs.drop("time_code", "season_code").withColumn("known", known).fillna(0, FACTORS)
+
+
 def predicted(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
     """Inputs with the model's whole-stand prediction, NULL where a factor is missing."""
-    factors = ["weekday_code", "prev_stands", "cluster", "latitude", "longitude"]
-    known = F.lit(True)
-    for factor in factors:
-        known = known & F.col(factor).isNotNull()
-    flagged = inputs.drop("time_code", "season_code").withColumn("known", known).fillna(0, factors)
-    return fitted.transform(flagged).withColumn(
+    return fitted.transform(model_inputs(inputs)).withColumn(
         "pred", F.when(F.col("known"), stands.to_whole(F.col("raw_pred"), "half_even"))
     ).drop("known", "features", "raw_pred")
 
@@ -113,16 +120,18 @@ def predicted(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
 def answer(inputs: DataFrame, pred: str = "pred") -> DataFrame:
     """Responses. Minutes 0 answers with the live state, later horizons with ``pred``.
 
-    Status 500 marks a request without a station, or beyond now without a context.
+    Status 500 marks a request without a station, and beyond now one without a context or without a prediction.
     """
     now = F.col("minutes") <= 0
-    ok = F.when(now, F.col("first_capacity").isNotNull()).otherwise(F.col(TARGET).isNotNull())
+    ok = F.when(now, F.col("first_capacity").isNotNull()).otherwise(F.col(TARGET).isNotNull() & F.col(pred).isNotNull())
     free = F.when(now, F.col("live_stands")).otherwise(F.col(pred)).cast("long")
     capacity = F.when(now, F.col("live_capacity")).otherwise(F.col("current_capacity"))
     old = F.when(now, F.col("first_capacity")).otherwise(F.col("bike_stands"))
     updated = F.when(now, F.when(F.col("live_update") > 0, clock.timestamp_text(F.col("live_update")))).otherwise(
         F.col("last_update")
     )
+    fault = F.when(F.col("first_capacity").isNull(), "unknown station").when(
+        F.col(TARGET).isNull(), "no history for this moment").otherwise("a factor of the forecast is missing")
     return inputs.select(
         "number", "minutes", F.when(ok, 200).otherwise(500).alias("status"),
         F.when(ok, capacity - free).alias("available_bikes"),
@@ -130,6 +139,5 @@ def answer(inputs: DataFrame, pred: str = "pred") -> DataFrame:
         F.when(ok, old).alias("old_bike_stands"),
         F.when(ok, capacity).alias("curr_bike_stands"),
         F.when(ok, updated).alias("last_update"),
-        F.when(~ok, F.when(F.col("first_capacity").isNull(), "unknown station").otherwise("no history for this moment"))
-        .alias("error"),
+        F.when(~ok, fault).alias("error"),
     )

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import and_
+from typing import TypeVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +24,9 @@ from stationflow.functions.chance import key_hash
 from stationflow.functions.stands import to_whole
 from stationflow.operators.features import IMPORTANT_FACTORS, TARGET
 from stationflow.operators.profile import day_vectors
-from stationflow.session import shared_dir
+from stationflow.session import scratch_path, shared_dir
+
+T = TypeVar("T")
 
 # Clusters, elbow range, seed, training share and tree settings.
 CLUSTERS = 4
@@ -35,8 +39,10 @@ LEARNING_RATE = 0.01
 ROWS_PER_TASK = 200_000
 # Enough bins to keep the 48 half hours apart.
 MAX_BINS = 64
-# Fits of an elbow curve that run at the same time on the shared vectors.
+# Fits that run at the same time: of an elbow curve on the shared vectors, or of several tree models.
 PARALLEL_FITS = 4
+# How far two sums of the same tree answers in another order may lie apart.
+CLOSE = 1e-9
 SPLIT_KEY = ["number", "name", "address", "date", "time", "bike_stands"]
 
 
@@ -90,6 +96,42 @@ def centroids(spark: SparkSession, grid: DataFrame, k: int = CLUSTERS, seed: int
     return long.select("cluster", time.alias("time"), "available_stands")
 
 
+def kmeans_account(spark: SparkSession, grid: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+    """One row that shows a k-means result to be one, whatever the centers are.
+
+    ``days``, ``stands`` and ``squares`` are added up over the clusters (members,
+    their stands, and the squares within clusters and between their means), so
+    they must equal the same figures of the whole grid. ``nearest``: every member
+    has no nearer center than its own. ``adds_up``: the model's cost is the
+    squares around the members' means and those means' distances from the
+    centers. ``settled``: the latter, which a further step would save, are less than a hundredth.
+    """
+    vectors = ml_vectors(grid).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = fit_kmeans(vectors, k, seed)
+        centers = [[float(v) for v in c] for c in fitted.clusterCenters()]
+        table = spark.createDataFrame([(centers,)], "centers ARRAY<ARRAY<DOUBLE>>").select("centers").scalar()
+        gap = lambda c: F.aggregate(F.zip_with("stands", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+        members = fitted.transform(vectors).withColumns({"stands": vector_to_array("features"), "centers": table})
+        members = members.withColumn("gaps", F.transform("centers", gap)).withColumn("gap", F.get("gaps", F.col("prediction")))
+        rows = members.groupBy("prediction").agg(
+            Summarizer.metrics("count", "mean", "variance").summary(F.col("features")).alias("of"), F.sum("gap").alias("cost"),
+            F.count_if(F.col("gap") > F.array_min("gaps") + CLOSE * F.col("gap")).alias("farther"),
+            F.sum(F.aggregate("stands", F.lit(0.0), lambda x, y: x + y)).alias("stands")).collect()  # k rows
+        n = sum(r["of"]["count"] for r in rows)
+        means = {r["prediction"]: r["of"]["mean"].toArray() for r in rows}
+        mean = sum((r["of"]["count"] * means[r["prediction"]] for r in rows), 0.0) / max(n, 1)
+        within = sum((r["of"]["count"] - 1) * float(r["of"]["variance"].toArray().sum()) for r in rows)
+        between = sum(r["of"]["count"] * float(((means[r["prediction"]] - mean) ** 2).sum()) for r in rows)
+        moves = sum(r["of"]["count"] * float(((means[r["prediction"]] - centers[r["prediction"]]) ** 2).sum()) for r in rows)
+        cost = float(fitted.summary.trainingCost)
+    finally:
+        vectors.unpersist()
+    told = abs(cost - within - moves) <= 1e-6 * max(cost, 1.0) and abs(cost - sum(r["cost"] for r in rows)) <= 1e-6 * max(cost, 1.0)
+    row = (n, sum(r["stands"] for r in rows), within + between, not any(r["farther"] for r in rows), told, moves <= 0.01 * max(cost, 1.0))
+    return spark.createDataFrame([row], "days BIGINT, stands DOUBLE, squares DOUBLE, nearest BOOLEAN, adds_up BOOLEAN, settled BOOLEAN")
+
+
 def center_sums(centroid_rows: DataFrame) -> DataFrame:
     return centroid_rows.groupBy("cluster").agg(F.sum("available_stands").alias("sum_of_stands"))
 
@@ -157,6 +199,87 @@ def train(
         rows.unpersist()
 
 
+def at_once(fits: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """What each function gives. A small fit is mostly the waiting between its many short jobs, so fits run side by side."""
+    with ThreadPool(PARALLEL_FITS) as pool:
+        return dict(zip(fits, pool.map(lambda fit: fit(), fits.values())))
+
+
+def tree_table(spark: SparkSession, fitted: PipelineModel) -> DataFrame:
+    """The trees of a model as rows: tree, weight, node, feature, categories, split, left, right, value, gain, rows.
+
+    From the files that the model is saved in. A node with ``left`` below 0 is a
+    leaf. ``split`` is the threshold, or where ``categories`` is not -1 the codes
+    that go left.
+    """
+    path = scratch_path(spark, "trees")
+    fitted.stages[-1].write().save(path)
+    nodes, weights = spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "about", "weight")
+    return nodes.join(weights, "treeID").select(
+        F.col("treeID").alias("tree"), "weight", F.col("nodeData.id").alias("node"), F.col("nodeData.split.featureIndex").alias("feature"),
+        F.col("nodeData.split.numCategories").alias("categories"), F.col("nodeData.split.leftCategoriesOrThreshold").alias("split"),
+        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"), F.col("nodeData.prediction").alias("value"),
+        F.col("nodeData.gain").alias("gain"), F.col("nodeData.impurityStats")[0].alias("rows"))
+
+
+def walked(table: DataFrame, rows: DataFrame, factors: str = "features", depth: int = DEPTH) -> DataFrame:
+    """``rows`` with ``walk``: the weighted sum of the leaves that the vector ``factors`` reaches, one tree after the other.
+
+    The table, a fixed number of nodes whatever the data, goes to the rows as one value; the walk itself is a column expression.
+    """
+    node = F.struct("node", "feature", "categories", "split", "left", "right", "value")
+    trees = table.groupBy("tree", "weight").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    forest = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes")))).scalar()
+    step = """(at, i) -> if(t.nodes[at].left < 0, at, if(
+        if(t.nodes[at].categories = -1, _x[t.nodes[at].feature] <= t.nodes[at].split[0],
+           array_contains(t.nodes[at].split, _x[t.nodes[at].feature])), t.nodes[at].left, t.nodes[at].right))"""
+    walk = F.expr(f"aggregate(_trees, 0D, (s, t) -> s + t.weight * t.nodes[aggregate(sequence(1, {depth}), 0, {step})].value)")
+    return rows.withColumns({"_trees": forest, "_x": vector_to_array(factors)}).withColumn("walk", walk).drop("_trees", "_x")
+
+
+def answer_range(table: DataFrame) -> DataFrame:
+    """(low, high): between these lies every answer that the trees can give, on any row."""
+    leaves = table.where("left < 0").groupBy("tree", "weight").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    return leaves.agg(
+        F.sum(F.least(F.col("weight") * F.col("low"), F.col("weight") * F.col("high"))).alias("low"),
+        F.sum(F.greatest(F.col("weight") * F.col("low"), F.col("weight") * F.col("high"))).alias("high"))
+
+
+def near(a: Column, b: Column) -> Column:
+    return F.abs(a - b) <= CLOSE * F.greatest(F.lit(1.0), F.abs(a))
+
+
+def certified(spark: SparkSession, fitted: PipelineModel, rows: DataFrame, known: Column) -> DataFrame:
+    """``rows`` with raw_pred, pred, and two checks that hold for each with a prediction; NULL where not ``known``.
+
+    ``follows``: the prediction is what the trees' table says, leaf by leaf, and
+    ``pred`` is its half-even rounding. ``within``: it lies in the range of the leaves.
+    """
+    table = tree_table(spark, fitted)
+    coded = PipelineModel(fitted.stages[:3]).transform(rows)
+    scored = fitted.stages[3].transform(walked(table, coded))
+    low, high = (answer_range(table).select(c).scalar() for c in ("low", "high"))
+    raw, rounded = F.col("raw_pred"), to_whole(F.col("raw_pred"), "half_even")
+    slack = CLOSE * F.greatest(F.lit(1.0), F.abs(raw))
+    return scored.withColumns({
+        "pred": F.when(known, rounded), "follows": F.when(known, near(raw, F.col("walk"))),
+        "within": F.when(known, raw.between(low - slack, high + slack)),
+    }).drop("features", "walk")
+
+
+def certified_score(spark: SparkSession, fitted: PipelineModel, features: DataFrame) -> DataFrame:
+    """``score`` with the checks of ``certified``."""
+    return certified(spark, fitted, with_weekday_code(features), complete(features, fitted.stages[2].getInputCols()))
+
+
+def table_importances(table: DataFrame, factors: list[str]) -> DataFrame:
+    """(factor, importance): the gain of all splits on a factor, by the rows split, relative to the largest in percent."""
+    gains = table.where("left >= 0").groupBy("feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("gain"))
+    named = F.get(F.array(*[F.lit(f) for f in factors]), F.col("feature"))
+    top = gains.agg(F.max("gain")).scalar()
+    return gains.select(named.alias("factor"), (100 * F.col("gain") / top).alias("importance"))
+
+
 def score(fitted: PipelineModel, features: DataFrame) -> DataFrame:
     """Adds ``pred``: whole stands, rounded half-even; NULL where a factor is missing. Every row stays."""
     factors = fitted.stages[2].getInputCols()

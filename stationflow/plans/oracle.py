@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stationflow.functions.clock import SLOT_LEVELS, WEEKDAYS
-from stationflow.plans.oracle_views import SLOT_STAMP, with_views
+from stationflow.plans.oracle_views import SLOT_STAMP, VIEWS, with_views
 from stationflow.plans.views import TRAINING, UNSEEN
 
 ORACLE: dict[str, str] = {}
@@ -272,8 +272,10 @@ _STEPS = {
                CASE WHEN good THEN capacity END AS curr_bike_stands,
                CASE WHEN good THEN updated END AS last_update,
                CASE WHEN NOT good THEN CASE WHEN first_capacity IS NULL THEN 'unknown station'
-                    ELSE 'no history for this moment' END END AS error
-        FROM (SELECT *, CASE WHEN minutes <= 0 THEN first_capacity IS NOT NULL ELSE avg_stands IS NOT NULL END AS good,
+                    WHEN avg_stands IS NULL THEN 'no history for this moment'
+                    ELSE 'a factor of the forecast is missing' END END AS error
+        FROM (SELECT *, CASE WHEN minutes <= 0 THEN first_capacity IS NOT NULL
+                             ELSE avg_stands IS NOT NULL AND prev_stands IS NOT NULL END AS good,
                      CASE WHEN minutes <= 0 THEN live_stands ELSE prev_stands END AS free,
                      CASE WHEN minutes <= 0 THEN live_capacity ELSE current_capacity END AS capacity,
                      CASE WHEN minutes <= 0 THEN first_capacity ELSE bike_stands END AS old,
@@ -442,6 +444,11 @@ step("live_override", """
            round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM inputs""")
 step("forecast_now", "SELECT * FROM answers WHERE minutes = 0")
 step("forecast_status", "SELECT * FROM answers")
+_ODD = {"requests": f"""
+    SELECT CASE WHEN number % 20 = 19 THEN number + 1000000 ELSE number END AS number,
+           coalesce(TRY_CAST((['15', ' 30', 'soon', '', NULL])[minutes // 15 + 1] AS INTEGER), 0) AS minutes, requested_ms
+    FROM ({VIEWS["requests"]}) r"""}
+add("odd_requests", "SELECT * FROM answers", **(_STEPS | _ODD))
 step("catalog_list", "SELECT * FROM catalog ORDER BY number")
 step("catalog_by_number", "SELECT * FROM catalog WHERE number = 5")
 step("catalog_by_address", "SELECT * FROM catalog WHERE contains(lower(address), 'address 1')")
@@ -527,6 +534,38 @@ step("training_rows", " UNION ALL ".join(
         ("usable", f"{_KNOWN} AND avg_stands IS NOT NULL"), ("dropped", f"NOT ({_KNOWN} AND avg_stands IS NOT NULL)"),
         *((name, f"{column} IS NULL") for name, column in _FACTORS.items()), ("avg_stands", "avg_stands IS NULL"))))
 step("scored_rows", f"""
-    SELECT number, date, time, bike_stands, avg_stands, {_KNOWN} AS known, true AS plausible
+    SELECT number, date, time, bike_stands, avg_stands, {_KNOWN} AS known, true AS plausible, true AS follows
     FROM ({_located("prev_week")}) w WHERE time >= '05:30:00'""")
+step("holdout_rows", f"""
+    SELECT number, date, time, bike_stands, avg_stands, {_KNOWN} AS known, true AS follows, true AS within
+    FROM parted WHERE NOT training_part AND number IN ({_CHOSEN})""")
+step("factor_comparison_check", f"""
+    SELECT s.factors, CAST(s.factor_count AS INTEGER) AS factor_count, t.test_rows, true AS same
+    FROM (VALUES ('considered', 9), ('important', 7)) AS s(factors, factor_count)
+    JOIN (SELECT count(*) AS test_rows FROM parted WHERE NOT training_part AND number IN ({_CHOSEN}) AND {_KNOWN}) t ON true""")
+step("importance_check", """
+    SELECT unnest(['prev_stands', 'weekday_code', 'season_code', 'time_code', 'wind_speed', 'air_temperature', 'cluster',
+                   'latitude', 'longitude']) AS factor, true AS same FROM (SELECT count(*) FROM events) q""")
+step("request_check", """
+    SELECT p.number, p.minutes, i.prev_stands IS NOT NULL AND i.latitude IS NOT NULL AND i.longitude IS NOT NULL
+           AND c.cluster IS NOT NULL AND c.weekday_code IS NOT NULL AS known, true AS follows, true AS within
+    FROM parts p JOIN inputs i ON p.number = i.number AND p.minutes = i.minutes
+    LEFT JOIN context c ON p.number = c.number AND p.time = c.time AND p.weekday = c.weekday AND p.season = c.season""")
+step("station_cluster_check", "SELECT number, name, time, round(stands, 6) AS stands, true AS nearest FROM profile")
+
+
+def _trained(weekdays: str) -> dict[str, str]:
+    """All steps, over the slots of the training range on some days of the week."""
+    return _STEPS | {"slots": f"SELECT * FROM ({VIEWS['slots']}) s WHERE date BETWEEN '{TRAINING[0]}' AND '{TRAINING[1]}' AND weekday IN ({weekdays})"}
+
+
+_BY_LEVEL = "SELECT time, count(available_stands) AS n, var_samp(available_stands) AS v, sum(available_stands) AS t FROM filled GROUP BY time"
+_DAYS = {"weekday": WEEKDAYS[:5], "weekend": WEEKDAYS[5:], "all": WEEKDAYS}
+_DAYS = {part: ", ".join(f"'{d}'" for d in days) for part, days in _DAYS.items()}
+add("elbow_check", f"""
+    SELECT CAST(k AS INTEGER) AS num_clusters, round((max(n) - 1) * sum(v), 3) AS wss_k1, true AS no_dearer
+    FROM ({_BY_LEVEL}) q, (SELECT unnest(range(1, 15)) AS k) ks GROUP BY k""", **_trained(_DAYS["all"]))
+ORACLE["cluster_account"] = " UNION ALL ".join("SELECT * FROM (" + with_views(f"""
+    SELECT '{part}' AS part, max(n) AS days, CAST(sum(t) AS BIGINT) AS stands, round((max(n) - 1) * sum(v), 3) AS squares,
+           true AS nearest, true AS adds_up, true AS settled FROM ({_BY_LEVEL}) q""", _trained(days)) + ") a" for part, days in _DAYS.items())
 step("reloaded_model", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS wrong_times FROM features")

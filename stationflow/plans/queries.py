@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow import schemas
@@ -567,16 +568,16 @@ def forecast_actual_pairing_day(spark, sf_dir):
 # Forecast requests
 
 
-def _coded_history(spark, sf_dir, rows: DataFrame) -> DataFrame:
-    asked = forecast.request_parts(views.requests(spark, sf_dir))
+def _coded_history(spark, sf_dir, rows: DataFrame, requests=views.requests) -> DataFrame:
+    asked = forecast.request_parts(requests(spark, sf_dir))
     history = _features_of(spark, sf_dir, forecast.relevant_days(rows, asked), "half_even")
     return features.with_codes(history, features.moments(views.in_range(rows, views.TRAINING)))
 
 
-def _inputs(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
+def _inputs(spark, sf_dir, rows: DataFrame | None = None, requests=views.requests) -> DataFrame:
     rows = views.stored_slots(spark, sf_dir) if rows is None else rows
     return forecast.forecast_inputs(
-        views.requests(spark, sf_dir), rows, _coded_history(spark, sf_dir, rows), views.live(spark, sf_dir)
+        requests(spark, sf_dir), rows, _coded_history(spark, sf_dir, rows, requests), views.live(spark, sf_dir)
     )
 
 
@@ -616,6 +617,12 @@ def forecast_status(spark, sf_dir):
     return forecast.answer(_inputs(spark, sf_dir), "prev_stands")
 
 
+@register
+def odd_requests(spark, sf_dir):
+    """The same for minutes that are text, missing or no number, and for unknown stations."""
+    return forecast.answer(_inputs(spark, sf_dir, requests=views.odd_requests), "prev_stands")
+
+
 # Catalogue
 
 
@@ -816,7 +823,7 @@ def _event_stream(spark, sf_dir) -> DataFrame:
             part.repartition(1, F.xxhash64("event_id")).write.mode("append").parquet(path)
         return path
 
-    path = once(spark, f"landed events of {sf_dir}", land)
+    path = once(spark, f"landed events of {views.source(spark, sf_dir)}", land)
     return spark.readStream.schema(views.EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -881,7 +888,7 @@ def _fitted(spark, sf_dir, factors=features.IMPORTANT_FACTORS):
         rows = _selected_features(spark, sf_dir) if factors == features.IMPORTANT_FACTORS else _model_features(spark, sf_dir)
         return model.train(model.split(rows)[0], factors)
 
-    return once(spark, f"{model.TREES} trees on {','.join(factors)} of {sf_dir}", fit)
+    return once(spark, f"{model.TREES} trees on {','.join(factors)} of {views.source(spark, sf_dir)}", fit)
 
 
 def _filled_days(spark, sf_dir, bounds=views.TRAINING, part: str | None = None) -> DataFrame:
@@ -899,7 +906,25 @@ def filled_days(spark, sf_dir):
 
 @register
 def elbow_curve(spark, sf_dir):
-    return model.elbow(spark, _filled_days(spark, sf_dir))
+    return once(spark, f"elbow of {views.source(spark, sf_dir)}", lambda: model.elbow(spark, _filled_days(spark, sf_dir)))
+
+
+@register
+def elbow_check(spark, sf_dir):
+    """Of the curve: the cost of one cluster, and that no number of clusters costs more."""
+    curve = elbow_curve(spark, sf_dir)
+    one = curve.where("num_clusters = 1").agg(F.max("wss")).scalar()
+    return curve.select("num_clusters", F.round(one, 3).alias("wss_k1"), (F.col("wss") <= one).alias("no_dearer"))
+
+
+@register
+def cluster_account(spark, sf_dir):
+    """For all days, weekdays and weekends: figures that hold for any k-means result, added up over its clusters."""
+    parts = {part: model.kmeans_account(spark, _filled_days(spark, sf_dir, part=part)) for part in (None, "weekday", "weekend")}
+    rows = [account.select(
+        F.lit(part or "all").alias("part"), "days", F.round("stands").cast("long").alias("stands"), F.round("squares", 3).alias("squares"),
+        "nearest", "adds_up", "settled") for part, account in parts.items()]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 @register
@@ -924,6 +949,19 @@ def station_clusters(spark, sf_dir):
     return profile.label_profile(profile.station_profile(views.stored_slots(spark, sf_dir, views.TRAINING)), centers)
 
 
+@register
+def station_cluster_check(spark, sf_dir):
+    """Of ``station_clusters``: its profile rows, and that no center's sum is nearer to the station's than its own cluster's."""
+    centers = model.center_sums(model.centroids(spark, _filled_days(spark, sf_dir))).collect()  # one row a cluster
+    rows = profile.label_profile(
+        profile.station_profile(views.stored_slots(spark, sf_dir, views.TRAINING)), spark.createDataFrame(centers, "cluster INT, sum_of_stands DOUBLE"))
+    own = F.sum("stands").over(Window.partitionBy("number"))
+    gaps = [F.abs(own - F.lit(c.sum_of_stands)) for c in centers]
+    mine = F.coalesce(*[F.when(F.col("cluster") == c.cluster, gap) for c, gap in zip(centers, gaps)])
+    return rows.select(
+        "number", "name", "time", F.round("stands", 6).alias("stands"), (mine <= F.least(*gaps) + 1e-6).alias("nearest"))
+
+
 @register
 def training_rows(spark, sf_dir):
     """Rows the model is trained on and tested with, and those left out for a missing factor."""
@@ -938,12 +976,40 @@ def train_gbt(spark, sf_dir):
     return scored.select("number", "date", "time", "bike_stands", "avg_stands", "pred")
 
 
+def _both_fitted(spark, sf_dir) -> dict:
+    """The two models, fitted at the same time where they are not yet."""
+    sets = {"considered": features.CONSIDERED_FACTORS, "important": features.IMPORTANT_FACTORS}
+    return model.at_once({name: partial(_fitted, spark, sf_dir, factors) for name, factors in sets.items()})
+
+
 @register
 def factor_comparison(spark, sf_dir):
     _, test_rows = model.split(_model_features(spark, sf_dir))
-    return model.compare_factors(spark, test_rows, {
-        "considered": _fitted(spark, sf_dir, features.CONSIDERED_FACTORS), "important": _fitted(spark, sf_dir),
-    })
+    return model.compare_factors(spark, test_rows, _both_fitted(spark, sf_dir))
+
+
+@register
+def factor_comparison_check(spark, sf_dir):
+    """Of the comparison: its hold-out rows, and that walking the trees' tables gives the same errors."""
+    _, test_rows = model.split(_model_features(spark, sf_dir))
+    errors = factor_comparison(spark, sf_dir).withColumnRenamed("factors", "set")
+    parts = []
+    for name, fitted in _both_fitted(spark, sf_dir).items():
+        rows = model.certified_score(spark, fitted, test_rows).where(F.col("follows"))
+        error = rows.agg(F.count("*").alias("test_rows"), F.sqrt(F.avg(F.pow(F.col("raw_pred") - F.col("avg_stands"), 2))).alias("again"))
+        parts.append(error.withColumn("factors", F.lit(name)))
+    return parts[0].union(parts[1]).join(errors, F.col("factors") == F.col("set")).select(
+        "factors", "factor_count", "test_rows", (F.abs(F.col("rmse") - F.col("again")) <= 1e-6).alias("same"))
+
+
+@register
+def holdout_rows(spark, sf_dir):
+    """Of ``train_gbt``: the hold-out rows, which have a prediction, and that it is what the trees' table says."""
+    _, test_rows = model.split(_selected_features(spark, sf_dir))
+    scored = model.certified_score(spark, _fitted(spark, sf_dir), test_rows)
+    return scored.select(
+        "number", "date", "time", "bike_stands", "avg_stands", F.col("pred").isNotNull().alias("known"),
+        F.coalesce("follows", F.lit(True)).alias("follows"), F.coalesce("within", F.lit(True)).alias("within"))
 
 
 @register
@@ -952,12 +1018,25 @@ def feature_importance(spark, sf_dir):
     return model.importances(spark, fitted, features.CONSIDERED_FACTORS)
 
 
+@register
+def importance_check(spark, sf_dir):
+    """Of ``feature_importance``: its factors, and that the gains in the trees' table give the same shares."""
+    fitted = _fitted(spark, sf_dir, features.CONSIDERED_FACTORS)
+    again = model.table_importances(model.tree_table(spark, fitted), features.CONSIDERED_FACTORS).toDF("name", "again")
+    rows = model.importances(spark, fitted, features.CONSIDERED_FACTORS)
+    return rows.join(again, F.col("factor") == F.col("name"), "left").select(
+        "factor", (F.abs(F.col("importance") - F.coalesce("again", F.lit(0.0))) <= 1e-6).alias("same"))
+
+
+def _unseen_week(spark, sf_dir) -> DataFrame:
+    rows = views.in_range(views.stored_slots(spark, sf_dir), views.UNSEEN)
+    return evaluate.service_hours(_features_of(spark, sf_dir, rows, "half_even"))
+
+
 @register
 def score_unseen(spark, sf_dir):
     """Every row of the unseen week in service hours; without a prediction where a factor is missing."""
-    rows = views.stored_slots(spark, sf_dir)
-    week = _features_of(spark, sf_dir, views.in_range(rows, views.UNSEEN), "half_even")
-    scored = model.score(_fitted(spark, sf_dir), evaluate.service_hours(week))
+    scored = model.score(_fitted(spark, sf_dir), _unseen_week(spark, sf_dir))
     return evaluate.absolute_errors(scored).select(
         "number", "date", "time", "bike_stands", "avg_stands", "pred", "error"
     )
@@ -965,12 +1044,12 @@ def score_unseen(spark, sf_dir):
 
 @register
 def scored_rows(spark, sf_dir):
-    """What of ``score_unseen`` does not depend on the trees: its rows, which have a prediction, and that it is plausible."""
-    target = model.split(_selected_features(spark, sf_dir))[0].agg(F.max("avg_stands").alias("most"))
-    scored = score_unseen(spark, sf_dir).join(F.broadcast(target))  # one row
+    """Of ``score_unseen``: its rows, which have a prediction, that it is what the trees' table says, and that it is
+    plausible: between the weighted sums of the trees' smallest and largest leaves, half-even rounded."""
+    scored = model.certified_score(spark, _fitted(spark, sf_dir), _unseen_week(spark, sf_dir))
     return scored.select(
         "number", "date", "time", "bike_stands", "avg_stands", F.col("pred").isNotNull().alias("known"),
-        F.coalesce(F.col("pred").between(0, F.col("most")), F.lit(True)).alias("plausible"))
+        F.coalesce("within", F.lit(True)).alias("plausible"), F.coalesce("follows", F.lit(True)).alias("follows"))
 
 
 @register
@@ -1000,3 +1079,13 @@ def forecast_requests(spark, sf_dir):
     """All requests answered by the model."""
     rows = views.stored_slots(spark, sf_dir)
     return forecast.answer(forecast.predicted(_fitted(spark, sf_dir), _inputs(spark, sf_dir, rows)))
+
+
+@register
+def request_check(spark, sf_dir):
+    """Of ``forecast_requests``: each request, whether it has a factor missing, and that its prediction is what the trees' table says."""
+    inputs = forecast.model_inputs(_inputs(spark, sf_dir, views.stored_slots(spark, sf_dir)))
+    scored = model.certified(spark, _fitted(spark, sf_dir), inputs, F.col("known"))
+    return scored.select(
+        "number", "minutes", F.col("pred").isNotNull().alias("known"), F.coalesce("follows", F.lit(True)).alias("follows"),
+        F.coalesce("within", F.lit(True)).alias("within"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import clock
 from stationflow.operators import clean, slots
-from stationflow.session import once, scratch_path
+from stationflow.session import once, scratch_path, version
 from stationflow.sources import files
 
 TRAINING = ("2024-01-01", "2024-01-21")
@@ -25,6 +25,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+def source(spark: SparkSession, sf_dir: str) -> str:
+    """The name under which a session keeps what it made of these events: another one once the files change."""
+    return version(spark, f"{sf_dir}/events.parquet")
+
+
 def epoch_ms(column: str):
     return F.unix_millis(F.col(column).cast("timestamp"))
 
@@ -99,7 +104,7 @@ def stored_slots(spark: SparkSession, sf_dir: str, bounds: tuple[str, str] | Non
         files.write_slots(slot_table(spark, sf_dir), path)
         return path
 
-    return by_station(files.read_slots(spark, once(spark, f"slots of {sf_dir}", write)), bounds)
+    return by_station(files.read_slots(spark, once(spark, f"slots of {source(spark, sf_dir)}", write)), bounds)
 
 
 def by_station(rows: DataFrame, bounds: tuple[str, str] | None = None) -> DataFrame:
@@ -210,6 +215,14 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as they come in: minutes as text, some empty, missing or no number; some of stations that do not exist."""
+    minutes = F.array(*[F.lit(m) for m in ("15", " 30", "soon", "")], F.lit(None).cast("string"))
+    return requests(spark, sf_dir).select(
+        F.when(F.col("number") % 20 == 19, F.col("number") + 1_000_000).otherwise(F.col("number")).alias("number"),
+        F.get(minutes, (F.col("minutes") / 15).cast("int")).alias("minutes"), "requested_ms")
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = geo(spark, sf_dir).select("number", "latitude", "longitude")
     text = F.concat_ws(",", F.col("latitude").cast("string"), F.col("longitude").cast("string"))

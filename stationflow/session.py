@@ -5,16 +5,20 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from typing import Any, TypeVar
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 T = TypeVar("T")
 _local_dirs: dict[str, str] = {}
 _roots: set[str] = set()
 _made: dict[tuple[str, str], Any] = {}
+_locks: dict[tuple[str, str], threading.Lock] = {}
+_guard = threading.Lock()
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -78,9 +82,19 @@ def _delete(spark: SparkSession, root: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def version(spark: SparkSession, path: str) -> str:
+    """A mark of the files below ``path``: it changes when one of them is written, replaced or removed."""
+    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+    count, mark = files.agg(F.count("*"), F.bit_xor("h")).first()
+    return f"{path} {count} {mark}"
+
+
 def once(spark: SparkSession, what: str, make: Callable[[], T]) -> T:
-    """``make()``, or what it gave before in this session under the same name."""
+    """``make()``, or what it gave before in this session under the same name. Threads that ask together wait for one result."""
     key = (spark.sparkContext.applicationId, what)
-    if key not in _made:
-        _made[key] = make()
-    return _made[key]
+    with _guard:
+        lock = _locks.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _made:
+            _made[key] = make()
+        return _made[key]

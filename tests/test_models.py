@@ -79,12 +79,72 @@ def test_a_model_is_fitted_once(spark, small_dir):
     assert queries._fitted(spark, small_dir) is queries._fitted(spark, small_dir)
 
 
-@pytest.mark.parametrize("name", ["scored_rows", "reloaded_model"])
+COMPANIONS = [
+    "scored_rows", "holdout_rows", "request_check", "importance_check", "factor_comparison_check", "reloaded_model", "elbow_check",
+    "cluster_account", "station_cluster_check",
+]
+
+
+@pytest.mark.parametrize("name", COMPANIONS)
 def test_companions_equal_sql(spark, small_dir, name):
     con = compare.duck(small_dir)
     assert compare.differences(entry.queries()[name](spark, small_dir), con, entry.oracle_sql()[name]) == []
 
 
+def _two_factors(spark, pairs):
+    """Rows with these previous stands and latitudes; either one being high makes the target 10."""
+    rows = [(f"2024-01-{1 + i % 9:02d}", "winter", "10:00:00", a, 10 * int(a > 0 or b > 0), float(b), -6.0, 1) for i, (a, b) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "date string, season string, time string, prev_stands long, avg_stands long, latitude double, longitude double, cluster int")
+
+
+def _overshooting(spark):
+    return _two_factors(spark, [(0, 0), (20, 0), (0, 5)] * 60)
+
+
+def test_the_walk_is_the_model_and_its_range_holds(spark, monkeypatch):
+    monkeypatch.setattr(model, "LEARNING_RATE", 1.0)
+    monkeypatch.setattr(model, "DEPTH", 1)
+    rows = _overshooting(spark)
+    fitted = model.train(rows, trees=4)
+    both = _two_factors(spark, [(20, 5)])  # never seen together: the effects add up
+    scored = model.certified_score(spark, fitted, rows.union(both).union(rows.limit(1).withColumn("latitude", F.lit(None).cast("double"))))
+    counts = {(r.follows, r.within): r["count"] for r in scored.groupBy("follows", "within").count().collect()}
+    assert counts == {(True, True): 181, (None, None): 1}
+    assert scored.agg(F.max("raw_pred")).first()[0] > 10.5  # trees promise no more than the range of their leaves
+
+
+def test_a_changed_leaf_is_noticed(spark):
+    rows = _overshooting(spark)
+    fitted = model.train(rows, trees=4)
+    table = model.tree_table(spark, fitted)
+    assert table.where("left < 0").count() == table.where("left >= 0").count() + table.select("tree").distinct().count()
+    changed = table.withColumn("value", F.col("value") + F.when((F.col("tree") == 2) & (F.col("left") < 0), 0.5).otherwise(0.0))
+    coded = model.PipelineModel(fitted.stages[:3]).transform(model.with_weekday_code(rows))
+    gaps = model.walked(changed, fitted.stages[3].transform(coded)).select((F.col("walk") - F.col("raw_pred")).alias("gap")).distinct().collect()
+    weight = table.where("tree = 2").first().weight
+    assert all(abs(r.gap - 0.5 * weight) < 1e-9 for r in gaps)
+
+
+def test_models_fitted_side_by_side_are_the_same(spark):
+    rows = _overshooting(spark)
+    alone = [model.importances(spark, model.train(rows, trees=3), features.IMPORTANT_FACTORS).collect() for _ in range(2)]
+    both = model.at_once({n: lambda: model.train(rows, trees=3) for n in "ab"})
+    assert alone[0] == alone[1] == model.importances(spark, both["a"], features.IMPORTANT_FACTORS).collect()
+
+
+def test_an_unsettled_clustering_is_noticed(spark, monkeypatch):
+    days = spark.createDataFrame([(i, "d", [float(i % 3 * 10), float(i % 7), float(i)]) for i in range(60)], "number int, date string, stands array<double>")
+    account = model.kmeans_account(spark, days, 3).first()
+    assert (account.days, account.nearest, account.adds_up) == (60, True, True)
+    values = [[float(i % 3 * 10), float(i % 7), float(i)] for i in range(60)]
+    assert account.stands == sum(map(sum, values))
+    mean = [sum(c) / 60 for c in zip(*values)]
+    assert abs(account.squares - sum((x - m) ** 2 for v in values for x, m in zip(v, mean))) < 1e-6
+    from pyspark.ml.clustering import KMeans
+    monkeypatch.setattr(model, "fit_kmeans", lambda vectors, k, seed: KMeans(k=k, seed=1, maxIter=1, initMode="random").fit(vectors))
+    assert not model.kmeans_account(spark, days, 3).first().settled
+
+
 @pytest.mark.parametrize("scope", ["all", "station"])
 def test_filled_days_are_the_filled_grid(spark, small_dir, scope):
     slots = views.stored_slots(spark, small_dir)
