@@ -30,6 +30,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.support import blocks, joined
+from stationflow.llm.support import blocks, joined, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -253,18 +254,20 @@ class Vocabulary:
         out[missing] = self.byte_id[data[begin[row[missing]] + within[missing]]] if fallback else self.unknown
         return unit[row], out
 
-    def encode(self, texts: list[str], solved: Solved | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and their number per text."""
+    def encode(
+        self, texts: list[str], solved: Solved | None = None, cache: int = CACHE_UNITS, at_once: int = BATCH_BYTES,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and their number per text. ``solved`` keeps up to ``cache`` units; ``at_once`` characters are solved together."""
         solved = Solved() if solved is None else solved
         cut = [self.units(t) for t in texts]
         distinct = set(itertools.chain.from_iterable(cut))
-        if len(solved.place) + len(distinct) > CACHE_UNITS:
+        if len(solved.place) + len(distinct) > cache:
             solved.clear()
         fresh, part, size = [u for u in distinct if u not in solved.place], [], 0
         for u in fresh:
             part.append(u)
             size += len(u)
-            if size >= BATCH_BYTES:
+            if size >= at_once:
                 solved.add(part, *self.solve(part))
                 part, size = [], 0
         if part:
@@ -302,6 +305,24 @@ def encoder(df: DataFrame, path: str = MODEL_PATH):
     return encode
 
 
+def encoded(df: DataFrame, text_name: str = "text", path: str = MODEL_PATH) -> DataFrame:
+    """``df`` without the text, with ``ids``. Half a megabyte of text is encoded and handed over at a time, so a task never holds a batch of ids."""
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
+    others = [c for c in df.columns if c != text_name]
+    rows = df.select(F.col(f"`{text_name}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        solved = Solved()
+        for whole in batches:
+            for batch in slices(whole, 0, 1 << 19):
+                texts = ["" if t is None else t for t in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(1), _lists(*shared.value.encode(texts, solved, 1 << 16, 1 << 16))], names=["row", "ids"])
+            pa.default_memory_pool().release_unused()
+
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return rows.mapInArrow(run, schema).select("row.*", "ids")
+
+
 def decoder(df: DataFrame, path: str = MODEL_PATH):
     """A function from a column of piece ids to the text."""
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(path))

@@ -4,7 +4,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from stationflow.llm import pieces
+from stationflow.llm import pieces, support
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +94,14 @@ def test_cache_is_emptied_when_full(vocabulary, monkeypatch):
 def test_empty_table(spark):
     docs = S.empty(spark)
     assert docs.select(pieces.encoder(docs)(F.col("text"))).count() == 0
+
+
+def test_rows_encoded_in_a_stream(spark, monkeypatch):
+    docs = S.odd(spark)
+    monkeypatch.setattr(pieces, "slices", lambda batch, column, most: support.slices(batch, column, 1))  # one row at a time
+    out = pieces.encoded(docs)
+    assert out.columns == [c for c in docs.columns if c != "text"] + ["ids"]
+    expected = docs.select("doc_id", "a.b".join("``"), pieces.encoder(docs)(F.col("text")).alias("ids"))
+    key = lambda rows: sorted(map(str, rows))
+    assert key(out.select("doc_id", "`a.b`", "ids").collect()) == key(expected.collect())
+    assert pieces.encoded(S.empty(spark)).count() == 0
