@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from stationflow.llm import exact, langid, mixture, pieces, simhash
 from stationflow.llm.support import staged, table
 
+BATCH_ROWS = 500
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with enough confidence."""
@@ -40,8 +42,10 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, number of pieces, and the piece ids of the whole text."""
-    ids = pieces.encoder(docs)(F.col("text"))
-    return docs.select("doc_id", "source", ids.alias("ids")).select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids")
+    # texts go to Python in batches of rows; with long texts the usual 10,000 rows are tens of megabytes
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    ids = pieces.encoded(docs.select("doc_id", "source", "text"))
+    return ids.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
 
 STAGES = [
