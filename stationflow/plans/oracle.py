@@ -507,6 +507,11 @@ step("prepared_slots", f"""
                        bike_stands, available_bike_stands, last_update FROM obs) u) d
     GROUP BY number, name, address, date, time, weekday""")
 step("scan_forecast_log", f"SELECT number, time, {_LOG} FROM forecast_log")
+step("log_rejects", """
+    SELECT strftime(make_timestamp(time * 1000000), '%Y-%m-%d') AS day, count(*) AS row_count,
+           count(*) FILTER (time % 13 <> 0 AND time % 17 <> 0 AND actual_time IS NULL) AS short_rows,
+           count(*) FILTER (time % 13 = 0 OR time % 17 = 0) AS malformed_rows, CAST(0 AS BIGINT) AS unreadable_files
+    FROM forecast_log GROUP BY 1""")
 step("stream_dedup", f"SELECT {_RAW} FROM obs_unique")
 step("stream_slots", """
     SELECT number, name, address, last_update - last_update % 600000 AS slot_ms, min(bike_stands) AS bike_stands,

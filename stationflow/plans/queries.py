@@ -734,9 +734,11 @@ def compacted_days(spark, sf_dir):
     rows = views.obs_dirty(spark, sf_dir).dropna("any")
     date = clock.utc_date(F.col("last_update"))
     named = rows.withColumn("day", F.concat(clock.weekday_name(date), F.date_format(date, "-dd-MM-yyyy")))
-    arrays = named.groupBy("day", (F.col("number") % 2).alias("part")).agg(F.to_json(F.collect_list(F.struct(*schemas.OBSERVATION_COLUMNS))).alias("value"))
+    # an array holds what one poll of some stations gives: the rows of a minute, in groups of stations
+    poll = (F.col("last_update") / 60_000).cast("long"), F.pmod(F.xxhash64("number"), F.lit(64))
+    arrays = named.groupBy("day", (F.col("number") % 2).alias("part"), *poll).agg(F.to_json(F.collect_list(F.struct(*schemas.OBSERVATION_COLUMNS))).alias("value"))
     for part in (0, 1):
-        # one file a day and part, in a folder with the day's name
+        # in folders with the day's name, an array to a line
         arrays.where(F.col("part") == part).select("value", F.concat("day", F.lit(f"-{part}")).alias("file")).write.partitionBy("file").text(f"{landing}/{part}")
     for part in (0, 1):
         files.compact_days(spark, f"{landing}/{part}", table, multi_line=False)
@@ -758,8 +760,11 @@ def prepared_slots(spark, sf_dir):
 
 @register
 def geography_file(spark, sf_dir):
+    """Written in two parts with the columns in another order and an unnamed one in front, and read by headings."""
     path = scratch_path(spark, "geography")
-    files.save_csv(views.geo(spark, sf_dir), path)
+    rows = views.geo(spark, sf_dir)
+    files.save_csv(rows.where("number % 2 = 0").select(F.lit(7).alias(""), *reversed(rows.columns)), f"{path}/a")
+    files.save_csv(rows.where("number % 2 = 1").withColumnsRenamed({c: c.title() for c in rows.columns}), f"{path}/b")
     return files.read_geography(spark, path)
 
 
@@ -805,6 +810,21 @@ def scan_forecast_log(spark, sf_dir):
     return files.read_forecast_log(spark, path, header=False)
 
 
+@register
+def log_rejects(spark, sf_dir):
+    """Per day of the log: rows, short rows and malformed ones, of files in which some fields are no numbers."""
+    path = scratch_path(spark, "reject-log")
+    log = views.forecast_log(spark, sf_dir)
+    fields = [F.col(c).cast("string") for c in log.columns]
+    fields[2] = F.when(F.col("time") % 13 == 0, "n/a").otherwise(fields[2])
+    fields.append(F.when(F.col("time") % 17 == 0, "more"))
+    day = F.date_format(F.timestamp_seconds("time"), "yyyy-MM-dd")
+    log.select(F.concat_ws(",", *fields).alias("value"), day.alias("day")).write.partitionBy("day").text(path)
+    account = files.log_account(spark, path, header=False)
+    return account.groupBy(F.regexp_extract("path", "day=([0-9-]+)", 1).alias("day")).agg(
+        *[F.sum(c).alias(c) for c in ("row_count", "short_rows", "malformed_rows")], F.count_if("unreadable").alias("unreadable_files"))
+
+
 # Streams. Each runs over what has landed and ends.
 
 

@@ -51,6 +51,53 @@ def test_compaction_reads_only_new_files_and_merges_late_ones(spark, tmp_path):
         ("Mon-06-11-2017", 1000), ("Mon-06-11-2017", 2000), ("Mon-06-11-2017", 9000), ("Tue-07-11-2017", 3000)]
 
 
+def test_compaction_in_small_rounds_is_the_same(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for i in range(5):
+        land(landing, f"Mon-06-11-2017-08-0{i}.json", [station(1, 1000 + i // 2, 5), station(2, 1000 * i, 6)])
+    rows = []
+    for n in (1, 2, 100):
+        files.compact_days(spark, str(landing), str(tmp_path / f"out{n}"), at_once=n)
+        rows.append(sorted((r.number, r.last_update, r.path) for r in files.read_compacted(spark, str(tmp_path / f"out{n}")).collect()))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 8
+
+
+def test_all_readers_find_columns_by_heading(spark, tmp_path):
+    def put(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.csv").write_text(text)
+        return str(tmp_path / name)
+
+    geo = files.read_geography(spark, put("geo", ",Longitude,LATITUDE,Address,Name,Number\n0,-6.2,53.3,Rue,S1,1\n")).first()
+    assert tuple(geo) == (1, "S1", "Rue", 53.3, -6.2)
+    weather = files.read_weather(spark, put("w", "Air Temperature,datetime,station id,x,wind-speed,atmospheric_pressure\n7.5,01/02/2017 10:00,M2,9,3,1000\n")).first()
+    assert tuple(weather) == ("M2", "01/02/2017 10:00", 1000.0, 3.0, 7.5)
+    slot = files.read_slots_csv(spark, put("s", ",".join(["", *reversed(list(SLOT_FACT_HEADINGS.values()))]) + "\n7,1,2,3,4,20,Mon,10:00:00,2017-11-06,Rue,S1,1\n")).first()
+    assert (slot.number, slot.date, slot.check_out, slot.bike_stands, slot.diff) == (1, "2017-11-06", 1, 20, 4)
+    log = files.read_forecast_log(spark, put("l", "Pred Bikes,Time,Number,Pred Available Bike Stands\n22,100,79,5\n")).first()
+    assert tuple(log) == (79, 100, 5, 22, None, None, None)
+
+
+def test_fields_of_another_type_are_reported(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("number,name,address,latitude,longitude\n1,S1,a,53.3,west\nx,S2,b,,-6\n")
+    (tmp_path / "b.csv").write_text("longitude,latitude,address,name,number\n-6,53,c,S3,3\n")
+    rows = files.read_headed(spark, str(tmp_path), "number BIGINT, name STRING, address STRING, latitude DOUBLE, longitude DOUBLE")
+    assert sorted((r.name, r.number, r.longitude) for r in rows.collect()) == [("S1", 1, None), ("S2", None, -6.0), ("S3", 3, -6.0)]
+    found = {(r.path.split("/")[-1], r.column): r.row_count for r in files.type_conflicts(rows).collect()}
+    assert found == {("a.csv", "longitude"): 1, ("a.csv", "number"): 1}
+
+
+def test_account_of_log_files(spark, tmp_path):
+    head = "Number,Time,Pred Available Bike Stands,Pred Bikes,Actual Time,Actual Available Bike Stands,Actual Bikes\n"
+    (tmp_path / "a.csv").write_text(head + "79,100,5,22,1000,6,21\n5,100,7,33\n66,100,\n\n9,x,1,2,3,4,5\n1,2,3,4,5,6,7,8\n")
+    (tmp_path / "b.csv.gz").write_bytes(b"this is not gzip")
+    (tmp_path / "c.csv").write_text(head)
+    (tmp_path / "d.csv").write_text("")
+    found = {r.path.split("/")[-1]: tuple(r)[1:] for r in files.log_account(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": (5, 1, 3, False), "b.csv.gz": (0, 0, 0, True), "c.csv": (0, 0, 0, False)}
+
+
 def test_headings_place_the_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text(',number,name,address,bike_stands,available_bike_stands,last_update\n0,4,"A ""B"", C"," lead ",20,3,1000\n')
     (tmp_path / "b.csv").write_text('last_update,name,number,address,bike_stands,available_bike_stands,Unnamed: 6\n2000,,5,"",20.0,4.0,x\n')
