@@ -14,10 +14,12 @@ both, though only 5 places of 21 are hashed.
    Where nothing is shared, no window is ever formed.
 3. A window that also starts in a smaller document has its words removed.
 
-Every step is an aggregate or a join on hashes; a passage that many documents
-share is one key of an aggregate, and a skewed side of a join that adaptive
-execution splits. Rows meet their own results by id and a hash of the text, so
-nothing depends on the order in which a table is read.
+Every step is an aggregate with map-side combine or a join on hashes. What a
+passage shared by many documents would gather in one task of a join never gets
+there: of all keys, the ``HOT`` ones with the most rows are broadcast to the
+rows, and only the other keys' rows are shuffled. Rows meet their own results by
+id and a hash of the text, so nothing depends on the order in which a table is
+read.
 
 Defined results: a null text has no words. A null id counts as smaller than any
 other; rows that share an id are one document, so they never remove words of
@@ -39,6 +41,7 @@ from stationflow.llm import wordhash
 from stationflow.llm.support import joined, settled, slices
 
 WORDS = 50
+HOT = 1 << 16
 PERIOD = 21
 COVER = (0, 1, 4, 14, 16)  # every difference modulo 21 is one of two members
 NO_ID = -(2 ** 63)
@@ -116,15 +119,22 @@ def _windows(words: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def repeats(docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", words: int = WORDS) -> DataFrame:
+def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], hot: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (keys, ..., n) on ``keys``; the ``hot`` groups with the largest n without a shuffle of their rows."""
+    top = F.broadcast(groups.orderBy(F.desc("n"), *keys).limit(hot))
+    return rows.join(top, keys).union(rows.join(top.select(keys), keys, "left_anti").join(groups, keys))
+
+
+def repeats(docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", words: int = WORDS, hot: int = HOT) -> DataFrame:
     """(id, own, starts): by key of a row, where windows start in it that also start in a document with a smaller id."""
     keyed = _keyed(docs, id_name, text_name)
+    ends = F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n")
     anchors = keyed.mapInArrow(_anchors(words), f"{KEY}, at int, anchor long")
-    shared = anchors.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor")
-    marks = settled(anchors.join(shared, "anchor").groupBy("id", "own").agg(F.collect_set("at").alias("at")), "anchors")
+    shared = settled(anchors.groupBy("anchor").agg(*ends).where("least < most").select("anchor", "n"), "shared")
+    marks = settled(_meet(anchors, shared, ["anchor"], hot).groupBy("id", "own").agg(F.collect_set("at").alias("at")), "anchors")
     windows = settled(keyed.join(marks, ["id", "own"]).mapInArrow(_windows(words), f"{KEY}, at int, low long, high int"), "windows")
-    first = windows.groupBy("low", "high").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    later = windows.join(first, ["low", "high"]).where("id > least")
+    first = settled(windows.groupBy("low", "high").agg(*ends).where("least < most").select("low", "high", "least", "n"), "first")
+    later = _meet(windows, first, ["low", "high"], hot).where("id > least")
     return settled(later.groupBy("id", "own").agg(F.collect_set("at").alias("starts")), "repeats")
 
 

@@ -71,6 +71,13 @@ def test_other_lengths_equal_brute_force(spark, words):
     assert found(S.frame(spark, rows), words) == brute(rows, words)
 
 
+@pytest.mark.parametrize("hot", [1, 40])
+def test_hot_keys_and_others_meet_alike(spark, hot):
+    docs = S.frame(spark, passages(4)[:120])
+    key = lambda df: sorted((r.id, r.own, tuple(sorted(r.starts))) for r in df.collect())
+    assert key(substrings.repeats(docs, hot=hot)) == key(substrings.repeats(docs)) != []
+
+
 def test_near_copies_copies_and_ids(spark):
     base = [f"x{i}" for i in range(200)]
     near = base[:90] + ["other"] + base[91:]
