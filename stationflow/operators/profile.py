@@ -94,40 +94,11 @@ def _inflow(cells: DataFrame, slots: DataFrame) -> DataFrame:
     return carried.groupBy("number").agg(values.alias("inflow"))
 
 
-def gap_fill(slots: DataFrame, scope: str = "all") -> DataFrame:
-    """The grid with missing slots filled, time level by time level, from the previous row.
-
-    Rows are ordered by (number, date). With scope ``all`` the fill runs across
-    stations and a level's leading gap takes its first known value; with
-    ``station`` it stays within the station, whose leading gap takes the
-    station's own first known value. A level with no value stays NULL.
-
-    A station has one row per day and level, so the windows are small however
-    busy the station; only its first and last values meet other stations.
-    """
-    cells = _cells(slots)
-    grid = _spread(cells, slots)
-    level = Window.partitionBy("number", "slot_no")
-    upto = Window.unboundedPreceding, Window.currentRow
-    filled = grid.withColumn("known", F.last("v", True).over(level.orderBy("day").rowsBetween(*upto)))
-    if scope == "station":
-        whole = Window.unboundedPreceding, Window.unboundedFollowing
-        carried = F.first("v", True).over(level.orderBy("day").rowsBetween(*whole))
-        filled = filled.withColumn("carried", carried)
-    elif scope == "all":
-        filled = filled.join(_inflow(cells, slots), "number", "left").withColumn(
-            "carried", F.get("inflow", F.col("pos"))["carried"]
-        )
-    else:
-        raise ValueError(f"unknown fill scope: {scope}")
-    return _as_table(filled.withColumn("filled", F.coalesce("known", "carried")), "filled")
-
-
-def filled_days(slots: DataFrame, scope: str = "all") -> DataFrame:
-    """``gap_fill`` with one row per station-day: number, date, ``stands`` at every level, and the levels' ``times``.
+def _filled(slots: DataFrame, scope: str) -> DataFrame:
+    """(number, day, levels, stands): one row per station-day, its stands at every level after the fill.
 
     A day stays one row throughout: one window over a station's days carries all
-    levels forward. Days with a level that has no value anywhere are left out.
+    levels forward.
     """
     if scope not in ("all", "station"):
         raise ValueError(f"unknown fill scope: {scope}")
@@ -146,9 +117,34 @@ def filled_days(slots: DataFrame, scope: str = "all") -> DataFrame:
     else:
         inflow = F.transform("levels", lambda level: F.get("before", level))
     known = F.transform("levels", lambda level: F.get("known", level))
-    stands = F.zip_with(known, inflow, lambda a, b: F.coalesce(a, b).cast("double"))
-    return carried.select(
-        "number", F.col("day").cast("string").alias("date"), stands.alias("stands"),
+    return carried.select("number", "day", "levels", F.zip_with(known, inflow, lambda a, b: F.coalesce(a, b)).alias("stands"))
+
+
+def gap_fill(slots: DataFrame, scope: str = "all") -> DataFrame:
+    """The grid with missing slots filled, time level by time level, from the previous row.
+
+    Rows are ordered by (number, date). With scope ``all`` the fill runs across
+    stations and a level's leading gap takes its first known value; with
+    ``station`` it stays within the station, whose leading gap takes the
+    station's own first known value. A level with no value stays NULL.
+
+    The fill is done on whole days; their levels become rows at the very end.
+    A station has one row per day, so the window is small however busy the
+    station; only its first and last values meet other stations.
+    """
+    rows = _filled(slots, scope).select("number", "day", F.explode(F.arrays_zip("levels", "stands")).alias("cell"))
+    return rows.select(
+        "number", F.col("day").cast("string").alias("date"), clock.slot_label(F.col("cell.levels")).alias("time"),
+        F.col("cell.stands").alias("available_stands"))
+
+
+def filled_days(slots: DataFrame, scope: str = "all") -> DataFrame:
+    """``gap_fill`` with one row per station-day: number, date, ``stands`` at every level, and the levels' ``times``.
+
+    Days with a level that has no value anywhere are left out.
+    """
+    return _filled(slots, scope).select(
+        "number", F.col("day").cast("string").alias("date"), F.col("stands").cast("array<double>").alias("stands"),
         F.transform("levels", clock.slot_label).alias("times"),
     ).where(~F.exists("stands", lambda v: v.isNull()))
 

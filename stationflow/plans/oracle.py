@@ -526,6 +526,14 @@ step("stream_pairing", """
     SELECT p.event_id, p.number, p.pred_ms, p.pred_stands, a.event_id AS actual_event, a.actual_ms, a.actual_stands
     FROM predictions p ASOF JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms
     WHERE a.actual_ms < greatest((SELECT max(pred_ms) FROM predictions), (SELECT max(actual_ms) FROM actuals)) - 600000""")
+step("stream_pairing_hour", """
+    SELECT event_id, number, pred_ms, pred_stands, CASE WHEN near THEN actual_event END AS actual_event,
+           CASE WHEN near THEN actual_ms END AS actual_ms, CASE WHEN near THEN actual_stands END AS actual_stands
+    FROM (SELECT p.*, a.event_id AS actual_event, a.actual_ms, a.actual_stands,
+                 a.actual_ms - (p.pred_ms + 900000) <= 3600000 AS near
+          FROM predictions p ASOF LEFT JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms) q
+    WHERE pred_ms < greatest((SELECT max(pred_ms) FROM predictions), (SELECT max(actual_ms) FROM actuals)) - 10800000""")
+step("live_table", f"SELECT {_RAW} FROM latest")
 step("stream_intake", f"SELECT DISTINCT {_RAW} FROM obs_id WHERE {_EVEN}")
 
 _FACTORS = {
@@ -556,6 +564,7 @@ step("request_check", """
            AND c.cluster IS NOT NULL AND c.weekday_code IS NOT NULL AS known, true AS follows, true AS within
     FROM parts p JOIN inputs i ON p.number = i.number AND p.minutes = i.minutes
     LEFT JOIN context c ON p.number = c.number AND p.time = c.time AND p.weekday = c.weekday AND p.season = c.season""")
+step("clustered_features", "SELECT * EXCLUDE (cluster), true AS labelled FROM features")
 step("station_cluster_check", "SELECT number, name, time, round(stands, 6) AS stands, true AS nearest FROM profile")
 
 

@@ -829,22 +829,26 @@ def log_rejects(spark, sf_dir):
 
 
 BATCHES = 6
+ROWS_PER_FILE = 500_000
+# Two hours beyond the pairing's hour: every watermark has passed such forecasts.
+CLOSED_MS = 3 * 60 * 60 * 1000
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
-    """The events as files of consecutive times, unordered inside, one file to a micro-batch."""
-    def land() -> str:
+    """The events as files of consecutive times, unordered inside, as many files to a micro-batch as their rows need."""
+    def land() -> tuple[str, int]:
         path = scratch_path(spark, "events")
         rows = views.events(spark, sf_dir)
-        low, high = rows.agg(F.min("ts"), F.max("ts")).first()
-        for i in range(BATCHES):  # one after the other: a file source takes files by age
+        low, high, count = rows.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
+        parts = -(-count // (BATCHES * ROWS_PER_FILE)) or 1
+        for i in range(BATCHES if count else 0):  # one after the other: a file source takes files by age
             begin, end = low + (high - low) * i / BATCHES, low + (high - low) * (i + 1) / BATCHES
             part = rows.where((F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) | F.lit(i == BATCHES - 1)))
-            part.repartition(1, F.xxhash64("event_id")).write.mode("append").parquet(path)
-        return path
+            part.repartition(parts, F.xxhash64("event_id")).write.mode("append").parquet(path)
+        return path, parts
 
-    path = once(spark, f"landed events of {views.source(spark, sf_dir)}", land)
-    return spark.readStream.schema(views.EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    path, parts = once(spark, f"landed events of {views.source(spark, sf_dir)}", land)
+    return spark.readStream.schema(views.EVENTS).option("maxFilesPerTrigger", parts).parquet(path)
 
 
 def _run(spark, stream, label) -> DataFrame:
@@ -880,6 +884,30 @@ def stream_pairing(spark, sf_dir):
     return _run(spark, jobs.pair_stream(views.view_events(source), views.click_events(source)), "stream-pairing")
 
 
+@register
+def stream_pairing_hour(spark, sf_dir):
+    """Forecasts and their first observation within an hour, by a join of two streams; those whose hour is long over."""
+    source = _event_stream(spark, sf_dir)
+    forecasts, seen = views.view_events(source), views.click_events(source)
+    pairs = _run(spark, jobs.pair_within(forecasts, seen), "stream-pairing-hour")
+    last = views.events(spark, sf_dir).where("event_type in ('view', 'click')").agg(F.max(views.epoch_ms("ts"))).scalar()
+    return pairs.where(F.col("pred_ms") < last - CLOSED_MS)
+
+
+@register
+def live_table(spark, sf_dir):
+    """The latest state of every station, kept up to date batch by batch; the last batch is run twice."""
+    path = scratch_path(spark, "live")
+    rows = _event_stream(spark, sf_dir).select(*views.observation_columns()).drop("event_id")
+    jobs.keep_latest(rows, f"{path}/out", f"{path}/checkpoint")
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/checkpoint/commits")
+    system = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [int(f.getPath().getName()) for f in system.listStatus(commits) if f.getPath().getName().isdigit()]
+    if numbers:  # as if the program had ended before the last batch was noted as done
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(commits, str(max(numbers))), False)
+    return jobs.keep_latest(rows, f"{path}/out", f"{path}/checkpoint")
+
+
 @register
 def stream_intake(spark, sf_dir):
     """Snapshots land, are taken in once, and a second run finds nothing new."""
@@ -969,6 +997,44 @@ def station_clusters(spark, sf_dir):
     return profile.label_profile(profile.station_profile(views.stored_slots(spark, sf_dir, views.TRAINING)), centers)
 
 
+def _fitted_clusters(spark, sf_dir) -> DataFrame:
+    """Station, time and the fitted cluster; the centers are fitted once per session and events."""
+    def centers() -> list:
+        return model.center_sums(model.centroids(spark, _filled_days(spark, sf_dir))).collect()  # one row a cluster
+
+    sums = spark.createDataFrame(once(spark, f"centers of {views.source(spark, sf_dir)}", centers), "cluster INT, sum_of_stands DOUBLE")
+    rows = profile.station_profile(views.stored_slots(spark, sf_dir, views.TRAINING))
+    return profile.label_profile(rows, sums).select("number", "time", "cluster").distinct()
+
+
+def _clustered_features(spark, sf_dir, bounds=views.TRAINING, rounding="truncate") -> DataFrame:
+    rows = views.stored_slots(spark, sf_dir, bounds)
+    return features.station_features(rows, _fitted_clusters(spark, sf_dir), views.geo(spark, sf_dir), rounding)
+
+
+@register
+def clustered_features(spark, sf_dir):
+    """Features with the fitted clusters: everything but the label, and that a station has one label from 1 to 4."""
+    rows = _clustered_features(spark, sf_dir)
+    by_station = Window.partitionBy("number")
+    one = (F.min("cluster").over(by_station) == F.max("cluster").over(by_station)) & F.col("cluster").between(1, model.CLUSTERS)
+    return rows.withColumn("labelled", F.coalesce(one, F.lit(False))).drop("cluster")
+
+
+@register
+def clustered_forecast(spark, sf_dir):
+    """Clusters, then the stations selected by their activity, then trees on the features with those clusters: predictions of the unseen week."""
+    def fit():
+        rows = selection.keep_selected(_clustered_features(spark, sf_dir), selection.selected_stations(
+            features.attach_cluster(views.stored_slots(spark, sf_dir, views.TRAINING), _fitted_clusters(spark, sf_dir))))
+        return model.train(model.split(rows)[0], features.IMPORTANT_FACTORS)
+
+    fitted = once(spark, f"{model.TREES} trees on fitted clusters of {views.source(spark, sf_dir)}", fit)
+    week = evaluate.service_hours(_clustered_features(spark, sf_dir, views.UNSEEN, "half_even"))
+    return model.certified_score(spark, fitted, week).select(
+        "number", "date", "time", "bike_stands", "avg_stands", "cluster", "pred", "follows", "within")
+
+
 @register
 def station_cluster_check(spark, sf_dir):
     """Of ``station_clusters``: its profile rows, and that no center's sum is nearer to the station's than its own cluster's."""

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stationflow import schemas
 from stationflow.functions import clock
-from stationflow.operators.clean import DEDUP_KEY
+from stationflow.operators.clean import DEDUP_KEY, latest_state
 from stationflow.operators.pairing import LEAD_MS
 
 WATERMARK = "10 minutes"
@@ -149,3 +149,64 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def pair_within(predictions: DataFrame, actuals: DataFrame, most: str = "1 HOUR", delay: str = WATERMARK) -> DataFrame:
+    """Forecasts paired with the first observation 15 minutes to 15 minutes and ``most`` later, by a native interval join.
+
+    Both sides are watermarked, so a row waits in the state only as long as a
+    partner can still come: an unanswered forecast is let go once ``most`` has
+    passed, and comes out with NULLs. The join meets every observation of the
+    interval, of which the first stands, so it is meant for short intervals;
+    ``pair_stream`` has no limit.
+    """
+    asked = predictions.select(
+        "number", "event_id", "pred_ms", "pred_stands", F.timestamp_millis(F.col("pred_ms") + LEAD_MS).alias("due"),
+    ).withWatermark("due", delay)
+    seen = actuals.select(
+        F.col("number").alias("station"), F.col("event_id").alias("actual_event"), "actual_ms", "actual_stands",
+        F.timestamp_millis("actual_ms").alias("seen"),
+    ).withWatermark("seen", delay)
+    near = (F.col("number") == F.col("station")) & F.col("seen").between(F.col("due"), F.col("due") + F.expr(f"INTERVAL {most}"))
+    first = F.min(F.when(F.col("actual_ms").isNotNull(), F.struct("actual_ms", "actual_event", "actual_stands"))).alias("first")
+    pairs = asked.join(seen, near, "left_outer").groupBy(F.window("due", "10 minutes"), "event_id", "number", "pred_ms", "pred_stands").agg(first)
+    return pairs.select(
+        "event_id", "number", "pred_ms", "pred_stands", F.col("first.actual_event").alias("actual_event"),
+        F.col("first.actual_ms").alias("actual_ms"), F.col("first.actual_stands").alias("actual_stands"))
+
+
+def keep_latest(observations: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Brings the latest state of every station at ``path`` up to date with what has landed, and reads it.
+
+    Each micro-batch writes a whole table of its own, ``batch=<id>``, from the one
+    before and its rows; stations are few, however many rows arrive. A batch that
+    is run again starts from the same table and overwrites its own, so a replay
+    changes nothing.
+    """
+    spark = observations.sparkSession
+    schema = spark.createDataFrame([], schemas.OBSERVATION).schema
+
+    def upsert(rows: DataFrame, batch: int) -> None:
+        session = rows.sparkSession
+        complete = rows.select(*schemas.OBSERVATION_COLUMNS).dropna("any")
+        before = _latest_table(session, path, batch - 1)
+        known = complete if before is None else complete.unionByName(session.read.schema(schema).parquet(before))
+        latest_state(known).select(*schemas.OBSERVATION_COLUMNS).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = observations.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    last = _latest_table(spark, path, None)
+    return spark.createDataFrame([], schema) if last is None else spark.read.schema(schema).parquet(last)
+
+
+def _latest_table(spark: SparkSession, path: str, upto: int | None) -> str | None:
+    """The newest table below ``path`` that a batch has finished, of those up to number ``upto``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    found = [s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("batch=")]
+    done = {int(p.getName()[6:]): p for p in found if system.exists(hadoop.Path(p, "_SUCCESS"))}
+    fitting = [n for n in done if upto is None or n <= upto]
+    return done[max(fitting)].toString() if fitting else None

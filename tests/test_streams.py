@@ -90,3 +90,41 @@ def test_intake_takes_each_file_once(spark, small_dir):
 
     got = entry.queries()["stream_intake"](spark, small_dir)
     assert got.count() == clean.dedup_observations(views.obs_json(spark, small_dir)).count()
+
+
+def test_latest_table_survives_a_repeated_batch(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def state():
+        table = jobs.keep_latest(jobs.snapshot_stream(spark, str(landing), max_files=1), out, check)
+        return sorted((r.number, r.last_update, r.available_bike_stands) for r in table.collect())
+
+    assert state() == []
+    feed(landing, "a.json", [(1, 1000, 5), (2, 3000, 9)])
+    assert state() == [(1, 1000, 5), (2, 3000, 9)]
+    feed(landing, "b.json", [(1, 900, 7), (2, 4000, 1), (3, 1, 1)])
+    assert state() == [(1, 1000, 5), (2, 4000, 1), (3, 1, 1)]
+    last = max((tmp_path / "check" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    last.with_name(f".{last.name}.crc").unlink()
+    last.unlink()  # the batch is run again, beside a file that is new
+    feed(landing, "c.json", [(3, 2, 2)])
+    assert state() == [(1, 1000, 5), (2, 4000, 1), (3, 2, 2)]
+
+
+def test_unanswered_forecasts_are_let_go(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    minute, day = 60_000, 86_400_000
+    schema = "kind STRING, event_id BIGINT, number BIGINT, ms BIGINT, stands BIGINT"
+    rows = [[("p", 1, 7, 0, 4), ("p", 2, 8, 0, 4), ("a", 3, 7, 30 * minute, 9)], [("a", 4, 7, 20 * minute, 6), ("a", 5, 8, 200 * minute, 6)],
+            [("p", 6, 9, 900 * minute, 1), ("a", 7, 9, 900 * minute, 1)], [("p", 8, 9, 1900 * minute, 1), ("a", 9, 9, 1900 * minute, 1)]]
+    for i, part in enumerate(rows):
+        (landing / f"{i}.json").write_text("\n".join(
+            json.dumps(dict(zip(("kind", "event_id", "number", "ms", "stands"), (*r[:3], r[3] + day, r[4])))) for r in part))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(landing))
+    asked = source.where("kind = 'p'").selectExpr("event_id", "number", "ms AS pred_ms", "stands AS pred_stands")
+    seen = source.where("kind = 'a'").selectExpr("event_id", "number", "ms AS actual_ms", "stands AS actual_stands")
+    got = run(jobs.pair_within(asked, seen, "1 HOUR", "30 minutes"), tmp_path, "pairs").collect()
+    assert {(r.event_id, r.actual_event) for r in got} >= {(1, 4), (2, None)} and len({r.event_id for r in got}) == len(got)
