@@ -479,6 +479,8 @@ step("scan_csv_roundtrip", """
            CASE WHEN number % 3 = 0 THEN '' ELSE concat('The "Long", Rue ', number) END AS address,
            bike_stands, available_bike_stands, last_update, CAST(1 AS INTEGER) AS source_priority FROM obs""")
 step("scan_json_snapshots", f"SELECT {_RAW}, CAST(0 AS INTEGER) AS source_priority FROM obs_id WHERE {_EVEN}")
+step("scan_json_arrays", f"SELECT {_RAW}, CAST(0 AS INTEGER) AS source_priority FROM obs")
+step("bucketed_features", "SELECT * FROM features")
 step("file_day_key", """
     SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'file:/landing/snapshot.json'
                ELSE concat('file:/landing/', strftime(ts, '%a-%d-%m-%Y'), '-', event_id, '.json') END AS path,

@@ -672,6 +672,9 @@ def catalog_view(spark, sf_dir):
     return catalog.card_view(catalog_overlay(spark, sf_dir))
 
 
+# Observations that land in one array.
+ROWS_PER_ARRAY = 500
+
 # Files. The tables are written below the shared folder and read back.
 
 
@@ -719,6 +722,19 @@ def _by_day(spark, sf_dir) -> DataFrame:
     return rows.withColumn("day", clock.date_text(F.col("last_update"))).withColumn("path", F.col("day"))
 
 
+@register
+def scan_json_arrays(spark, sf_dir):
+    """All observations as files of one array each, over many lines, with many stations; some arrays are empty."""
+    landing = scratch_path(spark, "arrays")
+    rows = views.obs(spark, sf_dir)
+    groups = -(-rows.count() // ROWS_PER_ARRAY) or 1
+    keyed = rows.withColumn("file", F.pmod(F.xxhash64("number", "last_update"), F.lit(groups)))
+    arrays = keyed.groupBy("file").agg(F.to_json(F.collect_list(F.struct(*schemas.OBSERVATION_COLUMNS)), {"pretty": "true"}).alias("value"))
+    nothing = spark.range(5).select((-F.col("id") - 1).alias("file"), F.lit("[ ]").alias("value"))
+    arrays.unionByName(nothing).write.partitionBy("file").text(landing)
+    return files.read_snapshots_json(spark, landing).drop("path")
+
+
 @register
 def incremental_days(spark, sf_dir):
     """Odd days are done already; the others are compacted."""
@@ -785,6 +801,15 @@ def sink_roundtrip(spark, sf_dir):
     return files.read_slots_csv(spark, path)
 
 
+@register
+def bucketed_features(spark, sf_dir):
+    """Features from the slot table in buckets by station, which none of their steps shuffles."""
+    path = scratch_path(spark, "buckets")
+    table = "slots_" + path.rpartition("-")[2]
+    files.save_station_buckets(views.slot_table(spark, sf_dir), table, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _features_of(spark, sf_dir, views.in_range(spark.table(table), views.TRAINING), "truncate")
+
+
 @register
 def slot_store(spark, sf_dir):
     """The date-partitioned slot table, read back for one week."""
