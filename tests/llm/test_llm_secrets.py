@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
+import time
 
 import llm_support as S
+from pyspark.sql import functions as F
 
 from stationflow.llm import queries, secrets
 
@@ -27,13 +30,60 @@ def spans(found):
     return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in found)
 
 
+def model(spark):
+    words = secrets.word_pairs(S.frame(spark, [S.row(i, "get user name total price order request wrapper http value") for i in range(300)]))
+    return secrets.train(secrets.random_strings(spark).union(secrets.identifiers(spark)), words)
+
+
 def run(spark, rows):
-    docs = S.frame(spark, rows)
-    samples = secrets.random_strings(spark).union(secrets.identifiers(S.frame(spark, [S.row(i, "get user name total price order request wrapper http value") for i in range(300)])))
-    found = secrets.scan(docs, secrets.train(samples))
+    found = secrets.scan(S.frame(spark, rows), model(spark))
     return found.select("_doc.text", secrets.spans("assign", "access", "hex").alias("base"), secrets.spans(*secrets.KINDS).alias("all")).collect()
 
 
+def brute_all(text, table):
+    """Base spans and, token by token, what the two models say of it."""
+    found = brute(text)
+    token = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+    for m in token.finditer(text or ""):
+        ratio = sum(table[(ord(a) - 32) * 96 + ord(b) - 32] for a, b in zip(m[0], m[0][1:]))
+        if ratio >= max(22000, 1000 * (len(m[0]) - 1)) and not any(a < m.end() and m.start() < b for a, _, b, _ in found if _ != "markov"):
+            found.append((m.start(), 3, m.end(), "markov"))
+    return sorted(found)
+
+
+def many(n, seed=5):
+    """A text with n matches of every kind among ordinary words and names."""
+    draw = random.Random(seed)
+    key = lambda k: "".join(draw.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(k))
+    kinds = [lambda: "%032x" % draw.getrandbits(128), lambda: key(30), lambda: f"token={key(16)}", lambda: f"AKIA{key(20).upper()}",
+             lambda: "a_plain_name_of_something_17", lambda: f"{key(24)}/{'%020x' % draw.getrandbits(70)}"]
+    return " ".join(draw.choice(kinds)() for _ in range(n))
+
+
+def test_all_spans_equal_a_plain_version(spark):
+    table = model(spark)
+    texts = [many(n, n) for n in (1, 31, 32, 33, 1100, 3000)] + TEXTS
+    found = secrets.scan(S.frame(spark, [S.row(i, t) for i, t in enumerate(texts)]), table)
+    rows = found.select("_doc.doc_id", secrets.spans(*secrets.KINDS).alias("all")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["all"] == spans(brute_all(texts[r.doc_id], table))
+
+
+def test_many_matches_in_one_text_cost_in_proportion(spark):
+    table = model(spark)
+
+    def seconds(n):
+        docs = S.frame(spark, [S.row(1, many(n))])
+        secrets.scan(docs.limit(0), table).collect()
+        start = time.perf_counter()
+        secrets.scan(docs, table).select(F.size("_hex"), F.size("_markov")).collect()
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 12 * seconds(10_000) + 1
+
+
 def test_base_spans_equal_brute_force(spark):
     for r in run(spark, S.ODD + [S.row(100 + i, t) for i, t in enumerate(TEXTS)]):
         assert r.base == spans(brute(r.text)), r.text[:80]
