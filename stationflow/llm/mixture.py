@@ -45,6 +45,7 @@ SEED = 20
 MAX_PATTERNS = 10_000
 LARGE = 256
 CANDIDATES = 32
+STEPS = 64
 SALT = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -178,7 +179,10 @@ def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> tuple
     of their pattern (fewer than LARGE) are chosen first, one by one. The others
     fill the rest along the order; what the first that does not fit leaves open
     is filled with the largest that fit, and with further rounds along the order
-    where many are needed, until none fits.
+    where many are needed, until none fits. Where rows repeat so often that more
+    than LARGE units of small rows exceed what is open, that is less than a
+    LARGE-th of the pattern, and STEPS times the CANDIDATES largest that fit
+    may fill it. So the plan has a fixed size for each pattern.
     """
     spark = sized.sparkSession
     units = staged(
@@ -199,8 +203,22 @@ def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> tuple
     def untaken(most: dict[tuple, int]) -> DataFrame:
         return _planned(units, plan()).where(~F.col("_more")).join(by_pattern({m: (n,) for m, n in most.items()}, "_most long"), "_members")
 
+    def crowded(most: dict[tuple, int]) -> set[tuple]:
+        """Patterns with more than LARGE units beyond ``most`` whose rows are not; each of them is an exception of a round.
+
+        Such units hold more than LARGE times ``most`` words, so what is open is a small part of the pattern.
+        """
+        if not any(sums[m][1] for m in most):
+            return set()
+        units_of = untaken(most).where("_size <= _most and _unit > _most").groupBy("_members").count()
+        return {tuple(m) for m, _ in units_of.where(F.col("count") > LARGE).collect()}
+
     def along(most: dict[tuple, int]) -> None:
         """Takes the units up to ``most`` in the order, to the first that does not fit into the gap."""
+        stay = crowded(most)
+        most = {m: n for m, n in most.items() if m not in stay}
+        if not most:
+            return
         left = untaken(most)
         fits = left.where("_unit <= _most")
         held: dict[tuple, dict[int, int]] = {}
@@ -257,10 +275,14 @@ def choose(sized: DataFrame, gives: dict[tuple, int], seed: int = SEED) -> tuple
         taken, gap[m] = pick_large(some, sums[m][0] - sum(size for size, _ in some), gap[m])
         single.update({(m, order): True for order in taken})
     along({m: n // LARGE for m, (n, _) in sums.items() if gap[m]})
+    tight: dict[tuple, int] = {}  # of patterns that no round along the order fits any more: steps taken
     while True:
-        fitted = best({m: g for m, g in gap.items() if g})
+        fitted = best({m: g for m, g in gap.items() if g and tight.get(m, 0) < STEPS})
         if not fitted:
             break
+        if some := {m: gap[m] for m in fitted if gap[m] and sums[m][1]}:
+            for m in crowded(some):
+                tight[m] = tight.get(m, 0) + 1
         # all candidates fitted, so there may be many more: along the order with them
         if many := {m: gap[m] for m, left in fitted.items() if gap[m] and not left}:
             along(many)

@@ -99,6 +99,20 @@ def test_many_misfits_and_copies_are_filled(spark):
         assert planned.agg(F.sum("_size")).first()[0] == wanted and copies in (0, 400)
 
 
+@pytest.mark.parametrize("copies", [2, 5])
+def test_the_plan_does_not_grow_with_repeated_ids(spark, copies):
+    entries = []
+    for n in (3000, 12000):
+        rows = spark.range(n).selectExpr("cast(id as string) as _id", "array('s') as _members", "590 + id % 20 as _size", f"explode(sequence(1, {copies})) as c").drop("c")
+        rows = rows.union(spark.range(60).selectExpr("concat('small', id)", "array('s')", "1 + id % 7"))
+        wanted = n * 599 * copies * 2 // 5 + 77
+        full, single = mixture.choose(rows, {("s",): wanted}, 3)
+        got = mixture._planned(mixture._ordered(rows, 3), (full, single)).where("_more").agg(F.sum("_size")).first()[0]
+        assert abs(got - wanted) <= 600 * copies
+        entries.append(len(single) + sum(len(r) for _, _, r in full))
+    assert max(entries) <= mixture.STEPS * mixture.CANDIDATES and entries[1] <= entries[0] + 64
+
+
 def test_large_units_leave_what_the_rest_can_fill():
     for seed in range(200):
         places = [(seed * 7919 + i * 104729) * 2654435761 % 2 ** 64 - 2 ** 63 for i in range(3)]
