@@ -2,22 +2,29 @@
 
 A page is read as a stream of tags and texts and kept as a tree of elements. A
 wrapper has the same shape, and its elements may be optional or repeated; a text
-is either the one that all pages show or a slot. Pages of one host are aligned
-with the host's wrapper one after the other, element by element along the
-longest common sequence of their children:
+is either the one that all pages show or a slot, and an element remembers whether
+its whole content is the same on all pages that have it. Pages of one host are
+aligned with the host's wrapper one after the other, element by element along
+the longest common sequence of their children:
 
 * texts that differ become a slot;
 * elements that only one side has become optional;
 * neighbours of the same form, alone or in groups of two or three, become one
   repeated group.
 
-There are no alternatives, so the expression stays union-free. Alignment is
-done within each partition first, then for a host's partial wrappers, in two
-steps so that no task gets all of a busy host.
-
-The wrapper says where the host's articles are: in ``article`` or ``main``
-elements if those hold half of its text, else in the element that holds most of the text of its
-slots outside links and boilerplate. Applied to a page, the text of that element
+There are no alternatives, so the expression stays union-free. A host's pages
+are dealt by their content and aligned in its order, in parts so that no task
+gets all of a busy host; the parts' wrappers are aligned in the order of the
+parts. So the wrapper does not depend on how the pages arrive.
+
+The wrapper's slots say where the host's articles are: in ``article`` or ``main``
+elements if those hold half of the slots' text, else in the element that holds
+most of it, outside links and boilerplate. What all pages show weighs nothing,
+however long, and blocks inside the article that all of them show are left out
+(headings stay). A host of fewer than ``SHOWN`` pages shows too little of its
+template, and one of equal pages has no slots: there all text counts. A fixed
+element among varying neighbours of the same form is part of their repetition,
+so it counts as varying. Applied to a page, the text of that element
 is taken without the parts that are menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or comments by their tag, role, class or id. The
 wrapper overrules roles, classes and ids that would drop its article or most of
@@ -26,25 +33,30 @@ own place is read as well; a page on which both are empty is read with a wrapper
 of its own, and if it is still empty, with the tags' names only.
 
 Defined results: a null or empty page has the empty text. Unclosed and stray
-tags are tolerated; what a script, style, title or textarea holds is no text.
+tags are tolerated; elements more than ``MAX_DEPTH`` deep are laid beside each
+other, as browsers do at 512; what a script, style, title or textarea holds is no text.
 Pages without a URL form the host ''. Equal rows give equal results; other
 columns are never read.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
+import itertools
 import json
 import re
+import sys
 from collections.abc import Container, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.support import staged
+from stationflow.llm.support import settled
 
 # What HTML's elements are, and the words that mark boilerplate in roles, classes and ids.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,8 +86,11 @@ TOKEN = re.compile(
 _NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-MAX_ALIGN = 250_000
-MAX_DEPTH = 200
+SMALL = 10_000
+MAX_DEPTH = 1000
+SHOWN = 5
+PAGES_A_PART = 2000
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MARKED, BY_TAG, PARTLY = 1, 2, -1  # boilerplate by a word, by the tag's name; by a word on some pages only, so not dropped
 _known: dict[tuple[str, str], tuple[str, int]] = {}
 
@@ -149,16 +164,42 @@ def parse(page: str, kept: Container[str] = (), words: bool = True) -> list:
     return root
 
 
-# A wrapper element: [key, boilerplate, optional, repeated, pages, characters outside links, characters, children];
-# its children are elements and texts, a text being what all pages show, or None for a slot. A group of elements that
-# repeat together has the key "()".
-KEY, DROP, OPTIONAL, REPEATED, PAGES, PROSE, CHARS, CHILDREN = range(8)
+# A wrapper element: [key, boilerplate, optional, repeated, pages, characters outside links, characters, children, digest
+# of its content or None if pages differ]; its children are elements and texts. A text is {"t": what all pages show, or
+# None for a slot, "n": its characters outside links}. A group of elements that repeat together has the key "()".
+KEY, DROP, OPTIONAL, REPEATED, PAGES, PROSE, CHARS, CHILDREN, FIXED = range(9)
 
 
 def _form(x) -> str:
     return x[KEY] if isinstance(x, list) else "#"
 
 
+def _digest(parts: list[str]) -> str:
+    return hashlib.blake2b("\x00".join(parts).encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def _content(x) -> str | None:
+    return x[FIXED] if isinstance(x, list) else x["t"]
+
+
+def _both(items: list) -> str | None:
+    """The digest of several contents of one page in a row; None if one of them differs between pages."""
+    parts = [_content(x) for x in items]
+    return None if None in parts else _digest(parts)
+
+
+def signed(node: list) -> str:
+    """Adds to every element of a page the digest of its content, without spaces around texts; gives the element's."""
+    parts = [node[0]]
+    for c in node[2]:
+        if isinstance(c, list):
+            parts.append(signed(c))
+        elif c.strip():
+            parts.append(_text(c))
+    node.append(_digest(parts))
+    return node[4]
+
+
 def _text(raw: str) -> str:
     line = " ".join(raw.split())
     return line if len(line) <= 40 else "~" + hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=8).hexdigest()
@@ -166,34 +207,38 @@ def _text(raw: str) -> str:
 
 def wrapper_of(node: list, in_link: bool = False) -> list:
     """The wrapper of one page's element."""
+    if len(node) < 5:
+        signed(node)
     children, prose, chars = [], 0, 0
     in_link = in_link or node[3] == "a"
     for c in node[2]:
         if isinstance(c, str):
             if c.strip():
-                children.append(_text(c))
+                n = 0 if in_link else len(c)
+                children.append({"t": _text(c), "n": n})
                 chars += len(c)
-                prose += 0 if in_link else len(c)
+                prose += n
         else:
             w = wrapper_of(c, in_link)
             children.append(w)
             chars += w[CHARS]
             prose += 0 if _dropped(w) else w[PROSE]
-    return [node[0], node[1], False, False, 1, prose, chars, folded(children)]
+    return [node[0], node[1], False, False, 1, prose, chars, folded(children), node[4]]
 
 
 def _dropped(w: list) -> bool:
     return w[DROP] > 0
 
 
-def merged(a, b):
-    """One wrapper of two of the same form."""
+def merged(a, b, beside: bool = False):
+    """One wrapper of two of the same form, from different pages or, with ``beside``, from one place of the same pages."""
     if not isinstance(a, list):
-        return a if a == b else None
+        return {"t": a["t"] if a["t"] == b["t"] else None, "n": a["n"] + b["n"]}
     drop = a[DROP] if a[DROP] == b[DROP] else PARTLY
+    fixed = _both([a, b]) if beside else a[FIXED] if a[FIXED] == b[FIXED] else None
     return [
         a[KEY], drop, a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], a[PAGES] + b[PAGES],
-        a[PROSE] + b[PROSE], a[CHARS] + b[CHARS], aligned(a[CHILDREN], b[CHILDREN])]
+        a[PROSE] + b[PROSE], a[CHARS] + b[CHARS], aligned(a[CHILDREN], b[CHILDREN], beside), fixed]
 
 
 def folded(items: list) -> list:
@@ -204,7 +249,7 @@ def folded(items: list) -> list:
         while True:
             if len(out) > 1 and _form(out[-1]) == _form(out[-2]):
                 last = out.pop()
-                out[-1] = merged(out[-1], last)
+                out[-1] = merged(out[-1], last, True)
                 if isinstance(out[-1], list):
                     out[-1][REPEATED] = True
                     out[-1][PAGES] = max(out[-1][PAGES] - last[PAGES], last[PAGES])
@@ -214,11 +259,13 @@ def folded(items: list) -> list:
                 group = out[-size - 1] if len(out) > size else None
                 if isinstance(group, list) and group[KEY] == "()" and list(map(_form, group[CHILDREN])) == list(map(_form, tail)):
                     del out[-size:]
-                    group[CHILDREN] = [merged(p, q) for p, q in zip(group[CHILDREN], tail)]
+                    group[FIXED] = _both([group, *tail])
+                    group[CHILDREN] = [merged(p, q, True) for p, q in zip(group[CHILDREN], tail)]
                 elif len(out) >= 2 * size and list(map(_form, out[-2 * size:-size])) == list(map(_form, tail)) and any(isinstance(t, list) for t in tail):
-                    both = [merged(p, q) for p, q in zip(out[-2 * size:-size], tail)]
+                    both, pages = [merged(p, q, True) for p, q in zip(out[-2 * size:-size], tail)], max(t[PAGES] for t in tail if isinstance(t, list))
+                    fixed = _both(out[-2 * size:])
                     del out[-2 * size:]
-                    out.append(["()", 0, False, True, 1, 0, 0, both])
+                    out.append(["()", 0, False, True, pages, 0, 0, both, fixed])
                 else:
                     continue
                 weight = [c for c in out[-1][CHILDREN] if isinstance(c, list)]
@@ -231,56 +278,91 @@ def folded(items: list) -> list:
 
 
 def _alone(x):
-    return [*x[:OPTIONAL], True, *x[REPEATED:]] if isinstance(x, list) else None
-
-
-def aligned(xs: list, ys: list) -> list:
-    """Children of two elements in one order; what only one has is optional."""
-    fx, fy = list(map(_form, xs)), list(map(_form, ys))
-    if fx == fy:
-        return [merged(x, y) for x, y in zip(xs, ys)]
-    n, m = len(fx), len(fy)
-    pairs = []
-    if n * m <= MAX_ALIGN:
+    return [*x[:OPTIONAL], True, *x[REPEATED:]] if isinstance(x, list) else {"t": None, "n": x["n"]}
+
+
+def _lengths(xs: list[str], ys: list[str]) -> np.ndarray:
+    """By number of ``ys`` taken from the front, the length of its longest common sequence with ``xs``: all of ``ys`` in one number's bits."""
+    places: dict[str, int] = {}
+    for j, y in enumerate(ys):
+        places[y] = places.get(y, 0) | 1 << j
+    full = (1 << len(ys)) - 1
+    row = full
+    for x in xs:
+        hit = row & places.get(x, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(ys) // 8) or 1, "little"), np.uint8), bitorder="little")[:len(ys)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common(xs: list[str], ys: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common sequence. Long lists are halved where the halves' sequences add up to the longest: memory stays linear."""
+    n, m = len(xs), len(ys)
+    if n * m <= SMALL or n < 2:
         best = [[0] * (m + 1) for _ in range(n + 1)]
         for i in range(n - 1, -1, -1):
             row, below = best[i], best[i + 1]
             for j in range(m - 1, -1, -1):
-                row[j] = below[j + 1] + 1 if fx[i] == fy[j] else max(below[j], row[j + 1])
-        i = j = 0
+                row[j] = below[j + 1] + 1 if xs[i] == ys[j] else max(below[j], row[j + 1])
+        pairs, i, j = [], 0, 0
         while i < n and j < m:
-            if fx[i] == fy[j]:
+            if xs[i] == ys[j]:
                 pairs.append((i, j))
                 i, j = i + 1, j + 1
             elif best[i + 1][j] >= best[i][j + 1]:
                 i += 1
             else:
                 j += 1
-    else:  # very long lists: each form meets its next occurrence
-        places: dict[str, list[int]] = {}
-        for j in range(m - 1, -1, -1):
-            places.setdefault(fy[j], []).append(j)
-        low = 0
-        for i, form in enumerate(fx):
-            row = places.get(form, [])
-            while row and row[-1] < low:
-                row.pop()
-            if row:
-                pairs.append((i, row[-1]))
-                low = row.pop() + 1
+        return pairs
+    half = n // 2
+    at = int((_lengths(xs[:half], ys) + _lengths(xs[:half - 1:-1] if half else xs[::-1], ys[::-1])[::-1]).argmax())
+    return common(xs[:half], ys[:at]) + [(i + half, j + at) for i, j in common(xs[half:], ys[at:])]
+
+
+def aligned(xs: list, ys: list, beside: bool = False) -> list:
+    """Children of two elements in one order; what only one has is optional."""
+    fx, fy = list(map(_form, xs)), list(map(_form, ys))
+    if fx == fy:
+        return [merged(x, y, beside) for x, y in zip(xs, ys)]
     out, i, j = [], 0, 0
-    for p, q in [*pairs, (n, m)]:
+    for p, q in [*common(fx, fy), (len(fx), len(fy))]:
         out += [_alone(x) for x in xs[i:p]] + [_alone(y) for y in ys[j:q]]
-        if p < n:
-            out.append(merged(xs[p], ys[q]))
+        if p < len(fx):
+            out.append(merged(xs[p], ys[q], beside))
         i, j = p + 1, q + 1
     return folded(out)
 
 
+def slotted(w: list) -> list:
+    """The wrapper with PROSE for the text of slots only: texts and elements that more than one page shows alike weigh nothing."""
+    alone = w[PAGES] == 1
+    children = [slotted(c) if isinstance(c, list) else c for c in w[CHILDREN]]
+    prose = sum((0 if _dropped(c) else c[PROSE]) if isinstance(c, list) else c["n"] * (alone or c["t"] is None) for c in children)
+    return [*w[:PROSE], 0 if w[FIXED] is not None and not alone else prose, w[CHARS], children, w[FIXED]]
+
+
+def shown(w: list) -> list[str]:
+    """Blocks, as key and digest, that every page of the wrapper shows; the outermost ones."""
+    found: list[str] = []
+
+    def look(node: list) -> None:
+        for c in node[CHILDREN]:
+            if isinstance(c, list) and not _dropped(c):
+                if c[FIXED] is not None and c[PAGES] == w[PAGES] and not (c[OPTIONAL] or c[REPEATED]) and c[CHARS]:
+                    if _name(c[KEY]) not in INLINE | HEADINGS:
+                        found.append(f"{c[KEY]}:{c[FIXED]}")
+                else:
+                    look(c)
+
+    if w[PAGES] >= SHOWN:
+        look(w)
+    return found
+
+
 def expression(w) -> str:
     """The wrapper as a regular expression over tags; ``#`` is a text slot."""
     if not isinstance(w, list):
-        return "#" if w is None else json.dumps(w, ensure_ascii=False)
+        return "#" if w["t"] is None else json.dumps(w["t"], ensure_ascii=False)
     inner = " ".join(map(expression, w[CHILDREN]))
     name = w[KEY].split(".")[0].split("#")[0]
     body = inner if w[KEY] in ("()", "#page") else f"<{w[KEY]}>" if name in VOID else f"<{w[KEY]}> {inner} </{name}>"
@@ -343,11 +425,14 @@ def opened(w: list, kept: Container[str]) -> list:
     prose = sum(0 if _dropped(c) else c[PROSE] for c in children if isinstance(c, list))
     before = sum(0 if _dropped(c) else c[PROSE] for c in w[CHILDREN] if isinstance(c, list))
     drop = 0 if w[DROP] == MARKED and w[KEY] in kept else w[DROP]
-    return [w[KEY], drop, *w[OPTIONAL:PROSE], max(w[PROSE] + prose - before, prose), w[CHARS], children]
+    return [w[KEY], drop, *w[OPTIONAL:PROSE], max(w[PROSE] + prose - before, prose), w[CHARS], children, w[FIXED]]
 
 
 def reading_of(w: list) -> tuple[str, list[str]]:
-    """Where a wrapper has its articles, and the keys whose marks it overrules."""
+    """Where a wrapper has its articles, and the keys whose marks it overrules; by its slots, if it has pages enough and any text in them."""
+    if w[PAGES] >= SHOWN:
+        own = slotted(w)
+        w = own if _whole(own) else w
     kept = kept_of(w)
     return place_of(opened(w, kept) if kept else w), kept
 
@@ -431,15 +516,31 @@ def _at(node: list, places: list[str], path: str, out: list[str]) -> None:
             _at(c, places, own, out)
 
 
+def hidden(node: list, same: Container[str]) -> list:
+    """The signed page with the blocks ``same`` as boilerplate."""
+    for c in node[2]:
+        if isinstance(c, list):
+            if f"{c[0]}:{c[4]}" in same:
+                c[1] = BY_TAG
+            else:
+                hidden(c, same)
+    return node
+
+
 def text_at(tree: list, place: str) -> str:
     out: list[str] = []
     _at(tree, place.split(), "", out)
     return " ".join("".join(out).split())
 
 
-def main_text(page: str, place: str | None, kept: Container[str] = ()) -> str:
-    tree = parse(page, kept)
-    found = text_at(tree, _place_on(wrapper_of(tree), place)) if place else ""
+def main_text(page: str, place: str | None, kept: Container[str] = (), same: Container[str] = ()) -> str:
+    found = ""
+    for blocks in ([same] if same else []) + [()] if place else []:
+        tree = parse(page, kept)
+        if blocks:
+            signed(tree)
+            hidden(tree, blocks)
+        found = found or text_at(tree, _place_on(wrapper_of(tree), place))
     for words in (True, False):  # in the end boilerplate is known by the tags' names only
         if not found:
             place, kept = reading_of(wrapper_of(parse(page, words=words)))
@@ -456,53 +557,76 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _deep() -> None:
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))
+
+
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A wrapper for each host of one partition."""
-    hosts: dict[str, list] = {}
-    for batch in batches:
-        for host, page in zip(*(c.to_pylist() for c in batch.columns)):
-            w = wrapper_of(parse(page or ""))
-            hosts[host] = merged(hosts[host], w) if host in hosts else w
-    yield from _rows(hosts)
+    """The wrapper of each host and part; a partition's pages stand in the order of both."""
+    _deep()
+    pages = ((host, part, wrapper_of(parse(page or ""))) for batch in batches for host, part, page in zip(
+        *(batch.column(c).to_pylist() for c in ("host", "part", "html"))))
+    yield from _in_order(pages)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hosts: dict[str, list] = {}
-    for batch in batches:
-        for host, text in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist()):
-            w = json.loads(text)
-            hosts[host] = merged(hosts[host], w) if host in hosts else w
-    yield from _rows(hosts)
+    """The same for partial wrappers, whose parts are dealt into fewer."""
+    _deep()
+    parts = ((host, part, json.loads(text)) for batch in batches for host, part, text in zip(
+        *(batch.column(c).to_pylist() for c in ("host", "into", "wrapper"))))
+    yield from _in_order(parts)
 
 
-def _rows(hosts: dict[str, list]) -> Iterator[pa.RecordBatch]:
-    for host, w in hosts.items():
-        place, kept = reading_of(w)
+def _in_order(items: Iterator[tuple[str, int, list]]) -> Iterator[pa.RecordBatch]:
+    for (host, part), group in itertools.groupby(items, key=lambda x: x[:2]):
+        w = functools.reduce(merged, (x[2] for x in group))
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array([x], pa.string()) for x in (host, json.dumps(w), place, expression(w))), pa.array([kept], pa.list_(pa.string()))],
-            names=["host", "wrapper", "place", "expression", "kept"])
+            [pa.array([host], pa.string()), pa.array([part], pa.int64()), pa.array([json.dumps(w)], pa.string())], names=["host", "part", "wrapper"])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each host's wrapper says."""
+    _deep()
+    for batch in batches:
+        for host, text in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist()):
+            w = json.loads(text)
+            place, kept = reading_of(w)
+            lists = [pa.array([x], pa.list_(pa.string())) for x in (kept, shown(w))]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([x], pa.string()) for x in (host, text, place, expression(w))), *lists], names=["host", "wrapper", "place", "expression", "kept", "same"])
 
 
-SCHEMA = "host string, wrapper string, place string, expression string, kept array<string>"
+PARTIAL = "host string, part long, wrapper string"
+SCHEMA = "host string, wrapper string, place string, expression string, kept array<string>, same array<string>"
 SALT = 16
 
 
 def infer(pages: DataFrame, url_name: str = "url", html_name: str = "html") -> DataFrame:
-    """(host, wrapper, place, expression, kept): one row per host, from all its pages."""
-    parts = pages.select(host_of(F.col(url_name)).alias("host"), F.col(html_name).alias("html")).mapInArrow(_infer, SCHEMA)
-    some = parts.withColumn("salt", F.spark_partition_id() % SALT).repartition("host", "salt").mapInArrow(_merge, SCHEMA)
-    return some.repartition("host").mapInArrow(_merge, SCHEMA)
+    """(host, wrapper, place, expression, kept, same): one row per host, from all its pages."""
+    content = F.xxhash64(F.coalesce(F.col(html_name), F.lit("")))
+    parts = -(-pages.count() // PAGES_A_PART) or 1
+    dealt = pages.select(
+        host_of(F.col(url_name)).alias("host"), F.pmod(content, F.lit(parts)).cast("long").alias("part"), content.alias("content"), F.col(html_name).alias("html"))
+    some = dealt.repartition("host", "part").sortWithinPartitions("host", "part", "content", "html").mapInArrow(_infer, PARTIAL)
+    while parts > 1:
+        parts = -(-parts // SALT)
+        into = some.withColumn("into", F.expr(f"part div {SALT}")).repartition("host", "into")
+        some = into.sortWithinPartitions("host", "into", "part").mapInArrow(_merge, PARTIAL)
+    return some.mapInArrow(_read, SCHEMA)
 
 
 @F.arrow_udf(T.StringType())
-def _extract(pages: pa.Array, places: pa.Array, kept: pa.Array) -> pa.Array:
-    return pa.array([main_text(p or "", q, k or ()) for p, q, k in zip(pages.to_pylist(), places.to_pylist(), kept.to_pylist())], pa.string())
+def _extract(pages: pa.Array, places: pa.Array, kept: pa.Array, same: pa.Array) -> pa.Array:
+    _deep()
+    columns = (c.to_pylist() for c in (pages, places, kept, same))
+    return pa.array([main_text(p or "", q, k or (), set(s or ())) for p, q, k, s in zip(*columns)], pa.string())
 
 
 def extract(pages: DataFrame, url_name: str = "url", html_name: str = "html") -> DataFrame:
     """``pages`` as struct column _page with _text, the main text by the wrapper of the page's host."""
-    wrappers = staged(infer(pages, url_name, html_name), "wrappers")
+    wrappers = settled(infer(pages, url_name, html_name), "wrappers")
     packed = pages.select(
         F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("_page"), host_of(F.col(url_name)).alias("_host"), F.col(html_name).alias("_html"))
-    placed = packed.join(wrappers.select(F.col("host").alias("_host"), F.col("place").alias("_place"), F.col("kept").alias("_kept")), "_host", "left")
-    return placed.select("_page", _extract(F.col("_html"), F.col("_place"), F.col("_kept")).alias("_text"))
+    names = {"host": "_host", "place": "_place", "kept": "_kept", "same": "_same"}
+    placed = packed.join(wrappers.select(*(F.col(a).alias(b) for a, b in names.items())), "_host", "left")
+    return placed.select("_page", _extract(F.col("_html"), F.col("_place"), F.col("_kept"), F.col("_same")).alias("_text"))

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -88,6 +89,49 @@ def test_articles_must_hold_most_of_the_text(spark):
     assert text_of(spark, pages)[4:] == ["One Two, a little longer", "One Two and a little longer"]
 
 
+def test_what_all_pages_show_is_no_article(spark):
+    legal = '<div class="lower"><p>' + "fixed words of the house that are longer than any article here " * 6 + "</p><p>and a second line of them</p></div>"
+    prose = '<div class="prose"><p>Story {n} tells of {n} things</p><p>and ends on day {n}</p></div>'
+    expected = [f"Story {n} tells of {n} things and ends on day {n}" for n in range(20)]
+    outside, inside = legal + prose, "<article><h2>The story</h2>" + prose + legal + "</article>"
+    assert text_of(spark, [outside.format(n=n) for n in range(20)], "a") == expected
+    assert text_of(spark, [inside.format(n=n) for n in range(20)], "b") == [f"The story {t}" for t in expected]
+    # without telling names or elements
+    plain = "<center><div><div>{legal}</div></div></center><div><div><p>Story {n} tells of {n} things</p><p>and ends on day {n}</p></div></div>"
+    assert text_of(spark, [plain.format(n=n, legal="the same words on each page " * 9) for n in range(20)], "c") == expected
+    # equal pages, and a host of one page, have no slots
+    assert text_of(spark, ["<div><p>Only text</p></div>"] * 6, "d") == ["Only text"] * 6
+
+
+def test_the_order_of_pages_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "PAGES_A_PART", 5)
+    rows = [row(i, "https://shop.example/", shop(i * 7 % 5) if i % 3 else shop(i).replace("<h2>", "<hr><p>New</p><h2>")) for i in range(30)]
+    found = set()
+    for seed in range(3):
+        again = frame(spark, random.Random(seed).sample(rows, len(rows))).repartition(1 + 3 * seed)
+        found.add(wrappers.infer(again).select("wrapper").first()[0])
+    assert len(found) == 1
+
+
+def test_long_lists_are_aligned_exactly():
+    draw = random.Random(3)
+    for n, m, kinds in ((300, 200, 3), (150, 400, 40), (2000, 2000, 400), (101, 100, 1), (1, 12000, 5)):
+        xs, ys = ([f"k{draw.randrange(kinds)}" for _ in range(k)] for k in (n, m))
+        pairs = wrappers.common(xs, ys)
+        assert all(xs[i] == ys[j] for i, j in pairs) and all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+        row = [0] * (m + 1)
+        for x in xs:
+            before = 0
+            for j, y in enumerate(ys):
+                before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j], row[j + 1])
+        assert len(pairs) == row[m]
+
+
+def test_deep_articles_keep_their_place(spark):
+    page = "<div>" * 900 + "<article><p>Text {n} and more of it</p></article>" + "</div>" * 900 + "<p>Outside {n}</p>"
+    assert text_of(spark, [page.format(n=n) for n in range(3)]) == [f"Text {n} and more of it" for n in range(3)]
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
     pages = {
