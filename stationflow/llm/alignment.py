@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +54,7 @@ MARK = "▁"
 # Fixed value: how a byte-level BPE file without a pattern of its own cuts texts before merging.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_APART = np.array([-1], np.int32).tobytes()  # no id
 
 
 def _byte_characters() -> dict[str, int]:
@@ -125,50 +125,51 @@ class Side:
         self.encode, self.bytes_of = tokenizer, tokenizer.bytes_of
         self.length = np.array([len(b) for b in self.bytes_of], np.int64)
         self.spaced = np.array([b[:1] == b" " for b in self.bytes_of])
+        texts = [str(i) for i in range(len(self.bytes_of))]
+        self.plain, self.commas, self.bars, self.semicolons = (np.array([t + x for t in texts], object) for x in ("", ",", "|", ";"))
 
     def spells(self, ids: list[int], data: bytes) -> bool:
         return b"".join([self.bytes_of[i] for i in ids]) == data
 
 
-def align(a: tuple, b: tuple, length_a: np.ndarray, length_b: np.ndarray) -> tuple[list[tuple[list, list]], list[tuple[int, int]]]:
-    """(groups, links) of two runs of ids over the same bytes; no token is empty."""
-    groups, links, i, j, end_a, end_b = [([], [])], [], 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        # the next token of whichever side lies behind; at a shared end, a new group and one token of each
-        if end_a == end_b:
-            if groups[-1][0]:
-                groups.append(([], []))
-            groups[-1][0].append(a[i])
-            groups[-1][1].append(b[j])
-            end_a, end_b, i, j = end_a + int(length_a[a[i]]), end_b + int(length_b[b[j]]), i + 1, j + 1
-        elif end_a < end_b:
-            groups[-1][0].append(a[i])
-            end_a, i = end_a + int(length_a[a[i]]), i + 1
-        else:
-            groups[-1][1].append(b[j])
-            end_b, j = end_b + int(length_b[b[j]]), j + 1
-        links.append((a[i - 1], b[j - 1]))
-    return groups if a else [], links
-
-
-@dataclass
+def _cut(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The ids of some runs in a row."""
+    return ids[np.arange(int(counts.sum())) + np.repeat(starts - (np.cumsum(counts) - counts), counts)]
+
+
 class Memo:
-    """Windows already aligned: by their ids, a place in the lists."""
+    """Windows already aligned: by their ids on both sides, a place in the lists."""
 
-    place: dict[tuple[tuple, tuple], int] = field(default_factory=dict)
-    texts: list[str] = field(default_factory=list)
-    groups: list[int] = field(default_factory=list)
-    links: list[np.ndarray] = field(default_factory=list)
+    def __init__(self, sides: tuple[Side, Side]):
+        self.sides = sides
+        self.place: dict[bytes, int] = {}
+        self.texts: list[str] = []
+        self.groups, self.links, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
 
-    def get(self, a: tuple, b: tuple, sides: tuple[Side, Side]) -> int:
-        found = self.place.get((a, b))
-        if found is None:
-            found = self.place[a, b] = len(self.texts)
-            groups, links = align(a, b, sides[0].length, sides[1].length)
-            self.texts.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-            self.groups.append(len(groups))
-            self.links.append(np.array([x << 32 | y for x, y in links], np.int64))
-        return found
+    def add(self, keys: list[bytes], ids: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        """Aligns the windows whose ids stand in a row, ``counts`` of them for each, all side by side."""
+        ends = [np.cumsum(side.length[x]) for side, x in zip(self.sides, ids)]
+        last = ends[0][np.cumsum(counts[0]) - 1]  # both sides of a window spell the same bytes
+        # between two ends of either side lies one token of each: a link
+        cuts = np.union1d(*ends)
+        links = ids[0][np.searchsorted(ends[0], cuts)] << 32 | ids[1][np.searchsorted(ends[1], cuts)]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        per_window = lambda at: np.bincount(np.searchsorted(last, at), minlength=len(keys))
+        group = [np.searchsorted(shared, e) for e in ends]
+        # a comma inside a group's side, then a bar, and a semicolon between groups
+        inner = [np.append(g[1:] == g[:-1], False) for g in group]
+        final = np.zeros(len(ids[1]), bool)
+        final[np.cumsum(counts[1]) - 1] = True
+        words = np.concatenate([
+            np.where(inner[0], self.sides[0].commas[ids[0]], self.sides[0].bars[ids[0]]),
+            np.where(inner[1], self.sides[1].commas[ids[1]], np.where(final, self.sides[1].plain[ids[1]], self.sides[1].semicolons[ids[1]]))])
+        words = words[np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable")].tolist()
+        stops = np.cumsum(counts[0] + counts[1]).tolist()
+        self.place.update(zip(keys, range(len(self.texts), len(self.texts) + len(keys))))
+        self.texts += ["".join(words[a:b]) for a, b in zip([0, *stops], stops)]
+        self.groups = np.concatenate([self.groups, per_window(shared)])
+        self.links = np.concatenate([self.links, links])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(per_window(cuts))])
 
 
 def _hashes(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -196,7 +197,7 @@ class Aligner:
 
     def __init__(self, paths: tuple[str, str]):
         self.sides = Side(ByteBpe(paths[0])), Side(PieceBpe(paths[1]))
-        self.memo = Memo()
+        self.memo = Memo(self.sides)
 
     def windows(self, tokens: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """(places in the memo of all windows in a row, number of windows per document); no document is without tokens."""
@@ -213,14 +214,19 @@ class Aligner:
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         same = _same(ids[0], starts[0], stops[0], first[which]) & _same(ids[1], starts[1], stops[1], first[which])
         if len(self.memo.texts) > MEMO:
-            self.memo = Memo()
-
-        def place(w: int) -> int:
-            return self.memo.get(*(tuple(ids[s][starts[s][w]:stops[s][w]].tolist()) for s in (0, 1)), self.sides)
-
-        places = np.array([place(w) for w in first.tolist()], np.int64)[which]
-        for w in np.flatnonzero(~same).tolist():  # another window with the same hash
-            places[w] = place(w)
+            self.memo = Memo(self.sides)
+        known, first = self.memo.place, np.concatenate([first, np.flatnonzero(~same)])  # those whose hash is another window's as well
+        raw = [x.astype(np.int32).tobytes() for x in ids]
+        edges = [(4 * x[first]).tolist() for side in zip(starts, stops) for x in side]
+        keys = [raw[0][a:b] + _APART + raw[1][c:d] for a, b, c, d in zip(*edges)]
+        fresh = {key: w for key, w in zip(keys, first.tolist()) if key not in known}
+        if fresh:
+            new = np.fromiter(fresh.values(), np.int64, len(fresh))
+            sizes = [stops[s][new] - starts[s][new] for s in (0, 1)]
+            self.memo.add(list(fresh), [_cut(ids[s], starts[s][new], sizes[s]) for s in (0, 1)], sizes)
+        found = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+        places = found[which]
+        places[~same] = found[len(found) - int((~same).sum()):]
         counts = np.diff(np.searchsorted(shared[anchor], last, "right"), prepend=0)
         return places, counts
 
@@ -241,9 +247,8 @@ class Aligner:
         places, counts = self.windows(tokens)
         memo = self.memo
         used, which = np.unique(places, return_inverse=True)
-        links = [memo.links[p] for p in used.tolist()]
-        sizes = np.array([len(x) for x in links])
-        pairs, code = np.unique(np.concatenate(links), return_inverse=True)
+        sizes = memo.ends[used + 1] - memo.ends[used]
+        pairs, code = np.unique(_cut(memo.links, memo.ends[used], sizes), return_inverse=True)
         begin = np.cumsum(sizes) - sizes
         # the links of all windows of all documents in a row, as places in ``pairs``
         many = sizes[which]
@@ -252,7 +257,7 @@ class Aligner:
         found, times = np.unique(document * len(pairs) + code[at], return_counts=True)
         edges = np.searchsorted(found, np.arange(len(kept) + 1) * len(pairs))
         stops = np.cumsum(counts)
-        groups = np.array(memo.groups)[places]
+        groups = memo.groups[places]
         for n, (i, (a, b)) in enumerate(zip(kept, tokens)):
             own, mine = places[stops[n] - counts[n]:stops[n]], slice(edges[n], edges[n + 1])
             text = ";".join([memo.texts[p] for p in own.tolist()])

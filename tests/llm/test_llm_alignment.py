@@ -144,6 +144,6 @@ def test_a_text_the_fast_engine_refuses(aligner):
 
 
 def test_windows_are_one_word_or_so(aligner):
-    aligner.memo = alignment.Memo()
+    aligner.memo = alignment.Memo(aligner.sides)
     out = aligner.run(["one two three one two three " * 500])
     assert len(aligner.memo.texts) <= 8 and out["n_groups"][0] >= 3000
