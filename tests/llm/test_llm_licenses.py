@@ -68,3 +68,54 @@ def test_every_rule_matches_only_where_its_name_does():
 
 def test_empty_table(spark):
     assert licenses.licenses(S.empty(spark), F.col("text")).count() == 0
+
+
+def sample(pattern):
+    """A short text that a pattern matches: first alternatives, as few repetitions as it takes."""
+    def of(items):
+        out = ""
+        for op, value in items:
+            name = str(op)
+            if name == "LITERAL":
+                out += chr(value)
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += of(value[2]) * value[0]
+            elif name == "SUBPATTERN":
+                out += of(value[3])
+            elif name == "BRANCH":
+                out += of(value[1][0])
+            elif name == "IN":
+                out += of(value[:1]) if str(value[0][0]) == "LITERAL" else "1" if "DIGIT" in str(value[0][1]) else "x"
+            elif name == "ANY":
+                out += "x"
+            else:
+                raise ValueError(name)
+        return out
+
+    return of(re._parser.parse(pattern))
+
+
+def test_every_rule_finds_a_sample_of_its_own():
+    rules = [(f, r) for f in license_rules.families() for r in f.rules]
+    assert len(rules) > 900
+    for f, r in rules:
+        text = sample(r.pattern)
+        line = licenses.reduced(text.encode())
+        assert any(f" {k}".encode() in line for k in f.keywords) and r.also.encode() in line, r
+        found = licenses.scan_text(text.encode())[5]
+        # itself, or one that covers it and yields to nothing
+        assert any(d["label"] == r.label for d in found) or any(d["words"] >= len(text.split()) for d in found), (r, found)
+
+
+def test_usual_spellings_give_the_license():
+    for text, label in {
+        "Apache License 2.0": "apache-2.0", "Apache License, Version 2.0": "apache-2.0", "Mozilla Public License 2.0": "mpl-2.0",
+        "GNU General Public License 3": "gpl-3.0", "GNU General Public License v2.0": "gpl-2.0", "Eclipse Public License 2.0": "epl-2.0",
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0",
+        "Licensed under the MIT": "mit", "released under the zlib": "zlib", "FreeBSD License": "bsd-2-clause", "Simplified License": "bsd-2-clause",
+        "see the copyright notice": "copyright", "GNU Lesser General Public License version 2.1": "lgpl-2.1", "LGPL-3.0": "lgpl-3.0",
+        "GNU Affero General Public License v3.0": "agpl-3.0", "Artistic License 2.0": "artistic-2.0",
+    }.items():
+        assert label in licenses.scan_text(text.encode())[3], text
+    for text in ("the mit is in cambridge", "an isc number", "zlib compresses"):
+        assert not {"mit", "isc", "zlib"} & set(licenses.scan_text(text.encode())[3])
