@@ -521,7 +521,8 @@ step("stream_slots", """
            count(*) AS row_count
     FROM obs GROUP BY number, name, address, slot_ms
     HAVING slot_ms + 600000 <= (SELECT max(last_update) FROM obs) - 600000""")
-step("stream_deltas", f"""
+for _name in ("stream_deltas", "stream_deltas_by_slot"):
+    step(_name, f"""
     SELECT {_RAW}, last_available_stands, diff, check_in, check_out FROM deltas
     WHERE last_update < (SELECT max(last_update) FROM obs) - 600000""")
 step("stream_pairing", """

@@ -903,6 +903,13 @@ def stream_deltas(spark, sf_dir):
     return _run(spark, jobs.delta_stream(rows), "stream-deltas")
 
 
+@register
+def stream_deltas_by_slot(spark, sf_dir):
+    """The same in groups of a station's slot, with a small second stream that carries values from slot to slot."""
+    rows = _event_stream(spark, sf_dir).select(*views.observation_columns()).drop("event_id")
+    return jobs.deltas_by_slot(rows, scratch_path(spark, "stream-slot-deltas"))
+
+
 @register
 def stream_pairing(spark, sf_dir):
     source = _event_stream(spark, sf_dir)

@@ -100,6 +100,79 @@ def delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
     )
 
 
+PART_SCHEMA = f"{DELTA_SCHEMA}, slot_ms BIGINT, opens BOOLEAN, closes BOOLEAN"
+
+
+def _slot_deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """``_chain_deltas`` inside a slot: its very first row has nothing before it, which ``carry_stream`` fills in."""
+    before, *kept = state.get if state.exists else ([], [], [], [])
+    ms, free, capacity = _gathered(["last_update", "available_bike_stands", "bike_stands"], kept, batches)
+    order = np.lexsort((free, ms))
+    ms, free, capacity = ms[order], free[order], capacity[order]
+    watermark = state.getCurrentWatermarkMs()
+    done = int(np.searchsorted(ms, watermark))
+    if done:
+        last = np.concatenate([[before[0] if len(before) else free[0]], free[:done - 1]])
+        diff = free[:done] - last
+        place = np.arange(done)
+        yield pd.DataFrame(dict(zip((*DELTA_COLUMNS, "slot_ms", "opens", "closes"), (
+            *key[:3], capacity[:done], free[:done], ms[:done], last, diff, diff.clip(min=0), (-diff).clip(min=0),
+            key[3], (place == 0) & (not len(before)), place == done - 1))))
+        before = [int(free[done - 1])]
+    end = int(key[3]) + clock.SLOT_MS
+    if done == len(ms) and watermark >= end:
+        state.remove()  # no row of the slot can still arrive
+        return
+    state.update((list(before), ms[done:].tolist(), free[done:].tolist(), capacity[done:].tolist()))
+    state.setTimeoutTimestamp(int(ms[done]) if done < len(ms) else max(end, watermark + 1))
+
+
+def slot_delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """``delta_stream`` in parts: one group per chain and 10-minute slot, so a station that holds a third of all rows is many groups.
+
+    A row that ``opens`` its slot still lacks what the slots before end with; rows
+    that open or close a slot, or what was known of it, are all that
+    ``carry_stream`` needs.
+    """
+    rows = observations.select(*schemas.OBSERVATION_COLUMNS, F.timestamp_millis("last_update").alias("event_time"))
+    slot = clock.slot_start(F.col("last_update")).alias("slot_ms")
+    return rows.withWatermark("event_time", delay).select("*", slot).groupBy("number", "name", "address", "slot_ms").applyInPandasWithState(
+        _slot_deltas, PART_SCHEMA, "last ARRAY<BIGINT>, ms ARRAY<BIGINT>, free ARRAY<BIGINT>, capacity ARRAY<BIGINT>",
+        "append", GroupStateTimeout.EventTimeTimeout,
+    )
+
+
+def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    known = int(state.get[0]) if state.exists else None
+    rows = pd.concat(list(batches)).sort_values(["slot_ms", "last_update", "available_bike_stands"], kind="stable")
+    opens, free = rows["opens"].to_numpy(bool), rows["available_bike_stands"].to_numpy(np.int64)
+    before = np.concatenate([[free[0] if known is None else known], free[:-1]])
+    state.update((int(free[-1]),))
+    if opens.any():
+        diff = (free - before)[opens]
+        found = rows.loc[opens, list(schemas.OBSERVATION_COLUMNS)].assign(
+            last_available_stands=before[opens], diff=diff, check_in=diff.clip(min=0), check_out=(-diff).clip(min=0))
+        yield found[DELTA_COLUMNS]
+
+
+def carry_stream(parts: DataFrame) -> DataFrame:
+    """The rows that open a slot, with the value that the chain's slots before end with; its state is one number a chain.
+
+    ``parts`` is the table of ``slot_delta_stream`` as a stream, of which a slot gives a row or two whatever its rows.
+    """
+    ends = parts.where("opens or closes")
+    return ends.groupBy("number", "name", "address").applyInPandasWithState(
+        _carry, DELTA_SCHEMA, "last BIGINT", "append", GroupStateTimeout.NoTimeout)
+
+
+def deltas_by_slot(observations: DataFrame, path: str, delay: str = WATERMARK) -> DataFrame:
+    """All deltas of what has landed, as ``delta_stream`` gives them: the parts, and what the second stream makes of their ends."""
+    parts = run_available(slot_delta_stream(observations, delay), f"{path}/parts", f"{path}/parts-checkpoint")
+    ends = observations.sparkSession.readStream.schema(parts.schema).parquet(f"{path}/parts")
+    opened = run_available(carry_stream(ends), f"{path}/opened", f"{path}/opened-checkpoint")
+    return parts.where("not opens").select(*DELTA_COLUMNS).union(opened.select(*DELTA_COLUMNS))
+
+
 def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     kept = state.get if state.exists else ([],) * 4
     due, event, stands, actual = _gathered(["due_ms", "event_id", "stands", "is_actual"], kept, batches)

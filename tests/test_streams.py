@@ -33,6 +33,22 @@ def test_deltas_continue_over_batches_and_restarts(spark, tmp_path):
     assert sorted(tuple(r[c] for c in columns) for r in got) == sorted(tuple(r) for r in batch.select(*columns).collect())
 
 
+def test_deltas_by_slot_equal_the_batch(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    minute = 60_000
+    rows = [(1 if i % 3 else 2, 86_400_000 + (i * 7919 % 200) * minute // 4 + i, i * 5 % 17) for i in range(240)]
+    ordered = sorted(rows, key=lambda r: r[1] + (r[2] - 8) * 20_000)  # somewhat out of order
+    for n in range(4):
+        feed(landing, f"{n}.json", ordered[n * 60:(n + 1) * 60])
+        got = jobs.deltas_by_slot(jobs.snapshot_stream(spark, str(landing), max_files=1), str(tmp_path / "t"))
+    feed(landing, "z.json", [(9, 86_400_000 + 9_000 * minute, 1)])
+    got = jobs.deltas_by_slot(jobs.snapshot_stream(spark, str(landing), max_files=1), str(tmp_path / "t"))
+    batch = slots.stand_deltas(spark.createDataFrame([(n, f"S{n}", "a", 20, free, ms) for n, ms, free in rows], OBSERVATION))
+    columns = jobs.DELTA_COLUMNS
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(tuple(r) for r in batch.select(*columns).collect())
+
+
 def test_copies_are_dropped_and_open_slots_withheld(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
