@@ -525,7 +525,8 @@ for _name in ("stream_deltas", "stream_deltas_by_slot"):
     step(_name, f"""
     SELECT {_RAW}, last_available_stands, diff, check_in, check_out FROM deltas
     WHERE last_update < (SELECT max(last_update) FROM obs) - 600000""")
-step("stream_pairing", """
+for _name in ("stream_pairing", "stream_pairing_by_slot"):
+    step(_name, """
     SELECT p.event_id, p.number, p.pred_ms, p.pred_stands, a.event_id AS actual_event, a.actual_ms, a.actual_stands
     FROM predictions p ASOF JOIN actuals a ON p.number = a.number AND p.pred_ms + 900000 <= a.actual_ms
     WHERE a.actual_ms < greatest((SELECT max(pred_ms) FROM predictions), (SELECT max(actual_ms) FROM actuals)) - 600000""")

@@ -916,6 +916,13 @@ def stream_pairing(spark, sf_dir):
     return _run(spark, jobs.pair_stream(views.view_events(source), views.click_events(source)), "stream-pairing")
 
 
+@register
+def stream_pairing_by_slot(spark, sf_dir):
+    """The same in groups of a station's slot, with a second stream for forecasts that their slot does not answer."""
+    source = _event_stream(spark, sf_dir)
+    return jobs.pairs_by_slot(views.view_events(source), views.click_events(source), scratch_path(spark, "stream-slot-pairs"))
+
+
 @register
 def stream_pairing_hour(spark, sf_dir):
     """Forecasts and their first observation within an hour, by a join of two streams; those whose hour is long over."""

@@ -191,14 +191,8 @@ def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
         state.setTimeoutTimestamp(int(due[rest & actual][0]))
 
 
-def pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Forecasts paired with the first observation at least 15 minutes later.
-
-    Both sides wait in the state. When the watermark has passed an observation,
-    no earlier one and no forecast that it answers can still arrive: it is paired
-    and forgotten. A forecast waits as long as its station is silent, and gives
-    no row before it is answered.
-    """
+def _asked_and_seen(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
+    """Forecasts by the time they are due and observations by theirs, one under the other."""
     asked = predictions.select(
         "number", "event_id", (F.col("pred_ms") + LEAD_MS).alias("due_ms"),
         F.col("pred_stands").alias("stands"), F.lit(0).alias("is_actual"), F.timestamp_millis("pred_ms").alias("event_time"),
@@ -207,7 +201,19 @@ def pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMA
         "number", "event_id", F.col("actual_ms").alias("due_ms"),
         F.col("actual_stands").alias("stands"), F.lit(1).alias("is_actual"), F.timestamp_millis("actual_ms").alias("event_time"),
     )
-    return asked.union(seen).withWatermark("event_time", delay).groupBy("number").applyInPandasWithState(
+    return asked.union(seen)
+
+
+def pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Forecasts paired with the first observation at least 15 minutes later.
+
+    Both sides wait in the state. When the watermark has passed an observation,
+    no earlier one and no forecast that it answers can still arrive: it is paired
+    and forgotten. A forecast waits as long as its station is silent, and gives
+    no row before it is answered.
+    """
+    rows = _asked_and_seen(predictions, actuals)
+    return rows.withWatermark("event_time", delay).groupBy("number").applyInPandasWithState(
         _pair, PAIR_SCHEMA, "due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>",
         "append", GroupStateTimeout.EventTimeTimeout,
     )
@@ -224,6 +230,88 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+SLOT_PAIR_SCHEMA = f"{PAIR_SCHEMA}, slot_ms BIGINT, kind STRING"
+
+
+def _pair_part(kind: str, key: tuple, **columns: np.ndarray) -> pd.DataFrame:
+    """Rows of SLOT_PAIR_SCHEMA; columns that a kind does not have are 0."""
+    none = np.zeros(len(next(iter(columns.values()))), np.int64)
+    return pd.DataFrame({c: columns.get(c, none) for c in PAIR_COLUMNS} | {"number": key[0], "slot_ms": key[1], "kind": kind})
+
+
+def _slot_pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """``_pair`` inside a slot: its pairs, its first observation, and when it is over the forecasts that it does not answer."""
+    told, *kept = state.get if state.exists else ([], [], [], [], [])
+    due, event, stands, actual = _gathered(["due_ms", "event_id", "stands", "is_actual"], kept, batches)
+    order = np.lexsort((event, due))
+    due, event, stands, actual = due[order], event[order], stands[order], actual[order] > 0
+    watermark, end = state.getCurrentWatermarkMs(), int(key[1]) + clock.SLOT_MS
+    final = actual & (due < watermark)
+    at = np.searchsorted(due[final], due, "left")
+    answered = ~actual & (at < final.sum())
+    if answered.any():
+        to = at[answered]
+        yield _pair_part(
+            "pair", key, event_id=event[answered], pred_ms=due[answered] - LEAD_MS, pred_stands=stands[answered],
+            actual_event=event[final][to], actual_ms=due[final][to], actual_stands=stands[final][to])
+    if final.any() and not len(told):
+        told = [1]
+        yield _pair_part("first", key, actual_event=event[final][:1], actual_ms=due[final][:1], actual_stands=stands[final][:1])
+    rest = ~final & ~answered
+    if watermark >= end:
+        if rest.any():
+            yield _pair_part("open", key, event_id=event[rest], pred_ms=due[rest] - LEAD_MS, pred_stands=stands[rest])
+        state.remove()
+        return
+    state.update((list(told), *(x[rest].astype(np.int64).tolist() for x in (due, event, stands, actual))))
+    waiting = due[rest & actual]
+    state.setTimeoutTimestamp(max(int(waiting[0]) + 1 if len(waiting) else end, watermark + 1))
+
+
+def slot_pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """``pair_stream`` in parts: one group per station and 10-minute slot, so a station that holds a third of all rows is many groups."""
+    rows = _asked_and_seen(predictions, actuals).withColumn("slot_ms", clock.slot_start(F.col("due_ms")))
+    return rows.withWatermark("event_time", delay).groupBy("number", "slot_ms").applyInPandasWithState(
+        _slot_pairs, SLOT_PAIR_SCHEMA, "told ARRAY<BIGINT>, due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>",
+        "append", GroupStateTimeout.EventTimeTimeout,
+    )
+
+
+def _answer_open(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    rows = pd.concat(list(batches))
+    new, firsts = rows[rows["kind"] == "open"], rows[rows["kind"] == "first"].sort_values("slot_ms")
+    columns = ["slot_ms", "event_id", "pred_ms", "pred_stands"]
+    kept = state.get if state.exists else ([],) * 4
+    slot, event, asked, stands = (np.concatenate([np.asarray(old, np.int64), new[c].to_numpy(np.int64)]) for c, old in zip(columns, kept))
+    at = np.searchsorted(firsts["slot_ms"].to_numpy(np.int64), slot, "right")
+    answered = at < len(firsts)
+    if answered.any():
+        to = firsts.iloc[at[answered]]
+        yield pd.DataFrame(dict(zip(PAIR_COLUMNS, (
+            event[answered], key[0], asked[answered], stands[answered],
+            *(to[c].to_numpy(np.int64) for c in ("actual_event", "actual_ms", "actual_stands"))))))
+    state.update(tuple(x[~answered].tolist() for x in (slot, event, asked, stands)))
+
+
+def answer_stream(parts: DataFrame) -> DataFrame:
+    """Forecasts that their own slot does not answer, paired with the first observation of the first later slot that has one.
+
+    When that observation is final, all slots before are over, so their open
+    forecasts have come. A busy station answers nearly all inside their slots.
+    """
+    return parts.where("kind <> 'pair'").groupBy("number").applyInPandasWithState(
+        _answer_open, PAIR_SCHEMA, "slot ARRAY<BIGINT>, event ARRAY<BIGINT>, asked ARRAY<BIGINT>, stands ARRAY<BIGINT>",
+        "append", GroupStateTimeout.NoTimeout)
+
+
+def pairs_by_slot(predictions: DataFrame, actuals: DataFrame, path: str, delay: str = WATERMARK) -> DataFrame:
+    """All pairs of what has landed, as ``pair_stream`` gives them: those inside slots, and what the second stream finds beyond."""
+    parts = run_available(slot_pair_stream(predictions, actuals, delay), f"{path}/parts", f"{path}/parts-checkpoint")
+    ends = predictions.sparkSession.readStream.schema(parts.schema).parquet(f"{path}/parts")
+    later = run_available(answer_stream(ends), f"{path}/later", f"{path}/later-checkpoint")
+    return parts.where("kind = 'pair'").select(*PAIR_COLUMNS).union(later.select(*PAIR_COLUMNS))
+
+
 def pair_within(predictions: DataFrame, actuals: DataFrame, most: str = "1 HOUR", delay: str = WATERMARK) -> DataFrame:
     """Forecasts paired with the first observation 15 minutes to 15 minutes and ``most`` later, by a native interval join.
 

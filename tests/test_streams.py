@@ -2,7 +2,7 @@
 
 import json
 
-from stationflow.operators import clean, slots
+from stationflow.operators import clean, pairing, slots
 from stationflow.schemas import OBSERVATION
 from stationflow.streaming import jobs
 from tests_support import station_row
@@ -85,6 +85,26 @@ def test_pairing_waits_for_a_later_batch(spark, tmp_path):
     assert sorted((r.event_id, r.actual_event) for r in run(source(), tmp_path, "pairs").collect()) == [(1, 4), (3, 5)]
 
 
+def test_pairs_by_slot_equal_the_batch(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    minute, day = 60_000, 86_400_000
+    schema = "kind STRING, event_id BIGINT, number BIGINT, ms BIGINT, stands BIGINT"
+    rows = [("ap"[i // 2 % 2], i, 7 if i % 3 else 8, day + (i * 7919 % 300) * minute + i % 7, i % 19) for i in range(200)]
+    ordered = sorted(rows, key=lambda r: r[3] + (r[4] - 9) * 20_000)
+    for n in range(5):
+        part = ordered[n * 40:(n + 1) * 40] + [("a", 900 + n, 9, day + 20_000 * minute, 1)] * (n == 4)
+        (landing / f"{n}.json").write_text("\n".join(json.dumps(dict(zip(("kind", "event_id", "number", "ms", "stands"), r))) for r in part))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(landing))
+    sides = [["event_id", "number", f"ms AS {k}_ms", f"stands AS {k}_stands"] for k in ("pred", "actual")]
+    asked, seen = (source.where(f"kind = '{k}'").selectExpr(*c) for k, c in zip("pa", sides))
+    got = jobs.pairs_by_slot(asked, seen, str(tmp_path / "t"))
+    table = spark.createDataFrame(rows, schema)
+    batch = pairing.pair_forward(*(table.where(f"kind = '{k}'").selectExpr(*c) for k, c in zip("pa", sides))).where("actual_ms is not null")
+    expected = sorted(tuple(r) for r in batch.select(*jobs.PAIR_COLUMNS).collect())
+    assert sorted(tuple(r) for r in got.select(*jobs.PAIR_COLUMNS).collect()) == expected and len(expected) > 50
+
+
 def test_an_actual_before_its_forecast_is_not_forgotten(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
