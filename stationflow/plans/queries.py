@@ -135,7 +135,7 @@ def usage_by_weekday(spark, sf_dir):
 @register
 def weekday_box_stats(spark, sf_dir):
     values = explore.weekday_values(views.slot_table(spark, sf_dir), "check_in", "avg")
-    stats = explore.box_stats(values)
+    stats = explore.box_stats(_written(spark, values))
     return stats.select("weekday", "n", "outliers", *[
         F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")
     ])
@@ -144,17 +144,20 @@ def weekday_box_stats(spark, sf_dir):
 @register
 def weekday_outliers(spark, sf_dir):
     values = explore.weekday_values(views.slot_table(spark, sf_dir), "activity", "sum")
-    return explore.box_outliers(values)
+    return explore.box_outliers(_written(spark, values))
 
 
-def _plot_values(spark, sf_dir) -> DataFrame:
-    """Written once: sketch, bracket and fences each pass over them."""
+def _written(spark, values: DataFrame) -> DataFrame:
+    """Values written once: sketch, bracket and fences each pass over them."""
     path = scratch_path(spark, "plot-values")
-    values = explore.plot_values(views.slot_table(spark, sf_dir))
     values.write.parquet(path)
     return spark.read.schema(values.schema).parquet(path)
 
 
+def _plot_values(spark, sf_dir) -> DataFrame:
+    return _written(spark, explore.plot_values(views.slot_table(spark, sf_dir)))
+
+
 @register
 def weekday_boxes(spark, sf_dir):
     """Box statistics of all three plots."""
