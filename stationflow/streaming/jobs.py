@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -60,29 +60,90 @@ def slot_stream(observations: DataFrame) -> DataFrame:
     )
 
 
-def _gathered(columns: list[str], kept: tuple, batches: Iterator[pd.DataFrame]) -> list[np.ndarray]:
+# Stateful steps work in this many groups, each of many chains: a call for a group costs milliseconds whatever its rows,
+# and there are as many chains as stations, or as slots with rows. Part of every checkpoint: it must not change.
+GROUPS = 1024
+
+
+def _grouped(rows: DataFrame, *key: str) -> GroupedData:
+    """Chains in groups by a hash of their key; chains without a number have groups of their own, below 0."""
+    bucket = F.pmod(F.xxhash64(*key), F.lit(GROUPS))
+    return rows.withColumn("group", F.when(F.col("number").isNull(), -1 - bucket).otherwise(bucket)).groupBy("group")
+
+
+def _gathered(columns: list[str], kept: tuple, batches: Iterator[pd.DataFrame], texts: tuple = ()) -> list[np.ndarray]:
     """What the state holds of each column, and the new rows behind it."""
     new = list(batches)
     return [
-        np.concatenate([np.asarray(old, np.int64), *(b[c].to_numpy(np.int64) for b in new)]) for c, old in zip(columns, kept)
+        np.concatenate([np.asarray(old, object if c in texts else np.int64), *(
+            b[c].to_numpy(object if c in texts else np.int64) for b in new)]) for c, old in zip(columns, kept)
     ]
 
 
+def _chains(*key: np.ndarray) -> np.ndarray:
+    """A number for each different key, missing parts being equal."""
+    return pd.DataFrame(dict(enumerate(key))).groupby(list(range(len(key))), dropna=False, sort=False).ngroup().to_numpy()
+
+
+def _begins(*sorted_key: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before in any of these."""
+    new = np.ones(len(sorted_key[0]), bool)
+    if len(new):
+        new[1:] = np.any([k[1:] != k[:-1] for k in sorted_key], axis=0)
+    return new
+
+
+def _numbers(group: tuple, number: np.ndarray) -> np.ndarray | None:
+    """Station numbers as they came: a group below 0 has none."""
+    return None if group[0] < 0 else number
+
+
+def _wake(state: GroupState, times: np.ndarray) -> None:
+    """Calls the group again once the watermark is beyond the earliest of these times, also if nothing arrives for it."""
+    if len(times):
+        state.setTimeoutTimestamp(max(int(times.min()), state.getCurrentWatermarkMs(), 1))
+
+
+CHAIN_STATE = (
+    "number ARRAY<BIGINT>, name ARRAY<STRING>, address ARRAY<STRING>, ms ARRAY<BIGINT>, free ARRAY<BIGINT>,"
+    " capacity ARRAY<BIGINT>, done ARRAY<BIGINT>"
+)
+CHAIN_COLUMNS = ["number", "name", "address", "last_update", "available_bike_stands", "bike_stands", "done"]
+
+
+def _deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, by_slot: bool) -> Iterator[pd.DataFrame]:
+    """Deltas of a group's chains. The state keeps the rows that wait, and the last of each chain's that do not, marked as done."""
+    held = state.get if state.exists else ([],) * len(CHAIN_COLUMNS)
+    columns = _gathered(CHAIN_COLUMNS, held, (b.assign(done=0) for b in batches), ("name", "address"))
+    number, name, address, ms, free, capacity, done = columns
+    slot = ms - ms % clock.SLOT_MS
+    chain = _chains(number, name, address, *([slot] if by_slot else []))
+    order = np.lexsort((free, ms, -done, chain))
+    number, name, address, ms, free, capacity, done = columns = [c[order] for c in columns]
+    chain, slot, watermark = chain[order], slot[order], state.getCurrentWatermarkMs()
+    begins = _begins(chain)
+    known = (done == 1) | (ms < watermark)  # nothing before the watermark can still arrive
+    ready = known & (done == 0)
+    last = np.append(known[:-1] & (begins[1:] | ~known[1:]), known[-1:])
+    if ready.any():
+        before = np.where(begins, free, np.append(free[:1], free[:-1]))
+        diff = (free - before)[ready]
+        found = pd.DataFrame(dict(zip(DELTA_COLUMNS, (
+            _numbers(key, number[ready]), name[ready], address[ready], capacity[ready], free[ready], ms[ready], before[ready],
+            diff, diff.clip(min=0), (-diff).clip(min=0)))))
+        yield found.assign(slot_ms=slot[ready], opens=begins[ready], closes=last[ready]) if by_slot else found
+    over = slot + clock.SLOT_MS <= watermark  # no row of the slot can still arrive
+    keep = ~known | (last & ~(by_slot & over))
+    if not keep.any():
+        state.remove()
+        return
+    done = known.astype(np.int64)
+    state.update(tuple(c[keep].tolist() for c in (*columns[:-1], done)))
+    _wake(state, np.concatenate([ms[~known], slot[keep & known] + clock.SLOT_MS] if by_slot else [ms[~known]]))
+
+
 def _chain_deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    before, *kept = state.get if state.exists else ([], [], [], [])
-    ms, free, capacity = _gathered(["last_update", "available_bike_stands", "bike_stands"], kept, batches)
-    order = np.lexsort((free, ms))
-    ms, free, capacity = ms[order], free[order], capacity[order]
-    done = int(np.searchsorted(ms, state.getCurrentWatermarkMs()))  # nothing before the watermark can still arrive
-    if done:
-        last = np.concatenate([[before[0] if len(before) else free[0]], free[:done - 1]])
-        diff = free[:done] - last
-        before = [int(free[done - 1])]
-        yield pd.DataFrame(dict(zip(DELTA_COLUMNS, (
-            *key, capacity[:done], free[:done], ms[:done], last, diff, diff.clip(min=0), (-diff).clip(min=0)))))
-    state.update((list(before), ms[done:].tolist(), free[done:].tolist(), capacity[done:].tolist()))
-    if done < len(ms):
-        state.setTimeoutTimestamp(int(ms[done]))
+    return _deltas(key, batches, state, by_slot=False)
 
 
 def delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -91,44 +152,23 @@ def delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
     Rows wait in the state until the watermark has passed them and are then
     taken in order, whichever micro-batch brought them. Rows that arrive at or
     behind the watermark are dropped and counted in the query's progress.
-    Beside waiting rows the state of a chain is one number.
+    Beside waiting rows the state of a chain is its last row.
     """
     rows = observations.select(*schemas.OBSERVATION_COLUMNS, F.timestamp_millis("last_update").alias("event_time"))
-    return rows.withWatermark("event_time", delay).groupBy("number", "name", "address").applyInPandasWithState(
-        _chain_deltas, DELTA_SCHEMA, "last ARRAY<BIGINT>, ms ARRAY<BIGINT>, free ARRAY<BIGINT>, capacity ARRAY<BIGINT>",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    return _grouped(rows.withWatermark("event_time", delay), "number", "name", "address").applyInPandasWithState(
+        _chain_deltas, DELTA_SCHEMA, CHAIN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 PART_SCHEMA = f"{DELTA_SCHEMA}, slot_ms BIGINT, opens BOOLEAN, closes BOOLEAN"
 
 
 def _slot_deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """``_chain_deltas`` inside a slot: its very first row has nothing before it, which ``carry_stream`` fills in."""
-    before, *kept = state.get if state.exists else ([], [], [], [])
-    ms, free, capacity = _gathered(["last_update", "available_bike_stands", "bike_stands"], kept, batches)
-    order = np.lexsort((free, ms))
-    ms, free, capacity = ms[order], free[order], capacity[order]
-    watermark = state.getCurrentWatermarkMs()
-    done = int(np.searchsorted(ms, watermark))
-    if done:
-        last = np.concatenate([[before[0] if len(before) else free[0]], free[:done - 1]])
-        diff = free[:done] - last
-        place = np.arange(done)
-        yield pd.DataFrame(dict(zip((*DELTA_COLUMNS, "slot_ms", "opens", "closes"), (
-            *key[:3], capacity[:done], free[:done], ms[:done], last, diff, diff.clip(min=0), (-diff).clip(min=0),
-            key[3], (place == 0) & (not len(before)), place == done - 1))))
-        before = [int(free[done - 1])]
-    end = int(key[3]) + clock.SLOT_MS
-    if done == len(ms) and watermark >= end:
-        state.remove()  # no row of the slot can still arrive
-        return
-    state.update((list(before), ms[done:].tolist(), free[done:].tolist(), capacity[done:].tolist()))
-    state.setTimeoutTimestamp(int(ms[done]) if done < len(ms) else max(end, watermark + 1))
+    """``_chain_deltas`` inside slots: a slot's very first row has nothing before it, which ``carry_stream`` fills in."""
+    return _deltas(key, batches, state, by_slot=True)
 
 
 def slot_delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """``delta_stream`` in parts: one group per chain and 10-minute slot, so a station that holds a third of all rows is many groups.
+    """``delta_stream`` in parts: a chain's 10-minute slots are spread over the groups, so a station that holds a third of all rows is in many.
 
     A row that ``opens`` its slot still lacks what the slots before end with; rows
     that open or close a slot, or what was known of it, are all that
@@ -136,23 +176,31 @@ def slot_delta_stream(observations: DataFrame, delay: str = WATERMARK) -> DataFr
     """
     rows = observations.select(*schemas.OBSERVATION_COLUMNS, F.timestamp_millis("last_update").alias("event_time"))
     slot = clock.slot_start(F.col("last_update")).alias("slot_ms")
-    return rows.withWatermark("event_time", delay).select("*", slot).groupBy("number", "name", "address", "slot_ms").applyInPandasWithState(
-        _slot_deltas, PART_SCHEMA, "last ARRAY<BIGINT>, ms ARRAY<BIGINT>, free ARRAY<BIGINT>, capacity ARRAY<BIGINT>",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    return _grouped(rows.withWatermark("event_time", delay).select("*", slot), "number", "name", "address", "slot_ms").applyInPandasWithState(
+        _slot_deltas, PART_SCHEMA, CHAIN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+CARRY_COLUMNS = ["number", "name", "address", "available_bike_stands", "slot_ms", "last_update", "bike_stands", "opens", "done"]
 
 
 def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    known = int(state.get[0]) if state.exists else None
-    rows = pd.concat(list(batches)).sort_values(["slot_ms", "last_update", "available_bike_stands"], kind="stable")
-    opens, free = rows["opens"].to_numpy(bool), rows["available_bike_stands"].to_numpy(np.int64)
-    before = np.concatenate([[free[0] if known is None else known], free[:-1]])
-    state.update((int(free[-1]),))
-    if opens.any():
-        diff = (free - before)[opens]
-        found = rows.loc[opens, list(schemas.OBSERVATION_COLUMNS)].assign(
-            last_available_stands=before[opens], diff=diff, check_in=diff.clip(min=0), check_out=(-diff).clip(min=0))
-        yield found[DELTA_COLUMNS]
+    kept = state.get if state.exists else ([],) * 4
+    known = (*kept, *([[0] * len(kept[0])] * 4), [1] * len(kept[0]))
+    columns = _gathered(CARRY_COLUMNS, known, (b.assign(done=0) for b in batches), ("name", "address"))
+    number, name, address, free, slot, ms, _, _, done = columns
+    chain = _chains(number, name, address)
+    order = np.lexsort((free, ms, slot, -done, chain))
+    number, name, address, free, slot, ms, capacity, opens, done = (c[order] for c in columns)
+    begins = _begins(chain[order])
+    before = np.where(begins, free, np.append(free[:1], free[:-1]))
+    last = np.append(begins[1:], True)
+    state.update(tuple(c[last].tolist() for c in (number, name, address, free)))
+    found = (opens == 1) & (done == 0)
+    if found.any():
+        diff = (free - before)[found]
+        yield pd.DataFrame(dict(zip(DELTA_COLUMNS, (
+            _numbers(key, number[found]), name[found], address[found], capacity[found], free[found], ms[found], before[found],
+            diff, diff.clip(min=0), (-diff).clip(min=0)))))
 
 
 def carry_stream(parts: DataFrame) -> DataFrame:
@@ -161,8 +209,9 @@ def carry_stream(parts: DataFrame) -> DataFrame:
     ``parts`` is the table of ``slot_delta_stream`` as a stream, of which a slot gives a row or two whatever its rows.
     """
     ends = parts.where("opens or closes")
-    return ends.groupBy("number", "name", "address").applyInPandasWithState(
-        _carry, DELTA_SCHEMA, "last BIGINT", "append", GroupStateTimeout.NoTimeout)
+    return _grouped(ends, "number", "name", "address").applyInPandasWithState(
+        _carry, DELTA_SCHEMA, "number ARRAY<BIGINT>, name ARRAY<STRING>, address ARRAY<STRING>, free ARRAY<BIGINT>",
+        "append", GroupStateTimeout.NoTimeout)
 
 
 def deltas_by_slot(observations: DataFrame, path: str, delay: str = WATERMARK) -> DataFrame:
@@ -173,22 +222,43 @@ def deltas_by_slot(observations: DataFrame, path: str, delay: str = WATERMARK) -
     return parts.where("not opens").select(*DELTA_COLUMNS).union(opened.select(*DELTA_COLUMNS))
 
 
+PAIR_STATE = "number ARRAY<BIGINT>, due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>"
+DUE_COLUMNS = ["number", "due_ms", "event_id", "stands", "is_actual"]
+
+
+def _in_due_order(batches: Iterator[pd.DataFrame], state: GroupState, by_slot: bool) -> tuple[np.ndarray, ...]:
+    """(chain, instant, number, due, event, stands, actual) of a group: chain by chain and by time; equal instants of a chain have one number."""
+    columns = _gathered(DUE_COLUMNS, state.get if state.exists else ([],) * len(DUE_COLUMNS), batches)
+    number, due, event = columns[:3]
+    chain = _chains(number, *([due - due % clock.SLOT_MS] if by_slot else []))
+    order = np.lexsort((event, due, chain))
+    chain, number, due, event, stands, actual = (c[order] for c in (chain, *columns))
+    return chain, np.cumsum(_begins(chain, due)), number, due, event, stands, actual
+
+
+def _answers(chain: np.ndarray, instant: np.ndarray, asked: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the ``asked`` rows have a ``final`` one of their chain at their instant or later, and where the first such row is."""
+    place = np.flatnonzero(final)
+    at = np.searchsorted(instant[place], instant, "left")
+    to = np.append(place, -1)[at]
+    answered = asked & (to >= 0) & (chain[to] == chain)
+    return answered, to[answered]
+
+
 def _pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    kept = state.get if state.exists else ([],) * 4
-    due, event, stands, actual = _gathered(["due_ms", "event_id", "stands", "is_actual"], kept, batches)
-    order = np.lexsort((event, due))
-    due, event, stands, actual = due[order], event[order], stands[order], actual[order] > 0
-    final = actual & (due < state.getCurrentWatermarkMs())  # all forecasts they can answer are here
-    at = np.searchsorted(due[final], due, "left")
-    answered = ~actual & (at < final.sum())
+    chain, instant, *columns = _in_due_order(batches, state, by_slot=False)
+    number, due, event, stands, actual = columns
+    final = (actual == 1) & (due < state.getCurrentWatermarkMs())  # all forecasts they can answer are here
+    answered, to = _answers(chain, instant, actual == 0, final)
     if answered.any():
-        to = at[answered]
         yield pd.DataFrame(dict(zip(PAIR_COLUMNS, (
-            event[answered], key[0], due[answered] - LEAD_MS, stands[answered], event[final][to], due[final][to], stands[final][to]))))
+            event[answered], _numbers(key, number[answered]), due[answered] - LEAD_MS, stands[answered], event[to], due[to], stands[to]))))
     rest = ~final & ~answered
-    state.update(tuple(x[rest].astype(np.int64).tolist() for x in (due, event, stands, actual)))
-    if (rest & actual).any():
-        state.setTimeoutTimestamp(int(due[rest & actual][0]))
+    if not rest.any():
+        state.remove()
+        return
+    state.update(tuple(c[rest].tolist() for c in columns))
+    _wake(state, due[rest & (actual == 1)])
 
 
 def _asked_and_seen(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -213,10 +283,8 @@ def pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMA
     no row before it is answered.
     """
     rows = _asked_and_seen(predictions, actuals)
-    return rows.withWatermark("event_time", delay).groupBy("number").applyInPandasWithState(
-        _pair, PAIR_SCHEMA, "due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    return _grouped(rows.withWatermark("event_time", delay), "number").applyInPandasWithState(
+        _pair, PAIR_SCHEMA, PAIR_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
@@ -233,64 +301,74 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 SLOT_PAIR_SCHEMA = f"{PAIR_SCHEMA}, slot_ms BIGINT, kind STRING"
 
 
-def _pair_part(kind: str, key: tuple, **columns: np.ndarray) -> pd.DataFrame:
+def _pair_part(kind: str, key: tuple, number: np.ndarray, slot: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
     """Rows of SLOT_PAIR_SCHEMA; columns that a kind does not have are 0."""
-    none = np.zeros(len(next(iter(columns.values()))), np.int64)
-    return pd.DataFrame({c: columns.get(c, none) for c in PAIR_COLUMNS} | {"number": key[0], "slot_ms": key[1], "kind": kind})
+    none = np.zeros(len(slot), np.int64)
+    return pd.DataFrame({c: columns.get(c, none) for c in PAIR_COLUMNS} | {"number": _numbers(key, number), "slot_ms": slot, "kind": kind})
 
 
 def _slot_pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """``_pair`` inside a slot: its pairs, its first observation, and when it is over the forecasts that it does not answer."""
-    told, *kept = state.get if state.exists else ([], [], [], [], [])
-    due, event, stands, actual = _gathered(["due_ms", "event_id", "stands", "is_actual"], kept, batches)
-    order = np.lexsort((event, due))
-    due, event, stands, actual = due[order], event[order], stands[order], actual[order] > 0
-    watermark, end = state.getCurrentWatermarkMs(), int(key[1]) + clock.SLOT_MS
-    final = actual & (due < watermark)
-    at = np.searchsorted(due[final], due, "left")
-    answered = ~actual & (at < final.sum())
+    """``_pair`` inside slots: a slot's pairs, its first observation, and when it is over the forecasts that it does not answer.
+
+    A first observation that has been given stays in the state as an ``actual`` of 2 until its slot is over.
+    """
+    chain, instant, *columns = _in_due_order(batches, state, by_slot=True)
+    number, due, event, stands, actual = columns
+    slot, watermark = due - due % clock.SLOT_MS, state.getCurrentWatermarkMs()
+    final = (actual == 1) & (due < watermark)
+    answered, to = _answers(chain, instant, actual == 0, final)
     if answered.any():
-        to = at[answered]
         yield _pair_part(
-            "pair", key, event_id=event[answered], pred_ms=due[answered] - LEAD_MS, pred_stands=stands[answered],
-            actual_event=event[final][to], actual_ms=due[final][to], actual_stands=stands[final][to])
-    if final.any() and not len(told):
-        told = [1]
-        yield _pair_part("first", key, actual_event=event[final][:1], actual_ms=due[final][:1], actual_stands=stands[final][:1])
-    rest = ~final & ~answered
-    if watermark >= end:
-        if rest.any():
-            yield _pair_part("open", key, event_id=event[rest], pred_ms=due[rest] - LEAD_MS, pred_stands=stands[rest])
+            "pair", key, number[answered], slot[answered], event_id=event[answered], pred_ms=due[answered] - LEAD_MS,
+            pred_stands=stands[answered], actual_event=event[to], actual_ms=due[to], actual_stands=stands[to])
+    place = np.flatnonzero(final)
+    first = place[_begins(chain[place]) & ~np.isin(chain[place], chain[actual == 2])]
+    if len(first):
+        yield _pair_part(
+            "first", key, number[first], slot[first], actual_event=event[first], actual_ms=due[first], actual_stands=stands[first])
+    actual[first] = 2
+    over = slot + clock.SLOT_MS <= watermark
+    rest = ~answered & ~(final & (actual == 1))
+    unanswered = rest & over & (actual == 0)
+    if unanswered.any():
+        yield _pair_part(
+            "open", key, number[unanswered], slot[unanswered], event_id=event[unanswered], pred_ms=due[unanswered] - LEAD_MS,
+            pred_stands=stands[unanswered])
+    rest &= ~over
+    if not rest.any():
         state.remove()
         return
-    state.update((list(told), *(x[rest].astype(np.int64).tolist() for x in (due, event, stands, actual))))
-    waiting = due[rest & actual]
-    state.setTimeoutTimestamp(max(int(waiting[0]) + 1 if len(waiting) else end, watermark + 1))
+    state.update(tuple(c[rest].tolist() for c in columns))
+    _wake(state, np.concatenate([due[rest & (actual == 1)], slot[rest] + clock.SLOT_MS]))
 
 
 def slot_pair_stream(predictions: DataFrame, actuals: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """``pair_stream`` in parts: one group per station and 10-minute slot, so a station that holds a third of all rows is many groups."""
+    """``pair_stream`` in parts: a station's 10-minute slots are spread over the groups, so a station that holds a third of all rows is in many."""
     rows = _asked_and_seen(predictions, actuals).withColumn("slot_ms", clock.slot_start(F.col("due_ms")))
-    return rows.withWatermark("event_time", delay).groupBy("number", "slot_ms").applyInPandasWithState(
-        _slot_pairs, SLOT_PAIR_SCHEMA, "told ARRAY<BIGINT>, due ARRAY<BIGINT>, event ARRAY<BIGINT>, stands ARRAY<BIGINT>, actual ARRAY<BIGINT>",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    return _grouped(rows.withWatermark("event_time", delay), "number", "slot_ms").applyInPandasWithState(
+        _slot_pairs, SLOT_PAIR_SCHEMA, PAIR_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+END_COLUMNS = ["number", "slot_ms", "event_id", "pred_ms", "pred_stands", "actual_event", "actual_ms", "actual_stands", "is_first"]
 
 
 def _answer_open(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches))
-    new, firsts = rows[rows["kind"] == "open"], rows[rows["kind"] == "first"].sort_values("slot_ms")
-    columns = ["slot_ms", "event_id", "pred_ms", "pred_stands"]
-    kept = state.get if state.exists else ([],) * 4
-    slot, event, asked, stands = (np.concatenate([np.asarray(old, np.int64), new[c].to_numpy(np.int64)]) for c, old in zip(columns, kept))
-    at = np.searchsorted(firsts["slot_ms"].to_numpy(np.int64), slot, "right")
-    answered = at < len(firsts)
+    kept = state.get if state.exists else ([],) * 5
+    waiting = (*kept, *([[0] * len(kept[0])] * 4))
+    columns = _gathered(END_COLUMNS, waiting, (b.assign(is_first=b["kind"] == "first") for b in batches))
+    chain = _chains(columns[0])
+    order = np.lexsort((columns[1], chain))
+    number, slot, event, asked, stands, actual_event, actual_ms, actual_stands, is_first = columns = [c[order] for c in columns]
+    chain, first = chain[order], is_first == 1
+    place, instant = np.flatnonzero(first), np.cumsum(_begins(chain, slot))
+    to = np.append(place, -1)[np.searchsorted(instant[place], instant, "right")]
+    answered = ~first & (to >= 0) & (chain[to] == chain)
     if answered.any():
-        to = firsts.iloc[at[answered]]
+        to = to[answered]
         yield pd.DataFrame(dict(zip(PAIR_COLUMNS, (
-            event[answered], key[0], asked[answered], stands[answered],
-            *(to[c].to_numpy(np.int64) for c in ("actual_event", "actual_ms", "actual_stands"))))))
-    state.update(tuple(x[~answered].tolist() for x in (slot, event, asked, stands)))
+            event[answered], _numbers(key, number[answered]), asked[answered], stands[answered],
+            actual_event[to], actual_ms[to], actual_stands[to]))))
+    state.update(tuple(c[~first & ~answered].tolist() for c in columns[:5]))
 
 
 def answer_stream(parts: DataFrame) -> DataFrame:
@@ -299,8 +377,8 @@ def answer_stream(parts: DataFrame) -> DataFrame:
     When that observation is final, all slots before are over, so their open
     forecasts have come. A busy station answers nearly all inside their slots.
     """
-    return parts.where("kind <> 'pair'").groupBy("number").applyInPandasWithState(
-        _answer_open, PAIR_SCHEMA, "slot ARRAY<BIGINT>, event ARRAY<BIGINT>, asked ARRAY<BIGINT>, stands ARRAY<BIGINT>",
+    return _grouped(parts.where("kind <> 'pair'"), "number").applyInPandasWithState(
+        _answer_open, PAIR_SCHEMA, "number ARRAY<BIGINT>, slot ARRAY<BIGINT>, event ARRAY<BIGINT>, asked ARRAY<BIGINT>, stands ARRAY<BIGINT>",
         "append", GroupStateTimeout.NoTimeout)
 
 

@@ -164,3 +164,41 @@ def test_unanswered_forecasts_are_let_go(spark, tmp_path):
     seen = source.where("kind = 'a'").selectExpr("event_id", "number", "ms AS actual_ms", "stands AS actual_stands")
     got = run(jobs.pair_within(asked, seen, "1 HOUR", "30 minutes"), tmp_path, "pairs").collect()
     assert {(r.event_id, r.actual_event) for r in got} >= {(1, 4), (2, None)} and len({r.event_id for r in got}) == len(got)
+
+
+def test_many_stations_share_the_groups_of_a_stream(spark, tmp_path):
+    """Stations and slots by the thousand are a bounded number of groups, and give what the batch gives."""
+    minute, day, n = 60_000, 86_400_000, 3 * jobs.GROUPS
+    landing = tmp_path / "in"
+    seen = spark.range(2 * n).selectExpr(
+        f"id % {n} AS number", f"concat('S', id % {n}) AS name", "'a' AS address", "20L AS bike_stands", "(id * 7) % 20 AS available_bike_stands",
+        f"{day} + (id div {n}) * {25 * minute} + id % 1000 AS last_update", "id AS event_id")
+    end = spark.createDataFrame([(n, "S", "a", 20, 1, 2 * day, -1)], seen.schema)
+    seen.repartition(1).union(end).coalesce(1).write.parquet(str(landing))
+    rows = spark.readStream.schema(seen.schema).parquet(str(landing))
+    asked = rows.selectExpr("event_id", "number", "last_update AS pred_ms", "available_bike_stands AS pred_stands")
+    actual = rows.selectExpr("event_id", "number", "last_update AS actual_ms", "available_bike_stands AS actual_stands")
+    streams = {"deltas": jobs.delta_stream(rows), "slots": jobs.slot_delta_stream(rows),
+               "pairs": jobs.pair_stream(asked, actual), "slot-pairs": jobs.slot_pair_stream(asked, actual)}
+    for label, stream in streams.items():
+        path = tmp_path / label
+        query = stream.writeStream.format("parquet").option("path", str(path / "out")).option(
+            "checkpointLocation", str(path / "check")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        groups = [state.numRowsTotal for progress in query.recentProgress for state in progress.stateOperators]
+        assert 0 < max(groups) <= jobs.GROUPS, label
+    batch = slots.stand_deltas(seen.select(*rows.columns[:6]))
+    columns = jobs.DELTA_COLUMNS
+    expected = sorted(map(tuple, batch.select(*columns).collect()))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "deltas/out")).select(*columns).collect())) == expected
+    by_slot = jobs.deltas_by_slot(rows, str(tmp_path / "by-slot"))
+    assert sorted(map(tuple, by_slot.select(*columns).collect())) == expected
+    table = spark.read.parquet(str(landing))
+    paired = pairing.pair_forward(
+        table.selectExpr("event_id", "number", "last_update AS pred_ms", "available_bike_stands AS pred_stands"),
+        table.selectExpr("event_id", "number", "last_update AS actual_ms", "available_bike_stands AS actual_stands"))
+    answers = sorted(map(tuple, paired.where(f"number < {n} AND actual_ms IS NOT NULL").select(*jobs.PAIR_COLUMNS).collect()))
+    assert len(answers) == n
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "pairs/out")).select(*jobs.PAIR_COLUMNS).collect())) == answers
+    got = jobs.pairs_by_slot(asked, actual, str(tmp_path / "pairs-by-slot"))
+    assert sorted(map(tuple, got.select(*jobs.PAIR_COLUMNS).collect())) == answers
