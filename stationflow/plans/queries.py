@@ -963,9 +963,25 @@ def stream_intake(spark, sf_dir):
 # Models. Trees are fitted on the training part of the selected stations, once per session and folder.
 
 
+def _features_of_selected(spark, sf_dir, clusters: DataFrame, label: str) -> DataFrame:
+    """Training features of the stations that are selected by these clusters; the selection is made once per session and events.
+
+    All steps of the features stay within a station, so only the slots of the selected ones take them.
+    """
+    rows = views.stored_slots(spark, sf_dir, views.TRAINING)
+
+    def choose() -> str:
+        path = scratch_path(spark, "selected")
+        selection.selected_stations(features.attach_cluster(rows, clusters)).write.parquet(path)
+        return path
+
+    chosen = spark.read.schema("number BIGINT").parquet(once(spark, f"stations selected by {label} of {views.source(spark, sf_dir)}", choose))
+    kept = [selection.keep_selected(part, chosen) for part in (rows, clusters, views.geo(spark, sf_dir))]
+    return features.station_features(*kept, "truncate")
+
+
 def _selected_features(spark, sf_dir) -> DataFrame:
-    chosen = selection.selected_stations(_stored_clustered(spark, sf_dir))
-    return selection.keep_selected(_stored_features(spark, sf_dir), chosen)
+    return _features_of_selected(spark, sf_dir, views.clusters(spark, sf_dir), "given clusters")
 
 
 def _model_features(spark, sf_dir) -> DataFrame:
@@ -1067,8 +1083,7 @@ def clustered_features(spark, sf_dir):
 def clustered_forecast(spark, sf_dir):
     """Clusters, then the stations selected by their activity, then trees on the features with those clusters: predictions of the unseen week."""
     def fit():
-        rows = selection.keep_selected(_clustered_features(spark, sf_dir), selection.selected_stations(
-            features.attach_cluster(views.stored_slots(spark, sf_dir, views.TRAINING), _fitted_clusters(spark, sf_dir))))
+        rows = _features_of_selected(spark, sf_dir, _fitted_clusters(spark, sf_dir), "fitted clusters")
         return model.train(model.split(rows)[0], features.IMPORTANT_FACTORS)
 
     fitted = once(spark, f"{model.TREES} trees on fitted clusters of {views.source(spark, sf_dir)}", fit)

@@ -155,3 +155,33 @@ def test_filled_days_are_the_filled_grid(spark, small_dir, scope):
         grid.setdefault((r.number, r.date), {})[r.time] = r.available_stands
     whole = {(n, d, t): v for (n, d), row in grid.items() if None not in row.values() for t, v in row.items()}
     assert cells == whole
+
+
+def test_training_starts_from_written_rows(spark):
+    """Each of the many small jobs of the trees has two stages; the plan that made the rows is not gone through again."""
+    rows = _overshooting(spark).repartition(5, "latitude").groupBy("date", "season", "time", "prev_stands", "latitude", "longitude", "cluster").agg(
+        F.max("avg_stands").alias("avg_stands")).repartition(3)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("trees", "trees")
+    try:
+        fitted = model.train(rows, trees=5)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = sorted(tracker.getJobIdsForGroup("trees"))[-5:]
+    assert len(fitted.stages[-1].trees) == 5
+    assert all(len(tracker.getJobInfo(j).stageIds) <= 2 for j in jobs)
+
+
+def test_codes_thresholds_and_missing_values_walk_as_the_trees_do(spark, monkeypatch):
+    monkeypatch.setattr(model, "LEARNING_RATE", 0.5)
+    seasons, nothing = ["autumn", "spring", "summer", "winter"], None
+    rows = spark.createDataFrame(
+        [(f"2024-01-{1 + i % 9:02d}", seasons[i % 4], f"{i % 24:02d}:00:00", i % 13 - 6, (i * 7) % 11 + 5 * (i % 4 == 2), float(i % 3), -6.0, i % 5)
+         for i in range(600)],
+        "date string, season string, time string, prev_stands long, avg_stands long, latitude double, longitude double, cluster int")
+    table = model.tree_table(spark, fitted := model.train(rows, trees=12))
+    assert table.where("left >= 0 AND categories = -1").count() and table.where("left >= 0 AND categories <> -1").count()
+    odd = spark.createDataFrame([("2024-01-01", "monsoon", "10:10:00", -1, 0, float("nan"), -6.0, 1), ("2024-01-02", nothing, nothing, nothing, 0, nothing, -6.0, 1)], rows.schema)
+    coded = model.PipelineModel(fitted.stages[:3]).transform(model.with_weekday_code(rows.union(odd)))
+    walk = model.walked(table, fitted.stages[3].transform(coded)).select("walk", "raw_pred").collect()
+    assert len(walk) == 602 and max(abs(r.walk - r.raw_pred) for r in walk) < 1e-9
