@@ -147,6 +147,7 @@ def test_an_unsettled_clustering_is_noticed(spark, monkeypatch):
 
 def test_k_means_keeps_decoded_vectors(spark, monkeypatch):
     days = spark.createDataFrame([(i, "d", [float(i % 3 * 10), float(i % 7), float(i)]) for i in range(60)], "number int, date string, stands array<double>")
+    days = days.withColumn("times", F.array(*[F.lit(t) for t in ("00:00:00", "00:10:00", "00:20:00")]))
     levels, fit = [], model.KMeans.fit
     monkeypatch.setattr(model.KMeans, "fit", lambda self, vectors: levels.append(vectors.storageLevel) or fit(self, vectors))
     model.elbow(spark, days, ks=(2, 3))
