@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.functions import clock
 from stationflow.functions.clock import SLOT_LEVELS, WORKDAYS
 
 STATIONS_PER_BLOCK = 4096
+# Rows that a walk over station-days holds as a matrix.
+ROWS_AT_ONCE = 4096
 
 
 def split_week(slots: DataFrame, part: str) -> DataFrame:
@@ -60,64 +66,112 @@ def slot_grid(slots: DataFrame) -> DataFrame:
     return _as_table(_spread(_cells(slots), slots))
 
 
+def _walk(before: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For rows (group, place, start, cells) in order: the last value of every slot within the group, up to and with the row.
+
+    ``before`` leaves the row itself out. Rows marked ``start`` only set off their group and are not returned.
+    """
+    def walk(batches):
+        width, group = len(SLOT_LEVELS), None
+        state, has = np.zeros(width, np.int64), np.zeros(width, bool)
+        for part in (batch.slice(at, ROWS_AT_ONCE) for batch in batches for at in range(0, batch.num_rows, ROWS_AT_ONCE)):
+            groups, place, start, cells = part.columns
+            code = groups.dictionary_encode("encode").indices.to_numpy()
+            new = np.r_[group is None or groups[0] != group, code[1:] != code[:-1]]
+            flat = cells.flatten()
+            slot, value = flat.field("slot_no").fill_null(-1).to_numpy(), flat.field("v")
+            known = value.is_valid().to_numpy(False) & (slot >= 0) & (slot < width)
+            rows = np.repeat(np.arange(1, part.num_rows + 1), cells.value_lengths().to_numpy())[known]
+            # Row 0 is what the part before left behind.
+            values, seen = np.zeros((part.num_rows + 1, width), np.int64), np.zeros((part.num_rows + 1, width), bool)
+            values[0], seen[0] = state, has
+            values[rows, slot[known]], seen[rows, slot[known]] = value.fill_null(0).to_numpy()[known], True
+            numbers = np.arange(part.num_rows + 1)
+            first = np.maximum.accumulate(np.where(np.r_[False, new], numbers, 0))[:, None]
+            source = np.maximum.accumulate(np.where(seen, numbers[:, None], 0), axis=0)
+            seen = (source >= first) & np.take_along_axis(seen, source, 0)
+            values = np.take_along_axis(values, source, 0)
+            group, state, has = groups[part.num_rows - 1], values[-1], seen[-1]
+            if before:
+                values, seen = values[:-1], seen[:-1] & ~new[:, None]
+            else:
+                values, seen = values[1:], seen[1:]
+            keep = ~start.to_numpy(False)
+            values, seen = values[keep], seen[keep]
+            lists = pa.ListArray.from_arrays(
+                np.arange(0, values.size + 1, width, dtype=np.int32), pa.array(values.ravel(), mask=~seen.ravel()))
+            kept = pa.array(keep)
+            yield pa.RecordBatch.from_arrays(
+                [groups.filter(kept), place.filter(kept), lists, pa.array(seen.sum(1, dtype=np.int32))], [*part.schema.names[:2], "held", "n_held"])
+
+    return walk
+
+
+def _carry(rows: DataFrame, starts: DataFrame, group: str, place: str, before: bool = False) -> DataFrame:
+    """(group, place, held, n_held): the last value of each of a day's slots in the group, in the order of ``place``, and how many there are.
+
+    ``rows`` are (group, place, cells); ``starts`` (group, cells) come before a
+    group's first row. A task walks over its sorted rows and keeps the values of
+    one row, so that a group may be of any size.
+    """
+    both = rows.select(group, place, F.lit(False).alias("start"), "cells").union(
+        starts.select(group, F.lit(None).alias(place), F.lit(True).alias("start"), "cells"))
+    sorted_rows = both.repartition(group).sortWithinPartitions(group, F.desc("start"), place)
+    kinds = {f.name: f.dataType.simpleString() for f in both.schema}
+    return sorted_rows.mapInArrow(_walk(before), f"{group} {kinds[group]}, {place} {kinds[place]}, held ARRAY<BIGINT>, n_held INT")
+
+
+def _gathered(value: str) -> Column:
+    return F.collect_list(F.struct("slot_no", F.col(value).cast("long").alias("v"))).alias("cells")
+
+
 def _inflow(cells: DataFrame, slots: DataFrame) -> DataFrame:
-    """Per station: the values that flow in from earlier stations, one per level.
+    """Per station: the values that flow in from earlier stations, one per slot.
 
     Stations are scanned in blocks, then block to block, so no task sees all
     stations. Where nothing precedes, the first known value of the level flows
     back.
     """
+    # Rows without a number are left out only after they are counted, and the join knows nulls: a filter pushed below the
+    # slots' shuffle would keep the days from reading the same one.
     known = cells.groupBy("number", "slot_no").agg(
-        F.struct(F.min_by("v", "day").alias("first"), F.max_by("v", "day").alias("last")).alias("ends")
-    ).groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("slot_no", "ends"))).alias("ends"))
-    stations = known.select("number", "ends", F.posexplode(_levels(slots)).alias("pos", "slot_no")).select(
-        "number", "pos", F.element_at("ends", F.col("slot_no")).alias("ends"),
-        F.floor(F.col("number") / STATIONS_PER_BLOCK).alias("block"),
-    )
-    has_value = F.when(F.col("ends").isNotNull(), F.col("number"))
-    blocks = stations.groupBy("pos", "block").agg(
-        F.min_by("ends.first", has_value).alias("block_first"), F.max_by("ends.last", has_value).alias("block_last")
-    )
-    by_block = Window.partitionBy("pos").orderBy("block")
-    blocks = blocks.select(
-        "pos", "block",
-        F.last("block_last", True).over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("from_blocks"),
-        F.first("block_first", True).over(
-            by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ).alias("first_of_level"),
-    )
-    in_block = Window.partitionBy("pos", "block").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    carried = stations.withColumn("from_stations", F.last("ends.last", True).over(in_block)).join(
-        blocks, ["pos", "block"]
-    ).select("number", "pos", F.coalesce("from_stations", "from_blocks", "first_of_level").alias("carried"))
-    values = F.sort_array(F.collect_list(F.struct("pos", "carried")))
-    return carried.groupBy("number").agg(values.alias("inflow"))
+        F.min_by("v", "day").alias("first"), F.max_by("v", "day").alias("last")
+    ).withColumn("block", F.floor(F.col("number") / STATIONS_PER_BLOCK))
+    ends = known.groupBy("block", "slot_no").agg(
+        F.min_by("first", "number").alias("block_first"), F.max_by("last", "number").alias("block_last"), F.count("number").alias("n")
+    ).where("n > 0")
+    grid = ends.select("block").distinct().select("block", F.explode(_levels(slots)).alias("slot_no"))
+    by_block = Window.partitionBy("slot_no").orderBy("block")
+    same = grid["block"].eqNullSafe(F.col("of.block")) & grid["slot_no"].eqNullSafe(F.col("of.slot_no"))
+    blocks = grid.join(ends.alias("of"), same, "left").select(grid["block"], grid["slot_no"], "block_first", "block_last").select("block", "slot_no", F.coalesce(
+        F.last("block_last", True).over(by_block.rowsBetween(Window.unboundedPreceding, -1)),
+        F.first("block_first", True).over(by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    ).alias("from_blocks"))
+    stations = known.groupBy("block", "number").agg(_gathered("last"))
+    carried = _carry(stations, blocks.groupBy("block").agg(_gathered("from_blocks")), "block", "number", before=True)
+    return carried.select("number", F.transform("held", lambda v, i: F.struct(i.alias("slot_no"), v.alias("v"))).alias("cells"))
 
 
 def _filled(slots: DataFrame, scope: str) -> DataFrame:
-    """(number, day, levels, stands): one row per station-day, its stands at every level after the fill.
+    """(number, day, levels, stands, whole): one row per station-day, its stands at every level after the fill, and whether none is missing.
 
-    A day stays one row throughout: one window over a station's days carries all
-    levels forward.
+    A day stays one row throughout: its known cells travel, and one walk over a
+    station's days carries all levels forward.
     """
     if scope not in ("all", "station"):
         raise ValueError(f"unknown fill scope: {scope}")
     cells = _cells(slots)
-    days = cells.groupBy("number", "day").agg(F.map_from_entries(F.collect_list(F.struct("slot_no", "v"))).alias("cells"))
-    by_day = Window.partitionBy("number").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    slots_of_day = range(len(SLOT_LEVELS))
-    rows = days.select("number", "day", *[F.element_at("cells", F.lit(i)).alias(f"v{i}") for i in slots_of_day])
-    carried = rows.select("number", "day", F.array(*[F.last(f"v{i}", True).over(by_day) for i in slots_of_day]).alias("known"), *(
-        [F.array(*[F.first(f"v{i}", True).over(whole) for i in slots_of_day]).alias("before")] if scope == "station" else []))
-    carried = carried.withColumn("levels", _levels(slots))
+    days = cells.groupBy("number", "day").agg(_gathered("v"))
     if scope == "all":
-        carried = carried.join(_inflow(cells, slots), "number", "left")
-        inflow = F.transform("levels", lambda level, i: F.get("inflow", i)["carried"])
+        starts = _inflow(cells, slots)
     else:
-        inflow = F.transform("levels", lambda level: F.get("before", level))
-    known = F.transform("levels", lambda level: F.get("known", level))
-    return carried.select("number", "day", "levels", F.zip_with(known, inflow, lambda a, b: F.coalesce(a, b)).alias("stands"))
+        firsts = cells.where(F.col("v").isNotNull()).groupBy("number", "slot_no").agg(F.min_by("v", "day").alias("first"))
+        starts = firsts.groupBy("number").agg(_gathered("first"))
+    filled = _carry(days, starts, "number", "day").withColumn("levels", _levels(slots))
+    last = len(SLOT_LEVELS) - 1
+    every_slot = (F.size("levels") == last + 1) & (F.get("levels", F.lit(0)) == 0) & (F.get("levels", F.lit(last)) == last)
+    stands = F.when(every_slot, F.col("held")).otherwise(F.transform("levels", lambda level: F.get("held", level)))
+    return filled.select("number", "day", "levels", stands.alias("stands"), (F.col("n_held") == F.size("levels")).alias("whole"))
 
 
 def gap_fill(slots: DataFrame, scope: str = "all") -> DataFrame:
@@ -145,8 +199,8 @@ def filled_days(slots: DataFrame, scope: str = "all") -> DataFrame:
     """
     return _filled(slots, scope).select(
         "number", F.col("day").cast("string").alias("date"), F.col("stands").cast("array<double>").alias("stands"),
-        F.transform("levels", clock.slot_label).alias("times"),
-    ).where(~F.exists("stands", lambda v: v.isNull()))
+        F.transform("levels", clock.slot_label).alias("times"), "whole",
+    ).where("whole").drop("whole")
 
 
 def slot_matrix(slots: DataFrame) -> DataFrame:

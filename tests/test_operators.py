@@ -3,6 +3,7 @@
 import random
 import statistics
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,36 @@ def test_gap_fill_crosses_stations_and_blocks(spark, monkeypatch, block):
     assert {(r.number, r.date, r.time): r.available_stands for r in got} == filled_by_walking(cells)
 
 
+@pytest.mark.parametrize("before", [False, True])
+@pytest.mark.parametrize("at_once", [1, 2, 4096])
+def test_a_walk_keeps_values_from_part_to_part(monkeypatch, before, at_once):
+    monkeypatch.setattr(profile, "ROWS_AT_ONCE", at_once)
+    rng = random.Random(5)
+    rows = [(g, p, g in (1, 7) and p == 0, [{"slot_no": rng.choice([0, 5, 143, 144, None]), "v": rng.choice([None, 2**60 + 1, 3])} for _ in range(rng.randrange(3))])
+            for g in (None, 1, 2, 7) for p in range(6)]
+    want, group, held = [], "none", {}
+    for g, p, start, cells in rows:
+        held, group = ({} if g != group else held), g
+        then = {**held, **{c["slot_no"]: c["v"] for c in cells if c["v"] is not None and c["slot_no"] in (0, 5, 143)}}
+        if not start:
+            shown = held if before else then
+            want.append((g, p, [shown.get(i) for i in range(144)], len(shown)))
+        held = then
+    kind = pa.list_(pa.struct([("slot_no", pa.int32()), ("v", pa.int64())]))
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), kind))]
+    batch = pa.RecordBatch.from_arrays(columns, ["number", "day", "start", "cells"])
+    got = [tuple(r.values()) for part in profile._walk(before)(iter([batch.slice(0, 7), batch.slice(7)])) for r in part.to_pylist()]
+    assert got == want
+
+
+@pytest.mark.parametrize("scope", ["all", "station"])
+def test_a_fill_has_no_column_for_every_slot(spark, scope):
+    """A window with 144 columns, and stands computed both for the filter and for the result, were most of the time of a clustering."""
+    days = profile.filled_days(slot_rows(spark, [(1, "2017-11-06", "05:00:00", 3), (2, "2017-11-07", "05:00:00", 5)]), scope)
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("windowspecdefinition") <= 2 and "exists(" not in plan
+
+
 def test_gap_fill_within_station(spark):
     cells = [(1, "2017-11-06", "05:00:00", 3), (2, "2017-11-06", "05:10:00", 9), (2, "2017-11-07", "05:00:00", 5)]
     got = profile.gap_fill(slot_rows(spark, cells), scope="station").collect()
